@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from peerscope.functions import bounded_broadcast, round_half_even
 from peerscope.operators.ordered import ordered_stats, quantiles_from_stats
+from peerscope.session import materialize
 
 # Metric lists, quantiles, thresholds and the model column order.
 BENCH_METRICS = ["total_claim_count", "total_drug_cost", "cost_per_claim", "brand_share",
@@ -116,7 +117,8 @@ def build_features(providers: DataFrame, group: str = "specialty", key: str = "n
     ``(specialty, metric)``) feeds both the quantiles and the percentile ranks.
     """
     st = _peer_order_stats(providers, group, BENCH_METRICS)
-    bench = specialty_benchmarks(providers, group, BENCH_METRICS, order_stats=st)
+    # one row per specialty: written once, then read by the join and by callers
+    bench = materialize(specialty_benchmarks(providers, group, BENCH_METRICS, order_stats=st), "benchmarks")
     stats_cols = [group] + [f"{s}_{m}" for m in Z_METRICS for s in ("avg", "std")] + [
         "p99_total_claim_count", "p99_cost_per_claim", "p95_claims_per_bene"]
     small = bounded_broadcast(bench.select(*stats_cols), MAX_BROADCAST_GROUPS)

@@ -45,12 +45,12 @@ class Workspace:
     @cached_property
     def providers(self) -> DataFrame:
         """Cleaned provider table (S7 names, data_year stamped)."""
-        return materialize(C.to_provider_table(C.clean_providers(self.providers_raw)))
+        return materialize(C.to_provider_table(C.clean_providers(self.providers_raw)), "providers")
 
     @cached_property
     def _bench_and_features(self) -> tuple[DataFrame, DataFrame]:
         bench, feats = P.build_features(self.providers)
-        return materialize(bench), materialize(feats)
+        return bench, materialize(feats, "features")
 
     @property
     def benchmarks(self) -> DataFrame:
@@ -68,14 +68,16 @@ class Workspace:
     @cached_property
     def scores(self) -> DataFrame:
         base = self._scores_override if self._scores_override is not None else S.surrogate_scores(self.providers)
-        return materialize(S.ensemble(base.select("npi", "fraud_score_xgb", "fraud_score_iso")))
+        return materialize(S.ensemble(base.select("npi", "fraud_score_xgb", "fraud_score_iso")), "scores")
 
     @cached_property
     def providers_scored(self) -> DataFrame:
         """J2+J3: providers LEFT JOIN feature subset LEFT JOIN scores (scores win)."""
         p = self.providers.drop(*[c for c in SCORE_COLUMNS if c in self.providers.columns])
         f = self.features.select("npi", *SCORED_FEATURE_COLUMNS)
-        return p.join(f, on="npi", how="left").join(self.scores, on="npi", how="left")
+        # written once: every catalog and report query reads this table
+        return materialize(p.join(f, on="npi", how="left").join(self.scores, on="npi", how="left"),
+                           "providers_scored")
 
     @cached_property
     def provider_years(self) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,12 +66,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and return the stored copy.
+def materialize(df: DataFrame, name: str = "t") -> DataFrame:
+    """Write ``df`` once as Parquet under the reliable checkpoint folder and
+    return a frame reading the stored copy.
 
-    Cuts lineage (a lost executor re-reads the files instead of recomputing the
-    whole upstream plan) and pins values that are not stable under
-    recomputation, such as partition ids after a range repartition.
+    Cuts lineage (a lost executor re-reads files instead of recomputing the
+    upstream plan), pins values that are not stable under recomputation
+    (partition ids after a range repartition), and gives later readers
+    column pruning and predicate pushdown.  Unlike an eager RDD checkpoint
+    the plan runs once.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/peerscope/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
