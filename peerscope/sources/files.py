@@ -52,8 +52,8 @@ def read_exclusions_csv(spark: SparkSession, path: str, date_format: str = "yyyy
            .option("encoding", "ISO-8859-1").csv(path))
     return raw.select(
         F.trim("npi").alias("npi"),
-        F.try_to_date("exclusion_date", F.lit(date_format)).alias("exclusion_date"),
-        F.try_to_date("reinstatement_date", F.lit(date_format)).alias("reinstatement_date"),
+        F.try_to_date("exclusion_date", date_format).alias("exclusion_date"),
+        F.try_to_date("reinstatement_date", date_format).alias("reinstatement_date"),
         "exclusion_type", "general")
 
 
