@@ -1,0 +1,5 @@
+"""Streaming form of the claim-line roll-up (the only incremental job)."""
+
+from peerscope.streaming.rollup import order_state, providers_from_state, start_order_state
+
+__all__ = ["order_state", "providers_from_state", "start_order_state"]
