@@ -14,6 +14,7 @@ fixed, small number of model fits, not a loop over data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -45,6 +46,7 @@ class BoostParams:
     feature_subset: str = COL_SUBSAMPLE
     seed: int = SEED
     oversample: bool = True
+    parallelism: int = 5          # concurrent fold fits (as CrossValidator's parallelism)
 
 
 def _pipeline(features: Sequence[str], p: BoostParams) -> Pipeline:
@@ -93,12 +95,16 @@ def out_of_fold_scores(matrix: DataFrame, features: Sequence[str], label: str =
     folds = stratified_folds(data.select(key, label), label, key, k)
     data = materialize(data.join(folds.select(key, "fold"), key, "inner"), "cv_data")
     pw = positive_weight(data, label)
-    parts = []
-    for f in range(1, k + 1):
+
+    def one_fold(f: int) -> DataFrame:
         train = data.where(F.col("fold") != f)
         test = data.where(F.col("fold") == f)
         model = _pipeline(feats, p).fit(materialize(_training_rows(train, feats, label, key, pw, p), "train"))
-        parts.append(predict(model, test, key).withColumn("fold", F.lit(f)))
+        return materialize(predict(model, test, key).withColumn("fold", F.lit(f)), "oof_fold")
+
+    # the folds are independent model fits: submit them as concurrent Spark jobs
+    with ThreadPoolExecutor(max_workers=max(1, min(p.parallelism, k))) as pool:
+        parts = list(pool.map(one_fold, range(1, k + 1)))
     out = parts[0]
     for d in parts[1:]:
         out = out.unionByName(d)

@@ -103,6 +103,40 @@ def shap_pair(tree, x, z, W, phi) -> None:
             stack.append((zc, xs, zs + (f,)))
 
 
+def shap_background(tree, x, Z, W, phi) -> None:
+    """``shap_pair`` summed over all background rows ``Z`` in one traversal:
+    each traversal state carries the mask of background rows sharing it."""
+    fe, th, le, ri, va = tree
+    stack = [(0, (), (), np.ones(len(Z), dtype=bool))]
+    while stack:
+        n, xs, zs, mask = stack.pop()
+        f = fe[n]
+        if f < 0:
+            c = float(mask.sum())
+            a, b = len(xs), len(zs)
+            if a:
+                phi[list(xs)] += c * va[n] * W[a - 1, b]
+            if b:
+                phi[list(zs)] -= c * va[n] * W[a, b - 1]
+            continue
+        x_left = x[f] <= th[n]
+        xc, oc = (le[n], ri[n]) if x_left else (ri[n], le[n])
+        if f in xs:
+            stack.append((xc, xs, zs, mask))
+            continue
+        z_left = Z[:, f] <= th[n]
+        same = mask & (z_left == x_left)
+        diff = mask & (z_left != x_left)
+        if same.any():
+            stack.append((xc, xs, zs, same))
+        if diff.any():
+            if f in zs:
+                stack.append((oc, xs, zs, diff))
+            else:
+                stack.append((xc, xs + (f,), zs, diff))
+                stack.append((oc, xs, zs + (f,), diff))
+
+
 def attributions(model: PipelineModel, foreground: DataFrame, background: DataFrame, features: Sequence[str],
                  key: str = "npi") -> DataFrame:
     """Per foreground row: ``i_<feature>`` (contribution to the log-odds),
@@ -128,8 +162,7 @@ def attributions(model: PipelineModel, foreground: DataFrame, background: DataFr
                 phi = np.zeros(n_feat)
                 for t, w in zip(trees, weights):
                     pt = np.zeros(n_feat)
-                    for z in Zb:
-                        shap_pair(t, x, z, W, pt)
+                    shap_background(t, x, Zb, W, pt)
                     phi += w * pt
                     margin[r] += w * _predict(t, x)
                 out[r] = scale * phi / len(Zb)

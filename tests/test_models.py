@@ -77,3 +77,25 @@ def test_shap_pair_small_tree():
     phi = np.zeros(2)
     X.shap_pair(tree, np.array([1.0, 0.0]), np.array([0.0, 0.0]), X._weights(2), phi)
     assert phi.tolist() == [2.0, 0.0]
+
+
+def test_background_traversal_equals_pairwise():
+    rng = np.random.default_rng(0)
+    # random depth-3 tree over 4 features
+    fe = np.array([0, 1, 2, -1, -1, -1, -1, 3, -1, -1, -1])
+    fe = np.array([0, 1, 2, -1, -1, 1, -1, -1, -1])
+    th = np.array([0.0, 0.5, -0.2, 0, 0, -0.3, 0, 0, 0])
+    le = np.array([1, 3, 5, -1, -1, 7, -1, -1, -1])
+    ri = np.array([2, 4, 6, -1, -1, 8, -1, -1, -1])
+    va = np.array([0, 0, 0, 1.0, -2.0, 0, 0.5, 3.0, -1.5])
+    tree = (fe, th, le, ri, va)
+    W = X._weights(4)
+    for _ in range(20):
+        x = rng.normal(size=4)
+        Z = rng.normal(size=(15, 4))
+        a = np.zeros(4)
+        for z in Z:
+            X.shap_pair(tree, x, z, W, a)
+        b = np.zeros(4)
+        X.shap_background(tree, x, Z, W, b)
+        assert np.allclose(a, b)
