@@ -23,9 +23,7 @@ def main() -> None:
 
     spark = build_session()
     t0 = time.time()
-    ws = workspace(spark, sf_dir)
-    for view in ("providers", "features", "scores", "provider_years", "exclusions", "reasons"):
-        getattr(ws, view)
+    workspace(spark, sf_dir).build_all()
     timings = {"views_build": round(time.time() - t0, 3)}
     rows = {}
     for name, fn in all_queries().items():

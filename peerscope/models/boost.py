@@ -109,3 +109,12 @@ def out_of_fold_scores(matrix: DataFrame, features: Sequence[str], label: str =
     for d in parts[1:]:
         out = out.unionByName(d)
     return out.select(key, "fold", "fraud_score_xgb")
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    """Persist the fitted pipeline (Spark ML writer; Parquet node data)."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)

@@ -13,6 +13,7 @@ recomputing the roll-up.
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,6 +103,20 @@ class Workspace:
     def alerts(self) -> DataFrame:
         return S.alerts_table(self.providers_scored, self.reasons)
 
+    def build_all(self, parallelism: int = 4) -> Workspace:
+        """Materialise every view; independent views run as concurrent Spark jobs."""
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            side = [pool.submit(lambda: self.provider_years), pool.submit(lambda: self.exclusions)]
+            _ = self.providers
+            deps = [pool.submit(lambda: self._bench_and_features), pool.submit(lambda: self.scores)]
+            for f in deps:
+                f.result()
+            _ = self.providers_scored
+            _ = self.reasons
+            for f in side:
+                f.result()
+        return self
+
 
 _LOCK = threading.Lock()
 _CACHE: dict[tuple[str, str], Workspace] = {}

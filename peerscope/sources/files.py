@@ -93,3 +93,16 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
 def write_json_metrics(df: DataFrame, path: str) -> None:
     """Metrics sink: a one-row frame written as a single JSON file."""
     df.coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_optional(spark: SparkSession, path_or_table: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """S3: a table or folder that may not exist yet (e.g. scores before the first
+    model run) -- the data when present, else an empty frame with ``schema``."""
+    if spark.catalog.tableExists(path_or_table) if "/" not in path_or_table else False:
+        return spark.table(path_or_table)
+    try:
+        return spark.read.format(fmt).schema(schema).load(path_or_table)
+    except Exception as exc:  # noqa: BLE001 - missing path
+        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+            return spark.createDataFrame([], schema)
+        raise

@@ -65,3 +65,10 @@ def test_state_table_and_fixed_tier_rows(spark):
     tiers = [r.fraud_tier for r in R.tier_distribution(p).collect()]
     assert tiers == ["CRITICAL", "HIGH", "MODERATE", "LOW"]
     assert R.pattern_table(p.where("fraud_tier = 'LOW'")).count() == 0
+
+
+def test_lookup_trims_and_defaults(spark):
+    p = _providers(spark).withColumn("flag_count", R.F.lit(None).cast("int"))
+    r = R.lookup(p, " 1000000003 ").collect()
+    assert len(r) == 1 and r[0].flag_count == 0
+    assert R.lookup(p, "999").count() == 0

@@ -52,3 +52,12 @@ def test_multi_year_union_profile_and_sinks(spark):
                          f"{d}/metrics")
     parts = [f for f in os.listdir(f"{d}/metrics") if f.endswith(".json")]
     assert len(parts) == 1 and json.loads(open(f"{d}/metrics/{parts[0]}").read())["threshold"] == 0.63
+
+
+def test_read_optional_missing_and_present(spark):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("npi", T.StringType()), T.StructField("fraud_score_ensemble", T.DoubleType())])
+    d = tempfile.mkdtemp(prefix="peerscope-src-")
+    assert S.read_optional(spark, f"{d}/nope", schema).count() == 0
+    spark.createDataFrame([("1", 0.5)], schema).write.parquet(f"{d}/scores")
+    assert S.read_optional(spark, f"{d}/scores", schema).count() == 1
