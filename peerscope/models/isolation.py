@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.operators.scoring import minmax_scale
+from peerscope.session import materialize
 
 N_TREES = 200
 MAX_SAMPLES = 256
@@ -106,7 +107,8 @@ def grow_forest(matrix: DataFrame, features: Sequence[str], key: str = "npi", n_
     trees = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
     trees = trees.withColumn("_u", _unit_hash(seed, F.col("tree"), "_key"))
     p = min(1.0, OVERSAMPLE * psi / max(n, 1))
-    cand = trees.where(F.col("_u") < F.lit(p))
+    # ~4 * psi rows per tree: stored once so the count and the sample read the same rows
+    cand = materialize(trees.where(F.col("_u") < F.lit(p)), "iso_candidates")
     # exactness guard: trees with fewer than psi candidates are redrawn from all rows
     enough = cand.groupBy("tree").count().where(F.col("count") >= psi).select("tree")
     all_ids = matrix.sparkSession.range(n_trees).select(F.col("id").cast("int").alias("tree"))
