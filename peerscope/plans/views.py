@@ -124,7 +124,11 @@ _CACHE: dict[tuple[str, str], Workspace] = {}
 
 def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
     """Shared workspace for this application and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext handle
+        app = str(id(spark))
+    key = (app, sf_dir.rstrip("/"))
     with _LOCK:
         ws = _CACHE.get(key)
         if ws is None:

@@ -59,3 +59,17 @@ def test_global_order_without_keys(spark):
     df = spark.range(1000).selectExpr("cast(id % 97 as double) as x")
     st = ordered_stats(df, [], "x", num_partitions=6).orderBy("x").toPandas()
     assert st.n_before.tolist() == list(np.cumsum(st.n) - st.n)
+
+
+def test_hot_group_spreads_over_many_tasks(spark):
+    """A group holding most rows is split across range partitions (no one-task group)."""
+    from pyspark.sql import functions as F
+    from peerscope.session import materialize
+    df = spark.range(20000).select(F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(F.lit("cold")).alias("g"),
+                                   (F.col("id") * 7 % 9973).cast("double").alias("x"))
+    ranged = materialize(df.groupBy("g", "x").count().repartitionByRange(8, "g", "x")
+                         .withColumn("_pid", F.spark_partition_id()))
+    hot_parts = ranged.where("g = 'hot'").select("_pid").distinct().count()
+    assert hot_parts >= 5
+    st = ordered_stats(df, ["g"], "x", num_partitions=8).where("g = 'hot'")
+    assert st.agg(F.max("n_total")).collect()[0][0] == 16000
