@@ -41,16 +41,17 @@ def ordered_stats(df: DataFrame, keys: Sequence[str], value: str, ascending: boo
     """
     keys = list(keys)
     measures = dict(measures or {})
-    spark = df.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_col = F.col(value).asc() if ascending else F.col(value).desc()
 
     base = (df.where(F.col(value).isNotNull())
             .groupBy(*keys, value)
             .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(m) for m, c in measures.items()]))
-    ranged = materialize(
-        base.repartitionByRange(parts, *[F.col(k).asc() for k in keys], order_col)
-        .withColumn("_pid", F.spark_partition_id()))
+    # without an explicit count AQE sizes the range partitions from the data
+    # (coalescing merges neighbours, so each partition stays a contiguous run)
+    order_by = [*[F.col(k).asc() for k in keys], order_col]
+    repart = (base.repartitionByRange(num_partitions, *order_by) if num_partitions
+              else base.repartitionByRange(*order_by))
+    ranged = materialize(repart.withColumn("_pid", F.spark_partition_id()))
 
     cols = ["n", *measures]
     w_local = (Window.partitionBy("_pid", *keys).orderBy(order_col)
