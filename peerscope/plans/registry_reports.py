@@ -396,7 +396,7 @@ SELECT npi, {r('opioid_share * 100.0', 4)} AS opioid_pct, fraud_score_ensemble,
        coalesce(fraud_tier, 'LOW') AS fraud_tier, specialty
 FROM providers ORDER BY {HASH_SQL.format(k='npi')}, npi LIMIT 2000"""),
         "m19_state_bubbles": q(_state_table_sql(
-            "SELECT state, total_providers, high_risk_pct, greatest(critical_count, 2) * 0.8 AS marker_size, "
+            "SELECT state, total_providers, high_risk_pct, greatest(critical_count, 2) * 0.8::DOUBLE AS marker_size, "
             "avg_fraud_score FROM st")),
         "m9_top_reasons": q("SELECT * FROM fraud_alerts"),
         "m2_stratified_folds": q(FOLDS_SQL + "SELECT npi, is_fraud_label, fold FROM folds"),
