@@ -2,6 +2,7 @@
 
 from peerscope.functions.scalar import (
     bounded_broadcast,
+    exact_mean,
     join_null_safe,
     money_sum,
     round_half_even,
@@ -14,6 +15,7 @@ from peerscope.functions.scalar import (
 
 __all__ = [
     "bounded_broadcast",
+    "exact_mean",
     "join_null_safe",
     "money_sum",
     "round_half_even",

@@ -42,6 +42,15 @@ def money_sum(c) -> Column:
     return F.sum(_col(c).cast("decimal(18,2)")).cast("double")
 
 
+def exact_mean(c, scale: int) -> Column:
+    """Mean of a column whose values lie on a ``scale``-decimal grid (counts,
+    money, rounded ratios): exact decimal sum / count.  Averages of such values
+    often fall exactly on a rounding tie, where a floating sum in another order
+    would round the other way."""
+    c = _col(c)
+    return F.sum(c.cast(f"decimal(18,{scale})")).cast("double") / F.count(c)
+
+
 def try_number(c) -> Column:
     """Parse to double; unparsable text and NaN become NULL (no ANSI error)."""
     v = _col(c).try_cast("double")

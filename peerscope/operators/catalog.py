@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from peerscope.functions import join_null_safe, money_sum, round_half_even
+from peerscope.functions import exact_mean, join_null_safe, money_sum, round_half_even
 from peerscope.operators.ordered import ordered_stats
 from peerscope.operators.scoring import tier_rank
 
@@ -60,7 +60,7 @@ def brand_heavy(providers: DataFrame, share_min: float = 0.75, claims_min: int =
     specialty averages over the filtered rows."""
     f = providers.where((F.col("brand_share") > F.lit(float(share_min)))
                         & (F.col("total_claim_count") > F.lit(claims_min)))
-    s = _group_stats(f, ["specialty"], [F.avg("brand_share").alias("_avg_b")])
+    s = _group_stats(f, ["specialty"], [exact_mean("brand_share", 4).alias("_avg_b")])
     return (s.select("npi", _name(), "specialty", "state", "brand_share", "total_drug_cost", "total_claim_count",
                      round_half_even("_avg_b", 3).alias("specialty_avg_brand_share"),
                      round_half_even(F.col("brand_share") - F.col("_avg_b"), 3).alias("brand_share_above_avg"))
@@ -71,7 +71,7 @@ def concentrated_beneficiaries(providers: DataFrame, claims_min: int = 200, limi
     """many claims per beneficiary; specialty average and rank over the
     rows with more than ``claims_min`` claims."""
     f = providers.where(F.col("total_claim_count") > F.lit(claims_min))
-    s = _group_stats(f, ["specialty"], [F.avg("claims_per_bene").alias("_avg_cpb")])
+    s = _group_stats(f, ["specialty"], [exact_mean("claims_per_bene", 2).alias("_avg_cpb")])
     s = _rank_desc(s, ["specialty"], "claims_per_bene", "rank_within_specialty")
     return (s.select("npi", _name(), "specialty", "state", "total_claim_count", "total_beneficiaries",
                      "claims_per_bene", round_half_even("_avg_cpb", 2).alias("specialty_avg_cpb"),
@@ -101,7 +101,7 @@ def opioid_by_state(providers: DataFrame, claims_min: int = 100, share_min: floa
     """opioid-heavy providers ranked inside their state (over the filtered rows)."""
     f = providers.where((F.col("total_claim_count") > F.lit(claims_min))
                         & (F.col("opioid_share") > F.lit(float(share_min))))
-    s = _group_stats(f, ["state"], [F.avg("opioid_share").alias("_avg_o")])
+    s = _group_stats(f, ["state"], [exact_mean("opioid_share", 4).alias("_avg_o")])
     s = _rank_desc(s, ["state"], "opioid_share", "state_opioid_rank")
     return (s.select("state", "specialty", "npi", _name(), "opioid_share", "opioid_claim_count", "total_claim_count",
                      F.col("state_opioid_rank").cast("bigint").alias("state_opioid_rank"),
@@ -181,7 +181,7 @@ def specialty_spread(providers: DataFrame, min_providers: int = 50) -> DataFrame
     than ``min_providers`` rows)."""
     from peerscope.operators.ordered import exact_quantiles
     counts = providers.groupBy("specialty").agg(F.count(F.lit(1)).alias("n_providers"),
-                                                F.avg("total_drug_cost").alias("_avg"))
+                                                exact_mean("total_drug_cost", 2).alias("_avg"))
     counts = counts.where(F.col("n_providers") > min_providers)
     q = exact_quantiles(providers, ["specialty"], "total_drug_cost", {"_p50": 0.5, "_p99": 0.99})
     j = join_null_safe(counts, q, ["specialty"], how="left")

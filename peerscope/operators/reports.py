@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.functions import money_sum, round_half_even, stable_hash
+from peerscope.functions import exact_mean, money_sum, round_half_even, stable_hash
 from peerscope.operators.ordered import exact_quantiles, ordered_stats
 from peerscope.operators.peers import FLAG_COLUMNS
 from peerscope.operators.scoring import TIER_ORDER, tier_rank
@@ -33,6 +33,9 @@ PATTERN_METRICS = [  # (metric label, column, scale, floor for the ratio denomin
     ("Claims per patient", "claims_per_bene", 1.0, 0.001),
 ]
 PEER_METRICS = [("total_claim_count", 1.0), ("cost_per_claim", 1.0), ("brand_share", 100.0), ("opioid_share", 100.0)]
+# decimals each metric is rounded to at cleaning (exact means use them)
+PEER_SCALES = [("total_claim_count", 0), ("cost_per_claim", 2), ("brand_share", 4), ("opioid_share", 4)]
+PATTERN_SCALES = {"brand_share": 4, "opioid_share": 4, "cost_per_claim": 2, "claims_per_bene": 2}
 
 
 def _tiers(spark: SparkSession) -> DataFrame:
@@ -45,8 +48,8 @@ def clean_summary(providers: DataFrame, label: str = "is_fraud_label") -> DataFr
         F.count(F.lit(1)).alias("total_providers"),
         round_half_even(money_sum("total_drug_cost") / F.lit(1e9), 2).alias("total_cost_b"),
         round_half_even(F.avg("total_claim_count"), 0).alias("avg_claims"),
-        round_half_even(F.avg("cost_per_claim"), 0).alias("avg_cost_per_claim"),
-        round_half_even(F.avg("brand_share") * F.lit(100.0), 1).alias("avg_brand_pct"),
+        round_half_even(exact_mean("cost_per_claim", 2), 0).alias("avg_cost_per_claim"),
+        round_half_even(exact_mean("brand_share", 4) * F.lit(100.0), 1).alias("avg_brand_pct"),
         F.sum(label).cast("bigint").alias("fraud_labels"),
         round_half_even(F.lit(100.0) * F.sum(label) / F.count(F.lit(1)), 2).alias("fraud_pct"))
 
@@ -156,7 +159,7 @@ def peer_comparison(scored: DataFrame, min_peers: int = 10, npi: str | None = No
     shares in %, only for specialties with more than ``min_peers`` providers.
     Long format, one row per (provider, metric); ``npi`` restricts to one provider."""
     means = scored.groupBy("specialty").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.avg(m).alias(f"_avg_{m}") for m, _ in PEER_METRICS])
+        F.count(F.lit(1)).alias("_n"), *[exact_mean(m, d).alias(f"_avg_{m}") for m, d in PEER_SCALES])
     means = means.where(F.col("_n") > min_peers)
     rows = scored if npi is None else scored.where(F.col("npi") == F.lit(npi.strip()))
     j = rows.join(means, "specialty", "inner")
@@ -253,7 +256,8 @@ def brand_share_box(scored: DataFrame) -> DataFrame:
     """Five-number summary and mean of brand share (%) per tier, NULLs dropped."""
     s = scored.where(F.col("brand_share").isNotNull()).withColumn("_b", F.col("brand_share") * F.lit(100.0))
     q = exact_quantiles(s, ["fraud_tier"], "_b", {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0})
-    m = s.groupBy("fraud_tier").agg(F.avg("_b").alias("_mean"), F.count(F.lit(1)).alias("n"))
+    m = s.groupBy("fraud_tier").agg((exact_mean("brand_share", 4) * F.lit(100.0)).alias("_mean"),
+                                    F.count(F.lit(1)).alias("n"))
     j = m.join(q, "fraud_tier", "inner")
     cols = ["fraud_tier", "n"] + [round_half_even(c, 4).alias(c) for c in ["min", "q1", "median", "q3", "max"]]
     return j.select(*cols, round_half_even("_mean", 4).alias("mean")).orderBy(tier_rank(F.col("fraud_tier")))
@@ -262,7 +266,7 @@ def brand_share_box(scored: DataFrame) -> DataFrame:
 def brand_share_by_tier(scored: DataFrame) -> DataFrame:
     """Mean and median brand share (%) per tier in the fixed order."""
     q = exact_quantiles(scored, ["fraud_tier"], "brand_share", {"_med": 0.5})
-    m = scored.groupBy("fraud_tier").agg(F.avg("brand_share").alias("_mean"))
+    m = scored.groupBy("fraud_tier").agg(exact_mean("brand_share", 4).alias("_mean"))
     j = _tiers(scored.sparkSession).join(m, "fraud_tier", "left").join(q, "fraud_tier", "left")
     return (j.select("fraud_tier", "tier_order",
                      round_half_even(F.col("_mean") * F.lit(100.0), 4).alias("mean_pct"),
@@ -272,14 +276,15 @@ def brand_share_by_tier(scored: DataFrame) -> DataFrame:
 
 def opioid_by_specialty(scored: DataFrame) -> DataFrame:
     """Mean opioid share (%) per specialty, highest first."""
-    return (scored.groupBy("specialty").agg(round_half_even(F.avg("opioid_share") * F.lit(100.0), 4).alias("opioid_pct"))
+    return (scored.groupBy("specialty").agg(round_half_even(exact_mean("opioid_share", 4) * F.lit(100.0), 4)
+                                            .alias("opioid_pct"))
             .orderBy(F.col("opioid_pct").desc(), "specialty"))
 
 
 def cost_per_claim_by_tier(scored: DataFrame) -> DataFrame:
     """Mean and p95 of cost per claim per tier in the fixed order."""
     q = exact_quantiles(scored, ["fraud_tier"], "cost_per_claim", {"_p95": 0.95})
-    m = scored.groupBy("fraud_tier").agg(F.avg("cost_per_claim").alias("_mean"))
+    m = scored.groupBy("fraud_tier").agg(exact_mean("cost_per_claim", 2).alias("_mean"))
     j = _tiers(scored.sparkSession).join(m, "fraud_tier", "left").join(q, "fraud_tier", "left")
     return (j.select("fraud_tier", "tier_order", round_half_even("_mean", 4).alias("avg_cost_per_claim"),
                      round_half_even("_p95", 4).alias("p95_cost_per_claim"))
@@ -292,8 +297,9 @@ def pattern_table(scored: DataFrame, normal_tier: str = "LOW", fraud_tier: str =
     aggs = [F.count_if(F.col("fraud_tier") == normal_tier).alias("_nn"),
             F.count_if(F.col("fraud_tier") == fraud_tier).alias("_nf")]
     for _, c, _, _ in PATTERN_METRICS:
-        aggs += [F.avg(F.when(F.col("fraud_tier") == normal_tier, F.col(c))).alias(f"_n_{c}"),
-                 F.avg(F.when(F.col("fraud_tier") == fraud_tier, F.col(c))).alias(f"_f_{c}")]
+        d = PATTERN_SCALES[c]
+        aggs += [exact_mean(F.when(F.col("fraud_tier") == normal_tier, F.col(c)), d).alias(f"_n_{c}"),
+                 exact_mean(F.when(F.col("fraud_tier") == fraud_tier, F.col(c)), d).alias(f"_f_{c}")]
     g = scored.agg(*aggs).where((F.col("_nn") > 0) & (F.col("_nf") > 0))
     items = []
     for i, (label, c, scale, floor) in enumerate(PATTERN_METRICS):

@@ -24,6 +24,12 @@ def rnd(expr: str, digits: int) -> str:
     return f"(round_even(({expr}) * {scale}, 0) / {scale})"
 
 
+def emean(expr: str, scale: int, over: str = "", filt: str = "") -> str:
+    """Exact mean of values on a ``scale``-decimal grid: decimal sum / count."""
+    f = f" FILTER (WHERE {filt})" if filt else ""
+    return f"(CAST(sum(CAST({expr} AS DECIMAL(18,{scale}))){f}{over} AS DOUBLE) / count({expr}){f}{over})"
+
+
 def title(expr: str) -> str:
     toks = rf"regexp_extract_all(lower(regexp_replace({expr}, '^\s+|\s+$', '', 'g')), '(\p{{L}}+|[^\p{{L}}]+)', 1)"
     return (f"CASE WHEN {expr} IS NULL THEN NULL ELSE array_to_string("

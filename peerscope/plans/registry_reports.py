@@ -156,8 +156,8 @@ def _curve_metrics_sql(part: str = "") -> str:
     grp = f"GROUP BY {part}" if part else ""
     return f"""
 SELECT {keys}CAST(max(n_pos) AS BIGINT) AS n_pos, CAST(max(n_neg) AS BIGINT) AS n_neg,
-       {_r('sum(pos * precision) / CAST(max(n_pos) AS DOUBLE)', 10)} AS pr_auc,
-       {_r('sum(pos * (neg_below + neg_at / 2.0::DOUBLE)) / CAST(max(n_pos) * max(n_neg) AS DOUBLE)', 10)} AS roc_auc,
+       {_r('sum(pos * precision) / CAST(NULLIF(max(n_pos), 0) AS DOUBLE)', 10)} AS pr_auc,
+       {_r('sum(pos * (neg_below + neg_at / 2.0::DOUBLE)) / CAST(NULLIF(max(n_pos) * max(n_neg), 0) AS DOUBLE)', 10)} AS roc_auc,
        {_r('max(n_pos) / CAST(max(n_pos) + max(n_neg) AS DOUBLE)', 10)} AS baseline
 FROM curve {grp}"""
 
@@ -204,8 +204,9 @@ def _pattern_sql() -> str:
     aggs = ["count(*) FILTER (WHERE fraud_tier = 'LOW') AS nn", "count(*) FILTER (WHERE fraud_tier = 'CRITICAL') AS nf"]
     rows = []
     for i, (label, c, scale, floor) in enumerate(R.PATTERN_METRICS):
-        aggs += [f"avg({c}) FILTER (WHERE fraud_tier = 'LOW') AS n_{c}",
-                 f"avg({c}) FILTER (WHERE fraud_tier = 'CRITICAL') AS f_{c}"]
+        d = R.PATTERN_SCALES[c]
+        aggs += [f"{O.emean(c, d, filt="fraud_tier = 'LOW'")} AS n_{c}",
+                 f"{O.emean(c, d, filt="fraud_tier = 'CRITICAL'")} AS f_{c}"]
         den = f"n_{c}" if floor is None else f"greatest(n_{c}, {floor}::DOUBLE)"
         rows.append(f"SELECT {i + 1} AS pos, '{label}' AS metric, {_r(f'n_{c} * {scale}::DOUBLE', 4)} AS normal, "
                     f"{_r(f'f_{c} * {scale}::DOUBLE', 4)} AS fraud, {_r(f'f_{c} / {den}', 4)} AS ratio "
@@ -218,7 +219,7 @@ def _peer_sql() -> str:
     for m, scale in R.PEER_METRICS:
         parts.append(f"SELECT npi, specialty, '{m}' AS metric, {_r(f'{m} * {scale}::DOUBLE', 4)} AS provider_value, "
                      f"{_r(f'avg_{m} * {scale}::DOUBLE', 4)} AS peer_avg FROM pw WHERE n_peers > 10")
-    avgs = ", ".join(f"avg({m}) OVER (PARTITION BY specialty) AS avg_{m}" for m, _ in R.PEER_METRICS)
+    avgs = ", ".join(f"{O.emean(m, d, ' OVER (PARTITION BY specialty)')} AS avg_{m}" for m, d in R.PEER_SCALES)
     return (f", pw AS (SELECT *, count(*) OVER (PARTITION BY specialty) AS n_peers, {avgs} "
             f"FROM providers WHERE specialty IS NOT NULL)\n" + "\nUNION ALL ".join(parts))
 
@@ -261,8 +262,8 @@ FROM providers p"""),
         "s10_orphan_features": q("SELECT f.npi FROM provider_features f WHERE f.npi NOT IN (SELECT npi FROM providers0)"),
         "a2_clean_summary": q(f"""
 SELECT count(*) AS total_providers, {r(MONEY.format(c='total_drug_cost') + ' / 1e9', 2)} AS total_cost_b,
-       {r('avg(total_claim_count)', 0)} AS avg_claims, {r('avg(cost_per_claim)', 0)} AS avg_cost_per_claim,
-       {r('avg(brand_share) * 100.0', 1)} AS avg_brand_pct, CAST(sum(is_fraud_label) AS BIGINT) AS fraud_labels,
+       {r('avg(total_claim_count)', 0)} AS avg_claims, {r(O.emean('cost_per_claim', 2), 0)} AS avg_cost_per_claim,
+       {r(O.emean('brand_share', 4) + ' * 100.0::DOUBLE', 1)} AS avg_brand_pct, CAST(sum(is_fraud_label) AS BIGINT) AS fraud_labels,
        {r(f'{PCT} * sum(is_fraud_label) / count(*)', 2)} AS fraud_pct
 FROM providers0"""),
         "a3_top_specialties_by_count": q("""
@@ -334,20 +335,20 @@ GROUP BY state ORDER BY n_flagged DESC, state LIMIT 15"""),
         "a23_state_table": q(_state_table_sql(
             "SELECT *, row_number() OVER (ORDER BY high_risk_pct DESC, state) AS rank FROM st ORDER BY rank")),
         "a24_brand_share_box": q(f"""
-, b AS (SELECT fraud_tier, brand_share * 100.0::DOUBLE AS v FROM providers WHERE brand_share IS NOT NULL)
+, b AS (SELECT fraud_tier, brand_share, brand_share * 100.0::DOUBLE AS v FROM providers WHERE brand_share IS NOT NULL)
 SELECT fraud_tier, count(*) AS n, {r('quantile_cont(v, 0.0)', 4)} AS min, {r('quantile_cont(v, 0.25)', 4)} AS q1,
        {r('quantile_cont(v, 0.5)', 4)} AS median, {r('quantile_cont(v, 0.75)', 4)} AS q3,
-       {r('quantile_cont(v, 1.0)', 4)} AS max, {r('avg(v)', 4)} AS mean
+       {r('quantile_cont(v, 1.0)', 4)} AS max, {r(O.emean('brand_share', 4) + ' * 100.0::DOUBLE', 4)} AS mean
 FROM b GROUP BY fraud_tier"""),
         "a25_brand_share_by_tier": q(f"""
-, g AS (SELECT fraud_tier, avg(brand_share) AS m, quantile_cont(brand_share, 0.5) AS med FROM providers GROUP BY fraud_tier)
+, g AS (SELECT fraud_tier, {O.emean('brand_share', 4)} AS m, quantile_cont(brand_share, 0.5) AS med FROM providers GROUP BY fraud_tier)
 SELECT t.fraud_tier, t.tier_order, {r('g.m * 100.0::DOUBLE', 4)} AS mean_pct, {r('g.med * 100.0::DOUBLE', 4)} AS median_pct
 FROM {TIERS_SQL} LEFT JOIN g ON t.fraud_tier = g.fraud_tier ORDER BY t.tier_order"""),
         "a26_opioid_by_specialty": q(f"""
-SELECT specialty, {r('avg(opioid_share) * 100.0::DOUBLE', 4)} AS opioid_pct FROM providers
+SELECT specialty, {r(O.emean('opioid_share', 4) + ' * 100.0::DOUBLE', 4)} AS opioid_pct FROM providers
 GROUP BY specialty ORDER BY opioid_pct DESC, specialty"""),
         "a27_cost_per_claim_by_tier": q(f"""
-, g AS (SELECT fraud_tier, avg(cost_per_claim) AS m, quantile_cont(cost_per_claim, 0.95) AS p FROM providers GROUP BY fraud_tier)
+, g AS (SELECT fraud_tier, {O.emean('cost_per_claim', 2)} AS m, quantile_cont(cost_per_claim, 0.95) AS p FROM providers GROUP BY fraud_tier)
 SELECT t.fraud_tier, t.tier_order, {r('g.m', 4)} AS avg_cost_per_claim, {r('g.p', 4)} AS p95_cost_per_claim
 FROM {TIERS_SQL} LEFT JOIN g ON t.fraud_tier = g.fraud_tier ORDER BY t.tier_order"""),
         "a28_pattern_table": q(_pattern_sql()),
