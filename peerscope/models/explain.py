@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.operators.reports import sample_fixed
-from peerscope.session import ensure_checkpoint_dir
+from peerscope.session import ensure_checkpoint_dir, ship_package
 
 N_BACKGROUND = 100
 
@@ -143,6 +143,7 @@ def attributions(model: PipelineModel, foreground: DataFrame, background: DataFr
     ``v_<feature>`` (the value), ``base_value`` and ``log_odds``."""
     feats = list(features)
     spark = foreground.sparkSession
+    ship_package(spark)
     tt = tree_table(model, spark)
     bg = background.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feats]).toPandas()
     Z = bg.to_numpy("float64")                          # bounded: the background sample size

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.operators.scoring import minmax_scale
-from peerscope.session import materialize
+from peerscope.session import materialize, ship_package
 
 N_TREES = 200
 MAX_SAMPLES = 256
@@ -99,6 +99,7 @@ def grow_forest(matrix: DataFrame, features: Sequence[str], key: str = "npi", n_
                 max_samples: int = MAX_SAMPLES, seed: int = SEED) -> tuple[DataFrame, int]:
     """Node table of the forest and the per-tree sample size ``psi``."""
     feats = list(features)
+    ship_package(matrix.sparkSession)
     n = matrix.count()
     psi = int(min(max_samples, n))
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
@@ -126,6 +127,7 @@ def score_forest(matrix: DataFrame, nodes: DataFrame, psi: int, features: Sequen
     """``key`` and the raw isolation score ``2 ** (-E[h] / c(psi))``."""
     feats = list(features)
     spark = matrix.sparkSession
+    ship_package(spark)
     # bounded by n_trees * (2 * psi - 1) rows (model parameters): collect once, broadcast
     table = nodes.orderBy("tree", "node").toPandas()
     trees = sorted(table.tree.unique())

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,3 +83,28 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     path = f"{base.rstrip('/')}/peerscope/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``peerscope`` importable in Python workers (what ``--py-files`` does):
+    the package is zipped once per application and added with ``addPyFile``.
+    Needed before any pandas UDF whose code refers to library functions."""
+    sc = spark.sparkContext
+    with _SHIP_LOCK:
+        if sc.applicationId in _SHIPPED:
+            return
+        import peerscope
+        root = os.path.dirname(os.path.abspath(peerscope.__file__))
+        out = os.path.join(tempfile.mkdtemp(prefix="peerscope-pyfiles-"), "peerscope.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for dirpath, _, files in os.walk(root):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(dirpath, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
+        sc.addPyFile(out)
+        _SHIPPED.add(sc.applicationId)
