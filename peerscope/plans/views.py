@@ -39,9 +39,14 @@ class Workspace:
         self.sf_dir = sf_dir
         self._scores_override = scores
 
+    @cached_property
+    def order_facts(self) -> DataFrame:
+        """Per (episode, year) facts: the single pass over the claim lines."""
+        return materialize(fixture.order_year_facts(self.spark, self.sf_dir), "order_facts")
+
     @cached_property
     def providers_raw(self) -> DataFrame:
-        return fixture.providers_raw(self.spark, self.sf_dir)
+        return fixture.providers_raw(self.spark, self.sf_dir, self.order_facts)
 
     @cached_property
     def providers(self) -> DataFrame:
@@ -84,7 +89,7 @@ class Workspace:
     def provider_years(self) -> DataFrame:
         """Multi-year provider rows: standardised names and ratios (no suppression
         filter -- yearly beneficiary counts are mostly below the threshold)."""
-        raw = fixture.provider_years_raw(self.spark, self.sf_dir)
+        raw = fixture.provider_years_raw(self.spark, self.sf_dir, self.order_facts)
         df = C.add_ratios(C.standardize_specialty(C.valid_npi(raw)))
         return materialize(C.to_provider_table(df, data_year=None))
 
@@ -106,7 +111,9 @@ class Workspace:
     def build_all(self, parallelism: int = 4) -> Workspace:
         """Materialise every view; independent views run as concurrent Spark jobs."""
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            side = [pool.submit(lambda: self.provider_years), pool.submit(lambda: self.exclusions)]
+            side = [pool.submit(lambda: self.exclusions)]
+            _ = self.order_facts
+            side.append(pool.submit(lambda: self.provider_years))
             _ = self.providers
             deps = [pool.submit(lambda: self._bench_and_features), pool.submit(lambda: self.scores)]
             for f in deps:

@@ -6,15 +6,16 @@ arrive at line grain.  The driver's star schema stands in for that grain:
     lineitem (a claim line) -> orders (a beneficiary episode) -> customer (a prescriber)
     part.p_type classifies the drug, nation names the state, c_mktsegment the specialty.
 
-Plan shape (scales with the line table):
+Plan shape (scales with the line table, which is read once):
     1. lines JOIN part on partkey             (part is a dimension; AQE broadcasts it
                                               when its runtime size allows, else a
                                               skew-aware sort-merge join)
-    2. GROUP BY order key                     (map-side partial aggregation; one row
-                                              per order => distinct beneficiaries need
-                                              no COUNT(DISTINCT))
+    2. GROUP BY (order key, service year)     (map-side partial aggregation)
     3. JOIN orders on order key               (both sides at order grain)
-    4. GROUP BY customer key                  (partial aggregation absorbs hot customers)
+       -> materialised episode facts, shared by both roll-ups
+    4. GROUP BY customer [, year]             (one row per episode => distinct
+                                              beneficiaries need no COUNT(DISTINCT);
+                                              partial aggregation absorbs hot customers)
     5. JOIN customer, nation                  (nation: 25 fixed rows, broadcast)
 """
 
@@ -37,33 +38,37 @@ def npi_of(custkey) -> F.Column:
     return F.concat(F.lit("1"), F.lpad(F.col(custkey).cast("string"), 9, "0"))
 
 
-def _order_facts(spark: SparkSession, sf_dir: str, by_year: bool) -> DataFrame:
+def order_year_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (episode, service year): claim lines, money and drug-class counts,
+    with the prescriber key.  The one pass over the line table that both
+    roll-ups (per provider and per provider-year) share."""
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_extendedprice", "l_linestatus",
-        *(["l_shipdate"] if by_year else []))
+        "l_orderkey", "l_partkey", "l_extendedprice", "l_linestatus", "l_shipdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     lines = li.join(part, li.l_partkey == part.p_partkey, "inner")
-    keys = [F.col("l_orderkey")]
-    if by_year:
-        keys.append(F.year("l_shipdate").alias("data_year"))
     is_brand = F.col("p_type").isin(*BRAND_TYPES).cast("long")
     is_opioid = (F.col("p_type") == OPIOID_TYPE).cast("long")
     is_fill = (F.col("l_linestatus") == FILL_STATUS).cast("long")
-    return lines.groupBy(*keys).agg(
+    per_order_year = lines.groupBy("l_orderkey", F.year("l_shipdate").alias("data_year")).agg(
         F.count(F.lit(1)).alias("claims"),
         F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("cost"),
         F.sum(is_brand).alias("brand"),
         F.sum(is_opioid).alias("opioid"),
         F.sum(is_fill).alias("fills"),
     )
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return (per_order_year.join(orders, per_order_year.l_orderkey == orders.o_orderkey, "inner")
+            .drop("o_orderkey"))
 
 
-def _rollup(spark: SparkSession, sf_dir: str, by_year: bool) -> DataFrame:
-    per_order = _order_facts(spark, sf_dir, by_year)
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    joined = per_order.join(orders, per_order.l_orderkey == orders.o_orderkey, "inner")
+def _rollup(spark: SparkSession, sf_dir: str, by_year: bool, facts: DataFrame | None = None) -> DataFrame:
+    facts = facts if facts is not None else order_year_facts(spark, sf_dir)
+    if not by_year:
+        # an episode spanning two years is still one beneficiary episode
+        facts = facts.groupBy("o_custkey", "l_orderkey").agg(
+            *[F.sum(c).alias(c) for c in ("claims", "cost", "brand", "opioid", "fills")])
     keys = ["o_custkey"] + (["data_year"] if by_year else [])
-    per_cust = joined.groupBy(*keys).agg(
+    per_cust = facts.groupBy(*keys).agg(
         F.sum("claims").alias("total_claim_count"),
         F.sum("cost").cast("double").alias("total_drug_cost"),
         F.count(F.lit(1)).alias("total_beneficiaries"),
@@ -99,14 +104,14 @@ def _rollup(spark: SparkSession, sf_dir: str, by_year: bool) -> DataFrame:
     return out.select(*cols)
 
 
-def providers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def providers_raw(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
     """One row per prescriber with the raw Part D style columns (before cleaning)."""
-    return _rollup(spark, sf_dir, by_year=False)
+    return _rollup(spark, sf_dir, by_year=False, facts=facts)
 
 
-def provider_years_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def provider_years_raw(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
     """One row per prescriber and service year (multi-year source for velocity queries)."""
-    return _rollup(spark, sf_dir, by_year=True)
+    return _rollup(spark, sf_dir, by_year=True, facts=facts)
 
 
 def exclusions_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
