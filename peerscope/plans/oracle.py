@@ -68,7 +68,7 @@ def _rollup(by_year: bool) -> str:
     GROUP BY c.c_custkey, c.c_name, n.n_name, c.c_mktsegment, c.c_acctbal {year_grp}"""
 
 
-def _provider_cols(src: str = "") -> str:
+def _provider_cols() -> str:
     return f"""npi, nppes_provider_last_org_name AS last_name, nppes_provider_first_name AS first_name,
            nppes_provider_state AS state, {title('specialty_description')} AS specialty,
            total_claim_count, total_30_day_fill_count, total_drug_cost, total_beneficiaries,

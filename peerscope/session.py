@@ -36,6 +36,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
     conf["spark.driver.memory"] = os.environ.get("PEERSCOPE_DRIVER_MEMORY", "16g")
+    log_dir = os.environ.get("PEERSCOPE_EVENT_LOG_DIR")
+    if log_dir:   # stage and task times without the web UI
+        conf["spark.eventLog.enabled"] = "true"
+        conf["spark.eventLog.dir"] = log_dir
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
