@@ -9,13 +9,18 @@ Exact k-nearest neighbours without comparing all pairs
 -------------------------------------------------------
 Every row gets a 1-D projection ``p = v . x`` on a unit vector ``v`` (the
 normalised per-feature standard deviations, so the widest features dominate
-as they do in the distance).  Because ``|p(a) - p(b)| <= ||a - b||``, the
-neighbours of ``a`` found among rows with ``|p(a) - p(b)| <= R`` are exact
-once the k-th of them is within ``R``.  Each round is an equi-join on
-``floor(p / R)`` buckets (a row meets its own and the two adjacent buckets),
-then a filter and a per-row top-k; rows not yet certified go to the next
-round with ``R`` doubled.  When ``R`` spans the whole range every remaining
-candidate is compared, so the loop always ends exact.
+as they do in the distance).  Because ``|p(a) - p(b)| <= ||a - b||``, rows
+outside an interval of ``p`` around ``a`` cannot beat a neighbour found
+inside it that is closer than the interval's edge.
+
+Rows are ranked by ``(p, key)`` (distributed order statistics) and cut into
+equal-count buckets of ``c`` rows.  A pending row is compared only with the
+rows of its own and the two adjacent buckets (an equi-join on the bucket
+number, ~3c candidates per row whatever the density of the data, duplicates
+included), and is certified when its k-th distance is strictly below the
+projection gap to the edge of that searched range.  Uncertified rows go to
+the next round with buckets four times larger; a bucket covering all rows
+certifies everything, so the loop ends exact.
 """
 
 from __future__ import annotations
@@ -47,51 +52,62 @@ def _projection(df: DataFrame, feats: list[str]) -> DataFrame:
     return df.withColumn("_p", p)
 
 
-def minority_knn(points: DataFrame, features: Sequence[str], key: str = "npi", k: int = K_NEIGHBORS) -> DataFrame:
+def minority_knn(points: DataFrame, features: Sequence[str], key: str = "npi", k: int = K_NEIGHBORS,
+                 bucket_rows: int = 16) -> DataFrame:
     """Exact ``k`` nearest neighbours (other rows) of every row: ``key``,
     ``nn_rank`` 1..k, ``nn_key``, ``dist``.  Ties in distance break by key."""
     feats = list(features)
     proj = _projection(points.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
                                             for c in feats]), feats)
+    base = proj.select(key, "_p", F.array(*[F.col(c) for c in feats]).alias("_v"))
+    # global position in (p, key) order -- no single-task window
+    ordered = base.withColumn("_o", F.struct(F.col("_p").alias("p"), F.col(key).alias("k")))
+    pos = ordered_stats(ordered, [], "_o").select("_o", F.col("n_before").alias("_idx"), F.col("n_total").alias("_n"))
     # one vector column keeps the pair expressions small; stored once for all rounds
-    pts = materialize(proj.select(key, "_p", F.array(*[F.col(c) for c in feats]).alias("_v")), "knn_points")
-    stats = pts.agg(F.count(F.lit(1)).alias("n"), F.min("_p").alias("lo"), F.max("_p").alias("hi")).collect()[0]
-    n, lo, hi = int(stats["n"]), float(stats["lo"] or 0.0), float(stats["hi"] or 0.0)
+    pts = materialize(ordered.join(pos, "_o").drop("_o"), "knn_points")
     spark = points.sparkSession
     schema = f"{key} string, nn_rank int, nn_key string, dist double"
+    n_row = pts.select("_n").limit(1).collect()
+    n = int(n_row[0]["_n"]) if n_row else 0
     if n <= 1:
         return spark.createDataFrame([], schema)
     kk = min(k, n - 1)
-    span = max(hi - lo, 1e-12)
-    radius = span * max(4.0 * kk / n, 1e-9)
+    size = max(int(bucket_rows), kk + 1)
     pending = pts.select(key)
     done = []
     for _ in range(MAX_ROUNDS):
-        full = radius >= span   # the band then holds every row: whatever is left is compared exactly
-        a = (pts.join(pending, key, "left_semi")
-             .select(F.col(key).alias("a_key"), F.col("_p").alias("a_p"), F.col("_v").alias("a_v"),
-                     F.explode(F.sequence(F.floor(F.col("_p") / F.lit(radius)).cast("long") - 1,
-                                          F.floor(F.col("_p") / F.lit(radius)).cast("long") + 1)).alias("_nb")))
-        b = pts.select(F.col(key).alias("b_key"), F.col("_p").alias("b_p"), F.col("_v").alias("b_v"),
-                       F.floor(F.col("_p") / F.lit(radius)).cast("long").alias("_nb"))
-        pairs = a.join(b, "_nb").where((F.col("a_key") != F.col("b_key"))
-                                       & (F.abs(F.col("a_p") - F.col("b_p")) <= F.lit(radius)))
+        full = size >= n        # one bucket holds every row: whatever is left is compared exactly
+        bucketed = pts.withColumn("_b", F.floor(F.col("_idx") / F.lit(size)).cast("long"))
+        edges = bucketed.groupBy("_b").agg(F.min("_p").alias("_lo"), F.max("_p").alias("_hi"))
+        a = (bucketed.join(pending, key, "left_semi")
+             .select(F.col(key).alias("a_key"), F.col("_p").alias("a_p"), F.col("_v").alias("a_v"), "_b",
+                     F.explode(F.sequence(F.col("_b") - 1, F.col("_b") + 1)).alias("_nb")))
+        b = bucketed.select(F.col(key).alias("b_key"), F.col("_v").alias("b_v"), F.col("_b").alias("_nb"))
+        pairs = a.join(b, "_nb").where(F.col("a_key") != F.col("b_key"))
         sq = F.aggregate(F.zip_with("a_v", "b_v", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, t: acc + t)
         scored = pairs.select(F.col("a_key").alias(key), F.col("b_key").alias("nn_key"), F.sqrt(sq).alias("dist"))
         w = Window.partitionBy(key).orderBy("dist", "nn_key")
-        top = scored.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= kk)
-        top = materialize(top, "knn_top")
-        kth = top.groupBy(key).agg(F.count(F.lit(1)).alias("_c"), F.max("dist").alias("_d"))
-        ok = kth.where((F.col("_c") >= kk) & ((F.col("_d") <= F.lit(radius)) | F.lit(full))).select(key)
+        top = materialize(scored.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= kk),
+                          "knn_top")
+        # searched range of p for each pending row: lower edge of bucket b-1, upper edge of b+1
+        lo = edges.select((F.col("_b") + 1).alias("_b"), F.col("_lo").alias("_edge_lo"))
+        hi = edges.select((F.col("_b") - 1).alias("_b"), F.col("_hi").alias("_edge_hi"))
+        rng = (a.select("a_key", "a_p", "_b").distinct()
+               .join(lo, "_b", "left").join(hi, "_b", "left")
+               .select(F.col("a_key").alias(key),
+                       F.least(F.col("a_p") - F.coalesce("_edge_lo", F.lit(float("-inf"))),
+                               F.coalesce("_edge_hi", F.lit(float("inf"))) - F.col("a_p")).alias("_gap")))
+        kth = top.groupBy(key).agg(F.count(F.lit(1)).alias("_c"), F.max("dist").alias("_d")).join(rng, key)
+        ok = kth.where((F.col("_c") >= kk) & ((F.col("_d") < F.col("_gap")) | F.lit(full))).select(key)
         certified = materialize(top.join(ok, key, "left_semi")
                                 .select(key, F.col("nn_rank").cast("int"), "nn_key", "dist"), "knn")
         done.append(certified)
         pending = materialize(pending.join(certified.select(key).distinct(), key, "left_anti"), "knn_pending")
         left_over = pending.count()
-        LOG.debug("knn round: radius=%s span=%s full=%s pending=%s", radius, span, full, left_over)
+        LOG.debug("knn round: bucket=%s full=%s pending=%s", size, full, left_over)
         if full or left_over == 0:
             break
-        radius *= 2.0
+        size *= 4
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)

@@ -99,3 +99,19 @@ def test_background_traversal_equals_pairwise():
         b = np.zeros(4)
         X.shap_background(tree, x, Z, W, b)
         assert np.allclose(a, b)
+
+
+def test_knn_exact_with_duplicates_and_clusters(spark):
+    rng = np.random.default_rng(9)
+    pts = np.vstack([np.zeros((30, 3)), rng.normal(size=(40, 3)) * 1e-6 + 5.0, rng.normal(size=(30, 3)) * 100])
+    pdf = pd.DataFrame(pts, columns=["a", "b", "c"])
+    pdf.insert(0, "npi", [f"1{i:09d}" for i in range(len(pdf))])
+    knn = SM.minority_knn(spark.createDataFrame(pdf), ["a", "b", "c"], k=5, bucket_rows=8).toPandas()
+    Xv = pdf[["a", "b", "c"]].to_numpy()
+    keys = pdf.npi.tolist()
+    assert len(knn) == 5 * len(pdf)
+    for i, key in enumerate(keys):
+        d = np.sqrt(((Xv - Xv[i]) ** 2).sum(axis=1))
+        want = sorted((d[j], keys[j]) for j in range(len(keys)) if j != i)[:5]
+        got = knn[knn.npi == key].sort_values("nn_rank")
+        assert got.nn_key.tolist() == [w[1] for w in want], key
