@@ -58,10 +58,11 @@ def _pipeline(features: Sequence[str], p: BoostParams) -> Pipeline:
 
 
 def _training_rows(train: DataFrame, features: Sequence[str], label: str, key: str, pos_weight: float,
-                   p: BoostParams) -> DataFrame:
+                   p: BoostParams, synthetic: DataFrame | None = None) -> DataFrame:
     rows = train.select(key, *features, label)
     if p.oversample:
-        rows = rows.unionByName(smote(rows, features, label, key, seed=p.seed))
+        syn = synthetic if synthetic is not None else smote(rows, features, label, key, seed=p.seed)
+        rows = rows.unionByName(syn.select(key, *features, label))
     w = F.when(F.col(label) == 1, F.lit(float(pos_weight))).otherwise(F.lit(1.0))
     return rows.select(*features, F.col(label).cast("double").alias("label"), w.alias("weight"))
 
@@ -73,11 +74,14 @@ def positive_weight(matrix: DataFrame, label: str = "is_fraud_label") -> float:
 
 
 def fit(matrix: DataFrame, features: Sequence[str], label: str = "is_fraud_label", key: str = "npi",
-        params: BoostParams | None = None, pos_weight: float | None = None) -> PipelineModel:
-    """Fit on all rows (oversampled) -- the model kept for scoring and attribution."""
+        params: BoostParams | None = None, pos_weight: float | None = None,
+        synthetic: DataFrame | None = None) -> PipelineModel:
+    """Fit on all rows (oversampled) -- the model kept for scoring and attribution.
+    ``synthetic`` may pass SMOTE rows already drawn for the same table."""
     p = params or BoostParams()
     pw = positive_weight(matrix, label) if pos_weight is None else pos_weight
-    return _pipeline(features, p).fit(materialize(_training_rows(matrix, features, label, key, pw, p), "train_all"))
+    rows = _training_rows(matrix, features, label, key, pw, p, synthetic)
+    return _pipeline(features, p).fit(materialize(rows, "train_all"))
 
 
 def predict(model: PipelineModel, rows: DataFrame, key: str = "npi") -> DataFrame:

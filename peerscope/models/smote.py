@@ -120,9 +120,10 @@ def _unit(seed: int, *cols):
 
 
 def smote(train: DataFrame, features: Sequence[str], label: str = "is_fraud_label", key: str = "npi",
-          k: int = K_NEIGHBORS, seed: int = SEED) -> DataFrame:
+          k: int = K_NEIGHBORS, seed: int = SEED, knn: DataFrame | None = None) -> DataFrame:
     """Synthetic minority rows (label 1) so that both classes are equal in size.
-    Returns rows with ``key`` (``'synthetic-<j>'``), the features and the label."""
+    Returns rows with ``key`` (``'synthetic-<j>'``), the features and the label.
+    ``knn`` may pass precomputed neighbours of the same minority rows."""
     feats = list(features)
     counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = int(counts.get(0, 0)), int(counts.get(1, 0))
@@ -132,7 +133,7 @@ def smote(train: DataFrame, features: Sequence[str], label: str = "is_fraud_labe
         return spark.createDataFrame([], train.select(key, *feats, label).schema)
     minority = train.where(F.col(label) == 1).select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
                                                             for c in feats])
-    knn = minority_knn(minority, feats, key, k)
+    knn = knn if knn is not None else minority_knn(minority, feats, key, k)
     kk = min(k, n1 - 1)
     # index minority rows 0..n1-1 in a reproducible order (hash, key)
     ordered = minority.withColumn("_o", F.struct(stable_hash(F.col(key)).alias("h"), F.col(key).alias("k")))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from peerscope.models import boost as B
 from peerscope.models import explain as X
 from peerscope.models import isolation as I
+from peerscope.models import smote as SM
 from peerscope.operators import scoring as S
 from peerscope.operators.peers import FEATURE_COLUMNS, model_matrix
 from peerscope.session import materialize
@@ -55,9 +56,22 @@ class ModelRun:
         j = self.out_of_fold.select("npi", "fraud_score_xgb").join(self.isolation, "npi", "inner")
         return materialize(S.ensemble(j), "model_scores")
 
+    @cached_property
+    def knn(self) -> DataFrame:
+        """Exact k nearest minority neighbours over the whole table."""
+        mino = self.matrix.where(F.col("is_fraud_label") == 1).select("npi", *FEATURE_COLUMNS)
+        return materialize(SM.minority_knn(mino, FEATURE_COLUMNS), "knn_all")
+
+    @cached_property
+    def smote_rows(self) -> DataFrame:
+        """SMOTE rows for the whole table (used by the refit model)."""
+        rows = self.matrix.select("npi", *FEATURE_COLUMNS, "is_fraud_label")
+        return materialize(SM.smote(rows, FEATURE_COLUMNS, seed=self.params.boost.seed, knn=self.knn), "smote_all")
+
     @cached_property
     def final_model(self):
-        return B.fit(self.matrix, FEATURE_COLUMNS, params=self.params.boost)
+        syn = self.smote_rows if self.params.boost.oversample else None
+        return B.fit(self.matrix, FEATURE_COLUMNS, params=self.params.boost, synthetic=syn)
 
     @cached_property
     def attributions(self) -> DataFrame:

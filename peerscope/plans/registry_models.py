@@ -5,11 +5,9 @@ use hashing/random draws no SQL engine reproduces and get the rows-only check.""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from peerscope.functions import round_half_even
 from peerscope.models import boost as B
-from peerscope.models import smote as SM
 from peerscope.operators.peers import FEATURE_COLUMNS
 from peerscope.plans import oracle as O
 from peerscope.plans.models import ModelParams, ModelRun
@@ -30,18 +28,13 @@ def model_run(spark, sf_dir) -> ModelRun:
     return run
 
 
-def _minority(run: ModelRun) -> DataFrame:
-    return run.matrix.where(F.col("is_fraud_label") == 1).select("npi", *FEATURE_COLUMNS)
-
-
 def _knn(spark, sf_dir) -> DataFrame:
-    knn = SM.minority_knn(_minority(model_run(spark, sf_dir)), FEATURE_COLUMNS)
+    knn = model_run(spark, sf_dir).knn
     return knn.select("npi", "nn_rank", "nn_key", round_half_even("dist", 6).alias("dist"))
 
 
 def _smote(spark, sf_dir) -> DataFrame:
-    run = model_run(spark, sf_dir)
-    return SM.smote(run.matrix.select("npi", *FEATURE_COLUMNS, "is_fraud_label"), FEATURE_COLUMNS)
+    return model_run(spark, sf_dir).smote_rows
 
 
 def model_queries() -> dict:
