@@ -32,7 +32,11 @@ def main() -> None:
         timings[name] = round(time.time() - t, 3)
         rows[name] = len(out)
     total = round(time.time() - t0, 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sf_name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf: float | str = float(sf_name)
+    except ValueError:
+        sf = sf_name
     print(json.dumps({"metric": "total_wall_time", "value": total, "unit": "sec", "queries": timings,
                       "rows": rows, "sf": sf}))
     spark.stop()
