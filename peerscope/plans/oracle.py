@@ -1,4 +1,4 @@
-"""Reference SQL (DuckDB dialect) for every registered query.
+"""Oracle SQL (DuckDB dialect) for every registered query.
 
 Written independently of the Spark operators, the straightforward way:
 COUNT(DISTINCT), window functions, ``quantile_cont``.  The driver runs these
