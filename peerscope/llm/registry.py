@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peerscope.llm import decontaminate, packing, token_counts
+from peerscope.llm import (chat_format, decontaminate, fingerprints, packing, quality, token_counts, toxicity,
+                           warc)
 from peerscope.llm.common import read
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -25,11 +26,40 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.scan(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), vocabulary_path())
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_token_counts, op3_decontaminate, op8_best_fit_packing)}
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat_format.with_hard_conversation(read(spark, sf_dir, "conversations"))
+    return chat_format.read_back(chat_format.format_turns(rows))
 
-ORACLES: dict[str, str] = {"op3_decontaminate": decontaminate.ORACLE_SQL}
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_token_counts, op3_decontaminate, op4_document_fingerprints, op6_warc, op7_toxicity, op8_best_fit_packing,
+    op9_quality, op10_chat_format)}
+
+ORACLES: dict[str, str] = {
+    "op3_decontaminate": decontaminate.ORACLE_SQL,
+    "op6_warc": warc.ORACLE_SQL,
+    "op10_chat_format": chat_format.ORACLE_SQL,
+}
