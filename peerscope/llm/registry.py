@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peerscope.llm import (chat_format, decontaminate, fingerprints, packing, quality, token_counts, toxicity,
+from peerscope.llm import (chat_format, decontaminate, fingerprints, ngram_join, packing, quality, token_counts, toxicity,
                            warc)
 from peerscope.llm.common import read
 
@@ -30,6 +30,10 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(read(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -55,11 +59,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_token_counts, op3_decontaminate, op4_document_fingerprints, op6_warc, op7_toxicity, op8_best_fit_packing,
-    op9_quality, op10_chat_format)}
+    op1_token_counts, op3_decontaminate, op4_document_fingerprints, op5_ngram_jaccard_join, op6_warc, op7_toxicity,
+    op8_best_fit_packing, op9_quality, op10_chat_format)}
 
 ORACLES: dict[str, str] = {
     "op3_decontaminate": decontaminate.ORACLE_SQL,
+    "op5_ngram_jaccard_join": ngram_join.ORACLE_SQL,
     "op6_warc": warc.ORACLE_SQL,
     "op10_chat_format": chat_format.ORACLE_SQL,
 }
