@@ -71,6 +71,23 @@ def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
     return df.mapInArrow(run, schema)
 
 
+def keep_where(docs: DataFrame, mask: Callable[[pa.RecordBatch], np.ndarray], column: str = "text",
+               max_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """The rows of ``docs``, all columns, for which ``mask(chunk)`` is true; no join and no shuffle."""
+    ship_package(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in text_chunks(batches, column, max_bytes):
+            yield chunk.filter(pa.array(mask(chunk), type=pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def within(frame: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Broadcast hint for a stored frame of narrow rows, behind a check of its size; the other way is a shuffle join."""
+    return F.broadcast(frame) if frame.count() <= max_rows else frame
+
+
 def byte_texts(chunk: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """UTF-8 bytes of each text; null is empty."""
     arr = chunk.column(column)

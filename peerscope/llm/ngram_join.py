@@ -8,13 +8,15 @@ intersection with every set below it.  Pairs that survive at the leaves are veri
 An R-tree over all points would not prune (one box of a random group of texts spans the whole range in each of many
 dimensions), nor could it be split over tasks, so the points are first cut into blocks, without loss:
 
-1. *Equal sets* are collapsed to their smallest id (pre-aggregated by a 128-bit digest).
-2. *Signatures.*  Linked sets differ in at most d = floor(n / 9) hashes, n the smaller size (threshold 0.9).  The
+1. *Signatures.*  Linked sets differ in at most d = floor(n / 9) hashes, n the smaller size (threshold 0.9).  The
    hash space is cut into m > d parts, so two linked sets agree in one part at least.  A set has a key for each part it has a
    hash in; m leaves some slack for empty parts, and a set whose empty parts use up the slack has keys for those too.  m is
    a function of a size class; sets near the lower end of their class also have the keys of the class below.
-3. *Blocks* are the connected components of (set, smallest set with the same key).  Linked sets share a key, so they
-   share a block; a text that shares no key is done.
+2. *Edges.*  Each task collapses equal sets, finds the smallest id of each key it sees, and sends that one (key, id) pair on,
+   with the edges to it; so a key of very many documents is one pair a flush.  Pairs travel as packed arrays, a
+   row per bucket of the key space, and each bucket (of bounded size) joins its pairs by key.
+3. *Blocks* are the connected components of these edges.  Linked sets share a key, so they share a block; a text that
+   shares no key is done.  Equal sets are then one member (128-bit digest).
 4. Only the texts in blocks are read again.  A block of more than ``TILE_ROWS`` rows or ``TILE_SIZE`` hashes is dealt by hash to
    leaves, and each pair of leaves is a tile of bounded size; all of a tile goes through one R-tree.  Pairs already
    connected inside the tile need no verification, and only a spanning forest of the links is returned.
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import byte_texts, map_text, mix64, ship_package
+from peerscope.llm.common import byte_texts, map_text, mix64, ship_package, text_chunks, within
 from peerscope.llm.graph import components
 from peerscope.session import materialize
 
@@ -46,7 +48,8 @@ LEAF, FAN = 32, 8
 CLASS_RATIO = 1.5
 TILE_ROWS = 1024
 TILE_SIZE = 1_000_000
-BROADCAST_ROWS = 200_000
+BUCKET_HASHES = 2_000_000
+FLUSH_KEYS = 1_000_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _POWERS = mix64(np.arange(4096, dtype=np.uint64) + np.uint64(99)) | np.uint64(1)
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else (0x20 if b in b"\t\n\x0b\x0c\r" else b) for b in range(256))
@@ -218,21 +221,97 @@ def links(left: list[int], left_sets: list[np.ndarray], right: list[int], right_
     return out
 
 
-def _sets_table(docs: DataFrame, n: int, threshold: float) -> DataFrame:
-    classes = Classes(threshold)
+def _digest(s: np.ndarray) -> tuple[int, int]:
+    if not s.size:
+        return 0, 0
+    return int(np.bitwise_xor.reduce(mix64(s))), int(mix64(s * _A).sum(dtype=np.uint64))
+
 
+def _sizes_table(docs: DataFrame, n: int) -> DataFrame:
+    """doc_id, n_shingles and the set's 128-bit digest."""
     def step(chunk: pa.RecordBatch) -> dict:
-        sizes, d1, d2, keys = [], [], [], []
-        for t in byte_texts(chunk):
-            s = ngram_set(t, n)
-            sizes.append(s.size)
-            d1.append(np.bitwise_xor.reduce(mix64(s), initial=0) if s.size else 0)
-            d2.append(mix64(s * _A).sum(dtype=np.uint64) if s.size else 0)
-            keys.append(classes.keys(s).view(np.int64))
-        return {"doc_id": chunk.column("doc_id"), "n_shingles": sizes, "d1": np.array(d1, dtype=np.uint64).view(np.int64),
-                "d2": np.array(d2, dtype=np.uint64).view(np.int64), "keys": keys}
+        sets = [ngram_set(t, n) for t in byte_texts(chunk)]
+        digests = np.array([_digest(s) for s in sets], dtype=np.uint64).reshape(-1, 2).view(np.int64)
+        return {"doc_id": chunk.column("doc_id"), "n_shingles": [s.size for s in sets], "d1": digests[:, 0], "d2": digests[:, 1]}
+
+    return map_text(docs, step, "doc_id long, n_shingles long, d1 long, d2 long")
+
 
-    return map_text(docs, step, "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>")
+def _star(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys with their smallest id, and the distinct edges (id, smallest id) of ids that are not the smallest."""
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if keys.size else np.zeros(0, dtype=np.int64)
+    pivot = ids[start]
+    all_pivots = np.repeat(pivot, np.diff(np.append(start, keys.size)))
+    other = np.flatnonzero(ids != all_pivots)
+    edges = np.unique(np.stack((ids[other], all_pivots[other]), 1), axis=0) if other.size else np.zeros((0, 2), dtype=np.int64)
+    return keys[start], pivot, edges
+
+
+def _candidate_edges(docs: DataFrame, n: int, threshold: float, total: int) -> DataFrame:
+    """Edges (a, b) whose components hold every link.  ``total``: hashes of all documents."""
+    classes = Classes(threshold)
+    buckets = max(1, -(-total // BUCKET_HASHES))
+    keep = np.uint64((1 << 40) - 1)
+
+    def flush(keys: list, ids: list) -> Iterator[pa.RecordBatch]:
+        own, pivot, edges = _star(np.concatenate(keys), np.concatenate(ids))
+        bucket = ((own >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)     # follows the order of the keys
+        cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if own.size else np.zeros(0, dtype=np.int64)
+        ends = np.append(cut[1:], own.size)
+        # 40 bits of a key in its bucket: a chance collision only makes a block larger
+        low = np.ascontiguousarray((own * _A & keep)).view(np.uint8).reshape(-1, 8)[:, :5]
+        blobs = [low[a:b].tobytes() + pivot[a:b].tobytes() for a, b in zip(cut, ends)]
+        at = bucket[cut].tolist()
+        if len(edges):
+            at.append(int(edges[0, 0]) % buckets)
+            blobs.append(edges.astype(np.int64).tobytes())
+        marks = [False] * len(cut) + [True] * bool(len(edges))
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(marks, pa.bool_()), pa.array(blobs, pa.binary())],
+                                         names=["bucket", "edges", "blob"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, ids, held = [], [], 0
+        for chunk in text_chunks(batches):
+            sets: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
+            for doc, t in zip(chunk.column("doc_id").to_pylist(), byte_texts(chunk)):
+                if doc is None:
+                    continue
+                s = ngram_set(t, n)
+                d = _digest(s)
+                if s.size >= classes.first:     # smaller sets link with equal ones only
+                    old = sets.get(d)
+                    sets[d] = (doc if old is None else min(doc, old[0]), s)
+            for doc, s in sets.values():
+                k = classes.keys(s)
+                keys.append(k)
+                ids.append(np.full(k.size, doc, dtype=np.int64))
+                held += k.size
+            if held > FLUSH_KEYS:
+                yield from flush(keys, ids)
+                keys, ids, held = [], [], 0
+        if held:
+            yield from flush(keys, ids)
+
+    def join(table: pa.Table) -> pa.Table:
+        keys, ids, edges = [], [], [np.zeros((0, 2), dtype=np.int64)]
+        for mark, blob in zip(table.column("edges").to_pylist(), table.column("blob").to_pylist()):
+            if mark:
+                edges.append(np.frombuffer(blob, dtype=np.int64).reshape(-1, 2))
+                continue
+            size = len(blob) // 13
+            wide = np.zeros((size, 8), dtype=np.uint8)
+            wide[:, :5] = np.frombuffer(blob[:5 * size], dtype=np.uint8).reshape(-1, 5)
+            keys.append(wide.view(np.uint64).ravel())
+            ids.append(np.frombuffer(blob[5 * size:], dtype=np.int64))
+        if keys:
+            edges.append(_star(np.concatenate(keys), np.concatenate(ids))[2])
+        both = np.unique(np.concatenate(edges), axis=0)
+        return pa.table({"a": both[:, 0], "b": both[:, 1]})
+
+    packed = docs.mapInArrow(send, "bucket long, edges boolean, blob binary")
+    return packed.groupBy("bucket").applyInArrow(join, "a long, b long")
 
 
 def _tiles(blocks: DataFrame) -> DataFrame:
@@ -258,40 +337,42 @@ def _join_tile(n: int, threshold: float):
     return run
 
 
-def _within(frame: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a check of the stored frame's size."""
-    return F.broadcast(frame) if frame.count() <= max_rows else frame
-
-
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N_WORDS,
                        threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id (long), n_shingles and component_id, the smallest id reachable by links."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    table = materialize(_sets_table(rows, n, threshold), "ngram_sets")
+    table = materialize(_sizes_table(rows, n), "ngram_sets")
+    total = table.agg(F.sum("n_shingles")).first()[0] or 0
     real = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    reps = table.where(real).groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"))
-    keyed = reps.where(F.size("keys") > 0).select("rep", "n_shingles", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "pivot")
-    near = keyed.join(shared, "key").where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
-    block_of = materialize(components(near), "blocks")
-    # one row per rep that is in a block, with its set's size; few of all rows
-    sizes = table.where(real).select(F.col("doc_id").alias("rep"), "n_shingles")
-    members = block_of.select(F.col("node").alias("rep"), F.col("component").alias("block"))
-    member_sizes = sizes.join(_within(members), "rep").groupBy("rep", "block").agg(F.max("n_shingles").alias("n_shingles"))
-    tiles = materialize(_tiles(member_sizes), "tiles")
+    reps = table.where(real).groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
+    block_of = materialize(components(_candidate_edges(rows, n, threshold, total)), "blocks")
+    # the distinct sets in blocks, with their sizes
+    nodes = block_of.select(F.col("node").alias("doc_id"), F.col("component").alias("block"))
+    sets = table.where(real).join(within(nodes), "doc_id").groupBy("d1", "d2").agg(
+        F.min("block").alias("block"), F.first("n_shingles").alias("n_shingles"))
+    members = materialize(reps.join(within(materialize(sets, "block_sets")), ["d1", "d2"]).select("rep", "block", "n_shingles"), "members")
+    tiles = materialize(_tiles(members), "tiles")
     wanted = rows.select(F.col("doc_id").alias("rep"), F.col("text").cast("binary").alias("text"))
-    dealt = wanted.join(_within(tiles), "rep")
+    dealt = wanted.join(within(tiles), "rep")
     found = dealt.groupBy("block", "i", "j").applyInArrow(_join_tile(n, threshold), "a long, b long")
     label = components(found)
-    own = table.where(real).groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    joined = own.join(label, own["rep"] == label["node"], "left").select(
-        "d1", "d2", F.coalesce("component", "rep").alias("found"))
-    return table.select("doc_id", "n_shingles", "d1", "d2").join(joined, ["d1", "d2"], "left").select(
+    named = reps.join(label, reps["rep"] == label["node"], "left").select("d1", "d2", F.coalesce("component", "rep").alias("found"))
+    return table.join(named, ["d1", "d2"], "left").select(
         "doc_id", "n_shingles", F.when(real, F.col("found")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **kw) -> DataFrame:
+    """``docs`` with the smallest id of each group of linked documents, all columns; rows that repeat an id count as
+    copies of it, rows without an id or without words all stay."""
+    found = materialize(jaccard_components(docs, doc_id, text, **kw), "components")
+    rejected = found.where("doc_id <> component_id").select(F.col("doc_id").alias(doc_id)).distinct()
+    kept = docs.join(within(materialize(rejected, "rejected")), doc_id, "left_anti")
+    if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        kept = kept.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).unionAll(kept.where(F.col(doc_id).isNull()))
+    return kept.select(*docs.columns)
+
+
 def brute_force(texts: dict[int, str], n: int = N_WORDS, threshold: float = THRESHOLD) -> dict[int, tuple[int, int]]:
     """{id: (set size, component)} by comparing all pairs, for tests."""
     sets = {}
