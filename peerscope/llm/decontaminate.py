@@ -211,12 +211,13 @@ def _blocks(benchmark: DataFrame, item: str, text: str, max_words: int):
 
 def scan(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
          item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
-         max_block_words: int = MAX_BLOCK_WORDS) -> DataFrame:
-    """Every row of ``docs`` as (doc_id, text, n_words, hits, items): merged hit spans in word
-    positions and the sorted ids of the items with an occurring window."""
+         max_block_words: int = MAX_BLOCK_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Every row of ``docs`` as (row, text, n_words, hits, items): a struct of doc_id and the columns of ``carry``, merged
+    hit spans in word positions and the sorted ids of the items with an occurring window."""
     spark = docs.sparkSession
-    out = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = out.schema["doc_id"].dataType.simpleString()
+    own = [F.col(doc_id).alias("doc_id"), *(F.col(c) for c in carry if c not in (doc_id, text))]
+    out = docs.select(F.struct(*own).alias("row"), F.col(text).alias("text"))
+    kind = out.schema["row"].dataType.simpleString()
     first = True
     for items in _blocks(benchmark, item_id, item_text, max_block_words):
         held = spark.sparkContext.broadcast(SuffixAutomaton(items, window))
@@ -236,10 +237,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: st
                 n.append(len(words))
                 hits.append([{"start": a, "stop": b} for a, b in spans])
                 found.append(sorted(items))
-            return {"doc_id": chunk.column("doc_id"), "text": chunk.column("text"), "n_words": n, "hits": hits,
+            return {"row": chunk.column("row"), "text": chunk.column("text"), "n_words": n, "hits": hits,
                     "items": found}
 
-        out = map_text(out, step, f"doc_id {kind}, text string, {SCHEMA}")
+        out = map_text(out, step, f"row {kind}, text string, {SCHEMA}")
         first = False
     return out
 
@@ -251,31 +252,43 @@ def _n_hit():
 def report(scanned: DataFrame) -> DataFrame:
     """The contract's columns from ``scan``'s output."""
     names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
-    return scanned.select("doc_id", "n_words", _n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+    return scanned.select("row.doc_id", "n_words", _n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                           F.sha2(names, 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, max_coverage: float = 0.5, max_hit_words: int | None = None,
-                  window: int = WINDOW) -> DataFrame:
-    """``docs`` without test passages: hit spans are cut out of the text; a document is dropped when
-    hits cover more than ``max_coverage`` of its words or more than ``max_hit_words`` words.
-    Clean documents come back unchanged.  Columns: doc_id, text."""
-    scanned = scan(docs, benchmark, window=window)
+                  window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs``, all columns, without test passages: hit spans are cut out of the text; a document is dropped when
+    hits cover more than ``max_coverage`` of its words or more than ``max_hit_words`` words.  Clean documents come back
+    unchanged; a column ``n_chars`` follows the text."""
+    scanned = scan(docs, benchmark, doc_id, text, window=window, carry=tuple(docs.columns))
     hit = _n_hit()
     keep = hit <= F.col("n_words") * F.lit(max_coverage)
     if max_hit_words is not None:
         keep = keep & (hit <= max_hit_words)
     kept = scanned.where(keep | (F.size("hits") == 0))
-    kind = kept.schema["doc_id"].dataType.simpleString()
+    kind = kept.schema["row"].dataType.simpleString()
 
     def cut(chunk: pa.RecordBatch) -> dict:
         texts = chunk.column("text").to_pylist()
+        changed = []
         for k, spans in enumerate(chunk.column("hits").to_pylist()):
+            changed.append(bool(spans))
             if spans:
                 texts[k] = remove_spans(texts[k].encode(), [(x["start"], x["stop"]) for x in spans]).decode()
-        return {"doc_id": chunk.column("doc_id"), "text": texts}
-
-    return map_text(kept.select("doc_id", "text", "hits"), cut, f"doc_id {kind}, text string")
+        return {"row": chunk.column("row"), "text": texts, "changed": changed}
+
+    done = map_text(kept.select("row", "text", "hits"), cut, f"row {kind}, text string, changed boolean")
+    cols = []
+    for c in docs.columns:
+        if c == text:
+            cols.append(F.col("text").alias(c))
+        elif c == "n_chars":
+            old = F.col("row").getField(c)
+            cols.append(F.when(F.col("changed"), F.length("text").cast("long")).otherwise(old).cast(docs.schema[c].dataType).alias(c))
+        else:
+            cols.append(F.col("row").getField("doc_id" if c == doc_id else c).alias(c))
+    return done.select(*cols)
 
 
 def brute_force(docs: list[tuple], items: list[tuple], window: int = WINDOW) -> dict:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import byte_texts, crc_mod4, map_text
+from peerscope.llm.common import byte_texts, crc_mod4, keep_where, map_text
 from peerscope.llm.features import KEEP_ALL, Hashed
 
 BITS = 17
@@ -34,6 +34,7 @@ WORD_WEIGHT, REPEAT_WEIGHT = 4.0, 16.0
 MAX_TRAIN = 3000
 DIM, EPOCHS, RATE, BATCH, SEED = 8, 6, 8.0, 32, 7
 THRESHOLD = 0.7
+REJECT_BELOW = 0.5
 HELD_OUT = 2
 CHUNK_BYTES = 2 << 20
 REPEAT = 0      # bucket of the repetition feature
@@ -164,3 +165,9 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
     out = map_text(rows, step, f"doc_id {kind}, score double, predicted int", max_bytes=CHUNK_BYTES)
     return out.select("doc_id", F.coalesce(crc_mod4("doc_id") == HELD_OUT, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def reject(docs: DataFrame, model: Model, text: str = "text", below: float = REJECT_BELOW) -> DataFrame:
+    """``docs`` without the rows whose score is below ``below``, all columns."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    return keep_where(docs, lambda chunk: held.value.score(byte_texts(chunk, text)) >= below, text, CHUNK_BYTES)

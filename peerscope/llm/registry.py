@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peerscope.llm import (chat_format, decontaminate, fingerprints, ngram_join, packing, quality, token_counts, toxicity,
+from peerscope.llm import (chat_format, decontaminate, fingerprints, licenses, ngram_join, packing, quality, token_counts, toxicity,
                            warc)
 from peerscope.llm.common import read
 
@@ -22,6 +22,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.fit(docs))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.scan(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
 
@@ -59,8 +64,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_token_counts, op3_decontaminate, op4_document_fingerprints, op5_ngram_jaccard_join, op6_warc, op7_toxicity,
-    op8_best_fit_packing, op9_quality, op10_chat_format)}
+    op1_token_counts, op2_license_scan, op3_decontaminate, op4_document_fingerprints, op5_ngram_jaccard_join, op6_warc,
+    op7_toxicity, op8_best_fit_packing, op9_quality, op10_chat_format)}
 
 ORACLES: dict[str, str] = {
     "op3_decontaminate": decontaminate.ORACLE_SQL,

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import byte_texts, map_text
+from peerscope.llm.common import byte_texts, keep_where, map_text
 from peerscope.llm.features import LETTERS, Hashed
 from peerscope.llm.quality import labelled
 
@@ -224,3 +224,9 @@ def score(docs: DataFrame, chain: Chain, doc_id: str = "doc_id", text: str = "te
 
     schema = f"doc_id {kind}, " + ", ".join(f"{c} double" for c in names) + ", is_toxic boolean"
     return map_text(rows, step, schema, max_bytes=CHUNK_BYTES)
+
+
+def reject(docs: DataFrame, chain: Chain, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows that ``score`` calls toxic, all columns."""
+    held = docs.sparkSession.sparkContext.broadcast(chain)
+    return keep_where(docs, lambda chunk: held.value.probabilities(byte_texts(chunk, text))[:, -1] < threshold, text, CHUNK_BYTES)
