@@ -329,8 +329,8 @@ place AS (
   SELECT doc_id, size, k, array_to_string(w[k : k + size - 1], ' ') AS gram
   FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM doc, sizes WHERE len(w) >= size)),
 hit AS (SELECT p.doc_id, p.k, p.size, x.item_id FROM place p JOIN win x ON p.size = x.size AND p.gram = x.gram),
-pos AS (SELECT doc_id, count(DISTINCT at) AS n_hit
-        FROM (SELECT doc_id, unnest(range(k, k + size)) AS at FROM hit) GROUP BY doc_id),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(k, k + size)) AS p FROM hit) GROUP BY doc_id),
 found AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS names
           FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(p.n_hit, 0)::BIGINT AS n_hit, coalesce(f.n_items, 0)::BIGINT AS n_items,
