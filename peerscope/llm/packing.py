@@ -23,6 +23,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +32,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peerscope.llm.common import map_text
-from peerscope.llm.pieces import Pretokens, class_table, segments
+from peerscope.llm.pieces import Pretokens, WordTable, class_table, segments
 from peerscope.session import materialize
 
 SIZE = 1024
 END_ID = 2
 CHUNK_BYTES = 2 << 20
-CACHE_WORDS = 600_000
+CACHE_BITS = 21
 FIT_ROUNDS = 150
 SHARES = (1.0, 0.9, 0.75, 0.5, 0.25)
 
@@ -50,7 +51,13 @@ class Encoder:
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.words: dict[int, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Ids of the words seen before: word ``k`` has ``store[begin[k]:][:lens[k]]``."""
+        self.words = WordTable(CACHE_BITS)
+        self.store = np.zeros(0, dtype="<u4")
+        self.begin = self.lens = np.zeros(0, dtype=np.int64)
 
     def encode(self, texts: list[str], table: np.ndarray) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
@@ -71,21 +78,25 @@ class Encoder:
         cut = Pretokens(parts, table)
         if not cut.starts.size:
             return np.zeros(0, dtype="<u4"), np.zeros(n_texts, dtype=np.int64)
-        words, keys = self.words, cut.hashes.tolist()
-        held = list(map(words.get, keys))
-        missing = [u for u, x in enumerate(held) if x is None]
-        if missing:
-            got = self.lib.encode_batch_fast([cut.distinct_word(u) for u in missing], add_special_tokens=False)
-            for u, e in zip(missing, got):
-                held[u] = words[keys[u]] = np.array(e.ids, dtype="<u4").tobytes()
-        lens = np.fromiter(map(len, held), dtype=np.int64, count=len(held)) // 4
-        store = np.frombuffer(b"".join(held), dtype="<u4")
-        begin = np.append(0, np.cumsum(lens)[:-1])
-        n = lens[cut.inverse]
+        number = self.words.find(cut.hashes)
+        missing = np.flatnonzero(number < 0)
+        if missing.size:
+            if self.words.full():
+                self._forget()
+                number = np.full(cut.hashes.size, -1, dtype=np.int32)
+                missing = np.arange(cut.hashes.size)
+            new, first, which = np.unique(cut.hashes[missing], return_index=True, return_inverse=True)
+            got = [e.ids for e in self.lib.encode_batch_fast([cut.word(k) for k in missing[first].tolist()], add_special_tokens=False)]
+            fresh = np.arange(new.size, dtype=np.int32) + self.lens.size
+            self.words.add(new, fresh)
+            number[missing] = fresh[which]
+            lens = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
+            self.begin = np.append(self.begin, self.store.size + np.cumsum(lens) - lens)
+            self.lens = np.append(self.lens, lens)
+            self.store = np.append(self.store, np.fromiter(chain.from_iterable(got), dtype="<u4", count=int(lens.sum())))
+        n = self.lens[number]
         ends = np.cumsum(n)
-        flat = store[np.arange(ends[-1]) + np.repeat(begin[cut.inverse] - (ends - n), n)]
-        if len(words) > CACHE_WORDS:
-            words.clear()
+        flat = self.store[np.arange(ends[-1]) + np.repeat(self.begin[number] - (ends - n), n)]
         per_text = np.bincount(owner[cut.owner], weights=n, minlength=n_texts).astype(np.int64)
         return flat, np.cumsum(per_text)
 

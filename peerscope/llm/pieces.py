@@ -3,12 +3,13 @@
 The split pattern (contractions, runs of letters, digits or other signs with one leading space, white
 space) only needs the class of each code point, so a whole chunk of texts is cut with a few array
 operations.  The classes are read off the ``tokenizers`` library's own pattern engine, because Unicode
-versions differ between engines.  Equal pre-tokens are found by a 64-bit hash, so that the words of a
-chunk are encoded once each.
+versions differ between engines.  Pre-tokens are known by a 64-bit hash; a bounded table maps the hashes
+seen before to a number, so that a word is encoded once in a task.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
@@ -53,7 +54,7 @@ def segments(text: str) -> list[str]:
 
 class Pretokens:
     """The pre-tokens of a list of texts: ``starts`` and ``ends`` in the joined string, ``owner`` (number of
-    the text) and the distinct words by hash: ``hashes``, ``words`` and ``inverse``."""
+    the text) and ``hashes``."""
 
     _letters = mix64(np.arange(0x110000, dtype=np.uint64) + np.uint64(1))
     _places = mix64(np.arange(_LONG, dtype=np.uint64) + np.uint64(1 << 40)) | np.uint64(1)
@@ -89,27 +90,73 @@ class Pretokens:
         self.ends = np.append(edge[1:], c.size)[is_start]
         self.owner = np.searchsorted(sep, self.starts)
         self.n_texts = len(texts)
-        self._distinct(cps, c)
+        self.hashes = self._hashes(cps, c)
 
-    def _distinct(self, cps: np.ndarray, c: np.ndarray) -> None:
+    def _hashes(self, cps: np.ndarray, c: np.ndarray) -> np.ndarray:
         if not self.starts.size:
-            self.hashes = np.zeros(0, dtype=np.uint64)
-            self.first = self.inverse = np.zeros(0, dtype=np.int64)
-            return
-        lens = self.ends - self.starts
-        begin = np.zeros(cps.size, dtype=np.int64)
+            return np.zeros(0, dtype=np.uint64)
+        begin = np.zeros(cps.size, dtype=np.int32)
         begin[self.starts] = self.starts
-        place = np.arange(cps.size) - np.maximum.accumulate(begin)
+        place = np.arange(cps.size, dtype=np.int32)
+        place -= np.maximum.accumulate(begin)
         value = self._letters[cps]
         value *= self._places[place & (_LONG - 1)]
         value[c == 0] = 0
         h = np.add.reduceat(value, self.starts)
-        for k in np.flatnonzero(lens > _LONG).tolist():     # the multipliers repeat there
-            h[k] = np.uint64(hash(self.word(k)) & 0xFFFFFFFFFFFFFFFF)
-        self.hashes, self.first, self.inverse = np.unique(h, return_index=True, return_inverse=True)
+        for k in np.flatnonzero(self.ends - self.starts > _LONG).tolist():     # the multipliers repeat there
+            h[k] = int.from_bytes(hashlib.blake2b(self.word(k).encode(), digest_size=8).digest(), "little")
+        return np.maximum(h, np.uint64(1))
 
     def word(self, k: int) -> str:
         return self.joined[self.starts[k]:self.ends[k]]
 
-    def distinct_word(self, u: int) -> str:
-        return self.word(self.first[u])
+
+class WordTable:
+    """Hash to number (not negative), open addressing in numpy; emptied when half full."""
+
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros(1 << self.bits, dtype=np.uint64)
+        self.values = np.zeros(1 << self.bits, dtype=np.int32)
+        self.size = 0
+
+    def full(self) -> bool:
+        return self.size > 1 << (self.bits - 1)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Number of each hash, -1 where there is none."""
+        mask = (1 << self.bits) - 1
+        at = (h >> np.uint64(64 - self.bits)).astype(np.int64)
+        held = self.keys[at]
+        out = np.where(held == h, self.values[at], np.int32(-1))
+        on = np.flatnonzero((held != h) & (held != 0))
+        while on.size:
+            at[on] = (at[on] + 1) & mask
+            held = self.keys[at[on]]
+            hit = held == h[on]
+            out[on[hit]] = self.values[at[on[hit]]]
+            on = on[~hit & (held != 0)]
+        return out
+
+    def add(self, h: np.ndarray, values: np.ndarray) -> None:
+        """Distinct hashes that are not in the table; it grows where a chunk has very many."""
+        while self.size + h.size > 3 << (self.bits - 2):
+            keys, held = self.keys, self.values
+            self.bits += 1
+            self.clear()
+            self.add(keys[keys != 0], held[keys != 0])
+        mask = (1 << self.bits) - 1
+        at, left = (h >> np.uint64(64 - self.bits)).astype(np.int64), np.arange(h.size)
+        while left.size:
+            free = left[self.keys[at[left]] == 0]
+            slot, first = np.unique(at[free], return_index=True)
+            won = free[first]
+            self.keys[slot], self.values[slot] = h[won], values[won]
+            lost = np.ones(h.size, dtype=bool)
+            lost[won] = False
+            left = left[lost[left]]
+            at[left] = (at[left] + 1) & mask
+        self.size += h.size

@@ -7,7 +7,7 @@ symbols are counted.  A merge only makes pairs of a higher rank (a pair that con
 after the symbol), so merging all occurrences at once gives what merging one by one gives.
 
 Plan: a narrow ``mapInArrow`` over (id, text); no shuffle.  The vocabulary file is read once per task.
-Counts of words seen before are kept by hash in a table bounded by ``CACHE_WORDS``.
+Counts of words seen before are kept by hash in a table bounded by ``CACHE_BITS``.
 
 Edge cases: null and empty texts have no bytes and no tokens; repeated rows are counted each; strings of
 added special tokens inside a text are one token each, as in the library's default; a text of any length
@@ -26,13 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.llm.common import map_text
-from peerscope.llm.pieces import Pretokens, class_table, segments
+from peerscope.llm.pieces import Pretokens, WordTable, class_table, segments
 
 LIMIT = 512
 CHUNK_BYTES = 2 << 20
-BATCH_WORDS = 4096
+BATCH_WORDS = 8192
 BATCH_SYMBOLS = 1 << 17
-CACHE_WORDS = 1_000_000
+CACHE_BITS = 21
 _NONE = np.int32(1 << 30)
 
 
@@ -150,7 +150,7 @@ class RankMerger:
             rank[ends - 1] = _NONE
         return out
 
-    def count_texts(self, texts: list[str], table: np.ndarray, cache: dict[int, int]) -> np.ndarray:
+    def count_texts(self, texts: list[str], table: np.ndarray, cache: WordTable) -> np.ndarray:
         """Tokens of each text.  ``cache``: symbols by a word's hash."""
         out = np.zeros(len(texts), dtype=np.int64)
         parts: list[str] = []
@@ -166,17 +166,16 @@ class RankMerger:
         cut = Pretokens(parts, table) if parts else None
         if cut is None or not cut.starts.size:
             return out
-        keys = cut.hashes.tolist()
-        counts = list(map(cache.get, keys))
-        missing = [u for u, n in enumerate(counts) if n is None]
-        if missing:
-            got = self.merge([cut.distinct_word(u).encode() for u in missing]).tolist()
-            for u, n in zip(missing, got):
-                counts[u] = cache[keys[u]] = n
-        each = np.array(counts, dtype=np.int64)[cut.inverse]
-        out += np.bincount(np.array(owner)[cut.owner], weights=each, minlength=len(texts)).astype(np.int64)
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
+        n = cache.find(cut.hashes)
+        missing = np.flatnonzero(n < 0)
+        if missing.size:
+            new, first, number = np.unique(cut.hashes[missing], return_index=True, return_inverse=True)
+            got = self.merge([cut.word(k).encode() for k in missing[first].tolist()]).astype(np.int32)
+            n[missing] = got[number]
+            if cache.full():
+                cache.clear()
+            cache.add(new, got)
+        out += np.bincount(np.array(owner)[cut.owner], weights=n, minlength=len(texts)).astype(np.int64)
         return out
 
 
@@ -189,7 +188,7 @@ def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     table = docs.sparkSession.sparkContext.broadcast(class_table())     # 1.1 MB, fixed
 
     def setup():
-        return RankMerger(path), {}
+        return RankMerger(path), WordTable(CACHE_BITS)
 
     def step(chunk: pa.RecordBatch, state) -> dict:
         merger, cache = state
