@@ -105,14 +105,13 @@ class WarcReader:
             """Decompresses on; False at the member's end."""
             if z.eof:
                 return False
-            if z.unconsumed_tail:
-                self.out += z.decompress(z.unconsumed_tail, PIECE)
-                return True
-            if not self.raw:
-                self.raw = next(self.pieces, None) or b""
+            piece = z.unconsumed_tail
+            if not piece:
                 if not self.raw:
-                    raise WarcError("the archive ends inside a member")
-            piece, self.raw = self.raw[:PIECE], self.raw[PIECE:]
+                    self.raw = next(self.pieces, None) or b""
+                    if not self.raw:
+                        raise WarcError("the archive ends inside a member")
+                piece, self.raw = self.raw[:PIECE], self.raw[PIECE:]
             self.out += z.decompress(piece, PIECE)
             if z.eof:
                 self.raw = z.unused_data + self.raw
