@@ -38,7 +38,7 @@ from peerscope.session import materialize
 SIZE = 1024
 END_ID = 2
 CHUNK_BYTES = 2 << 20
-CACHE_BITS = 21
+CACHE_BITS = 22
 FIT_ROUNDS = 150
 SHARES = (1.0, 0.9, 0.75, 0.5, 0.25)
 

@@ -32,7 +32,7 @@ LIMIT = 512
 CHUNK_BYTES = 2 << 20
 BATCH_WORDS = 8192
 BATCH_SYMBOLS = 1 << 17
-CACHE_BITS = 21
+CACHE_BITS = 22
 _NONE = np.int32(1 << 30)
 
 
