@@ -52,14 +52,15 @@ def exact_mean(c, scale: int) -> Column:
 
 
 def try_number(c) -> Column:
-    """Parse to double; unparsable text and NaN become NULL (no ANSI error)."""
+    """Parse to double; unparsable text, NaN and infinite values become NULL (no ANSI error)."""
     v = _col(c).try_cast("double")
-    return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
+    return F.when(F.isnan(v) | (F.abs(v) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(v)
 
 
 def strip_ws(c) -> Column:
-    """Remove leading and trailing whitespace of any kind (Python ``str.strip``)."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    """Remove leading and trailing whitespace of any kind, Unicode blanks and the
+    ASCII separators included (Python ``str.strip``)."""
+    return F.regexp_replace(_col(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
 
 
 def title_case(c) -> Column:
@@ -99,8 +100,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast-hint ``df`` only after checking it holds at most ``max_rows`` rows.
 
     The frame is persisted first so the size check and the join read the same
-    computed rows.  Above the bound the frame is returned unhinted and the join
-    falls back to a shuffle join (with AQE skew handling)."""
-    df = df.persist()
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    computed rows; within the bound it stays cached (it is small).  Above the bound
+    it is released and returned unhinted: the join is then a shuffle join (with
+    AQE skew handling).  Meant for narrow rows (keys and statistics)."""
+    kept = df.persist()
+    if kept.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df

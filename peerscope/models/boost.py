@@ -47,13 +47,15 @@ class BoostParams:
     seed: int = SEED
     oversample: bool = True
     parallelism: int = 5          # concurrent fold fits (as CrossValidator's parallelism)
+    max_bins: int = 256           # split candidates a feature, the histogram default of the original's library
+    few_minority: str = "raise"   # smote(): what to do with at most k minority rows
 
 
 def _pipeline(features: Sequence[str], p: BoostParams) -> Pipeline:
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=p.n_trees,
                         maxDepth=p.max_depth, stepSize=p.learning_rate, subsamplingRate=p.subsample,
-                        featureSubsetStrategy=p.feature_subset, seed=p.seed, maxBins=64)
+                        featureSubsetStrategy=p.feature_subset, seed=p.seed, maxBins=p.max_bins)
     return Pipeline(stages=[asm, gbt])
 
 
@@ -61,7 +63,7 @@ def _training_rows(train: DataFrame, features: Sequence[str], label: str, key: s
                    p: BoostParams, synthetic: DataFrame | None = None) -> DataFrame:
     rows = train.select(key, *features, label)
     if p.oversample:
-        syn = synthetic if synthetic is not None else smote(rows, features, label, key, seed=p.seed)
+        syn = synthetic if synthetic is not None else smote(rows, features, label, key, seed=p.seed, few=p.few_minority)
         rows = rows.unionByName(syn.select(key, *features, label))
     w = F.when(F.col(label) == 1, F.lit(float(pos_weight))).otherwise(F.lit(1.0))
     return rows.select(*features, F.col(label).cast("double").alias("label"), w.alias("weight"))
@@ -81,7 +83,21 @@ def fit(matrix: DataFrame, features: Sequence[str], label: str = "is_fraud_label
     p = params or BoostParams()
     pw = positive_weight(matrix, label) if pos_weight is None else pos_weight
     rows = _training_rows(matrix, features, label, key, pw, p, synthetic)
-    return _pipeline(features, p).fit(materialize(rows, "train_all"))
+    return _fit_stored(rows, features, p, "train_all")
+
+
+def _fit_stored(rows: DataFrame, features: Sequence[str], p: BoostParams, name: str) -> PipelineModel:
+    """Fit on a stored copy of the rows.  Each boosting round passes over the data once per tree level, so
+    the copy is spread over the cores (no more partitions than it has thousands of rows) and cached."""
+    stored = materialize(rows, name)
+    cores = stored.sparkSession.sparkContext.defaultParallelism
+    n = stored.count()
+    parts = max(1, min(stored.rdd.getNumPartitions() if n > 1_000_000 else cores, n // 1000))
+    cached = stored.repartition(parts).persist() if n <= 1_000_000 else stored.persist()
+    try:
+        return _pipeline(features, p).fit(cached)
+    finally:
+        cached.unpersist()
 
 
 def predict(model: PipelineModel, rows: DataFrame, key: str = "npi") -> DataFrame:
@@ -103,7 +119,7 @@ def out_of_fold_scores(matrix: DataFrame, features: Sequence[str], label: str =
     def one_fold(f: int) -> DataFrame:
         train = data.where(F.col("fold") != f)
         test = data.where(F.col("fold") == f)
-        model = _pipeline(feats, p).fit(materialize(_training_rows(train, feats, label, key, pw, p), "train"))
+        model = _fit_stored(_training_rows(train, feats, label, key, pw, p), feats, p, "train")
         return materialize(predict(model, test, key).withColumn("fold", F.lit(f)), "oof_fold")
 
     # the folds are independent model fits: submit them as concurrent Spark jobs

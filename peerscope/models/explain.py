@@ -23,6 +23,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,10 @@ from pyspark.sql import functions as F
 from peerscope.operators.reports import sample_fixed
 from peerscope.session import ensure_checkpoint_dir, ship_package
 
+# The original hands its 500 top rows to the explainer library, whose background masker keeps 100 of them by
+# default; so the background is 100 rows drawn from the explained ones (hash order).
 N_BACKGROUND = 100
+ROWS_PER_TASK = 64
 
 
 def tree_table(model: PipelineModel, spark) -> dict:
@@ -60,81 +64,72 @@ def tree_table(model: PipelineModel, spark) -> dict:
     return {"trees": trees, "weights": weights.w.to_numpy("float64"), "path": path}
 
 
-def _weights(m: int) -> np.ndarray:
-    w = np.zeros((m + 1, m + 1))
-    for a in range(m + 1):
-        for b in range(m + 1 - a):
-            w[a, b] = math.factorial(a) * math.factorial(b) / math.factorial(a + b + 1)
-    return w
-
-
-def _predict(tree, x) -> float:
-    fe, th, le, ri, va = tree
-    n = 0
-    while fe[n] >= 0:
-        n = le[n] if x[fe[n]] <= th[n] else ri[n]
-    return va[n]
-
-
-def shap_pair(tree, x, z, W, phi) -> None:
-    """Add one tree's interventional Shapley values for (x, z) into ``phi``."""
-    fe, th, le, ri, va = tree
-    stack = [(0, (), ())]
-    while stack:
-        n, xs, zs = stack.pop()
-        f = fe[n]
-        if f < 0:
-            a, b = len(xs), len(zs)
-            if a:
-                phi[list(xs)] += va[n] * W[a - 1, b]
-            if b:
-                phi[list(zs)] -= va[n] * W[a, b - 1]
+def leaves_of(trees, weights) -> list[tuple]:
+    """Every leaf as ``(features on its path, lower bounds, upper bounds, weighted value)``: a row
+    satisfies a feature of the path when ``lower < x <= upper``."""
+    out = []
+    for (fe, th, le, ri, va), w in zip(trees, weights):
+        stack = [(0, {})]
+        while stack:
+            n, box = stack.pop()
+            f = int(fe[n])
+            if f < 0:
+                feats = sorted(box)
+                out.append((np.array(feats, dtype="int64"), np.array([box[x][0] for x in feats]),
+                            np.array([box[x][1] for x in feats]), float(w * va[n])))
+                continue
+            lo, hi = box.get(f, (-np.inf, np.inf))
+            stack.append((int(le[n]), {**box, f: (lo, min(hi, th[n]))}))
+            stack.append((int(ri[n]), {**box, f: (max(lo, th[n]), hi)}))
+    return out
+
+
+@lru_cache(maxsize=None)
+def _share(k: int) -> np.ndarray:
+    """``[x mask, z mask, feature]``: the Shapley share of each of a path's ``k`` features when x satisfies the
+    features in one bit mask and z those in the other; zero unless x and z together satisfy all of them."""
+    out = np.zeros((1 << k, 1 << k, k))
+    full = (1 << k) - 1
+    for mx in range(1 << k):
+        for mz in range(1 << k):
+            if mx | mz != full:
+                continue
+            a, b = bin(mx & ~mz).count("1"), bin(mz & ~mx).count("1")
+            for j in range(k):
+                if mx >> j & 1 and not mz >> j & 1:
+                    out[mx, mz, j] = math.factorial(a - 1) * math.factorial(b) / math.factorial(a + b)
+                elif mz >> j & 1 and not mx >> j & 1:
+                    out[mx, mz, j] = -math.factorial(a) * math.factorial(b - 1) / math.factorial(a + b)
+    return out
+
+
+def _masks(X: np.ndarray, leaf) -> np.ndarray:
+    feats, lo, hi, _ = leaf
+    sub = X[:, feats]
+    return ((sub > lo) & (sub <= hi)) @ (1 << np.arange(len(feats)))
+
+
+def shapley(leaves, X: np.ndarray, Z: np.ndarray) -> np.ndarray:
+    """Mean over the background ``Z`` of the interventional Shapley values, for all rows of ``X`` at once.
+    Rows and background rows only matter to a leaf through their masks, so the background is counted by mask."""
+    phi = np.zeros(X.shape)
+    for leaf in leaves:
+        k = len(leaf[0])
+        if k == 0:
             continue
-        xc = le[n] if x[f] <= th[n] else ri[n]
-        zc = le[n] if z[f] <= th[n] else ri[n]
-        if xc == zc:
-            stack.append((xc, xs, zs))
-        elif f in xs:
-            stack.append((xc, xs, zs))
-        elif f in zs:
-            stack.append((zc, xs, zs))
-        else:
-            stack.append((xc, xs + (f,), zs))
-            stack.append((zc, xs, zs + (f,)))
-
-
-def shap_background(tree, x, Z, W, phi) -> None:
-    """``shap_pair`` summed over all background rows ``Z`` in one traversal:
-    each traversal state carries the mask of background rows sharing it."""
-    fe, th, le, ri, va = tree
-    stack = [(0, (), (), np.ones(len(Z), dtype=bool))]
-    while stack:
-        n, xs, zs, mask = stack.pop()
-        f = fe[n]
-        if f < 0:
-            c = float(mask.sum())
-            a, b = len(xs), len(zs)
-            if a:
-                phi[list(xs)] += c * va[n] * W[a - 1, b]
-            if b:
-                phi[list(zs)] -= c * va[n] * W[a, b - 1]
-            continue
-        x_left = x[f] <= th[n]
-        xc, oc = (le[n], ri[n]) if x_left else (ri[n], le[n])
-        if f in xs:
-            stack.append((xc, xs, zs, mask))
-            continue
-        z_left = Z[:, f] <= th[n]
-        same = mask & (z_left == x_left)
-        diff = mask & (z_left != x_left)
-        if same.any():
-            stack.append((xc, xs, zs, same))
-        if diff.any():
-            if f in zs:
-                stack.append((oc, xs, zs, diff))
-            else:
-                stack.append((xc, xs + (f,), zs, diff))
-                stack.append((oc, xs, zs + (f,), diff))
+        counts = np.bincount(_masks(Z, leaf), minlength=1 << k) / len(Z)
+        by_mask = np.einsum("z,xzf->xf", counts, _share(k)) * leaf[3]
+        phi[:, leaf[0]] += by_mask[_masks(X, leaf)]
+    return phi
+
+
+def margins(leaves, X: np.ndarray) -> np.ndarray:
+    """The ensemble's output for each row."""
+    out = np.zeros(len(X))
+    for leaf in leaves:
+        k = len(leaf[0])
+        out += leaf[3] * (_masks(X, leaf) == (1 << k) - 1) if k else leaf[3]
+    return out
 
 
 def attributions(model: PipelineModel, foreground: DataFrame, background: DataFrame, features: Sequence[str],
@@ -147,39 +142,32 @@ def attributions(model: PipelineModel, foreground: DataFrame, background: DataFr
     tt = tree_table(model, spark)
     bg = background.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feats]).toPandas()
     Z = bg.to_numpy("float64")                          # bounded: the background sample size
-    bc = spark.sparkContext.broadcast((tt["trees"], tt["weights"], Z))
-    n_feat = len(feats)
+    leaves = leaves_of(tt["trees"], tt["weights"])
+    scale = 2.0                                         # log-odds = 2 * margin
+    base = scale * float(margins(leaves, Z).mean()) if len(Z) else 0.0
+    bc = spark.sparkContext.broadcast((leaves, Z))
 
     def run(batches):
-        trees, weights, Zb = bc.value
-        W = _weights(n_feat)
-        scale = 2.0                                     # log-odds = 2 * margin
-        base = scale * float(np.mean([sum(w * _predict(t, z) for t, w in zip(trees, weights)) for z in Zb]))
+        own, Zb = bc.value
         for pdf in batches:
             X = pdf[feats].fillna(0.0).to_numpy("float64")
-            out = np.zeros((len(X), n_feat))
-            margin = np.zeros(len(X))
-            for r, x in enumerate(X):
-                phi = np.zeros(n_feat)
-                for t, w in zip(trees, weights):
-                    pt = np.zeros(n_feat)
-                    shap_background(t, x, Zb, W, pt)
-                    phi += w * pt
-                    margin[r] += w * _predict(t, x)
-                out[r] = scale * phi / len(Zb)
-            res = pd.DataFrame(out, columns=[f"i_{c}" for c in feats])
+            res = pd.DataFrame(scale * shapley(own, X, Zb), columns=[f"i_{c}" for c in feats])
             for j, c in enumerate(feats):
                 res[f"v_{c}"] = X[:, j]
             res.insert(0, key, pdf[key].to_numpy())
             res["base_value"] = base
-            res["log_odds"] = scale * margin
+            res["log_odds"] = scale * margins(own, X)
             yield res
 
     schema = (f"{key} string, " + ", ".join(f"i_{c} double" for c in feats) + ", "
               + ", ".join(f"v_{c} double" for c in feats) + ", base_value double, log_odds double")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     fg = foreground.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feats])
-    return fg.repartition(parts, key).mapInPandas(run, schema)
+    return fg.repartition(foreground_partitions(foreground.count()), key).mapInPandas(run, schema)
+
+
+def foreground_partitions(rows: int) -> int:
+    """Tasks for the foreground: sized by its rows, whatever the session's shuffle partitions."""
+    return max(1, -(-rows // ROWS_PER_TASK))
 
 
 def background_sample(matrix: DataFrame, n: int = N_BACKGROUND, key: str = "npi") -> DataFrame:

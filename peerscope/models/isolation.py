@@ -6,9 +6,10 @@ Spark plan
 1. Sampling: tree ``t`` is grown on the ``psi = min(max_samples, N)`` rows
    with the smallest hash ``u(seed, t, key)`` -- a uniform sample without
    replacement per tree.  Rows are first kept for tree ``t`` when
-   ``u < p`` with ``p`` a few times ``psi / N`` (a narrow, pipelined filter),
-   so only ~``4 * psi`` candidates per tree are shuffled; a tree left with
-   fewer than ``psi`` candidates is redrawn with ``p = 1`` (exact either way).
+   ``u < p`` with ``p`` a few times ``psi / N`` (a narrow, pipelined filter
+   on the row's array of trees), so only ~``4 * psi`` candidates per tree are
+   shuffled, of which the JVM keeps the ``psi`` smallest; a tree left with
+   fewer than ``psi`` candidates is redrawn with a larger ``p`` (exact either way).
 2. Growing: ``groupBy(tree).applyInPandas`` -- one task per tree, each with a
    bounded sample -- returns the node table.
 3. Scoring: the node table is bounded by ``n_trees * (2 * psi - 1)`` rows
@@ -24,7 +25,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peerscope.operators.scoring import minmax_scale
@@ -105,18 +106,27 @@ def grow_forest(matrix: DataFrame, features: Sequence[str], key: str = "npi", n_
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     rows = matrix.select(F.col(key).alias("_key"), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
                                                      for c in feats])
-    trees = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
-    trees = trees.withColumn("_u", _unit_hash(seed, F.col("tree"), "_key"))
-    p = min(1.0, OVERSAMPLE * psi / max(n, 1))
-    # ~4 * psi rows per tree: stored once so the count and the sample read the same rows
-    cand = materialize(trees.where(F.col("_u") < F.lit(p)), "iso_candidates")
-    # exactness guard: trees with fewer than psi candidates are redrawn from all rows
-    enough = cand.groupBy("tree").count().where(F.col("count") >= psi).select("tree")
-    all_ids = matrix.sparkSession.range(n_trees).select(F.col("id").cast("int").alias("tree"))
-    missing = [r.tree for r in all_ids.join(enough, "tree", "left_anti").collect()]   # at most n_trees ids
-    sample = cand.join(enough, "tree", "left_semi")
-    if missing:
-        sample = sample.unionByName(trees.where(F.col("tree").isin(missing)))
+
+    def draw(ids: list[int], p: float) -> DataFrame:
+        """Rows with ``u < p`` for the given trees.  The trees of a row are filtered as an array of ids, so a row is
+        only copied for the trees that take it; stored once so that the count and the sample read the same rows."""
+        taken = F.filter(F.array(*[F.lit(t) for t in ids]), lambda t: _unit_hash(seed, t, "_key") < F.lit(p))
+        own = rows.select("*", F.explode(taken).alias("tree"))
+        return materialize(own.withColumn("_u", _unit_hash(seed, F.col("tree"), "_key")), "iso_candidates")
+
+    missing, p, parts = list(range(n_trees)), min(1.0, OVERSAMPLE * psi / max(n, 1)), []
+    while missing:
+        cand = draw(missing, p)
+        # exactness guard: trees with fewer than psi candidates are drawn again, eight times as many
+        have = [r.tree for r in cand.groupBy("tree").count().where(F.col("count") >= psi).select("tree").collect()]
+        parts.append(cand.where(F.col("tree").isin(have)) if p < 1.0 else cand)
+        missing = sorted(set(missing) - set(have)) if p < 1.0 else []      # at most n_trees ids
+        p = min(1.0, 8 * p)
+    sample = parts[0]
+    for more in parts[1:]:
+        sample = sample.unionByName(more)
+    first = Window.partitionBy("tree").orderBy("_u", "_key")
+    sample = sample.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= psi).drop("_n")
     grow = _grow(feats, psi, max_depth, seed)
     nodes = sample.groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
     return nodes, psi

@@ -108,6 +108,8 @@ def minority_knn(points: DataFrame, features: Sequence[str], key: str = "npi", k
         if full or left_over == 0:
             break
         size *= 4
+    else:
+        raise RuntimeError(f"{left_over} rows without certified neighbours after {MAX_ROUNDS} rounds")
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
@@ -120,15 +122,22 @@ def _unit(seed: int, *cols):
 
 
 def smote(train: DataFrame, features: Sequence[str], label: str = "is_fraud_label", key: str = "npi",
-          k: int = K_NEIGHBORS, seed: int = SEED, knn: DataFrame | None = None) -> DataFrame:
+          k: int = K_NEIGHBORS, seed: int = SEED, knn: DataFrame | None = None, few: str = "raise") -> DataFrame:
     """Synthetic minority rows (label 1) so that both classes are equal in size.
     Returns rows with ``key`` (``'synthetic-<j>'``), the features and the label.
-    ``knn`` may pass precomputed neighbours of the same minority rows."""
+    ``knn`` may pass precomputed neighbours of the same minority rows.
+
+    With at most ``k`` minority rows there are not ``k`` neighbours: ``few="raise"`` is an
+    error, ``few="shrink"`` uses all others as neighbours (and adds nothing to fewer than two rows)."""
+    if few not in ("raise", "shrink"):
+        raise ValueError("few must be 'raise' or 'shrink'")
     feats = list(features)
     counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = int(counts.get(0, 0)), int(counts.get(1, 0))
     spark = train.sparkSession
     n_new = n0 - n1
+    if n_new > 0 and n1 <= k and few == "raise":
+        raise ValueError(f"{n1} minority rows; {k} neighbours need more than {k}")
     if n_new <= 0 or n1 < 2:
         return spark.createDataFrame([], train.select(key, *feats, label).schema)
     minority = train.where(F.col(label) == 1).select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from peerscope.functions import exact_mean, join_null_safe, money_sum, round_half_even
+from peerscope.functions import bounded_broadcast, exact_mean, join_null_safe, money_sum, round_half_even
 from peerscope.operators.ordered import ordered_stats
 from peerscope.operators.scoring import tier_rank
 
@@ -29,7 +29,8 @@ def _name() -> F.Column:
 
 def _group_stats(df: DataFrame, keys: list[str], aggs: list[F.Column]) -> DataFrame:
     """Attach whole-partition aggregates to each row (window without ORDER BY)."""
-    return join_null_safe(df, df.groupBy(*keys).agg(*aggs), keys, how="inner")
+    # one row per group: broadcast behind a size check, so a hot specialty or state is not shuffled
+    return join_null_safe(df, bounded_broadcast(df.groupBy(*keys).agg(*aggs)), keys, how="inner")
 
 
 def _rank_desc(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.functions import safe_ratio, strip_ws, title_case, try_number
+from peerscope.functions import bounded_broadcast, safe_ratio, strip_ws, title_case, try_number
 from peerscope.operators.ordered import exact_quantiles
 
 # The column contract and defaults of the original cleaning step.
@@ -56,11 +56,14 @@ def valid_npi(df: DataFrame, pattern: str = NPI_PATTERN) -> DataFrame:
 
 
 def cast_numeric(df: DataFrame, columns: list[str] = NUMERIC_COLUMNS) -> DataFrame:
-    """Unparsable numbers become 0; columns that are absent are skipped."""
+    """Unparsable and infinite numbers become 0; columns that are absent are skipped."""
     for c in columns:
         if c in df.columns:
-            v = F.coalesce(try_number(F.col(c)), F.lit(0.0))
-            df = df.withColumn(c, v.cast("long") if c in COUNT_COLUMNS else v)
+            v = try_number(F.col(c))
+            if c in COUNT_COLUMNS:      # a number beyond the long range counts as unparsable
+                df = df.withColumn(c, F.coalesce(v.try_cast("long"), F.lit(0).cast("long")))
+            else:
+                df = df.withColumn(c, F.coalesce(v, F.lit(0.0)))
     return df
 
 
@@ -70,7 +73,8 @@ def drop_cost_outliers(df: DataFrame, group: str = "specialty_description", valu
     group (rows of a NULL group are kept).  The quantile includes the row itself,
     so with the defaults the rule cannot fire in groups below ~952 rows."""
     qt = exact_quantiles(df.where(F.col(group).isNotNull()), [group], value, {"_q": q})
-    joined = df.join(qt, on=group, how="left")
+    # one row per specialty: broadcast behind a size check, so no provider row is shuffled on a hot specialty
+    joined = df.join(bounded_broadcast(qt), on=group, how="left")
     keep = F.col("_q").isNull() | ~(F.col(value) > F.col("_q") * F.lit(float(mult)))
     return joined.where(keep).drop("_q")
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.functions import round_half_even, stable_hash
@@ -53,10 +53,13 @@ def curve_points(df: DataFrame, score: str = "score", label: str = "label", keys
 def pr_curve(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """M12 output table with the F2 score of each point."""
     c = curve_points(df, score, label)
-    f2 = (F.lit(5.0) * F.col("precision") * F.col("recall")) / (
-        F.lit(4.0) * F.col("precision") + F.col("recall") + F.lit(F2_EPS))
     return c.select("threshold", "tp", "fp", round_half_even("precision", DIGITS).alias("precision"),
-                    round_half_even("recall", DIGITS).alias("recall"), round_half_even(f2, DIGITS).alias("f2"))
+                    round_half_even("recall", DIGITS).alias("recall"), round_half_even(_f2(), DIGITS).alias("f2"))
+
+
+def _f2() -> Column:
+    return (F.lit(5.0) * F.col("precision") * F.col("recall")) / (
+        F.lit(4.0) * F.col("precision") + F.col("recall") + F.lit(F2_EPS))
 
 
 def curve_metrics(df: DataFrame, score: str = "score", label: str = "label", keys: Sequence[str] = ()) -> DataFrame:
@@ -79,10 +82,11 @@ def curve_metrics(df: DataFrame, score: str = "score", label: str = "label", key
 
 def f2_threshold(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Threshold maximising F2 = 5PR/(4P+R+eps); the lowest threshold wins
-    ties (first maximum in ascending order); 0.5 when there is no point."""
-    c = pr_curve(df, score, label)
-    best = c.orderBy(F.col("f2").desc(), F.col("threshold").asc()).limit(1).select(
-        F.col("threshold").alias("best_threshold"), F.col("f2").alias("best_f2"))
+    ties (first maximum in ascending order); 0.5 when there is no point.  The maximum
+    is taken on the unrounded value, the output is rounded."""
+    c = curve_points(df, score, label).withColumn("_f2", _f2())
+    best = c.orderBy(F.col("_f2").desc(), F.col("threshold").asc()).limit(1).select(
+        F.col("threshold").alias("best_threshold"), round_half_even("_f2", DIGITS).alias("best_f2"))
     one = df.sparkSession.range(1)
     return one.join(best, how="left").select(
         F.coalesce("best_threshold", F.lit(F2_FALLBACK)).alias("best_threshold"),

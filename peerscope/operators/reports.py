@@ -9,21 +9,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from peerscope.functions import exact_mean, money_sum, round_half_even, stable_hash
-from peerscope.operators.ordered import exact_quantiles, ordered_stats
+from peerscope.functions import bounded_broadcast, exact_mean, money_sum, round_half_even, stable_hash
+from peerscope.operators.ordered import exact_quantiles
 from peerscope.operators.peers import FLAG_COLUMNS
 from peerscope.operators.scoring import TIER_ORDER, tier_rank
 
-# Flag labels and notes, score-bar colour classes, pattern-table floors.
+# Flag labels, score-bar colour classes, pattern-table floors.
 FLAG_LABELS = [
-    ("flag_high_volume", "Extreme claim volume", "top 1% in specialty"),
-    ("flag_high_cost_per_claim", "High cost per claim", "top 1% in specialty"),
-    ("flag_brand_heavy", "Brand-heavy prescribing", ">70% brand drugs"),
-    ("flag_concentrated_benes", "Concentrated patients", "pill mill pattern"),
-    ("flag_opioid_heavy", "Opioid overuse", ">20% opioid claims"),
+    ("flag_high_volume", "Extreme claim volume"),
+    ("flag_high_cost_per_claim", "High cost per claim"),
+    ("flag_brand_heavy", "Brand-heavy prescribing"),
+    ("flag_concentrated_benes", "Concentrated patients"),
+    ("flag_opioid_heavy", "Opioid overuse"),
 ]
 SCORE_BAR_CUTS = [("red", 0.8), ("orange", 0.6), ("yellow", 0.4)]   # strict '>'
 PATTERN_METRICS = [  # (metric label, column, scale, floor for the ratio denominator)
@@ -154,15 +154,20 @@ def top_flagged_specialties(scored: DataFrame, k: int = 10, tiers: Sequence[str]
             .orderBy(F.col("flagged_providers").desc(), "specialty").limit(k))
 
 
+def _peer_means(scored: DataFrame, min_peers: int) -> DataFrame:
+    """One row per specialty with more than ``min_peers`` providers: exact means of the compared metrics."""
+    means = scored.where(F.col("specialty").isNotNull()).groupBy("specialty").agg(
+        F.count(F.lit(1)).alias("_n"), *[exact_mean(m, d).alias(f"_avg_{m}") for m, d in PEER_SCALES])
+    return means.where(F.col("_n") > min_peers)
+
+
 def peer_comparison(scored: DataFrame, min_peers: int = 10, npi: str | None = None) -> DataFrame:
     """Provider value vs specialty mean (self included) for four metrics,
     shares in %, only for specialties with more than ``min_peers`` providers.
     Long format, one row per (provider, metric); ``npi`` restricts to one provider."""
-    means = scored.groupBy("specialty").agg(
-        F.count(F.lit(1)).alias("_n"), *[exact_mean(m, d).alias(f"_avg_{m}") for m, d in PEER_SCALES])
-    means = means.where(F.col("_n") > min_peers)
+    means = _peer_means(scored, min_peers)
     rows = scored if npi is None else scored.where(F.col("npi") == F.lit(npi.strip()))
-    j = rows.join(means, "specialty", "inner")
+    j = rows.join(bounded_broadcast(means), "specialty", "inner")
     items = F.array(*[F.struct(F.lit(m).alias("metric"),
                                (F.col(m) * F.lit(s)).alias("provider_value"),
                                (F.col(f"_avg_{m}") * F.lit(s)).alias("peer_avg")) for m, s in PEER_METRICS])
@@ -226,12 +231,8 @@ def flagged_by_state(scored: DataFrame, k: int = 15, tiers: Sequence[str] = ("CR
 STATE_SORT_COLUMNS = {"high_risk_pct", "critical_count", "avg_fraud_score", "total_drug_cost_m"}
 
 
-def state_table(scored: DataFrame, sort_by: str = "high_risk_pct") -> DataFrame:
-    """A23 + W10: per state (NULL dropped) counts, mean score, cost, labels,
-    high-risk % and a 1-based rank by the chosen metric (ties by state name).
-    The rank comes from ``ordered_stats`` over the small per-state table."""
-    if sort_by not in STATE_SORT_COLUMNS:
-        raise ValueError(f"sort_by must be one of {sorted(STATE_SORT_COLUMNS)}")
+def _state_rows(scored: DataFrame) -> DataFrame:
+    """One row per state (NULL dropped)."""
     g = scored.where(F.col("state").isNotNull()).groupBy("state").agg(
         F.count(F.lit(1)).alias("total_providers"),
         F.count_if(F.col("fraud_tier") == "CRITICAL").alias("critical_count"),
@@ -239,17 +240,23 @@ def state_table(scored: DataFrame, sort_by: str = "high_risk_pct") -> DataFrame:
         F.avg("fraud_score_ensemble").alias("_avg"),
         money_sum("total_drug_cost").alias("_cost"),
         F.sum("is_fraud_label").cast("bigint").alias("oig_confirmed"))
-    t = g.select("state", "total_providers", "critical_count", "high_count",
+    return g.select("state", "total_providers", "critical_count", "high_count",
                  round_half_even("_avg", 4).alias("avg_fraud_score"),
                  round_half_even(F.col("_cost") / F.lit(1e6), 1).alias("total_drug_cost_m"),
                  "oig_confirmed",
                  round_half_even(F.lit(100.0) * (F.col("critical_count") + F.col("high_count"))
                                  / F.col("total_providers"), 2).alias("high_risk_pct"),
                  (F.col("critical_count") + F.col("high_count")).alias("high_risk_total"))
-    # total order: metric desc, then state asc -> rank == row number
-    key = F.struct((-F.col(sort_by).cast("double")).alias("m"), F.col("state").alias("s"))
-    st = ordered_stats(t.withColumn("_k", key), [], "_k").select("_k", (F.col("n_before") + 1).alias("rank"))
-    return t.withColumn("_k", key).join(st, "_k", "left").drop("_k").orderBy("rank")
+
+
+def state_table(scored: DataFrame, sort_by: str = "high_risk_pct") -> DataFrame:
+    """A23 + W10: per state (NULL dropped) counts, mean score, cost, labels,
+    high-risk % and a 1-based rank by the chosen metric (ties by state name).
+    The ranked table has one row per state, so its one-task window is bounded."""
+    if sort_by not in STATE_SORT_COLUMNS:
+        raise ValueError(f"sort_by must be one of {sorted(STATE_SORT_COLUMNS)}")
+    order = Window.orderBy(F.col(sort_by).desc(), "state")
+    return _state_rows(scored).withColumn("rank", F.row_number().over(order).cast("long")).orderBy("rank")
 
 
 def brand_share_box(scored: DataFrame) -> DataFrame:
@@ -319,10 +326,17 @@ def distinct_values(scored: DataFrame, column: str) -> DataFrame:
     return scored.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column)
 
 
-def isolation_only(scored: DataFrame, iso_min: float = 0.80, sup_max: float = 0.6298) -> DataFrame:
+def isolation_only(scored: DataFrame, sup_max: float | DataFrame, iso_min: float = 0.80) -> DataFrame:
     """High unsupervised score while the supervised score stays under its
-    threshold -- candidates no labelled pattern explains."""
-    return (scored.where((F.col("fraud_score_iso") >= F.lit(iso_min)) & (F.col("fraud_score_xgb") < F.lit(sup_max)))
+    threshold -- candidates no labelled pattern explains.  ``sup_max`` is a number
+    or the one-row result of ``metrics.f2_threshold`` on the same scores."""
+    rows = scored.where(F.col("fraud_score_iso") >= F.lit(iso_min))
+    if isinstance(sup_max, DataFrame):
+        # one row by construction: broadcasting it is bounded
+        rows = rows.crossJoin(F.broadcast(sup_max.select(F.col("best_threshold").alias("_max"))))
+    else:
+        rows = rows.withColumn("_max", F.lit(float(sup_max)))
+    return (rows.where(F.col("fraud_score_xgb") < F.col("_max"))
             .select("npi", "specialty", "state", "fraud_score_xgb", "fraud_score_iso", "fraud_score_ensemble",
                     "fraud_tier", "flag_count", "is_fraud_label")
             .orderBy(F.col("fraud_score_iso").desc(), "npi"))
@@ -366,23 +380,31 @@ def score_cards(scored: DataFrame) -> DataFrame:
 
 def triggered_flags(scored: DataFrame) -> DataFrame:
     """Per provider, the labels of triggered flags ('; '-joined) and the count."""
-    labels = F.array(*[F.when(F.col(c) == 1, F.lit(lbl)) for c, lbl, _ in FLAG_LABELS])
     return scored.select("npi", F.coalesce(F.col("flag_count"), F.lit(0)).alias("flag_count"),
-                         F.concat_ws("; ", F.filter(labels, lambda x: x.isNotNull())).alias("triggered"))
+                         _triggered().alias("triggered"))
+
+
+def _triggered() -> F.Column:
+    labels = F.array(*[F.when(F.col(c) == 1, F.lit(lbl)) for c, lbl in FLAG_LABELS])
+    return F.concat_ws("; ", F.filter(labels, lambda x: x.isNotNull()))
 
 
 def provider_report(scored: DataFrame, alerts: DataFrame, exclusions: DataFrame) -> DataFrame:
-    """M18 (batch form): the lookup page for every provider -- identity, scores,
-    tier, flags, billing metrics, top reasons and exclusion-list status."""
+    """M18 (batch form): the lookup page for every provider -- identity, the three scores,
+    tier, flags, billing metrics with the specialty means of A20 (NULL in a specialty of
+    at most 10 providers), top reasons and exclusion-list status."""
     ex = exclusions.select("npi").distinct().withColumn("_on_list", F.lit(1))
     r = alerts.select("npi", "reason_1", "reason_2", "reason_3")
-    flags = triggered_flags(scored)
-    j = (scored.join(flags.select("npi", "triggered"), "npi", "left")
+    means = _peer_means(scored, 10)
+    j = (scored.withColumn("triggered", _triggered()).join(bounded_broadcast(means), "specialty", "left")
          .join(r, "npi", "left").join(ex, "npi", "left"))
     return j.select(
         "npi", F.concat(F.lit("Dr. "), F.concat_ws(" ", "first_name", "last_name")).alias("display_name"),
         "specialty", "state",
         F.coalesce("fraud_score_ensemble", F.lit(0.0)).alias("fraud_score_ensemble"),
+        F.coalesce("fraud_score_xgb", F.lit(0.0)).alias("fraud_score_xgb"),
+        F.coalesce("fraud_score_iso", F.lit(0.0)).alias("fraud_score_iso"),
+        *[round_half_even(F.col(f"_avg_{m}") * F.lit(s), 4).alias(f"peer_avg_{m}") for m, s in PEER_METRICS],
         F.coalesce("fraud_tier", F.lit("UNKNOWN")).alias("fraud_tier"),
         F.coalesce("flag_count", F.lit(0)).alias("flag_count"), "triggered",
         "total_claim_count", "total_drug_cost", "cost_per_claim", "brand_share", "opioid_share",
@@ -415,7 +437,6 @@ def opioid_scatter(scored: DataFrame, n: int = 2000) -> DataFrame:
 def state_bubbles(scored: DataFrame) -> DataFrame:
     """Per state -- providers, high-risk %, marker size max(critical, 2) x 0.8
     and mean score."""
-    t = state_table(scored)
-    return t.select("state", "total_providers", "high_risk_pct",
+    return _state_rows(scored).select("state", "total_providers", "high_risk_pct",
                     (F.greatest(F.col("critical_count"), F.lit(2)) * F.lit(0.8)).alias("marker_size"),
                     "avg_fraud_score")

@@ -19,6 +19,10 @@ def curve_summary(scored: DataFrame, score: str = "fraud_score_xgb", label: str
 
 
 def export_outputs(ws: Workspace, out_dir: str) -> dict[str, str]:
+    """Writes the outputs of a run with model scores; the stand-in scores of a workspace without a
+    model are for checks only and are refused."""
+    if ws.model is None:
+        raise ValueError("no model scores to export: use ws.with_model(ModelRun(ws.features))")
     out = out_dir.rstrip("/")
     paths = {
         "providers": f"{out}/providers",

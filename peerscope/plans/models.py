@@ -66,7 +66,8 @@ class ModelRun:
     def smote_rows(self) -> DataFrame:
         """SMOTE rows for the whole table (used by the refit model)."""
         rows = self.matrix.select("npi", *FEATURE_COLUMNS, "is_fraud_label")
-        return materialize(SM.smote(rows, FEATURE_COLUMNS, seed=self.params.boost.seed, knn=self.knn), "smote_all")
+        return materialize(SM.smote(rows, FEATURE_COLUMNS, seed=self.params.boost.seed, knn=self.knn,
+                                    few=self.params.boost.few_minority), "smote_all")
 
     @cached_property
     def final_model(self):
@@ -78,7 +79,7 @@ class ModelRun:
         """M8 for the top-k providers by ensemble score."""
         top = S.top_k_by_score(self.scores.select("npi", "fraud_score_ensemble"), self.params.top_k)
         fg = self.matrix.join(top.select("npi"), "npi", "left_semi")
-        bg = X.background_sample(self.matrix, self.params.background)
+        bg = X.background_sample(fg, self.params.background)
         return materialize(X.attributions(self.final_model, fg, bg, FEATURE_COLUMNS), "attributions")
 
     @cached_property

@@ -17,7 +17,7 @@ PCT = "100.0::DOUBLE"
 MONEY = "CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
 TIERS_SQL = "(VALUES ('CRITICAL', 1), ('HIGH', 2), ('MODERATE', 3), ('LOW', 4)) AS t(fraud_tier, tier_order)"
 HASH_SQL = "CAST(('0x' || substr(md5({k}), 1, 8)) AS BIGINT)"
-ISO_MIN, SUP_MAX = 0.80, 0.6298
+ISO_MIN = 0.80
 EVAL_SCORE = "fraud_score_xgb"
 
 
@@ -91,7 +91,8 @@ def report_queries() -> dict:
         "a28_pattern_table": lambda s, d: R.pattern_table(w(s, d).providers_scored),
         "a29_distinct_states": lambda s, d: R.distinct_values(w(s, d).providers_scored, "state"),
         "a29_distinct_specialties": lambda s, d: R.distinct_values(w(s, d).providers_scored, "specialty"),
-        "a30_isolation_only": lambda s, d: R.isolation_only(w(s, d).providers_scored, ISO_MIN, SUP_MAX),
+        "a30_isolation_only": lambda s, d: R.isolation_only(w(s, d).providers_scored, M.f2_threshold(_eval_frame(w(s, d))),
+                                                            ISO_MIN),
         "a31_teaser_counts": lambda s, d: R.teaser_counts(w(s, d).providers_scored),
         "c18_high_risk_table": lambda s, d: R.high_risk_table(w(s, d).providers_scored),
         "m16_score_cards": lambda s, d: R.score_cards(w(s, d).providers_scored),
@@ -147,7 +148,8 @@ prc AS (
   SELECT threshold, tp, fp, {_r('precision', 10)} AS precision, {_r('recall', 10)} AS recall,
          {_r('5.0 * precision * recall / (4.0 * precision + recall + 1e-10)', 10)} AS f2
   FROM curve),
-best AS (SELECT threshold AS best_threshold, f2 AS best_f2 FROM prc ORDER BY f2 DESC, threshold ASC LIMIT 1)
+raw_f2 AS (SELECT threshold, 5.0::DOUBLE * precision * recall / (4.0::DOUBLE * precision + recall + 1e-10::DOUBLE) AS v FROM curve),
+best AS (SELECT threshold AS best_threshold, {_r('v', 10)} AS best_f2 FROM raw_f2 ORDER BY v DESC, threshold ASC LIMIT 1)
 """
 
 
@@ -214,6 +216,13 @@ def _pattern_sql() -> str:
     return f", g AS (SELECT {', '.join(aggs)} FROM providers)\n" + "\nUNION ALL ".join(rows) + "\nORDER BY pos"
 
 
+def _peer_means_cte() -> str:
+    cols = ", ".join(f"{_r(f'{O.emean(m, d)} * {scale}::DOUBLE', 4)} AS peer_avg_{m}"
+                     for (m, scale), (_, d) in zip(R.PEER_METRICS, R.PEER_SCALES))
+    return (f", pm AS (SELECT specialty, {cols} FROM providers WHERE specialty IS NOT NULL "
+            f"GROUP BY specialty HAVING count(*) > 10)\n")
+
+
 def _peer_sql() -> str:
     parts = []
     for m, scale in R.PEER_METRICS:
@@ -355,10 +364,10 @@ FROM {TIERS_SQL} LEFT JOIN g ON t.fraud_tier = g.fraud_tier ORDER BY t.tier_orde
         "a29_distinct_states": q("SELECT DISTINCT state FROM providers WHERE state IS NOT NULL ORDER BY state"),
         "a29_distinct_specialties": q(
             "SELECT DISTINCT specialty FROM providers WHERE specialty IS NOT NULL ORDER BY specialty"),
-        "a30_isolation_only": q(f"""
+        "a30_isolation_only": q(CURVE_SQL + f"""
 SELECT npi, specialty, state, fraud_score_xgb, fraud_score_iso, fraud_score_ensemble, fraud_tier, flag_count,
        is_fraud_label
-FROM providers WHERE fraud_score_iso >= {ISO_MIN} AND fraud_score_xgb < {SUP_MAX}
+FROM providers WHERE fraud_score_iso >= {ISO_MIN} AND fraud_score_xgb < coalesce((SELECT best_threshold FROM best), 0.5)
 ORDER BY fraud_score_iso DESC, npi"""),
         "a31_teaser_counts": q("""
 SELECT count(*) AS total_providers, count(*) FILTER (WHERE fraud_tier = 'CRITICAL') AS n_critical FROM providers"""),
@@ -381,14 +390,17 @@ SELECT npi, score_name, value,
             ELSE 'green' END AS bar_class
 FROM v"""),
         "m17_triggered_flags": q(_triggered_sql()),
-        "m18_provider_report": q(_triggered_cte() + """
+        "m18_provider_report": q(_triggered_cte() + _peer_means_cte() + """
 SELECT p.npi, 'Dr. ' || concat_ws(' ', p.first_name, p.last_name) AS display_name, p.specialty, p.state,
-       coalesce(p.fraud_score_ensemble, 0.0) AS fraud_score_ensemble, coalesce(p.fraud_tier, 'UNKNOWN') AS fraud_tier,
+       coalesce(p.fraud_score_ensemble, 0.0) AS fraud_score_ensemble, coalesce(p.fraud_score_xgb, 0.0) AS fraud_score_xgb,
+       coalesce(p.fraud_score_iso, 0.0) AS fraud_score_iso, pm.peer_avg_total_claim_count, pm.peer_avg_cost_per_claim,
+       pm.peer_avg_brand_share, pm.peer_avg_opioid_share, coalesce(p.fraud_tier, 'UNKNOWN') AS fraud_tier,
        coalesce(p.flag_count, 0) AS flag_count, tf.triggered, p.total_claim_count, p.total_drug_cost,
        p.cost_per_claim, p.brand_share, p.opioid_share, a.reason_1, a.reason_2, a.reason_3,
        coalesce(p.is_fraud_label, 0) AS label_confirmed,
        CASE WHEN EXISTS (SELECT 1 FROM oig_exclusions o WHERE o.npi = p.npi) THEN 1 ELSE 0 END AS on_exclusion_list
-FROM providers p LEFT JOIN tf ON p.npi = tf.npi LEFT JOIN fraud_alerts a ON p.npi = a.npi"""),
+FROM providers p LEFT JOIN tf ON p.npi = tf.npi LEFT JOIN fraud_alerts a ON p.npi = a.npi
+LEFT JOIN pm ON p.specialty = pm.specialty"""),
         "m19_cost_scatter": q("""
 SELECT npi, total_drug_cost / 1000.0 AS cost_k, fraud_score_ensemble, fraud_tier, specialty
 FROM providers WHERE fraud_tier IN ('CRITICAL', 'HIGH') ORDER BY npi LIMIT 500"""),
@@ -422,7 +434,7 @@ FROM (SELECT 1 AS one) x LEFT JOIN best b ON TRUE"""),
 
 
 def _triggered_cte() -> str:
-    parts = ", ".join(f"CASE WHEN {c} = 1 THEN '{lbl}' END" for c, lbl, _ in R.FLAG_LABELS)
+    parts = ", ".join(f"CASE WHEN {c} = 1 THEN '{lbl}' END" for c, lbl in R.FLAG_LABELS)
     return (f", tf AS (SELECT npi, coalesce(flag_count, 0) AS flag_count, concat_ws('; ', {parts}) AS triggered "
             f"FROM providers)\n")
 

@@ -34,10 +34,19 @@ SCORE_COLUMNS = ["fraud_score_xgb", "fraud_score_iso", "fraud_score_ensemble", "
 class Workspace:
     """Lazily built, materialised provider views for one (session, folder)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, scores: DataFrame | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, model=None):
+        """``model``: a ``plans.models.ModelRun`` whose scores and reasons the views carry.  Without one they
+        carry deterministic stand-ins that SQL can check; those are never exported."""
         self.spark = spark
         self.sf_dir = sf_dir
-        self._scores_override = scores
+        self.model = model
+
+    def with_model(self, model) -> Workspace:
+        """The same provider views with the scores and reasons of a model run."""
+        out = Workspace(self.spark, self.sf_dir, model)
+        for view in ("order_facts", "providers_raw", "providers", "_bench_and_features", "provider_years", "exclusions"):
+            out.__dict__[view] = getattr(self, view)
+        return out
 
     @cached_property
     def order_facts(self) -> DataFrame:
@@ -46,7 +55,8 @@ class Workspace:
 
     @cached_property
     def providers_raw(self) -> DataFrame:
-        return fixture.providers_raw(self.spark, self.sf_dir, self.order_facts)
+        # cleaning reads it twice (outlier quantiles and rows), so the roll-up is stored once
+        return materialize(fixture.providers_raw(self.spark, self.sf_dir, self.order_facts), "providers_raw")
 
     @cached_property
     def providers(self) -> DataFrame:
@@ -73,7 +83,7 @@ class Workspace:
 
     @cached_property
     def scores(self) -> DataFrame:
-        base = self._scores_override if self._scores_override is not None else S.surrogate_scores(self.providers)
+        base = self.model.scores if self.model is not None else S.surrogate_scores(self.providers)
         return materialize(S.ensemble(base.select("npi", "fraud_score_xgb", "fraud_score_iso")), "scores")
 
     @cached_property
@@ -100,6 +110,8 @@ class Workspace:
     @cached_property
     def reasons(self) -> DataFrame:
         """Top-k providers by ensemble score with their three strongest reasons."""
+        if self.model is not None:
+            return self.model.reasons
         top = S.top_k_by_score(self.providers_scored.select("npi", "fraud_score_ensemble"))
         attr, feats = S.surrogate_attributions(self.features.join(top.select("npi"), "npi", "left_semi"))
         return materialize(S.top_reasons(attr, feats))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,20 +36,48 @@ EXCLUSIONS_RAW_SCHEMA = T.StructType([
 ])
 
 
+#: What cleaning needs (C1); the other columns of the schema are optional.
+PROVIDERS_REQUIRED = ["npi", "nppes_provider_state", "specialty_description", "total_claim_count", "total_drug_cost",
+                      "total_beneficiaries", "brand_claim_count", "generic_claim_count", "opioid_claim_count"]
+#: Header names of the public exclusion list.
+EXCLUSION_HEADERS = {"EXCLDATE": "exclusion_date", "REINDATE": "reinstatement_date", "EXCLTYPE": "exclusion_type"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet table ``<sf_dir>/<name>.parquet`` (filters and projections push down)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_providers_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV of raw prescriber rows; npi stays text (leading zeros kept)."""
-    return spark.read.schema(PROVIDERS_RAW_SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(path)
-
-
-def read_exclusions_csv(spark: SparkSession, path: str, date_format: str = "yyyyMMdd") -> DataFrame:
-    """Exclusion list in Latin-1 with ``yyyyMMdd`` dates; unparsable dates become NULL."""
-    raw = (spark.read.schema(EXCLUSIONS_RAW_SCHEMA).option("header", True)
-           .option("encoding", "ISO-8859-1").csv(path))
+def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str] = (),
+                     mapping: Mapping[str, str] | None = None, **options) -> DataFrame:
+    """Header CSV as text columns, selected by header name.
+
+    Header names match without regard to case and outer blanks; ``mapping`` renames header names to schema
+    names.  Columns in another order or extra ones do no harm, a missing required column is an error,
+    a missing optional one is NULL.  Every column is read as text (no inference)."""
+    raw = spark.read.options(header=True, inferSchema=False, mode="PERMISSIVE", **options).csv(path)
+    rename = {k.strip().lower(): v.lower() for k, v in (mapping or {}).items()}
+    by_name: dict[str, str] = {}
+    for c in raw.columns:
+        name = c.strip().lstrip("\ufeff").lower()
+        by_name.setdefault(rename.get(name, name), c)
+    missing = [c for c in required if c.lower() not in by_name]
+    if missing:
+        raise ValueError(f"missing required columns: {missing} in {path}")
+    quoted = {k: "`" + v.replace("`", "``") + "`" for k, v in by_name.items()}
+    return raw.select(*[(F.col(quoted[f.name.lower()]) if f.name.lower() in quoted else F.lit(None)).cast(f.dataType).alias(f.name)
+                        for f in schema.fields])
+
+
+def read_providers_csv(spark: SparkSession, path: str, mapping: Mapping[str, str] | None = None) -> DataFrame:
+    """Header CSV of raw prescriber rows, by column name; npi stays text (leading zeros kept)."""
+    return read_csv_by_name(spark, path, PROVIDERS_RAW_SCHEMA, PROVIDERS_REQUIRED, mapping)
+
+
+def read_exclusions_csv(spark: SparkSession, path: str, date_format: str = "yyyyMMdd",
+                        mapping: Mapping[str, str] = EXCLUSION_HEADERS) -> DataFrame:
+    """Exclusion list in Latin-1, by column name, with ``yyyyMMdd`` dates; unparsable dates become NULL."""
+    raw = read_csv_by_name(spark, path, EXCLUSIONS_RAW_SCHEMA, ["npi"], mapping, encoding="ISO-8859-1")
     return raw.select(
         F.trim("npi").alias("npi"),
         F.try_to_date("exclusion_date", date_format).alias("exclusion_date"),
@@ -82,6 +110,23 @@ def profile_source(df: DataFrame, required: list[str], sample_rows: int = 5) ->
                     "n_rows", "sample_rows"))
 
 
+def profile_path(spark: SparkSession, path: str, required: list[str], fmt: str = "csv") -> DataFrame:
+    """S13 for a file or folder that may not exist: ``exists_flag`` and ``size_bytes`` (listed by Spark, so
+    any file system), then the columns of ``profile_source`` (NULL without a source)."""
+    try:
+        size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    except Exception as exc:  # noqa: BLE001 - missing path
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            raise
+        size = None
+    if size is None:
+        empty = profile_source(spark.createDataFrame([], "c string"), required)
+        return spark.range(1).select(F.lit(False).alias("exists_flag"), F.lit(0).cast("long").alias("size_bytes"),
+                                     *[F.lit(None).cast(f.dataType).alias(f.name) for f in empty.schema.fields])
+    df = spark.read.options(header=True, inferSchema=False).csv(path) if fmt == "csv" else spark.read.format(fmt).load(path)
+    return profile_source(df, required).select(F.lit(True).alias("exists_flag"), F.lit(int(size)).cast("long").alias("size_bytes"), "*")
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
     """Overwrite an output table (optionally partitioned, e.g. by ``data_year``)."""
     w = df.write.mode("overwrite")

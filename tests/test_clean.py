@@ -82,3 +82,19 @@ def test_full_cleaning_and_required_columns(spark):
     assert out.select(F.first("specialty")).collect()[0][0] == "Family Practice"
     with pytest.raises(ValueError):
         C.check_required_columns(spark.createDataFrame([("1",)], "npi string"))
+
+
+def test_infinite_and_huge_numbers_do_not_stop_the_job(spark):
+    rows = [("1234567890", "inf", "1e300", "nan"), ("1234567891", "-Infinity", "7", "2.5"), ("1234567892", " 12 ", "x", None)]
+    df = spark.createDataFrame(rows, "npi string, brand_claim_count string, generic_claim_count string, total_drug_cost string")
+    got = [tuple(r)[1:] for r in C.cast_numeric(df).orderBy("npi").collect()]
+    assert got == [(0, 0, 0.0), (0, 7, 2.5), (12, 0, 0.0)]
+    few = spark.createDataFrame([("inf", "20"), ("20", "20")], "total_claim_count string, total_beneficiaries string")
+    assert C.drop_suppressed(few).count() == 1
+
+
+def test_npi_with_unicode_blanks_is_kept(spark):
+    values = ["1234567890 ", " 1234567891\x1f", "　1234567892  ", "12345 67893"]
+    df = spark.createDataFrame([(v,) for v in values], "npi string")
+    assert sorted(r.npi for r in C.valid_npi(df).collect()) == ["1234567890", "1234567891", "1234567892"]
+    assert all(v.strip().isdigit() for v in values[:3])

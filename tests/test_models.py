@@ -1,5 +1,9 @@
+import itertools
+import math
+
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from peerscope.models import boost as B
@@ -70,35 +74,75 @@ def test_gbt_attributions_are_additive(spark):
     assert np.allclose(1 / (1 + np.exp(-att.set_index("npi").log_odds)), prob.loc[att.npi].to_numpy(), atol=1e-9)
 
 
-def test_shap_pair_small_tree():
+def _by_definition(leaves, x, z):
+    """Shapley values of the set function "features in S follow x, the others z", over all orders."""
+    n = len(x)
+    value = {}
+    for size in range(n + 1):
+        for chosen in itertools.combinations(range(n), size):
+            mixed = z.copy()
+            mixed[list(chosen)] = x[list(chosen)]
+            value[frozenset(chosen)] = X.margins(leaves, mixed[None])[0]
+    phi = np.zeros(n)
+    for order in itertools.permutations(range(n)):
+        before = frozenset()
+        for f in order:
+            phi[f] += value[before | {f}] - value[before]
+            before = before | {f}
+    return phi / math.factorial(n)
+
+
+def test_shapley_of_a_stump():
     # stump on feature 0 at 0.5: left 1.0, right 3.0
     tree = (np.array([0, -1, -1]), np.array([0.5, 0, 0]), np.array([1, -1, -1]), np.array([2, -1, -1]),
             np.array([0.0, 1.0, 3.0]))
-    phi = np.zeros(2)
-    X.shap_pair(tree, np.array([1.0, 0.0]), np.array([0.0, 0.0]), X._weights(2), phi)
-    assert phi.tolist() == [2.0, 0.0]
+    leaves = X.leaves_of([tree], [1.0])
+    assert X.shapley(leaves, np.array([[1.0, 0.0]]), np.array([[0.0, 0.0]])).tolist() == [[2.0, 0.0]]
 
 
-def test_background_traversal_equals_pairwise():
+def test_shapley_equals_the_definition():
     rng = np.random.default_rng(0)
-    # random depth-3 tree over 4 features
-    fe = np.array([0, 1, 2, -1, -1, -1, -1, 3, -1, -1, -1])
-    fe = np.array([0, 1, 2, -1, -1, 1, -1, -1, -1])
-    th = np.array([0.0, 0.5, -0.2, 0, 0, -0.3, 0, 0, 0])
-    le = np.array([1, 3, 5, -1, -1, 7, -1, -1, -1])
-    ri = np.array([2, 4, 6, -1, -1, 8, -1, -1, -1])
-    va = np.array([0, 0, 0, 1.0, -2.0, 0, 0.5, 3.0, -1.5])
+    fe = np.array([0, 1, 2, -1, -1, 1, -1, 0, -1, -1, -1])
+    th = np.array([0.0, 0.5, -0.2, 0, 0, -0.3, 0, -0.7, 0, 0, 0])
+    le = np.array([1, 3, 5, -1, -1, 7, -1, 9, -1, -1, -1])
+    ri = np.array([2, 4, 6, -1, -1, 8, -1, 10, -1, -1, -1])
+    va = np.array([0, 0, 0, 1.0, -2.0, 0, 0.5, 3.0, -1.5, 0.25, 4.0])
     tree = (fe, th, le, ri, va)
-    W = X._weights(4)
-    for _ in range(20):
-        x = rng.normal(size=4)
-        Z = rng.normal(size=(15, 4))
-        a = np.zeros(4)
-        for z in Z:
-            X.shap_pair(tree, x, z, W, a)
-        b = np.zeros(4)
-        X.shap_background(tree, x, Z, W, b)
-        assert np.allclose(a, b)
+    leaves = X.leaves_of([tree, tree], [1.0, -0.3])
+    Xr, Z = rng.normal(size=(12, 4)), rng.normal(size=(9, 4))
+    Z[0] = Xr[0]
+    got = X.shapley(leaves, Xr, Z)
+    want = [np.mean([_by_definition(leaves, x, z) for z in Z], axis=0) for x in Xr]
+    assert np.allclose(got, want)
+    assert np.allclose(got.sum(1), X.margins(leaves, Xr) - X.margins(leaves, Z).mean())
+
+
+def test_attribution_tasks_follow_the_foreground():
+    assert [X.foreground_partitions(n) for n in (0, 1, 64, 65, 500)] == [1, 1, 1, 2, 8]
+
+
+def test_smote_needs_enough_minority_rows(spark):
+    df, pdf, feats = _points(spark, n=20, label_every=5)        # four minority rows
+    with pytest.raises(ValueError):
+        SM.smote(df, feats)
+    assert SM.smote(df, feats, few="shrink").count() == 20 - 2 * 4
+
+
+def test_knn_does_not_drop_pending_rows(spark, monkeypatch):
+    df, pdf, feats = _points(spark, n=60)
+    monkeypatch.setattr(SM, "MAX_ROUNDS", 1)
+    with pytest.raises(RuntimeError):
+        SM.minority_knn(df, feats, k=5, bucket_rows=6)
+
+
+def test_isolation_samples_are_the_smallest_hashes(spark):
+    df, pdf, feats = _points(spark, n=90)
+    nodes, psi = I.grow_forest(df, feats, n_trees=12, max_samples=16)
+    roots = nodes.where("node = 0").collect()
+    assert psi == 16 and len(roots) == 12
+    assert all(r["size"] == 0 or r["size"] == 16 for r in nodes.where("node = 0 and left = -1").collect())
+    leaves = nodes.where("left = -1").groupBy("tree").sum("size").collect()
+    assert [r[1] for r in leaves] == [16] * 12
 
 
 def test_knn_exact_with_duplicates_and_clusters(spark):

@@ -2,6 +2,8 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from peerscope.operators import clean as C
 from peerscope.sources import files as S
 
@@ -27,6 +29,36 @@ def test_csv_source_keeps_npi_text_and_cleans(spark):
     assert [(r.npi, r.brand_claim_count, r.specialty) for r in out] == [("1234567891", 0, "Cardiology")]
 
 
+def test_csv_columns_go_by_name(spark):
+    d = tempfile.mkdtemp(prefix="peerscope-src-")
+    names = HEADER.strip().split(",")
+    row = dict(zip(names, "1234567891,E,F,TX,cardiology,30,2,300.0,15,5,15,1,1,0".split(",")))
+    order = ["extra_1", *reversed([n for n in names if n != "opioid_bene_count"]), "Extra 2"]     # shuffled, extra, one optional missing
+    _write(f"{d}/p.csv", ",".join(n.upper() if n == "npi" else n for n in order) + "\n" + ",".join(row.get(n, "zzz") for n in order) + "\n")
+    got = S.read_providers_csv(spark, f"{d}/p.csv").collect()[0]
+    assert got.asDict() == {**{n: row.get(n) for n in got.__fields__}, "opioid_bene_count": None}
+    _write(f"{d}/q.csv", "npi,specialty_description\n1,x\n")
+    with pytest.raises(ValueError, match="total_claim_count"):
+        S.read_providers_csv(spark, f"{d}/q.csv")
+
+
+def test_exclusions_of_the_public_layout(spark):
+    d = tempfile.mkdtemp(prefix="peerscope-src-")
+    _write(f"{d}/x.csv", "LASTNAME,FIRSTNAME,GENERAL,NPI,EXCLTYPE,EXCLDATE,REINDATE\nDOE,J,Médecin,1234567890,1128a1,20200115,00000000\n", "latin-1")
+    ex = S.read_exclusions_csv(spark, f"{d}/x.csv").collect()[0]
+    assert (ex.npi, str(ex.exclusion_date), ex.exclusion_type, ex.general, ex.reinstatement_date) == (
+        "1234567890", "2020-01-15", "1128a1", "Médecin", None)
+
+
+def test_profile_of_a_path(spark):
+    d = tempfile.mkdtemp(prefix="peerscope-src-")
+    _write(f"{d}/p.csv", "a,b\n1,2\n")
+    r = S.profile_path(spark, f"{d}/p.csv", ["a"]).collect()[0]
+    assert (r.exists_flag, r.size_bytes, r.n_rows, r.columns_ok) == (True, 8, 1, True)
+    r = S.profile_path(spark, f"{d}/none.csv", ["a"]).collect()[0]
+    assert (r.exists_flag, r.size_bytes, r.n_rows) == (False, 0, None)
+
+
 def test_exclusions_latin1_and_dates(spark):
     d = tempfile.mkdtemp(prefix="peerscope-src-")
     _write(f"{d}/x.csv", "npi,exclusion_date,reinstatement_date,exclusion_type,general\n"
