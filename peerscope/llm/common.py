@@ -83,6 +83,20 @@ def keep_where(docs: DataFrame, mask: Callable[[pa.RecordBatch], np.ndarray], co
     return docs.mapInArrow(run, docs.schema)
 
 
+def bounded_sample(rows: DataFrame, k: int, *columns: str) -> DataFrame:
+    """The ``k`` rows with the smallest hash of ``columns``, whatever the size of ``rows``.
+
+    A top-k alone would send up to ``k`` rows from every task to one place, so rows are first filtered to about
+    ``4 k`` by the same hash; if that should leave fewer than ``k``, all rows compete."""
+    h = F.pmod(F.xxhash64(*columns), F.lit(1 << 40))
+    n = rows.count()
+    if n > 4 * k:
+        some = rows.where(h < F.lit(int((1 << 40) * (4 * k / n))))
+        if some.limit(k).count() == k:
+            rows = some
+    return rows.orderBy(h, *columns).limit(k)
+
+
 def within(frame: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Broadcast hint for a stored frame of narrow rows, behind a check of its size; the other way is a shuffle join."""
     return F.broadcast(frame) if frame.count() <= max_rows else frame

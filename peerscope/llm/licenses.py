@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import byte_texts, map_text, mix64
+from peerscope.llm.common import bounded_sample, byte_texts, map_text, mix64
 from peerscope.llm.features import Hashed
 
 BITS = 14
@@ -168,9 +168,8 @@ def confirm(line: bytes, family: str) -> float:
 
 def fit(docs: DataFrame, text: str = "text", max_unknown: int = MAX_UNKNOWN) -> Model:
     """Ordinary lines of at most ``max_unknown`` documents (first by hash), those that hold a notice left out."""
-    few = (docs.select(F.substring_index(F.col(text), "\n", 1).alias("line")).where("length(line) between 1 and 2000")
-           .orderBy(F.xxhash64("line"), "line").limit(max_unknown))
-    lines = sorted({r["line"] for r in few.collect()})
+    first = docs.select(F.substring_index(F.col(text), "\n", 1).alias("line")).where("length(line) between 1 and 2000").distinct()
+    lines = sorted(r["line"] for r in bounded_sample(first, max_unknown, "line").collect())
     plain = [t for t in lines if max(confirm(t.encode(), f) for f in TEMPLATES) < 0.3]
     return train(plain)
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import byte_texts, crc_mod4, keep_where, map_text
+from peerscope.llm.common import bounded_sample, byte_texts, crc_mod4, keep_where, map_text
 from peerscope.llm.features import KEEP_ALL, Hashed
 
 BITS = 17
@@ -128,8 +128,8 @@ def labelled(docs: DataFrame, labels: DataFrame, target: str, max_train: int, do
     rows = labels.where(F.col(target).isNotNull() & F.col(doc_id).isNotNull())
     if condition is not None:
         rows = rows.where(condition)
-    few = (rows.groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(F.col(target)).cast("int").alias("label"))
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train))
+    one = rows.groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(F.col(target)).cast("int").alias("label"))
+    few = bounded_sample(one, max_train, "doc_id")
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(few), "doc_id")
 
 

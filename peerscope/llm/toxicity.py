@@ -35,14 +35,14 @@ from peerscope.llm.common import byte_texts, keep_where, map_text
 from peerscope.llm.features import LETTERS, Hashed
 from peerscope.llm.quality import labelled
 
-BITS = 20
+BITS = 19
 GRAMS = (5, 6)
-MAX_TRAIN = 5000
+MAX_TRAIN = 3000
 N_FEATURES = 400
 PENALTY = 5e-5
 ROUNDS = 120
 FOLDS = 4
-THRESHOLD = 0.2
+THRESHOLD = 0.4
 CHUNK_BYTES = 2 << 20
 LEXICON = {"insult": ("idiot", "moron", "loser", "clown", "stupid"),
            "contempt": ("worthless", "pathetic", "disgusting", "trash", "scum")}
@@ -163,7 +163,14 @@ class Chain:
 def train(features: list[np.ndarray], targets: np.ndarray, folds: np.ndarray, names=CATEGORIES, bits: int = BITS) -> Chain:
     """``features``: the buckets present in each document; ``targets``: documents x categories (0 or 1)."""
     n = len(features)
-    doc = np.repeat(np.arange(n), [f.size for f in features])
+    df = np.zeros(1 << bits, dtype=np.int32)
+    for f in features:
+        df[f] += 1
+    # rarer ones are never kept by a fit; ones in a quarter of all documents tell little and fill most of the memory
+    known = (df >= 3) & (df <= max(3, n // 4))
+    for k, f in enumerate(features):        # in place: the driver holds them once
+        features[k] = f[known[f]]
+    doc = np.repeat(np.arange(n, dtype=np.int32), [f.size for f in features])
     feat = np.concatenate([*features, np.zeros(0, dtype=np.int32)])
     chain = Chain(bits, tuple(names))
     earlier = np.zeros((n, 0))
@@ -205,9 +212,11 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", max_train: in
     one = got.groupBy("doc_id").agg(F.min(F.struct("label", "marks", "at")).alias("x")).select(
         "doc_id", "x.*", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold"))
     own = sorted(one.collect(), key=lambda r: r["doc_id"])      # at most max_train rows
-    targets = np.array([[r["label"] * m for m in r["marks"]] + [r["label"]] for r in own]).reshape(len(own), -1)
-    return train([np.frombuffer(bytes(r["at"]), dtype=np.int32) for r in own],
-                 targets if own else np.zeros((0, len(CATEGORIES))), np.array([r["fold"] for r in own]), bits=bits)
+    targets = np.array([[r["label"] * m for m in r["marks"]] + [r["label"]] for r in own]).reshape(len(own), len(CATEGORIES))
+    folds = np.array([r["fold"] for r in own])
+    features = [np.frombuffer(bytes(r["at"]), dtype=np.int32) for r in own]
+    del own
+    return train(features, targets, folds, bits=bits)
 
 
 def score(docs: DataFrame, chain: Chain, doc_id: str = "doc_id", text: str = "text",
