@@ -116,9 +116,9 @@ def minority_knn(points: DataFrame, features: Sequence[str], key: str = "npi", k
     return out
 
 
-def _unit(seed: int, *cols):
-    h = F.xxhash64(F.lit(seed), *cols)
-    return h.bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)).cast("double") / F.lit(float(2 ** 63))
+def _unit(seed: int, j, draw: int):
+    """Draw number ``draw`` of synthetic row ``j``: uniform in [0, 1), from the md5 of "seed-j-draw"."""
+    return stable_hash(F.concat_ws("-", F.lit(str(seed)), j.cast("string"), F.lit(str(draw)))) / F.lit(float(2 ** 32))
 
 
 def smote(train: DataFrame, features: Sequence[str], label: str = "is_fraud_label", key: str = "npi",
@@ -150,9 +150,9 @@ def smote(train: DataFrame, features: Sequence[str], label: str = "is_fraud_labe
     indexed = ordered.join(idx, "_o").drop("_o")
     syn = spark.range(n_new).select(
         F.col("id").alias("_j"),
-        F.floor(_unit(seed, F.col("id"), F.lit(1)) * F.lit(n1)).cast("long").alias("_idx"),
-        (F.floor(_unit(seed, F.col("id"), F.lit(2)) * F.lit(kk)) + 1).cast("int").alias("nn_rank"),
-        _unit(seed, F.col("id"), F.lit(3)).alias("_gap"))
+        F.floor(_unit(seed, F.col("id"), 1) * F.lit(n1)).cast("long").alias("_idx"),
+        (F.floor(_unit(seed, F.col("id"), 2) * F.lit(kk)) + 1).cast("int").alias("nn_rank"),
+        _unit(seed, F.col("id"), 3).alias("_gap"))
     base = syn.join(indexed.select("_idx", *[F.col(c) for c in [key, *feats]]), "_idx", "inner")
     base = base.join(knn.select(key, "nn_rank", "nn_key"), [key, "nn_rank"], "inner")
     nb = minority.select(F.col(key).alias("nn_key"), *[F.col(c).alias(f"_nn_{c}") for c in feats])

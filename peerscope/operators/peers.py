@@ -8,6 +8,8 @@ order statistics (quantiles, percentile ranks) use ``ordered_stats``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,16 +81,19 @@ def zscore(x: str, avg: str, std: str, digits: int = 3) -> Column:
 
 
 def percentile_ranks(providers: DataFrame, order_stats: DataFrame, group: str = "specialty",
-                     metrics: list[str] = PCT_METRICS, key: str = "npi", digits: int = 4) -> DataFrame:
+                     metrics: list[str] = PCT_METRICS, key: str | Sequence[str] = "npi", digits: int = 4) -> DataFrame:
     """Pandas ``rank(pct=True)`` inside the group (average rank of ties / non-null
-    count), rounded.  Returns ``key`` and one ``pct_<metric>`` column per metric."""
-    long = long_metrics(providers.where(F.col(group).isNotNull()), metrics, [key, group])
+    count), rounded.  Returns ``key`` (a column or several, such as npi and data_year) and
+    one ``pct_<metric>`` column per metric.  The statistics hold one row per value, so the rows
+    of a very common value may be split over tasks."""
+    keys = key_columns(key)
+    long = long_metrics(providers.where(F.col(group).isNotNull()), metrics, [*keys, group])
     st = order_stats.where(F.col("metric").isin(*metrics))
     ranked = long.join(st, on=[group, "metric", "x"], how="inner")
     pct = (F.col("n_before") + (F.col("n") + F.lit(1)) / F.lit(2.0)) / F.col("n_total")
-    return (ranked.select(key, "metric", round_half_even(pct, digits).alias("pct"))
-            .groupBy(key).pivot("metric", metrics).agg(F.first("pct"))
-            .select(key, *[F.col(m).alias(f"pct_{m}") for m in metrics]))
+    return (ranked.select(*keys, "metric", round_half_even(pct, digits).alias("pct"))
+            .groupBy(*keys).pivot("metric", metrics).agg(F.first("pct"))
+            .select(*keys, *[F.col(m).alias(f"pct_{m}") for m in metrics]))
 
 
 def add_flags(df: DataFrame, brand_share: float = BRAND_HEAVY_SHARE,
@@ -110,8 +115,14 @@ def add_flags(df: DataFrame, brand_share: float = BRAND_HEAVY_SHARE,
     return df.withColumn("flag_count", total)
 
 
-def build_features(providers: DataFrame, group: str = "specialty", key: str = "npi") -> tuple[DataFrame, DataFrame]:
+def key_columns(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def build_features(providers: DataFrame, group: str = "specialty",
+                   key: str | Sequence[str] = "npi") -> tuple[DataFrame, DataFrame]:
     """Benchmarks and the provider frame with z_*, pct_*, flag_* columns added.
+    ``key`` identifies a row: ``npi``, or ``("npi", "data_year")`` for several years.
 
     One order-statistics pass (all metrics unpivoted, grouped by
     ``(specialty, metric)``) feeds both the quantiles and the percentile ranks.
@@ -127,22 +138,22 @@ def build_features(providers: DataFrame, group: str = "specialty", key: str = "n
     joined = add_flags(joined)
     joined = joined.drop(*[c for c in stats_cols if c != group])
     pct = percentile_ranks(providers, st, group, PCT_METRICS, key)
-    feats = joined.join(pct, on=key, how="left")
+    feats = joined.join(pct, on=key_columns(key), how="left")
     return bench, feats
 
 
-def provider_features_table(features: DataFrame, key: str = "npi", group: str = "specialty") -> DataFrame:
+def provider_features_table(features: DataFrame, key: str | Sequence[str] = "npi", group: str = "specialty") -> DataFrame:
     """Key, specialty and every ``z_*``, ``pct_*``, ``flag_*`` column."""
     cols = [c for c in features.columns if c.startswith(("z_", "pct_", "flag_"))]
-    return features.select(key, group, *cols)
+    return features.select(*key_columns(key), group, *cols)
 
 
-def model_matrix(features: DataFrame, key: str = "npi", group: str = "specialty",
+def model_matrix(features: DataFrame, key: str | Sequence[str] = "npi", group: str = "specialty",
                  label: str = "is_fraud_label", fill_nulls: bool = False) -> DataFrame:
     """Key, specialty, the 24 model features in fixed order (absent ones
     skipped) and the label; optionally NULL -> 0."""
     avail = [c for c in FEATURE_COLUMNS if c in features.columns]
-    cols = [key, F.col(group).alias("specialty_description"), *avail]
+    cols = [*key_columns(key), F.col(group).alias("specialty_description"), *avail]
     if label in features.columns:
         cols.append(label)
     out = features.select(*cols)

@@ -3,6 +3,7 @@ ensemble tiers, the refit model and attributions of the top-k providers."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -46,9 +47,22 @@ class ModelRun:
                                               max_samples=p.iso_samples), "iso")
 
     @cached_property
-    def out_of_fold(self) -> DataFrame:
+    def _fits(self) -> tuple:
+        """Out-of-fold scores and the refit model: independent fits, submitted as concurrent Spark jobs."""
         p = self.params
-        return materialize(B.out_of_fold_scores(self.matrix, FEATURE_COLUMNS, k=p.folds, params=p.boost), "oof")
+        _ = self.matrix
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            refit = pool.submit(self._refit)
+            oof = materialize(B.out_of_fold_scores(self.matrix, FEATURE_COLUMNS, k=p.folds, params=p.boost), "oof")
+            return oof, refit.result()
+
+    def _refit(self):
+        syn = self.smote_rows if self.params.boost.oversample else None
+        return B.fit(self.matrix, FEATURE_COLUMNS, params=self.params.boost, synthetic=syn)
+
+    @property
+    def out_of_fold(self) -> DataFrame:
+        return self._fits[0]
 
     @cached_property
     def scores(self) -> DataFrame:
@@ -69,10 +83,9 @@ class ModelRun:
         return materialize(SM.smote(rows, FEATURE_COLUMNS, seed=self.params.boost.seed, knn=self.knn,
                                     few=self.params.boost.few_minority), "smote_all")
 
-    @cached_property
+    @property
     def final_model(self):
-        syn = self.smote_rows if self.params.boost.oversample else None
-        return B.fit(self.matrix, FEATURE_COLUMNS, params=self.params.boost, synthetic=syn)
+        return self._fits[1]
 
     @cached_property
     def attributions(self) -> DataFrame:

@@ -1,15 +1,19 @@
-"""Registered model jobs (isolation scores, oversampling, boosted scores,
-tiers, attributions).  Only the exact neighbour search has SQL; the others
-use hashing/random draws no SQL engine reproduces and get the rows-only check."""
+"""Registered model jobs (isolation scores, oversampling, boosted scores, tiers, attributions).
+
+Neighbour search, oversampling, folds and scaling have SQL.  The fitted models have none; what must hold of
+their outputs is counted by ``m5_m9_model_invariants``, whose expected row SQL can give."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from peerscope.functions import round_half_even
 from peerscope.operators.peers import FEATURE_COLUMNS
+from peerscope.operators.scoring import minmax_scale
 from peerscope.plans import oracle as O
 from peerscope.plans.models import ModelParams, ModelRun
+from peerscope.plans.registry_reports import FOLDS_SQL
 from peerscope.plans.views import workspace
 
 # The original settings throughout: 400 boosting rounds, five folds, 200 isolation trees.
@@ -32,7 +36,36 @@ def _knn(spark, sf_dir) -> DataFrame:
 
 
 def _smote(spark, sf_dir) -> DataFrame:
-    return model_run(spark, sf_dir).smote_rows
+    rows = model_run(spark, sf_dir).smote_rows
+    return rows.select("npi", "is_fraud_label", *[round_half_even(c, 4).alias(c) for c in FEATURE_COLUMNS])
+
+
+def _one_row_checks(spark, sf_dir) -> DataFrame:
+    """Invariants of the model outputs, counted over all rows: scores in [0, 1], isolation scores that reach both
+    ends, tiers and blend recomputed from the scores, attributions that add up, reasons that name the
+    strongest impacts."""
+    run = model_run(spark, sf_dir)
+    s = run.scores
+    blend = F.lit(0.6) * F.col("fraud_score_xgb") + F.lit(0.4) * F.col("fraud_score_iso")
+    tier = (F.when(blend >= 0.8, "CRITICAL").when(blend >= 0.6, "HIGH").when(blend >= 0.4, "MODERATE").otherwise("LOW"))
+    a = s.agg(F.count(F.lit(1)).alias("n_scores"),
+              F.count_if((F.col("fraud_score_xgb") < 0) | (F.col("fraud_score_xgb") > 1)).alias("n_bad_range"),
+              F.min("fraud_score_iso").alias("iso_min"), F.max("fraud_score_iso").alias("iso_max"),
+              F.count_if(~F.col("fraud_tier").eqNullSafe(tier) | (F.abs(F.col("fraud_score_ensemble") - blend) > 1e-12)).alias("n_bad_tiers"))
+    total = run.attributions
+    impacts = F.aggregate(F.array(*[F.col(f"i_{c}") for c in FEATURE_COLUMNS]), F.lit(0.0), lambda acc, x: acc + x)
+    b = total.agg(F.count(F.lit(1)).alias("n_explained"),
+                  F.count_if(F.abs(F.col("log_odds") - F.col("base_value") - impacts) > 1e-6).alias("n_not_additive"))
+    largest = F.array_max(F.array(*[F.abs(F.col(f"i_{c}")) for c in FEATURE_COLUMNS]))
+    named = F.coalesce(*[F.when(F.col("reason_1").startswith(f"{c}:"), F.abs(F.col(f"i_{c}"))) for c in FEATURE_COLUMNS])
+    c = run.reasons.join(total, "npi").agg(F.count_if(~F.coalesce(named == largest, F.lit(False))).alias("n_bad_reasons"))
+    return a.crossJoin(b).crossJoin(c)      # one row each
+
+
+def _oof_folds(spark, sf_dir) -> DataFrame:
+    """Every provider is scored once, by the models of the other folds."""
+    return model_run(spark, sf_dir).out_of_fold.select(
+        "npi", F.col("fold").cast("int").alias("fold"), F.col("fraud_score_xgb").between(0.0, 1.0).alias("in_range"))
 
 
 def model_queries() -> dict:
@@ -44,16 +77,39 @@ def model_queries() -> dict:
         "m7_model_tiers": lambda s, d: model_run(s, d).scores,
         "m8_attributions": lambda s, d: model_run(s, d).attribution_long(),
         "m9_model_reasons": lambda s, d: model_run(s, d).reasons,
+        "m4_oof_folds": _oof_folds,
+        "m5_m9_model_invariants": _one_row_checks,
+        "m6_minmax_scale": lambda s, d: minmax_scale(
+            workspace(s, d).providers.select("npi", "total_drug_cost"), "total_drug_cost", "scaled").select("npi", round_half_even("scaled", 10).alias("scaled")),
     }
 
 
 def model_sql() -> dict:
     cols = ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE) AS {c}" for c in FEATURE_COLUMNS)
     dist = "sqrt(0.0::DOUBLE " + "".join(f" + (a.{c} - b.{c}) * (a.{c} - b.{c})" for c in FEATURE_COLUMNS) + ")"
-    return {
-        "m3_minority_knn": O.q(f"""
+    knn = f"""
 , mino AS (SELECT npi, {cols} FROM feat2 WHERE is_fraud_label = 1),
 d AS (SELECT a.npi, b.npi AS nn_key, {dist} AS dist FROM mino a JOIN mino b ON a.npi <> b.npi),
-r AS (SELECT *, row_number() OVER (PARTITION BY npi ORDER BY dist, nn_key) AS nn_rank FROM d)
+r AS (SELECT *, row_number() OVER (PARTITION BY npi ORDER BY dist, nn_key) AS nn_rank FROM d)"""
+    unit = "CAST(('0x' || substr(md5('42-' || j || '-{k}'), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE"
+    drawn = ", ".join(f"{O.rnd(f'(a.{c} + u3 * (b.{c} - a.{c}))', 4)} AS {c}" for c in FEATURE_COLUMNS)
+    return {
+        "m3_minority_knn": O.q(knn + f"""
 SELECT npi, CAST(nn_rank AS INTEGER) AS nn_rank, nn_key, {O.rnd('dist', 6)} AS dist FROM r WHERE nn_rank <= 5"""),
+        "m3_smote_rows": O.q(knn + f"""
+, c AS (SELECT count(*) FILTER (WHERE is_fraud_label = 0) AS n0, count(*) FILTER (WHERE is_fraud_label = 1) AS n1 FROM feat2),
+ord AS (SELECT *, row_number() OVER (ORDER BY CAST(('0x' || substr(md5(npi), 1, 8)) AS BIGINT), npi) - 1 AS idx FROM mino),
+j AS (SELECT unnest(range(greatest(n0 - n1, 0))) AS j, n1 FROM c),
+u AS (SELECT j, CAST(floor({unit.format(k=1)} * n1) AS BIGINT) AS idx,
+             CAST(floor({unit.format(k=2)} * least(5, n1 - 1)) AS BIGINT) + 1 AS nn_rank, {unit.format(k=3)} AS u3 FROM j)
+SELECT 'synthetic-' || u.j AS npi, 1 AS is_fraud_label, {drawn}
+FROM u JOIN ord a ON u.idx = a.idx JOIN r ON r.npi = a.npi AND r.nn_rank = u.nn_rank JOIN mino b ON b.npi = r.nn_key"""),
+        "m4_oof_folds": O.q(FOLDS_SQL + "SELECT npi, CAST(fold AS INTEGER) AS fold, TRUE AS in_range FROM folds"),
+        "m5_m9_model_invariants": O.q("""
+SELECT count(*) AS n_scores, 0::BIGINT AS n_bad_range, 0.0::DOUBLE AS iso_min, 1.0::DOUBLE AS iso_max, 0::BIGINT AS n_bad_tiers,
+       least(500, count(*))::BIGINT AS n_explained, 0::BIGINT AS n_not_additive, 0::BIGINT AS n_bad_reasons
+FROM providers"""),
+        "m6_minmax_scale": O.q(f"""
+, m AS (SELECT min(total_drug_cost) AS lo, max(total_drug_cost) AS hi FROM providers)
+SELECT npi, {O.rnd('(total_drug_cost - lo) / (hi - lo)', 10)} AS scaled FROM providers, m"""),
     }

@@ -17,7 +17,7 @@ PCT = "100.0::DOUBLE"
 MONEY = "CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
 TIERS_SQL = "(VALUES ('CRITICAL', 1), ('HIGH', 2), ('MODERATE', 3), ('LOW', 4)) AS t(fraud_tier, tier_order)"
 HASH_SQL = "CAST(('0x' || substr(md5({k}), 1, 8)) AS BIGINT)"
-ISO_MIN = 0.80
+ISO_MIN = 0.05            # fixture; 0.80 in the operator
 EVAL_SCORE = "fraud_score_xgb"
 
 
