@@ -29,3 +29,24 @@ def test_catalog_plans_have_no_row_python_udfs(spark):
         df.collect()
         plan = _plan(df)
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_peer_joins_are_broadcast_behind_a_size_check(spark):
+    """One row per specialty or state is joined without shuffling the providers on that key."""
+    from peerscope.operators import clean as C
+    from peerscope.operators import reports as R
+    from peerscope.plans.views import workspace
+    q, ws = catalog_queries(), workspace(spark, SF)
+    frames = {n: q[n](spark, SF) for n in ("f1_peer_outliers", "f2_brand_heavy", "r1_zscore_ranking")}
+    frames["a20"] = R.peer_comparison(ws.providers_scored)
+    frames["c6"] = C.drop_cost_outliers(ws.providers_raw)
+    for name, df in frames.items():
+        plan = _plan(df)
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, name
+
+
+def test_large_side_is_not_broadcast(spark):
+    from peerscope.functions import bounded_broadcast
+    small, large = spark.range(10), spark.range(50)
+    assert "broadcast" in bounded_broadcast(small, 10)._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in bounded_broadcast(large, 10)._jdf.queryExecution().logical().toString().lower()
