@@ -25,6 +25,22 @@ FLAG_LABELS = [
     ("flag_concentrated_benes", "Concentrated patients"),
     ("flag_opioid_heavy", "Opioid overuse"),
 ]
+# Display names of the features that reasons are built from.
+FEATURE_LABELS = {
+    "z_total_claim_count": "Claim volume vs specialty peers",
+    "z_cost_per_claim": "Cost per claim vs specialty peers",
+    "z_brand_share": "Brand drug usage vs specialty peers",
+    "z_opioid_share": "Opioid prescribing vs specialty peers",
+    "flag_high_volume": "Extreme claim volume (top 1% in specialty)",
+    "flag_high_cost_per_claim": "High cost per claim (top 1% in specialty)",
+    "flag_brand_heavy": "Brand-heavy prescribing (>70% brand)",
+    "flag_concentrated_benes": "Concentrated beneficiaries (pill mill pattern)",
+    "flag_opioid_heavy": "High opioid share (>20% of claims)",
+    "brand_share": "Brand drug share",
+    "opioid_share": "Opioid prescription share",
+    "cost_per_claim": "Cost per claim (USD)",
+    "claims_per_bene": "Claims per beneficiary",
+}
 SCORE_BAR_CUTS = [("red", 0.8), ("orange", 0.6), ("yellow", 0.4)]   # strict '>'
 PATTERN_METRICS = [  # (metric label, column, scale, floor for the ratio denominator)
     ("Brand drug share", "brand_share", 100.0, None),
@@ -218,6 +234,37 @@ def high_risk_table(scored: DataFrame, k: int = 100, **filters) -> DataFrame:
         F.when(F.col("is_fraud_label") == 1, F.lit("OIG Confirmed")).otherwise(F.lit("")).alias("OIG_Status"))
 
 
+def state_display(scored: DataFrame, sort_by: str = "high_risk_pct") -> DataFrame:
+    """The state table as displayed (text columns), in the order of ``state_table``."""
+    return state_table(scored, sort_by).select(
+        "rank", F.col("state").alias("State"), F.col("total_providers").alias("Providers"), F.col("critical_count").alias("CRITICAL"),
+        F.col("high_count").alias("HIGH"),
+        F.format_string("%.1f%%", round_half_even("high_risk_pct", 1)).alias("High_Risk_pct"),
+        F.format_string("%.4f", F.col("avg_fraud_score")).alias("Avg_Score"),
+        F.format_string("$%.1fM", F.col("total_drug_cost_m")).alias("Drug_Cost"),
+        F.col("oig_confirmed").alias("OIG_Confirmed"))
+
+
+def lookup_metrics(scored: DataFrame) -> DataFrame:
+    """The billing metrics of the lookup page as displayed, one row per provider and metric; NULL counts as 0."""
+    def v(c):
+        return F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    shown = [("Total Claims", F.format_number(v("total_claim_count").cast("long"), 0)),
+             ("Total Drug Cost", F.format_string("$%.0fK", round_half_even(v("total_drug_cost") / F.lit(1000.0), 0))),
+             ("Cost per Claim", F.format_string("$%.0f", round_half_even(v("cost_per_claim"), 0))),
+             ("Brand Drug Share", F.format_string("%.1f%%", round_half_even(v("brand_share") * F.lit(100.0), 1))),
+             ("Opioid Share", F.format_string("%.1f%%", round_half_even(v("opioid_share") * F.lit(100.0), 1)))]
+    items = F.array(*[F.struct(F.lit(n).alias("metric"), x.alias("value")) for n, x in shown])
+    return scored.select("npi", F.inline(items))
+
+
+def labelled_reasons(alerts: DataFrame) -> DataFrame:
+    """2.8.16: the feature behind each provider's first reason with its display name (the raw name where there is none)."""
+    names = F.create_map(*[F.lit(x) for pair in FEATURE_LABELS.items() for x in pair])
+    feature = F.substring_index("reason_1", ":", 1)
+    return alerts.select("npi", feature.alias("feature"), F.coalesce(F.try_element_at(names, feature), feature).alias("label"))
+
+
 def flagged_by_state(scored: DataFrame, k: int = 15, tiers: Sequence[str] = ("CRITICAL", "HIGH"),
                      states: Sequence[str] = ()) -> DataFrame:
     """Flagged providers per state (tier and state filters only), top ``k``."""

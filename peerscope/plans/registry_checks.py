@@ -139,6 +139,9 @@ def check_queries() -> dict:
         "c13_c19_lookup": _lookup,
         "c14_filters": lambda s, d: R.filter_high_risk(w(s, d).providers_scored, states=STATES, specialties=SPECIALTIES).select(
             "npi", "state", "specialty", "fraud_tier"),
+        "c18_state_display": lambda s, d: R.state_display(w(s, d).providers_scored),
+        "c18_lookup_metrics": lambda s, d: R.lookup_metrics(w(s, d).providers_scored),
+        "d16_labelled_reasons": lambda s, d: R.labelled_reasons(w(s, d).reasons),
         **{f"l8_states_by_{c}": (lambda s, d, c=c: R.state_table(w(s, d).providers_scored, c)) for c in SORTS},
     }
 
@@ -203,6 +206,20 @@ UNION ALL SELECT npi, specialty, 0.0, 0.0, 0.0, 'UNKNOWN', 0, 'unscored' FROM on
         "c14_filters": O.q(f"""
 SELECT npi, state, specialty, fraud_tier FROM providers
 WHERE fraud_tier IN ('CRITICAL', 'HIGH') AND state IN ({states}) AND specialty IN ({specialties})"""),
+        "c18_state_display": O.q(_state_table_sql(f"""
+SELECT row_number() OVER (ORDER BY high_risk_pct DESC, state) AS rank, state AS State, total_providers AS Providers, critical_count AS CRITICAL,
+       high_count AS HIGH, printf('%.1f%%', {O.rnd('high_risk_pct', 1)}) AS High_Risk_pct, printf('%.4f', avg_fraud_score) AS Avg_Score,
+       printf('$%.1fM', total_drug_cost_m) AS Drug_Cost, oig_confirmed AS OIG_Confirmed FROM st""")),
+        "c18_lookup_metrics": O.q(f"""
+SELECT npi, 'Total Claims' AS metric, format('{{:,}}', total_claim_count) AS value FROM providers
+UNION ALL SELECT npi, 'Total Drug Cost', printf('$%.0fK', {O.rnd('coalesce(total_drug_cost, 0) / 1000.0', 0)}) FROM providers
+UNION ALL SELECT npi, 'Cost per Claim', printf('$%.0f', {O.rnd('coalesce(cost_per_claim, 0)', 0)}) FROM providers
+UNION ALL SELECT npi, 'Brand Drug Share', printf('%.1f%%', {O.rnd('coalesce(brand_share, 0) * 100.0', 1)}) FROM providers
+UNION ALL SELECT npi, 'Opioid Share', printf('%.1f%%', {O.rnd('coalesce(opioid_share, 0) * 100.0', 1)}) FROM providers"""),
+        "d16_labelled_reasons": O.q(f"""
+, named(feature, label) AS (VALUES {', '.join(f"('{k}', '{v}')" for k, v in R.FEATURE_LABELS.items())}),
+lead AS (SELECT npi, split_part(reason_1, ':', 1) AS feature FROM fraud_alerts)
+SELECT npi, feature, coalesce(label, feature) AS label FROM lead LEFT JOIN named USING (feature)"""),
         **{f"l8_states_by_{c}": O.q(_state_table_sql(
             f"SELECT *, row_number() OVER (ORDER BY {c} DESC, state) AS rank FROM st")) for c in SORTS},
     }

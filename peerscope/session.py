@@ -86,9 +86,24 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/peerscope/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def drop_intermediates(spark: SparkSession) -> int:
+    """Delete what ``materialize`` has written in this application (call it when the results that read
+    these files are written or collected); returns the number of folders."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(hadoop).delete(path, True)
+    return len(paths)
+
+
 _SHIPPED: set[str] = set()
 _SHIP_LOCK = threading.Lock()
 
