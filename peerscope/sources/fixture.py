@@ -21,7 +21,7 @@ Plan shape (scales with the line table, which is read once):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from peerscope.sources.files import read_table
@@ -41,7 +41,11 @@ def npi_of(custkey) -> F.Column:
 def order_year_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (episode, service year): claim lines, money and drug-class counts,
     with the prescriber key.  The one pass over the line table that both
-    roll-ups (per provider and per provider-year) share."""
+    roll-ups (per provider and per provider-year) share.
+
+    ``first`` marks one row of each episode and ``first_opioid`` the same row where any year of the
+    episode has an opioid line, so the roll-up over all years counts an episode once
+    without grouping the facts by episode again (the window uses the join's partitioning)."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_extendedprice", "l_linestatus", "l_shipdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
@@ -57,24 +61,25 @@ def order_year_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(is_fill).alias("fills"),
     )
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return (per_order_year.join(orders, per_order_year.l_orderkey == orders.o_orderkey, "inner")
-            .drop("o_orderkey"))
+    facts = per_order_year.join(orders, per_order_year.l_orderkey == orders.o_orderkey, "inner").drop("o_orderkey")
+    episode = Window.partitionBy("l_orderkey")      # the years of one episode
+    first = (F.row_number().over(episode.orderBy("data_year")) == 1).cast("long")
+    return facts.withColumns({"first": first, "first_opioid": first * (F.sum("opioid").over(episode) > 0).cast("long")})
 
 
 def _rollup(spark: SparkSession, sf_dir: str, by_year: bool, facts: DataFrame | None = None) -> DataFrame:
     facts = facts if facts is not None else order_year_facts(spark, sf_dir)
-    if not by_year:
-        # an episode spanning two years is still one beneficiary episode
-        facts = facts.groupBy("o_custkey", "l_orderkey").agg(
-            *[F.sum(c).alias(c) for c in ("claims", "cost", "brand", "opioid", "fills")])
+    # an episode spanning two years is still one beneficiary episode
+    episodes = F.count(F.lit(1)) if by_year else F.sum("first")
+    opioid_episodes = F.count_if(F.col("opioid") > 0) if by_year else F.sum("first_opioid")
     keys = ["o_custkey"] + (["data_year"] if by_year else [])
     per_cust = facts.groupBy(*keys).agg(
         F.sum("claims").alias("total_claim_count"),
         F.sum("cost").cast("double").alias("total_drug_cost"),
-        F.count(F.lit(1)).alias("total_beneficiaries"),
+        episodes.alias("total_beneficiaries"),
         F.sum("brand").alias("brand_claim_count"),
         F.sum("opioid").alias("opioid_claim_count"),
-        F.count_if(F.col("opioid") > 0).alias("opioid_bene_count"),
+        opioid_episodes.alias("opioid_bene_count"),
         F.sum("fills").alias("total_30_day_fill_count"),
     )
     cust = read_table(spark, sf_dir, "customer").select(
