@@ -9,18 +9,24 @@ An R-tree over all points would not prune (one box of a random group of texts sp
 dimensions), nor could it be split over tasks, so the points are first cut into blocks, without loss:
 
 1. *Signatures.*  Linked sets differ in at most d = floor(n / 9) hashes, n the smaller size (threshold 0.9).  The
-   hash space is cut into m > d parts, so two linked sets agree in one part at least.  A set has a key for each part it has a
-   hash in; m leaves some slack for empty parts, and a set whose empty parts use up the slack has keys for those too.  m is
-   a function of a size class; sets near the lower end of their class also have the keys of the class below.
+   hash space is cut into m = 1.5 (d + 1) parts, so two linked sets agree in m - d parts at least; a set's key for a part is
+   a hash of what it has there.  Keys have a level by how common they are (passages that many texts share have high
+   ones).  A set keeps the keys up to the lowest level at which it has more than d of them, and only if it has not enough
+   in all also those of its empty parts: of two linked sets the one with the lower limit shares one of its
+   kept keys with the other, which keeps it too.  Levels come from a bounded sample of documents; any choice loses no
+   link, it only decides how large blocks get.  m is a function of a size class; sets near the lower end of their class also have
+   the keys of the class below.
 2. *Edges.*  Each task collapses equal sets, finds the smallest id of each key it sees, and sends that one (key, id) pair on,
    with the edges to it; so a key of very many documents is one pair a flush.  Pairs travel as packed arrays, a
    row per bucket of the key space, and each bucket (of bounded size) joins its pairs by key.
 3. *Blocks* are the connected components of these edges.  Linked sets share a key, so they share a block; a text that
    shares no key is done.  Equal sets are then one member (128-bit digest).
-4. Only the texts in blocks are read again.  A block of more than ``TILE_ROWS`` rows or ``TILE_SIZE`` hashes is dealt by hash to
-   leaves, and each pair of leaves is a tile of bounded size; all of a tile goes through one R-tree.  Pairs already
-   connected inside the tile need no verification, and only a spanning forest of the links is returned.
-5. Components of the links, joined back to the ids of equal sets.
+4. *R-tree on points.*  The blocks' points (no texts) go through the R-tree; components of the pairs whose bound reaches the
+   link condition are the final, much smaller blocks.
+5. *Verification.*  Only the texts in final blocks are read again, and pairs that the R-tree lets through are compared by
+   their sets.  In both steps a block of more than the tile size is dealt by hash to leaves, and each pair of leaves is a
+   tile of bounded size; pairs already connected inside a tile are skipped, and only a spanning forest is returned.
+6. Components of the links, joined back to the ids of equal sets.
 
 Edge cases: texts without words and null texts have an empty set and link with nothing; fewer words than n are one
 n-gram; repeated rows are equal sets; rows with a null id are returned with their set size and a null component;
@@ -37,19 +43,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import byte_texts, map_text, mix64, ship_package, text_chunks, within
+from peerscope.llm.common import bounded_sample, byte_texts, map_text, mix64, ship_package, text_chunks, within
 from peerscope.llm.graph import components
 from peerscope.session import materialize
 
 N_WORDS = 3
 THRESHOLD = 0.9
-GROUPS = 64
+GROUPS, MAX_GROUPS = 64, 4096
 LEAF, FAN = 32, 8
 CLASS_RATIO = 1.5
+POINT_ROWS = 4096
 TILE_ROWS = 1024
 TILE_SIZE = 1_000_000
 BUCKET_HASHES = 2_000_000
 FLUSH_KEYS = 1_000_000
+SAMPLE_DOCS = 20_000
+COMMON = 3
+NOTHING_COMMON = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _POWERS = mix64(np.arange(4096, dtype=np.uint64) + np.uint64(99)) | np.uint64(1)
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else (0x20 if b in b"\t\n\x0b\x0c\r" else b) for b in range(256))
@@ -116,9 +126,10 @@ class Classes:
 
     def parts(self, k: int) -> int:
         d = self.differ(self.low(k + 1) - 1) + 1
-        return d + max(2, math.ceil(0.1 * d))
+        return d + max(2, math.ceil(0.5 * d))
 
-    def keys(self, s: np.ndarray) -> np.ndarray:
+    def keys(self, s: np.ndarray, common: tuple[np.ndarray, np.ndarray] = NOTHING_COMMON) -> np.ndarray:
+        """Keys that a set keeps; ``common``: sorted keys with their level (1 and up, other keys have level 0)."""
         n = s.size
         if n < self.first:
             return np.zeros(0, dtype=np.uint64)
@@ -126,35 +137,86 @@ class Classes:
         of = [k]
         if k and -(-self.t * n // 100) < self.low(k):       # smaller partners are in the class below
             of.append(k - 1)
-        return np.concatenate([self._keys(s, c) for c in of])
+        return np.concatenate([self._keys(s, c, common) for c in of])
 
-    def _keys(self, s: np.ndarray, k: int) -> np.ndarray:
+    def _keys(self, s: np.ndarray, k: int, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         m = self.parts(k)
         mixed = mix64(s ^ _B)
         part = ((mixed >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         held, start = np.unique(part[order], return_index=True)
         sums = np.add.reduceat(mix64(mixed + _A)[order], start)
-        if held.size <= self.differ(s.size):                # the parts in common could all be empty ones
-            whole = np.zeros(m, dtype=np.uint64)
-            whole[held] = sums
-            held, sums = np.arange(m), whole
-        return mix64(sums ^ mix64(held.astype(np.uint64) + np.uint64(k << 40)))
-
-
-def count_vectors(sets: list[np.ndarray], groups: int = GROUPS) -> np.ndarray:
-    """(sets x groups): how many hashes of each set fall into each group."""
-    out = np.zeros((len(sets), groups), dtype=np.int32)
-    for k, s in enumerate(sets):
-        out[k] = np.bincount((s >> np.uint64(40)).astype(np.int64) % groups, minlength=groups)
-    return out
+        own = mix64(sums ^ mix64(held.astype(np.uint64) + np.uint64(k << 40)))
+        known, of = common
+        level = np.zeros(own.size, dtype=np.int64)
+        if known.size:
+            at = np.searchsorted(known, own)
+            at[at == known.size] = 0
+            level = np.where(known[at] == own, of[at], 0)
+        d = self.differ(s.size)
+        if own.size > d:
+            return own[level <= np.sort(level)[d]]
+        # the parts in common with a linked set could all be empty ones
+        empty = np.setdiff1d(np.arange(m), held)
+        return np.concatenate((own, mix64(mix64(empty.astype(np.uint64) + np.uint64(k << 40)))))
+
+
+def count_vector(s: np.ndarray) -> np.ndarray:
+    """How many hashes of a set fall into each group.  The number of groups is a power of two of about an eighth of
+    the set's size: with it random sets of any size have a bound of about 0.8 of their size."""
+    groups = GROUPS
+    while groups < min(MAX_GROUPS, s.size // 8):
+        groups *= 2
+    return np.bincount((s >> np.uint64(40)).astype(np.int64) % groups, minlength=groups).astype(np.int32)
+
+
+class Points:
+    """Count vectors of many sets, comparable at each number of groups: a group of fewer ones is the sum of
+    those it holds.  ``coarse`` has all sets at the least number of groups; the R-tree is built on it."""
+
+    def __init__(self, vectors: list[np.ndarray], sizes: np.ndarray):
+        self.sizes = np.asarray(sizes, dtype=np.int64)
+        self.groups = np.array([v.size for v in vectors], dtype=np.int64)
+        self.levels: dict[int, tuple[np.ndarray, np.ndarray]] = {}      # groups: (row of each set, or -1; matrix)
+        for g in np.unique(np.append(self.groups, GROUPS)).tolist():
+            held = np.flatnonzero(self.groups >= g)
+            row = np.full(len(vectors), -1, dtype=np.int64)
+            row[held] = np.arange(held.size)
+            self.levels[g] = row, np.array([vectors[k].reshape(-1, g).sum(0) for k in held.tolist()], dtype=np.int32).reshape(held.size, g)
+        self.coarse = self.levels[GROUPS][1]
+
+    def at(self, g: int, own: np.ndarray) -> np.ndarray:
+        """The vectors of ``own`` (which have at least ``g`` groups) with ``g`` groups."""
+        if g not in self.levels:
+            finer = min(x for x in self.levels if x > g)
+            row, matrix = self.levels[finer]
+            self.levels[g] = row, matrix.reshape(len(matrix), -1, g).sum(1, dtype=np.int32)
+        row, matrix = self.levels[g]
+        return matrix[row[own]]
+
+    def near(self, p: int, other: Points, own: np.ndarray, threshold: float) -> np.ndarray:
+        """Those of ``own`` (sets of ``other``) whose finest bound with set ``p`` reaches the link condition."""
+        if not own.size:
+            return own
+        keep = np.zeros(own.size, dtype=bool)
+        both = np.minimum(other.groups[own], self.groups[p])
+        for g in np.unique(both).tolist():
+            at = np.flatnonzero(both == g)
+            bound = np.minimum(other.at(g, own[at]), self.at(g, np.array([p]))).sum(1)
+            keep[at] = bound >= _need(other.sizes[own[at]], self.sizes[p], threshold)
+        return own[keep]
+
+
+def points_of(sets: list[np.ndarray]) -> Points:
+    return Points([count_vector(s) for s in sets], np.array([s.size for s in sets]))
 
 
 class RTree:
     """Packed R-tree over count vectors: boxes are kept as largest coordinates and the range of set sizes."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        self.points, self.sizes = points, sizes
+    def __init__(self, held: Points):
+        self.held = held
+        points, sizes = self.points, self.sizes = held.coarse, held.sizes
         self.order = np.lexsort((*points.T[:4], sizes))
         self.levels = []        # from the leaves: (top coordinates, smallest size, largest size, first child, end)
         bounds = np.append(np.arange(0, len(points), LEAF), len(points))
@@ -167,9 +229,10 @@ class RTree:
                 break
             bounds = np.append(np.arange(0, len(at), FAN), len(at))
 
-    def candidates(self, queries: np.ndarray, sizes: np.ndarray, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
+    def candidates(self, other: Points, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
         """(point, queries whose bound reaches the link condition), by way of the boxes."""
         t = round(threshold * 100)
+        queries, sizes = other.coarse, other.sizes
         stack = [(len(self.levels) - 1, 0, np.arange(len(queries)))]
         while stack:
             level, node, own = stack.pop()
@@ -184,40 +247,63 @@ class RTree:
                 continue
             for p in self.order[first:end].tolist():
                 near = own[np.minimum(queries[own], self.points[p]).sum(1) >= _need(sizes[own], self.sizes[p], threshold)]
+                near = self.held.near(p, other, near, threshold)
                 if near.size:
                     yield p, near
 
 
+class _Labels:
+    """Component labels of the members of a tile as arrays; members may stand on both sides."""
+
+    def __init__(self, left: list[int], right: list[int]):
+        self.ids, at = np.unique(np.array([*left, *right], dtype=np.int64), return_inverse=True)
+        self.left, self.right = at[:len(left)], at[len(left):]
+        self.label = np.arange(self.ids.size)
+
+    def apart(self, p: int, near: np.ndarray) -> np.ndarray:
+        """Members of ``near`` (right side) not yet connected with ``p`` (left side)."""
+        return near[self.label[self.right[near]] != self.label[self.left[p]]]
+
+    def connect(self, p: int, q: int) -> tuple[int, int]:
+        a, b = self.left[p], self.right[q]
+        self.label[self.label == self.label[b]] = self.label[a]
+        return int(self.ids[a]), int(self.ids[b])
+
+
+def near_pairs(left: list[int], points: Points, right: list[int], other: Points, threshold: float = THRESHOLD) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs whose bound reaches the link condition."""
+    if not left or not right:
+        return []
+    labels, out = _Labels(left, right), []
+    for p, near in RTree(points).candidates(other, threshold):
+        near = labels.apart(p, near)
+        while near.size:
+            out.append(labels.connect(p, int(near[0])))
+            near = labels.apart(p, near)
+    return out
+
+
 def links(left: list[int], left_sets: list[np.ndarray], right: list[int], right_sets: list[np.ndarray],
           threshold: float = THRESHOLD) -> list[tuple[int, int]]:
     """A spanning forest of the links between the two sides (which may be the same lists)."""
     if not left or not right:
         return []
-    parent: dict[int, int] = {x: x for x in (*left, *right)}
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    t = round(threshold * 100)
-    tree = RTree(count_vectors(left_sets), np.array([s.size for s in left_sets]))
-    out = []
-    for p, near in tree.candidates(count_vectors(right_sets), np.array([s.size for s in right_sets]), threshold):
-        a, s = left[p], left_sets[p]
-        for q in near.tolist():
-            ra, rb = root(a), root(right[q])
-            if ra == rb:
-                continue
-            o = right_sets[q]
+    labels, out, t = _Labels(left, right), [], round(threshold * 100)
+    points = points_of(left_sets)
+    for p, near in RTree(points).candidates(points if right_sets is left_sets else points_of(right_sets), threshold):
+        s = left_sets[p]
+        near = labels.apart(p, near)
+        while near.size:
+            o = right_sets[near[0]]
             small, big = (s, o) if s.size <= o.size else (o, s)
             at = np.searchsorted(big, small)
             at[at == big.size] = 0
             common = int((big[at] == small).sum())
             if 100 * common >= t * (s.size + o.size - common):
-                parent[max(ra, rb)] = min(ra, rb)
-                out.append((a, right[q]))
+                out.append(labels.connect(p, int(near[0])))
+                near = labels.apart(p, near[1:])
+            else:
+                near = near[1:]
     return out
 
 
@@ -228,13 +314,33 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
 
 
 def _sizes_table(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles and the set's 128-bit digest."""
+    """doc_id, n_shingles, the set's 128-bit digest and its point."""
     def step(chunk: pa.RecordBatch) -> dict:
         sets = [ngram_set(t, n) for t in byte_texts(chunk)]
         digests = np.array([_digest(s) for s in sets], dtype=np.uint64).reshape(-1, 2).view(np.int64)
-        return {"doc_id": chunk.column("doc_id"), "n_shingles": [s.size for s in sets], "d1": digests[:, 0], "d2": digests[:, 1]}
+        return {"doc_id": chunk.column("doc_id"), "n_shingles": [s.size for s in sets], "d1": digests[:, 0], "d2": digests[:, 1],
+                "point": [count_vector(s).astype("<i4").tobytes() for s in sets]}
 
-    return map_text(docs, step, "doc_id long, n_shingles long, d1 long, d2 long")
+    return map_text(docs, step, "doc_id long, n_shingles long, d1 long, d2 long, point binary")
+
+
+def _common_keys(docs: DataFrame, n: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Keys that ``COMMON`` or more different sets of a sample of at most ``SAMPLE_DOCS`` documents have, with levels that
+    rise by one as the number of sets doubles; so at most ``SAMPLE_DOCS / COMMON`` times the keys of a document come to
+    the driver."""
+    classes = Classes(threshold)
+    ids = bounded_sample(docs.select("doc_id").where(F.col("doc_id").isNotNull()), SAMPLE_DOCS, "doc_id").distinct()
+
+    def step(chunk: pa.RecordBatch) -> dict:
+        sets = {_digest(s): s for s in (ngram_set(t, n) for t in byte_texts(chunk))}
+        keys = [(d, k) for d, s in sets.items() for k in classes.keys(s).tolist()]
+        return {"key": np.array([k for _, k in keys], dtype=np.uint64).view(np.int64), "own": np.array([d[0] for d, _ in keys], dtype=np.uint64).view(np.int64)}
+
+    keys = map_text(docs.join(F.broadcast(ids), "doc_id"), step, "key long, own long").distinct()
+    found = keys.groupBy("key").count().where(F.col("count") >= COMMON).toPandas()
+    known = found["key"].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(known)
+    return known[order], 1 + np.log2(found["count"].to_numpy(dtype=np.float64)[order] / COMMON).astype(np.int64)
 
 
 def _star(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -252,6 +358,7 @@ def _star(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 def _candidate_edges(docs: DataFrame, n: int, threshold: float, total: int) -> DataFrame:
     """Edges (a, b) whose components hold every link.  ``total``: hashes of all documents."""
     classes = Classes(threshold)
+    common = docs.sparkSession.sparkContext.broadcast(_common_keys(docs, n, threshold))
     buckets = max(1, -(-total // BUCKET_HASHES))
     keep = np.uint64((1 << 40) - 1)
 
@@ -284,7 +391,7 @@ def _candidate_edges(docs: DataFrame, n: int, threshold: float, total: int) -> D
                     old = sets.get(d)
                     sets[d] = (doc if old is None else min(doc, old[0]), s)
             for doc, s in sets.values():
-                k = classes.keys(s)
+                k = classes.keys(s, common.value)
                 keys.append(k)
                 ids.append(np.full(k.size, doc, dtype=np.int64))
                 held += k.size
@@ -314,25 +421,50 @@ def _candidate_edges(docs: DataFrame, n: int, threshold: float, total: int) -> D
     return packed.groupBy("bucket").applyInArrow(join, "a long, b long")
 
 
-def _tiles(blocks: DataFrame) -> DataFrame:
-    """(rep, block, i, j, side): the tiles each set takes part in."""
+def _tiles(blocks: DataFrame, rows: int, hashes: int | None = None) -> DataFrame:
+    """The columns of ``blocks`` and (i, j, side): the tiles each member takes part in."""
     size = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_shingles").alias("hashes"))
-    leaves = size.select("block", F.greatest(F.ceil(F.col("rows") / TILE_ROWS), F.ceil(F.col("hashes") / TILE_SIZE)).cast("int").alias("leaves"))
-    own = blocks.join(leaves, "block").withColumn("leaf", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("leaves")).cast("int"))
+    need = F.ceil(F.col("rows") / rows)
+    if hashes:
+        need = F.greatest(need, F.ceil(F.col("hashes") / hashes))
+    own = blocks.join(size.select("block", need.cast("int").alias("leaves")), "block")
+    own = own.withColumn("leaf", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("leaves")).cast("int"))
     other = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("leaves") - 1)))
-    return other.select("rep", "block", F.least("leaf", "other").alias("i"), F.greatest("leaf", "other").alias("j"),
+    return other.select(*blocks.columns, F.least("leaf", "other").alias("i"), F.greatest("leaf", "other").alias("j"),
                         (F.col("leaf") > F.col("other")).alias("side"))
 
 
+def _sides(table: pa.Table) -> tuple[list[int], list[int], list[int]]:
+    """Ids of the tile's rows, and the rows of its two sides (the same in a diagonal tile)."""
+    reps, sides = table.column("rep").to_pylist(), table.column("side").to_pylist()
+    left = [k for k, s in enumerate(sides) if not s]
+    same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+    return reps, left, left if same else [k for k, s in enumerate(sides) if s]
+
+
+def _edges(found: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def _point_tile(threshold: float):
+    def run(table: pa.Table) -> pa.Table:
+        reps, left, right = _sides(table)
+        vectors = [np.frombuffer(v, dtype="<i4") for v in table.column("point").to_pylist()]
+        sizes = table.column("n_shingles").to_numpy()
+        one = Points([vectors[k] for k in left], sizes[left])
+        two = one if right is left else Points([vectors[k] for k in right], sizes[right])
+        return _edges(near_pairs([reps[k] for k in left], one, [reps[k] for k in right], two, threshold))
+
+    return run
+
+
 def _join_tile(n: int, threshold: float):
     def run(table: pa.Table) -> pa.Table:
-        reps, sides = table.column("rep").to_pylist(), table.column("side").to_pylist()
+        reps, left, right = _sides(table)
         sets = [ngram_set(t or b"", n) for t in table.column("text").to_pylist()]
-        same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
-        left = [k for k, s in enumerate(sides) if not s]
-        right = left if same else [k for k, s in enumerate(sides) if s]
-        found = links([reps[k] for k in left], [sets[k] for k in left], [reps[k] for k in right], [sets[k] for k in right], threshold)
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+        one = [sets[k] for k in left]
+        two = one if right is left else [sets[k] for k in right]
+        return _edges(links([reps[k] for k in left], one, [reps[k] for k in right], two, threshold))
 
     return run
 
@@ -347,15 +479,17 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     real = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     reps = table.where(real).groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
     block_of = materialize(components(_candidate_edges(rows, n, threshold, total)), "blocks")
-    # the distinct sets in blocks, with their sizes
+    # the distinct sets in blocks, with their points
     nodes = block_of.select(F.col("node").alias("doc_id"), F.col("component").alias("block"))
     sets = table.where(real).join(within(nodes), "doc_id").groupBy("d1", "d2").agg(
-        F.min("block").alias("block"), F.first("n_shingles").alias("n_shingles"))
-    members = materialize(reps.join(within(materialize(sets, "block_sets")), ["d1", "d2"]).select("rep", "block", "n_shingles"), "members")
-    tiles = materialize(_tiles(members), "tiles")
+        F.min("block").alias("block"), F.first("n_shingles").alias("n_shingles"), F.first("point").alias("point"))
+    members = materialize(reps.join(sets, ["d1", "d2"]).select("rep", "block", "n_shingles", "point"), "members")
+    near = _tiles(members, POINT_ROWS).groupBy("block", "i", "j").applyInArrow(_point_tile(threshold), "a long, b long")
+    final = materialize(components(near), "final_blocks").select(F.col("node").alias("rep"), F.col("component").alias("block"))
+    sized = materialize(members.select("rep", "n_shingles").join(within(final), "rep"), "final_members")
+    tiles = materialize(_tiles(sized, TILE_ROWS, TILE_SIZE).drop("n_shingles"), "tiles")
     wanted = rows.select(F.col("doc_id").alias("rep"), F.col("text").cast("binary").alias("text"))
-    dealt = wanted.join(within(tiles), "rep")
-    found = dealt.groupBy("block", "i", "j").applyInArrow(_join_tile(n, threshold), "a long, b long")
+    found = wanted.join(within(tiles), "rep").groupBy("block", "i", "j").applyInArrow(_join_tile(n, threshold), "a long, b long")
     label = components(found)
     named = reps.join(label, reps["rep"] == label["node"], "left").select("d1", "d2", F.coalesce("component", "rep").alias("found"))
     return table.join(named, ["d1", "d2"], "left").select(

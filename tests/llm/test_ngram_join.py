@@ -24,6 +24,11 @@ def test_linked_sets_share_a_key(threshold):
         if 100 * i >= t * (s.size + o.size - i):
             linked += 1
             assert s.size == o.size == i or np.intersect1d(classes.keys(s), classes.keys(o)).size
+            # whichever keys count as common
+            both = np.concatenate((classes.keys(s), classes.keys(o)))
+            known = np.unique(both[rng.random(both.size) < rng.random()])
+            common = known, rng.integers(1, 4, known.size)
+            assert s.size == o.size == i or np.intersect1d(classes.keys(s, common), classes.keys(o, common)).size
     assert linked > 800
 
 
@@ -31,7 +36,7 @@ def test_empty_parts_are_covered():
     classes = J.Classes()
     many = np.random.default_rng(3).integers(0, 2**63, 400).astype(np.uint64)
     crowded = np.sort(many[J.mix64(many ^ J._B) >> np.uint64(62) == 2][:9])       # nine hashes in one of the four parts
-    assert classes.parts(0) == 4 and classes.keys(crowded).size == 4
+    assert classes.parts(0) == 4 and classes.keys(crowded).size == 4      # empty parts have keys as well
     assert classes.keys(np.sort(many[:9])).size < 5
 
 
@@ -69,10 +74,16 @@ def test_tree_join_finds_the_components(seed):
 def test_bound_is_no_less_than_the_intersection():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 400, rng.integers(1, 300)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(120)]
-    v = J.count_vectors(sets)
-    for a in range(0, 120, 7):
-        for b in range(120):
-            assert np.minimum(v[a], v[b]).sum() >= np.intersect1d(sets[a], sets[b]).size
+    sets += [np.unique(rng.integers(0, 9000, k).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for k in (700, 900, 1500, 4000, 9000)]
+    v = J.points_of(sets)
+    assert len(set(v.groups.tolist())) > 2
+    for a in range(0, 125, 4):
+        for b in range(125):
+            same = np.intersect1d(sets[a], sets[b]).size
+            for g in (64, int(min(v.groups[a], v.groups[b]))):
+                assert np.minimum(v.at(g, np.array([a])), v.at(g, np.array([b]))).sum() >= same
+            if same >= J._need(sets[a].size, sets[b].size):
+                assert v.near(a, v, np.array([b]), 0.9).size == 1
 
 
 @pytest.mark.parametrize("tile", [1024, 3])
