@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from peerscope.session import ship_package
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -60,7 +60,7 @@ def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
     types = [arrow.field(i).type for i in range(len(arrow))]
     names = arrow.names
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = setup() if setup else None
         for chunk in text_chunks(batches, column, max_bytes):
             cols = fn(chunk, state) if setup else fn(chunk)
@@ -68,7 +68,7 @@ def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
                       for x, t in zip((cols[n] for n in names), types)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(chunks, schema)
 
 
 def keep_where(docs: DataFrame, mask: Callable[[pa.RecordBatch], np.ndarray], column: str = "text",

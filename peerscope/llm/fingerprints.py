@@ -37,7 +37,7 @@ _K = np.uint64(0x9E3779B97F4A7C15)
 ROWS_PER_RANGE = 4096
 MAX_RANGES = 20_000
 SAMPLE_PER_RANGE = 40
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def vectors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

@@ -32,7 +32,7 @@ MAX_UNKNOWN = 1500
 VARIATIONS = 40
 MIN_PROBABILITY, MIN_CONTAINED = 0.5, 0.75
 ROUNDS, RATE, PENALTY, SEED = 150, 4.0, 1e-5, 3
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 UNKNOWN = "unknown"
 _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else (b if b == 10 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20) for b in range(256))
 

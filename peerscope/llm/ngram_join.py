@@ -55,8 +55,8 @@ CLASS_RATIO = 1.5
 POINT_ROWS = 4096
 TILE_ROWS = 1024
 TILE_SIZE = 1_000_000
-BUCKET_HASHES = 2_000_000
-FLUSH_KEYS = 1_000_000
+BUCKET_HASHES = 500_000
+FLUSH_KEYS = 400_000
 SAMPLE_DOCS = 20_000
 COMMON = 3
 NOTHING_COMMON = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)

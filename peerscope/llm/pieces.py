@@ -27,15 +27,18 @@ def class_table() -> np.ndarray:
     """Class of every code point (uint8), as the tokenizer library's patterns have it; made once per process."""
     if not _TABLE:
         from tokenizers import Regex, pre_tokenizers
-        points = [*range(1, 0xD800), *range(0xE000, 0x110000)]
-        text = "".join(map(chr, points))
         table = np.full(0x110000, OTHER, dtype=np.uint8)
-        every = np.array(points)
-        for mark, pattern in ((LETTER, r"\p{L}+"), (DIGIT, r"\p{N}+"), (SPACE, r"\s+")):
-            inside = np.ones(len(points), dtype=bool)
-            for _, (a, b) in pre_tokenizers.Split(Regex(pattern), "removed").pre_tokenize_str(text):
-                inside[a:b] = False
-            table[every[inside]] = mark
+        marks = [(mark, pre_tokenizers.Split(Regex(pattern), "removed"))
+                 for mark, pattern in ((LETTER, r"\p{L}+"), (DIGIT, r"\p{N}+"), (SPACE, r"\s+"))]
+        for low in range(0, 0x110000, 0x8000):      # in blocks, the surrogates left out
+            points = np.arange(low, low + 0x8000)
+            points = points[(points < 0xD800) | (points >= 0xE000)]
+            text = points.astype("<u4").tobytes().decode("utf-32-le")
+            for mark, split in marks:
+                inside = np.ones(points.size, dtype=bool)
+                for _, (a, b) in split.pre_tokenize_str(text):
+                    inside[a:b] = False
+                table[points[inside]] = mark
         _TABLE.append(table)
     return _TABLE[0]
 

@@ -31,12 +31,12 @@ from peerscope.llm.features import KEEP_ALL, Hashed
 BITS = 17
 GRAMS = (3, 4, 5)
 WORD_WEIGHT, REPEAT_WEIGHT = 4.0, 16.0
-MAX_TRAIN = 3000
-DIM, EPOCHS, RATE, BATCH, SEED = 8, 6, 8.0, 32, 7
+MAX_TRAIN = 1500
+DIM, EPOCHS, RATE, BATCH, SEED = 8, 10, 8.0, 32, 7
 THRESHOLD = 0.7
 REJECT_BELOW = 0.5
 HELD_OUT = 2
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 REPEAT = 0      # bucket of the repetition feature
 
 
@@ -149,7 +149,9 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", max_train:
     one = got.groupBy("doc_id").agg(F.min(F.struct("label", "at", "weight")).alias("x")).select("doc_id", "x.*")
     own = sorted(one.collect(), key=lambda r: r["doc_id"])      # at most max_train rows
     sets = [(np.frombuffer(bytes(r["at"]), dtype=np.int32), np.frombuffer(bytes(r["weight"]), dtype=np.float32)) for r in own]
-    return train(sets, np.array([r["label"] for r in own]), bits)
+    y = np.array([r["label"] for r in own])
+    del own
+    return train(sets, y, bits)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text",

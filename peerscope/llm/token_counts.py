@@ -29,7 +29,7 @@ from peerscope.llm.common import map_text
 from peerscope.llm.pieces import Pretokens, WordTable, class_table, segments
 
 LIMIT = 512
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 BATCH_WORDS = 8192
 BATCH_SYMBOLS = 1 << 17
 CACHE_BITS = 22

@@ -37,13 +37,13 @@ from peerscope.llm.quality import labelled
 
 BITS = 19
 GRAMS = (5, 6)
-MAX_TRAIN = 3000
+MAX_TRAIN = 2500
 N_FEATURES = 400
 PENALTY = 5e-5
 ROUNDS = 120
 FOLDS = 4
 THRESHOLD = 0.4
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 LEXICON = {"insult": ("idiot", "moron", "loser", "clown", "stupid"),
            "contempt": ("worthless", "pathetic", "disgusting", "trash", "scum")}
 CATEGORIES = (*LEXICON, "toxic")
@@ -76,7 +76,7 @@ def _fit_linear(doc: np.ndarray, feat: np.ndarray, n: int, y: np.ndarray, earlie
         return Linear(none, np.zeros(0), np.zeros(earlier.shape[1]), bias)
     size = 1 << bits
     df = np.bincount(feat, minlength=size).astype(float)
-    pos = np.bincount(feat, weights=y[doc], minlength=size)
+    pos = np.bincount(feat[(y > 0)[doc]], minlength=size)
     expect = df * y.mean()
     chi = np.where(df >= 3, (pos - expect) ** 2 / np.maximum(expect * (1 - y.mean()) * (1 - df / n), 1e-9), 0)
     active = np.sort(np.argsort(-chi, kind="stable")[:N_FEATURES])
