@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -31,6 +32,16 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def release_memory() -> None:
+    """Gives freed memory back to the system at the end of a task: Python workers are used again, and what one task
+    has freed would else stay with the worker while other tasks, or the executor's JVM, need it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # not glibc
+        pass
+
+
 def text_chunks(batches: Iterable[pa.RecordBatch], column: str = "text",
                 max_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the incoming batches with at most ``max_bytes`` of ``column`` each (a longer
@@ -68,7 +79,11 @@ def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
                       for x, t in zip((cols[n] for n in names), types)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return df.mapInArrow(chunks, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from chunks(batches)
+        release_memory()
+
+    return df.mapInArrow(run, schema)
 
 
 def keep_where(docs: DataFrame, mask: Callable[[pa.RecordBatch], np.ndarray], column: str = "text",
@@ -79,6 +94,7 @@ def keep_where(docs: DataFrame, mask: Callable[[pa.RecordBatch], np.ndarray], co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in text_chunks(batches, column, max_bytes):
             yield chunk.filter(pa.array(mask(chunk), type=pa.bool_()))
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import bounded_sample, byte_texts, map_text, mix64, ship_package, text_chunks, within
+from peerscope.llm.common import bounded_sample, byte_texts, map_text, mix64, release_memory, ship_package, text_chunks, within
 from peerscope.llm.graph import components
 from peerscope.session import materialize
 
@@ -400,6 +400,8 @@ def _candidate_edges(docs: DataFrame, n: int, threshold: float, total: int) -> D
                 keys, ids, held = [], [], 0
         if held:
             yield from flush(keys, ids)
+        del keys, ids
+        release_memory()
 
     def join(table: pa.Table) -> pa.Table:
         keys, ids, edges = [], [], [np.zeros((0, 2), dtype=np.int64)]
@@ -415,6 +417,8 @@ def _candidate_edges(docs: DataFrame, n: int, threshold: float, total: int) -> D
         if keys:
             edges.append(_star(np.concatenate(keys), np.concatenate(ids))[2])
         both = np.unique(np.concatenate(edges), axis=0)
+        del keys, ids, edges
+        release_memory()
         return pa.table({"a": both[:, 0], "b": both[:, 1]})
 
     packed = docs.mapInArrow(send, "bucket long, edges boolean, blob binary")
