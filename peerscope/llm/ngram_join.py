@@ -24,8 +24,8 @@ dimensions), nor could it be split over tasks, so the points are first cut into
 4. *R-tree on points.*  The blocks' points (no texts) go through the R-tree; components of the pairs whose bound reaches the
    link condition are the final, much smaller blocks.
 5. *Verification.*  Only the texts in final blocks are read again, and pairs that the R-tree lets through are compared by
-   their sets.  In both steps a block of more than the tile size is dealt by hash to leaves, and each pair of leaves is a
-   tile of bounded size; pairs already connected inside a tile are skipped, and only a spanning forest is returned.
+   their sets.  In both steps a block of more than the tile size is cut into bands of set sizes and these by hash into
+   leaves; each pair of leaves whose sizes allow a link is a tile of bounded size; pairs already connected inside a tile are skipped, and only a spanning forest is returned.
 6. Components of the links, joined back to the ids of equal sets.
 
 Edge cases: texts without words and null texts have an empty set and link with nothing; fewer words than n are one
@@ -425,17 +425,29 @@ def _candidate_edges(docs: DataFrame, n: int, threshold: float, total: int) -> D
     return packed.groupBy("bucket").applyInArrow(join, "a long, b long")
 
 
-def _tiles(blocks: DataFrame, rows: int, hashes: int | None = None) -> DataFrame:
-    """The columns of ``blocks`` and (i, j, side): the tiles each member takes part in."""
-    size = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_shingles").alias("hashes"))
-    need = F.ceil(F.col("rows") / rows)
-    if hashes:
-        need = F.greatest(need, F.ceil(F.col("hashes") / hashes))
-    own = blocks.join(size.select("block", need.cast("int").alias("leaves")), "block")
-    own = own.withColumn("leaf", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("leaves")).cast("int"))
-    other = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("leaves") - 1)))
-    return other.select(*blocks.columns, F.least("leaf", "other").alias("i"), F.greatest("leaf", "other").alias("j"),
-                        (F.col("leaf") > F.col("other")).alias("side"))
+def _tiles(blocks: DataFrame, threshold: float, rows: int, hashes: int | None = None) -> DataFrame:
+    """The columns of ``blocks`` and (i, j, side): the tiles each member takes part in.
+
+    A block that fits is one tile.  A larger one is cut into bands by set size, a factor of just over 1 / threshold wide, so
+    that linked sets are in one band or in neighbouring ones, and each band into leaves by hash.  The tiles are the pairs of
+    leaves of one band or of neighbouring bands; ``i`` and ``j`` number the leaves of the lower and the higher one."""
+    def need(*by: str) -> DataFrame:
+        size = blocks if "band" not in by else banded
+        n = F.ceil(F.count(F.lit(1)) / rows)
+        if hashes:
+            n = F.greatest(n, F.ceil(F.sum("n_shingles") / hashes))
+        return size.groupBy(*by).agg(n.cast("long").alias("leaves"))
+
+    width = 1.01 * math.log(100 / round(threshold * 100))
+    band = F.when(F.col("leaves") > 1, F.floor(F.ln("n_shingles") / F.lit(width))).otherwise(F.lit(0)).cast("long")
+    banded = blocks.join(need("block"), "block").withColumn("band", band).drop("leaves")
+    bands = need("block", "band")
+    own = banded.join(bands, ["block", "band"]).withColumn("leaf", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("leaves"))).drop("leaves")
+    near = own.withColumn("to", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    near = near.join(bands.withColumnRenamed("band", "to"), ["block", "to"])
+    other = near.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("leaves") - 1)))
+    mine, theirs = (F.shiftleft(F.col(x), 32) + F.col(y) for x, y in (("band", "leaf"), ("to", "other")))
+    return other.select(*blocks.columns, F.least(mine, theirs).alias("i"), F.greatest(mine, theirs).alias("j"), (mine > theirs).alias("side"))
 
 
 def _sides(table: pa.Table) -> tuple[list[int], list[int], list[int]]:
@@ -488,10 +500,10 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     sets = table.where(real).join(within(nodes), "doc_id").groupBy("d1", "d2").agg(
         F.min("block").alias("block"), F.first("n_shingles").alias("n_shingles"), F.first("point").alias("point"))
     members = materialize(reps.join(sets, ["d1", "d2"]).select("rep", "block", "n_shingles", "point"), "members")
-    near = _tiles(members, POINT_ROWS).groupBy("block", "i", "j").applyInArrow(_point_tile(threshold), "a long, b long")
+    near = _tiles(members, threshold, POINT_ROWS).groupBy("block", "i", "j").applyInArrow(_point_tile(threshold), "a long, b long")
     final = materialize(components(near), "final_blocks").select(F.col("node").alias("rep"), F.col("component").alias("block"))
     sized = materialize(members.select("rep", "n_shingles").join(within(final), "rep"), "final_members")
-    tiles = materialize(_tiles(sized, TILE_ROWS, TILE_SIZE).drop("n_shingles"), "tiles")
+    tiles = materialize(_tiles(sized, threshold, TILE_ROWS, TILE_SIZE).drop("n_shingles"), "tiles")
     wanted = rows.select(F.col("doc_id").alias("rep"), F.col("text").cast("binary").alias("text"))
     found = wanted.join(within(tiles), "rep").groupBy("block", "i", "j").applyInArrow(_join_tile(n, threshold), "a long, b long")
     label = components(found)

@@ -89,6 +89,7 @@ def test_bound_is_no_less_than_the_intersection():
 @pytest.mark.parametrize("tile", [1024, 3])
 def test_edges_on_spark(spark, edge_docs, edge_rows, no_docs, tile, monkeypatch):
     monkeypatch.setattr(J, "TILE_ROWS", tile)
+    monkeypatch.setattr(J, "POINT_ROWS", tile)
     monkeypatch.setattr(J, "BUCKET_HASHES", 500)
     base = words(200).split()
     chain = [(100 + k, " ".join(base[:k * 4] + [f"y{j}" for j in range(k * 4)] + base[k * 4:])) for k in range(8)]     # neighbours are linked
@@ -104,6 +105,25 @@ def test_edges_on_spark(spark, edge_docs, edge_rows, no_docs, tile, monkeypatch)
     assert J.jaccard_components(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("threshold", [0.9, 0.8])
+def test_tiles_hold_every_pair_that_may_link(spark, threshold):
+    r = random.Random(6)
+    rows = [(k, 1, r.choice([9, 10, 12, 50, 63, 80, 100, 125, 1000, 1250])) for k in range(60)] + [(100 + k, 2, 5 + 9 * k) for k in range(3)]
+    got = J._tiles(spark.createDataFrame(rows, "rep long, block long, n_shingles long"), threshold, 4).collect()
+    tiles = {}
+    for g in got:
+        tiles.setdefault((g.block, g.i, g.j), {False: set(), True: set()})[g.side].add(g.rep)
+    assert all(len(t[False]) + len(t[True]) < 40 for t in tiles.values())
+    met = set()
+    for (_, i, j), t in tiles.items():
+        met |= {frozenset((a, b)) for a in t[False] for b in (t[False] if i == j else t[True])}
+    for a, block, n in rows:
+        for b, other, m in rows:
+            if block == other and 100 * min(n, m) >= round(100 * threshold) * max(n, m):
+                assert frozenset((a, b)) in met
+    assert sum(g.block == 2 for g in got) == 3
+
+
 def test_one_of_each_group_stays(spark, edge_docs, edge_rows):
     got = J.one_of_each(edge_docs)
     assert got.columns == edge_docs.columns
