@@ -9,6 +9,9 @@ letters of a text, present or not.  Each fit keeps the ``N_FEATURES`` that diffe
 (chi-square) and trains an L1-penalised logistic regression on them by accelerated proximal gradient, so that a few
 telling features decide, however long the text.
 
+Training: the features of the sampled documents stay in Spark, which counts the documents of each bucket by class and
+fold and finds the features every fit keeps.  The driver gets these columns only, whatever the length of the texts.
+
 The labelled table has one label, ``toxic``.  The categories before it are made for training from that label and
 ``LEXICON``: ``insult`` is toxic with a word for a person, ``contempt`` toxic with a word of disdain.  The
 word lists are not used when texts are scored.
@@ -34,15 +37,17 @@ from pyspark.sql import functions as F
 from peerscope.llm.common import byte_texts, keep_where, map_text
 from peerscope.llm.features import LETTERS, Hashed
 from peerscope.llm.quality import labelled
+from peerscope.session import materialize
 
-BITS = 19
+BITS = 20
 GRAMS = (5, 6)
-MAX_TRAIN = 2500
+MAX_TRAIN = 5000
 N_FEATURES = 400
 PENALTY = 5e-5
 ROUNDS = 120
 FOLDS = 4
-THRESHOLD = 0.4
+THRESHOLD = 0.2
+MIN_DOCS, MIN_CHI = 3, 4      # of a feature that a fit keeps
 CHUNK_BYTES = 1 << 20
 LEXICON = {"insult": ("idiot", "moron", "loser", "clown", "stupid"),
            "contempt": ("worthless", "pathetic", "disgusting", "trash", "scum")}
@@ -67,24 +72,16 @@ class Linear:
     bias: float
 
 
-def _fit_linear(doc: np.ndarray, feat: np.ndarray, n: int, y: np.ndarray, earlier: np.ndarray, bits: int) -> Linear:
-    """One category.  ``doc``, ``feat``: the features present in each of ``n`` documents."""
+def _fit_linear(doc: np.ndarray, feat: np.ndarray, n: int, y: np.ndarray, earlier: np.ndarray, active: np.ndarray) -> Linear:
+    """One category.  ``doc``, ``feat``: features present in each of ``n`` documents; ``active``: the ones to keep, sorted."""
     prior = (y.sum() + 1) / (n + 2)
     bias = float(np.log(prior / (1 - prior)))
     none = np.zeros(0, dtype=np.int64)
     if n == 0 or y.min() == y.max():
         return Linear(none, np.zeros(0), np.zeros(earlier.shape[1]), bias)
-    size = 1 << bits
-    df = np.bincount(feat, minlength=size).astype(float)
-    pos = np.bincount(feat[(y > 0)[doc]], minlength=size)
-    expect = df * y.mean()
-    chi = np.where(df >= 3, (pos - expect) ** 2 / np.maximum(expect * (1 - y.mean()) * (1 - df / n), 1e-9), 0)
-    active = np.sort(np.argsort(-chi, kind="stable")[:N_FEATURES])
-    active = active[chi[active] > 4]
-    column = np.full(size, -1, dtype=np.int32)
-    column[active] = np.arange(active.size)
-    keep = column[feat] >= 0
-    rows, cols = doc[keep], column[feat[keep]]
+    cols = np.searchsorted(active, feat)
+    keep = np.append(active, -1)[cols] == feat
+    rows, cols = doc[keep], cols[keep]
     m, k = active.size, earlier.shape[1]
     top = 0.25 * (np.bincount(rows, minlength=n).max(initial=0) + k + 1)      # bound of the curvature
     step = n / (top * n) * 4
@@ -160,23 +157,18 @@ class Chain:
         return out
 
 
-def train(features: list[np.ndarray], targets: np.ndarray, folds: np.ndarray, names=CATEGORIES, bits: int = BITS) -> Chain:
-    """``features``: the buckets present in each document; ``targets``: documents x categories (0 or 1)."""
+def train(features: list[np.ndarray], targets: np.ndarray, folds: np.ndarray, active: dict[tuple[int, int | None], np.ndarray],
+          names=CATEGORIES, bits: int = BITS) -> Chain:
+    """``features``: the kept buckets present in each document; ``targets``: documents x categories (0 or 1);
+    ``active``: the buckets of each fit, by category and fold left out (None: of the whole sample)."""
     n = len(features)
-    df = np.zeros(1 << bits, dtype=np.int32)
-    for f in features:
-        df[f] += 1
-    # rarer ones are never kept by a fit; ones in a quarter of all documents tell little and fill most of the memory
-    known = (df >= 3) & (df <= max(3, n // 4))
-    for k, f in enumerate(features):        # in place: the driver holds them once
-        features[k] = f[known[f]]
     doc = np.repeat(np.arange(n, dtype=np.int32), [f.size for f in features])
     feat = np.concatenate([*features, np.zeros(0, dtype=np.int32)])
     chain = Chain(bits, tuple(names))
     earlier = np.zeros((n, 0))
     for k in range(len(names)):
         y = targets[:, k].astype(float)
-        chain.models.append(_fit_linear(doc, feat, n, y, earlier, bits))
+        chain.models.append(_fit_linear(doc, feat, n, y, earlier, active[k, None]))
         if k + 1 == len(names):
             break
         out_of_fold = np.zeros(n)
@@ -184,7 +176,7 @@ def train(features: list[np.ndarray], targets: np.ndarray, folds: np.ndarray, na
             test = folds == f
             number = np.cumsum(~test) - 1
             keep = ~test[doc]
-            m = _fit_linear(number[doc[keep]], feat[keep], int((~test).sum()), y[~test], earlier[~test], bits)
+            m = _fit_linear(number[doc[keep]], feat[keep], int((~test).sum()), y[~test], earlier[~test], active[k, f])
             number = np.cumsum(test) - 1
             keep = test[doc]
             out_of_fold[test] = _apply(m, number[doc[keep]], feat[keep], int(test.sum()), earlier[test], bits)
@@ -192,31 +184,82 @@ def train(features: list[np.ndarray], targets: np.ndarray, folds: np.ndarray, na
     return chain
 
 
+def _choose(sample: DataFrame, n_categories: int) -> dict[tuple[int, int | None], np.ndarray]:
+    """The features each fit keeps, by category and fold left out: most telling first, ties by bucket.
+
+    ``sample`` has ``fold``, ``mask`` (bit k: category k) and ``at``.  Documents are counted by bucket, fold and
+    category in Spark; the driver gets the counts of documents and at most ``N_FEATURES`` buckets a fit."""
+    def step(chunk: pa.RecordBatch) -> dict:
+        at = [np.frombuffer(x, dtype=np.int32) for x in chunk.column("at").to_pylist()]
+        code = chunk.column("fold").to_numpy() << n_categories | chunk.column("mask").to_numpy()
+        key = np.concatenate(at).astype(np.int64) << 32 | np.repeat(code, [x.size for x in at])
+        key, n = np.unique(key, return_counts=True)
+        return {"bucket": key >> 32, "code": key & 0xFFFFFFFF, "n": n}
+
+    def sums(n, fold, mask):
+        own = {f"d{f}": (fold == f) for f in range(FOLDS)}
+        own |= {f"p{k}_{f}": (fold == f) & (mask.bitwiseAND(F.lit(1 << k)) != 0) for k in range(n_categories) for f in range(FOLDS)}
+        return [F.coalesce(F.sum(F.when(c, n)), F.lit(0)).alias(name) for name, c in own.items()]
+
+    found = map_text(sample.select("fold", "mask", "at"), step, "bucket int, code int, n long", column="at", max_bytes=CHUNK_BYTES)
+    fold, mask = F.shiftright("code", n_categories), F.col("code").bitwiseAND(F.lit((1 << n_categories) - 1))
+    counts = found.groupBy("bucket").agg(*sums(F.col("n"), fold, mask))
+    counts = materialize(counts.where(sum(F.col(f"d{f}") for f in range(FOLDS)) >= MIN_DOCS), "toxicity_counts")
+    docs = sample.agg(*sums(F.lit(1), F.col("fold"), F.col("mask"))).first()
+    active = {}
+    for k in range(n_categories):
+        for out in (None, *(range(FOLDS) if k + 1 < n_categories else ())):
+            used = [f for f in range(FOLDS) if f != out]
+            n, hits = sum(docs[f"d{f}"] for f in used), sum(docs[f"p{k}_{f}"] for f in used)
+            active[k, out] = np.zeros(0, dtype=np.int64)
+            if not 0 < hits < n:
+                continue
+            df, pos = (sum(F.col(f"{x}{f}") for f in used) for x in ("d", f"p{k}_"))
+            share = hits / n
+            expect = df * share
+            chi = (pos - expect) * (pos - expect) / F.greatest(expect * (1 - share) * (1 - df / n), F.lit(1e-9))
+            best = counts.where((df >= MIN_DOCS) & (df <= max(MIN_DOCS, n // 4))).select("bucket", chi.alias("chi")).where(F.col("chi") > MIN_CHI)
+            best = best.orderBy(F.desc("chi"), "bucket").limit(N_FEATURES).collect()
+            active[k, out] = np.array(sorted(r["bucket"] for r in best), dtype=np.int64)
+    return active
+
+
 def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", max_train: int = MAX_TRAIN, doc_id: str = "doc_id",
         text: str = "text", bits: int = BITS) -> Chain:
-    """Learns from at most ``max_train`` labelled documents; tasks reduce the texts to features."""
+    """Learns from at most ``max_train`` labelled documents; tasks reduce the texts to features, of which the driver
+    gets the ones that a fit keeps."""
     rows = labelled(docs, labels, target, max_train, doc_id, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
     lexicon = {k: {w.encode() for w in v} for k, v in LEXICON.items()}
 
     def step(chunk: pa.RecordBatch) -> dict:
         texts = byte_texts(chunk)
-        at, marks = [], []
-        for t in texts:
+        toxic = chunk.column("label").to_pylist()
+        at, mask = [], []
+        for t, y in zip(texts, toxic):
             at.append(np.unique(_features(Hashed([t], LETTERS, bits))[1]).astype(np.int32).tobytes())
             words = set(t.translate(LETTERS).split())
-            marks.append([int(bool(words & own)) for own in lexicon.values()])
-        return {"doc_id": chunk.column("doc_id"), "label": chunk.column("label"), "marks": marks, "at": at}
-
-    got = map_text(rows, step, f"doc_id {kind}, label int, marks array<int>, at binary", max_bytes=CHUNK_BYTES)
-    one = got.groupBy("doc_id").agg(F.min(F.struct("label", "marks", "at")).alias("x")).select(
-        "doc_id", "x.*", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold"))
-    own = sorted(one.collect(), key=lambda r: r["doc_id"])      # at most max_train rows
-    targets = np.array([[r["label"] * m for m in r["marks"]] + [r["label"]] for r in own]).reshape(len(own), len(CATEGORIES))
+            mask.append(sum(bool(words & own) << k for k, own in enumerate(lexicon.values())) | 1 << len(lexicon) if y > 0 else 0)
+        return {"doc_id": chunk.column("doc_id"), "mask": mask, "at": at}
+
+    got = map_text(rows, step, f"doc_id {kind}, mask int, at binary", max_bytes=CHUNK_BYTES)
+    one = got.groupBy("doc_id").agg(F.min(F.struct("mask", "at")).alias("x")).select(
+        "doc_id", "x.*", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int").alias("fold"))
+    sample = materialize(one, "toxicity_sample")
+    active = _choose(sample, len(CATEGORIES))
+    kept = np.unique(np.concatenate(list(active.values()))).astype(np.int32)
+
+    def cut(chunk: pa.RecordBatch) -> dict:
+        at = [np.frombuffer(x, dtype=np.int32) for x in chunk.column("at").to_pylist()]
+        return {c: chunk.column(c) for c in ("doc_id", "mask", "fold")} | {"at": [x[np.isin(x, kept)].tobytes() for x in at]}
+
+    few = map_text(sample, cut, f"doc_id {kind}, mask int, fold int, at binary", column="at", max_bytes=CHUNK_BYTES)
+    own = sorted(few.collect(), key=lambda r: r["doc_id"])      # at most max_train rows of the kept features
+    targets = np.array([[r["mask"] >> k & 1 for k in range(len(CATEGORIES))] for r in own]).reshape(len(own), len(CATEGORIES))
     folds = np.array([r["fold"] for r in own])
     features = [np.frombuffer(bytes(r["at"]), dtype=np.int32) for r in own]
     del own
-    return train(features, targets, folds, bits=bits)
+    return train(features, targets, folds, active, bits=bits)
 
 
 def score(docs: DataFrame, chain: Chain, doc_id: str = "doc_id", text: str = "text",

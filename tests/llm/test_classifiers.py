@@ -103,6 +103,24 @@ def test_toxicity_edges(spark, edge_docs, no_docs, chain):
             assert ((p > 0) & (p < 1)).all()
 
 
+def test_toxicity_driver_gets_kept_features_only(labelled_docs, labels, monkeypatch):
+    seen = {}
+    train = T.train
+    monkeypatch.setattr(T, "train", lambda features, targets, folds, active, **kw: seen.update(
+        features=[f.copy() for f in features], active=active) or train(features, targets, folds, active, **kw))
+    T.fit(labelled_docs, labels)
+    kept = np.unique(np.concatenate(list(seen["active"].values())))
+    assert len(seen["active"]) == 11 and max(a.size for a in seen["active"].values()) <= T.N_FEATURES
+    assert len(seen["features"]) == labels.count() and all(np.isin(f, kept).all() for f in seen["features"])
+
+
+def test_toxicity_rejects_from_the_held_out_threshold_on(spark):
+    docs = spark.createDataFrame([(1, "any text")], "doc_id long, text string")
+    for p, n in ((0.19, 1), (0.21, 0), (0.39, 0)):
+        c = T.Chain(10, ("toxic",), [T.Linear(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), float(np.log(p / (1 - p))))])
+        assert T.reject(docs, c).count() == n and T.score(docs, c).first().is_toxic == (n == 0)
+
+
 @pytest.fixture(scope="module")
 def license_model(docs):
     return L.fit(docs)
