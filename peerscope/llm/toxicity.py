@@ -10,7 +10,8 @@ letters of a text, present or not.  Each fit keeps the ``N_FEATURES`` that diffe
 telling features decide, however long the text.
 
 Training: the features of the sampled documents stay in Spark, which counts the documents of each bucket by class and
-fold and finds the features every fit keeps.  The driver gets these columns only, whatever the length of the texts.
+fold and finds the features every fit keeps.  A frequent feature is dropped only when it does not separate the classes.
+The driver gets the kept columns only, whatever the length of the texts.
 
 The labelled table has one label, ``toxic``.  The categories before it are made for training from that label and
 ``LEXICON``: ``insult`` is toxic with a word for a person, ``contempt`` toxic with a word of disdain.  The
@@ -218,7 +219,7 @@ def _choose(sample: DataFrame, n_categories: int) -> dict[tuple[int, int | None]
             share = hits / n
             expect = df * share
             chi = (pos - expect) * (pos - expect) / F.greatest(expect * (1 - share) * (1 - df / n), F.lit(1e-9))
-            best = counts.where((df >= MIN_DOCS) & (df <= max(MIN_DOCS, n // 4))).select("bucket", chi.alias("chi")).where(F.col("chi") > MIN_CHI)
+            best = counts.where(df >= MIN_DOCS).select("bucket", chi.alias("chi")).where(F.col("chi") > MIN_CHI)
             best = best.orderBy(F.desc("chi"), "bucket").limit(N_FEATURES).collect()
             active[k, out] = np.array(sorted(r["bucket"] for r in best), dtype=np.int64)
     return active

@@ -121,6 +121,40 @@ def test_toxicity_rejects_from_the_held_out_threshold_on(spark):
         assert T.reject(docs, c).count() == n and T.score(docs, c).first().is_toxic == (n == 0)
 
 
+def test_toxicity_keeps_frequent_features_that_separate(spark):
+    import random
+    r = random.Random(5)
+    words = ["".join(r.choices("abcdefghiklmnoprstu", k=7)) for _ in range(300)]
+
+    def text(toxic):
+        own = r.choices(words, k=30) + (["zorblax", "quimfest"] if toxic else [])
+        return " ".join(["preface", *r.sample(own, len(own))])
+
+    rows = [(k, text(k % 5 < 2), int(k % 5 < 2)) for k in range(200)]       # 40 % toxic, all with the same words
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = T.fit(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    p = [model.probabilities([text(y).encode() for _ in range(50)])[:, -1] for y in (True, False)]
+    assert p[0].min() >= T.THRESHOLD > p[1].max()
+
+
+def test_toxicity_features_equal_chi_square_over_the_sample(labelled_docs, labels, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(T, "train", lambda features, targets, folds, active, **kw: seen.update(targets=targets, folds=folds, active=active))
+    T.fit(labelled_docs, labels, bits=16)
+    texts = labelled_docs.join(labels.select("doc_id").distinct(), "doc_id").orderBy("doc_id").collect()
+    found = [np.unique(T._features(Hashed([r.text.encode()], LETTERS, 16))[1]) for r in texts]
+    assert len(found) == len(seen["targets"])
+    for (k, out), active in seen["active"].items():
+        own = np.flatnonzero(seen["folds"] != (-1 if out is None else out))
+        y = seen["targets"][own, k]
+        df = np.bincount(np.concatenate([found[d] for d in own]), minlength=1 << 16).astype(float)
+        pos = np.bincount(np.concatenate([found[d] for d in own[y > 0]]), minlength=1 << 16)
+        expect = df * y.mean()
+        chi = np.where(df >= 3, (pos - expect) ** 2 / np.maximum(expect * (1 - y.mean()) * (1 - df / own.size), 1e-9), 0)
+        want = np.argsort(-chi, kind="stable")[:T.N_FEATURES]
+        assert active.tolist() == sorted(want[chi[want] > 4].tolist())
+
+
 @pytest.fixture(scope="module")
 def license_model(docs):
     return L.fit(docs)
