@@ -5,9 +5,10 @@ added and removed one by one and their order does not matter:
 
 * eight lanes modulo 2^64 hold the sum of each paragraph's BLAKE2b digest; equal multisets of paragraphs have
   equal sums, different ones collide with negligible probability;
-* ``LANES`` lanes modulo 2^16 hold the sum of each paragraph's signed gram counts: every run of eight bytes in the
+* ``LANES`` lanes modulo 2^32 hold the sum of each paragraph's signed gram counts: every run of eight bytes in the
   paragraph (or the whole of a shorter one) adds +1 or -1 to one lane.  The inner product of two such vectors
-  estimates the grams in common, so their cosine, not below 0, is the likeness of two fingerprints.
+  estimates the grams in common, so their cosine, not below 0, is the likeness of two fingerprints.  Texts have less
+  than 2^31 bytes, so the sums of a text never wrap.
 
 ``edited`` texts need the next document in falling order of id.  Ids are cut into ranges at quantiles of a bounded
 sample (only balance depends on it); the first row of each range is also sent to the range before it, so each
@@ -41,7 +42,7 @@ CHUNK_BYTES = 1 << 20
 
 
 def vectors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(texts x 8 uint64, texts x LANES int16): the two parts of each text's fingerprint."""
+    """(texts x 8 uint64, texts x LANES int32): the two parts of each text's fingerprint."""
     exact = np.zeros((len(texts), _EXACT), dtype=np.uint64)
     for k, t in enumerate(texts):
         if t:
@@ -70,16 +71,16 @@ def vectors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     bounds = np.cumsum([len(t) + 1 for t in texts])
     owner = np.searchsorted(bounds, where, side="right")
     total = np.bincount(owner * LANES + lane, weights=sign, minlength=len(texts) * LANES).astype(np.int64)
-    return exact, total.astype(np.int16).reshape(len(texts), LANES)       # modulo 2^16
+    return exact, total.astype(np.int32).reshape(len(texts), LANES)       # modulo 2^32
 
 
 def encode(exact: np.ndarray, lanes: np.ndarray) -> list[str]:
-    return [base64.b64encode(a.astype("<u8").tobytes() + b.astype("<i2").tobytes()).decode() for a, b in zip(exact, lanes)]
+    return [base64.b64encode(a.astype("<u8").tobytes() + b.astype("<i4").tobytes()).decode() for a, b in zip(exact, lanes)]
 
 
 def decode(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
     raw = base64.b64decode(fingerprint)
-    return np.frombuffer(raw[:8 * _EXACT], dtype="<u8"), np.frombuffer(raw[8 * _EXACT:], dtype="<i2")
+    return np.frombuffer(raw[:8 * _EXACT], dtype="<u8"), np.frombuffer(raw[8 * _EXACT:], dtype="<i4")
 
 
 def fingerprint(text: bytes) -> str:

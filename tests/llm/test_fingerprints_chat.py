@@ -2,12 +2,13 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from llm_helpers import duck, rows_of
+from llm_helpers import duck, rows_of, words
 from peerscope.llm import chat_format as C
 from peerscope.llm import fingerprints as FP
 
@@ -56,6 +57,27 @@ def test_likeness_on_the_table(docs, per_range):
     assert sum(r.near_next < 0.3 for r in got) >= 0.95 * len(got)
 
 
+LONG = "Lorem ipsum dolor sit amet, " * 40_000
+
+
+def _gram_cosine(a, b):
+    """Cosine of the counts of eight-byte runs, without lanes."""
+    a, b = (Counter(t[k:k + 8] for k in range(len(t) - 7)) for t in (a, b))
+    return sum(n * b[g] for g, n in a.items()) / (sum(n * n for n in a.values()) * sum(n * n for n in b.values())) ** 0.5
+
+
+@pytest.mark.parametrize("here, after", [
+    (LONG, "sed do eiusmod tempor incididunt ut labore " * 26_000), (LONG, LONG[:500_000]), ("a" * 65_543, "a" * 65_600),
+    ("xyz " * 200_000, "xyz " * 100_000 + words(50_000)), ("a" * 140_000, "b" * 140_000)])
+def test_likeness_of_long_repetitive_texts(spark, here, after):
+    r = FP.fingerprints(spark.createDataFrame([(2, here), (1, after)], "doc_id long, text string")).where("doc_id = 2").first()
+    n = len(here) // 2
+    assert r.near_edited == pytest.approx(_gram_cosine(here, here[:len(here) - n] + after[:n]), abs=0.15)
+    assert r.near_next == pytest.approx(_gram_cosine(here, after), abs=0.15)
+    one = FP.fingerprint(here.encode())
+    assert FP.combine(FP.combine(one, one), one, remove=True) == one
+
+
 ATOMS = ["a", "\\", "</turn>", "### ", ": ", "\n", "<", "#", " ", "assistant", "</turn>\n", "é", ":", "### user: "]
 
 
