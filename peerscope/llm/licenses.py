@@ -1,12 +1,17 @@
 """Operator 2 -- license scan with a trained paragraph classifier.
 
-Each paragraph (line) is classified by a multinomial logistic regression over hashed word 1- to 3-grams into a license
+Each paragraph (a line, or a run of neighbouring lines joined with a space) is classified by a multinomial logistic regression over hashed word 1- to 3-grams into a license
 family or ``unknown``.  It is trained on variations of the notices in ``TEMPLATES`` (words left out, text around
-them, other version numbers left as they are) against ordinary paragraphs of the corpus (at most ``MAX_UNKNOWN``, in the order of a
+them, every version number replaced by one placeholder) against ordinary paragraphs of the corpus (at most ``MAX_UNKNOWN``, in the order of a
 hash) and sentences that only sound like a license.  A held-out part sets the temperature, so that the
 probabilities are calibrated; a family needs a probability of ``MIN_PROBABILITY``.  A prediction counts if the paragraph also
 holds ``MIN_CONTAINED`` of the word pairs of one of the family's notices.
 
+Wrapped notices: of a text that holds so many word pairs of a notice (pairs across a line break count), each shortest run of
+two or more lines that holds them is classified and confirmed like a line, whatever its length; a line without words
+ends a run.  A run that holds another counted one, or shares a line with a notice of the same family, is not counted again.  ``n_paragraphs`` counts
+lines; ``paragraph`` is a notice's first line.
+
 Plan: weights (2^BITS x families floats, fixed) are broadcast; a narrow ``mapInArrow`` scans whole texts, no shuffle.
 
 Edge cases: null and empty texts have no paragraphs; several notices of a family count once in ``families``, each in
@@ -16,6 +21,9 @@ empty result (and the classifier is trained without ordinary paragraphs); other
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -65,9 +73,17 @@ LOOKALIKES = (
 )
 
 
+_VERSION = re.compile(rb"\d+(?:\.\d+)*")
+
+
+def _plain(text: bytes) -> bytes:
+    """Version numbers as one placeholder."""
+    return _VERSION.sub(b"0", text)
+
+
 def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(line, bucket) of every word n-gram, lines numbered over all texts; and each text's number of lines."""
-    lines = [x for t in texts for x in (t.split(b"\n") if t else ())]
+    lines = [x for t in texts for x in (_plain(t).split(b"\n") if t else ())]
     per_text = np.array([t.count(b"\n") + 1 if t else 0 for t in texts], dtype=np.int64)
     if not lines:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), per_text
@@ -86,7 +102,7 @@ def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _pairs(line: bytes) -> set[tuple[bytes, bytes]]:
-    words = line.translate(_TABLE).split()
+    words = _plain(line).translate(_TABLE).split()
     return set(zip(words, words[1:]))
 
 
@@ -166,6 +182,78 @@ def confirm(line: bytes, family: str) -> float:
     return max(len(own & p) / len(p) for p in (_pairs(t.encode()) for t in TEMPLATES[family]))
 
 
+_NOTICES = [(family, _pairs(t.encode())) for family, own in sorted(TEMPLATES.items()) for t in own]
+_KNOWN = frozenset().union(*(p for _, p in _NOTICES))
+
+
+def runs(text: bytes, min_contained: float = MIN_CONTAINED) -> list[tuple[int, int]]:
+    """(first, last) of each notice's shortest runs of two or more lines that hold ``min_contained`` of its word pairs,
+    short ones first."""
+    words = _plain(text).translate(_TABLE)
+    have = set(words.split())
+    near = [p for _, p in _NOTICES if sum(a in have and b in have for a, b in p) >= min_contained * len(p)]
+    if not near:
+        return []
+    found: list[tuple[tuple[bytes, bytes], int, int]] = []      # known pairs: first line, last line
+    cuts, before = [], None
+    for k, line in enumerate(words.split(b"\n")):
+        own = line.split()
+        if not own:
+            before = None
+            cuts.append(len(found))
+            continue
+        if before is not None and (before, own[0]) in _KNOWN:
+            found.append(((before, own[0]), k - 1, k))
+        found += [(pair, k, k) for pair in zip(own, own[1:]) if pair in _KNOWN]
+        before = own[-1]
+    out = set()
+    for a, b in zip([0, *cuts], [*cuts, len(found)]):
+        for pairs in near:
+            block = [x for x in found[a:b] if x[0] in pairs]
+            held: Counter = Counter()
+            left = 0
+            for pair, _, last in block:
+                held[pair] += 1
+                while len(held) >= min_contained * len(pairs):
+                    gone, first, _ = block[left]
+                    if held[gone] == 1 and len(held) - 1 < min_contained * len(pairs):
+                        if last > first:
+                            out.add((first, last))
+                    held[gone] -= 1
+                    if not held[gone]:
+                        del held[gone]
+                    left += 1
+    return sorted(out, key=lambda x: (x[1] - x[0], x))
+
+
+def _wrapped(text: bytes, single: list[dict], model: Model, min_probability: float, min_contained: float) -> list[dict]:
+    """The notices that are runs of lines; ``single``: the ones on one line."""
+    found = runs(text, min_contained)
+    if not found:
+        return []
+    lines = text.split(b"\n")
+    covered = {(n["paragraph"], n["family"]) for n in single}
+    counted: list[tuple[int, int]] = []     # sorted, none holds another
+    out = []
+    for a, b in found:
+        at = bisect_left(counted, (a, -1))
+        if at < len(counted) and counted[at][1] <= b:
+            continue
+        whole = b" ".join(lines[a:b + 1])
+        line, bucket, _ = _grams([whole])
+        p = model.probabilities(line, bucket, 1)[0]
+        best = int(p[1:].argmax()) + 1
+        family = FAMILIES[best]
+        if p[best] < min_probability or any((x, family) in covered for x in range(a, b + 1)):
+            continue
+        contained = confirm(whole, family)
+        if contained >= min_contained:
+            covered |= {(x, family) for x in range(a, b + 1)}
+            counted.insert(at, (a, b))
+            out.append({"paragraph": a, "family": family, "probability": float(p[best]), "contained": contained})
+    return out
+
+
 def fit(docs: DataFrame, text: str = "text", max_unknown: int = MAX_UNKNOWN) -> Model:
     """Ordinary lines of at most ``max_unknown`` documents (first by hash), those that hold a notice left out."""
     first = docs.select(F.substring_index(F.col(text), "\n", 1).alias("line")).where("length(line) between 1 and 2000").distinct()
@@ -203,6 +291,10 @@ def scan(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "tex
             contained = confirm(texts[own].split(b"\n", number + 1)[number], family)
             if contained >= min_contained:
                 notices[own].append({"paragraph": number, "family": family, "probability": float(p[k, best[k]]), "contained": contained})
+        for t, own in zip(texts, notices):
+            if b"\n" in t:
+                own += _wrapped(t, own, held.value, min_probability, min_contained)
+                own.sort(key=lambda n: (n["paragraph"], n["family"]))
         return {"doc_id": chunk.column("doc_id"), "n_paragraphs": per_text, "n_notices": [len(x) for x in notices],
                 "families": [sorted({n["family"] for n in x}) for x in notices], "notices": notices}
 

@@ -202,3 +202,23 @@ def test_license_edges(spark, edge_docs, no_docs, license_model):
     r = L.scan(spark.createDataFrame([(1, text), (2, None), (3, "\n")], "doc_id long, text string"), license_model).orderBy("doc_id").collect()
     assert (r[0].families, r[0].n_notices, r[0].n_paragraphs) == (["cc-by-nc", "mit"], 3, 8) and [n.paragraph for n in r[0].notices] == [2, 5, 6]
     assert (r[1].n_paragraphs, r[2].n_paragraphs, r[2].families) == (0, 2, [])
+
+
+MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files "
+       "(the \"Software\"), to deal")
+BSD = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:")
+GPL = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"
+       "# the Free Software Foundation.")
+
+
+@pytest.mark.parametrize("text, want", [
+    (MIT, [(0, "mit")]), (f"plain words\n\n{BSD}\n\nmore", [(2, "bsd")]), (f"{GPL}\n#\n# tail", [(0, "gpl")]),
+    (f"{MIT}\n\n{BSD}\n\n{MIT}", [(0, "mit"), (3, "bsd"), (7, "mit")]),
+    ("\n".join(L.TEMPLATES["mit"][2].split()), [(0, "mit")]),
+    ("Licensed under CC BY 3.0.", [(0, "cc-by")]), ("Licensed under the Apache License, Version 1.1.", [(0, "apache")]),
+    ("Licensed under the\nApache License, Version 1.1.", [(0, "apache")]), ("Released under the BSD 2-Clause License.", [(0, "bsd")]),
+    ("Permission is hereby granted, free of charge,\n\nto any person obtaining a copy of this software", [])])
+def test_wrapped_notices_and_other_versions(spark, license_model, text, want):
+    r = L.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), license_model).first()
+    assert [(n.paragraph, n.family) for n in r.notices] == want and r.n_notices == len(want)
+    assert r.families == sorted({f for _, f in want}) and r.n_paragraphs == text.count("\n") + 1
