@@ -76,20 +76,31 @@ def _exclusions_csv(spark, sf_dir) -> DataFrame:
     return S.read_exclusions_csv(spark, path).select("npi", "exclusion_date", "exclusion_type", "general", F.col("reinstatement_date").isNull().alias("active"))
 
 
+def _yearly_files(spark, years: DataFrame, wanted, name: str) -> DataFrame:
+    paths = {}
+    for y in wanted:
+        paths[y] = _folder(spark, f"year_{y}")
+        years.where(F.col("data_year") == y).drop("data_year").write.parquet(paths[y])
+    return materialize(S.read_multi_year(spark, paths), name)
+
+
 @lru_cache(maxsize=None)
 def _two_years(spark, sf_dir) -> DataFrame:
     """Two yearly files of the providers, read as one table keyed by npi and data_year."""
+    return _yearly_files(spark, workspace(spark, sf_dir).provider_years, YEARS, "two_years")
+
+
+@lru_cache(maxsize=None)
+def _all_years(spark, sf_dir) -> DataFrame:
+    """A yearly file for each year there is, read as one table keyed by npi and data_year; no rows without years."""
     years = workspace(spark, sf_dir).provider_years
-    paths = {}
-    for y in YEARS:
-        paths[y] = _folder(spark, f"year_{y}")
-        years.where(F.col("data_year") == y).drop("data_year").write.parquet(paths[y])
-    return materialize(S.read_multi_year(spark, paths), "two_years")
+    found = sorted(r["data_year"] for r in years.select("data_year").where("data_year IS NOT NULL").distinct().collect())
+    return _yearly_files(spark, years, found, "all_years") if found else years
 
 
-def _year_features(spark, sf_dir) -> DataFrame:
+def _year_features(years: DataFrame) -> DataFrame:
     key = ("npi", "data_year")
-    _, feats = P.build_features(_two_years(spark, sf_dir), key=key)
+    _, feats = P.build_features(years, key=key)
     return P.provider_features_table(feats, key=key).select(*key, "specialty", *[f"pct_{m}" for m in P.PCT_METRICS], "flag_count")
 
 
@@ -130,7 +141,9 @@ def check_queries() -> dict:
         "s1_providers_csv": _providers_csv,
         "s11_exclusions_csv": _exclusions_csv,
         "s12_two_year_rows": lambda s, d: _two_years(s, d).select("npi", "data_year", "total_claim_count", "cost_per_claim"),
-        "s8_w7_two_year_features": _year_features,
+        "s8_w7_two_year_features": lambda s, d: _year_features(_two_years(s, d)),
+        "s12_all_year_rows": lambda s, d: _all_years(s, d).select("npi", "data_year", "total_claim_count", "cost_per_claim"),
+        "s8_w7_all_year_features": lambda s, d: _year_features(_all_years(s, d)),
         "s13_source_profile": _profile,
         "s3_optional_source": _optional,
         "s10_repeated_exclusions": lambda s, d: w(s, d).exclusions.groupBy("npi").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1"),
@@ -189,6 +202,13 @@ def check_sql() -> dict:
 b AS (SELECT specialty, quantile_cont(total_claim_count, 0.99) AS p99c, quantile_cont(cost_per_claim, 0.99) AS p99k,
              quantile_cont(claims_per_bene, 0.95) AS p95b FROM y GROUP BY specialty)
 SELECT y.npi, y.data_year, y.specialty, {', '.join(f'y.pct_{m}' for m in P.PCT_METRICS)}, {flags} AS flag_count
+FROM y LEFT JOIN b ON y.specialty = b.specialty"""),
+        "s12_all_year_rows": O.q("SELECT npi, data_year, total_claim_count, cost_per_claim FROM provider_years"),
+        "s8_w7_all_year_features": O.q(f"""
+, y AS (SELECT *, {pct} FROM provider_years),
+b AS (SELECT specialty, quantile_cont(total_claim_count, 0.99) AS p99c, quantile_cont(cost_per_claim, 0.99) AS p99k,
+             quantile_cont(claims_per_bene, 0.95) AS p95b FROM y GROUP BY specialty)
+SELECT y.npi, y.data_year, y.specialty, {', '.join(f'y.pct_{m}' for m in P.PCT_METRICS)}, {flags} AS flag_count
 FROM y LEFT JOIN b ON y.specialty = b.specialty"""),
         "s13_source_profile": O.q(f"""
 SELECT TRUE AS exists_flag, TRUE AS has_bytes, count(*) AS n_rows, {n_columns} AS n_columns, 'no_such_column' AS missing_columns,

@@ -93,3 +93,16 @@ def test_read_optional_missing_and_present(spark):
     assert S.read_optional(spark, f"{d}/nope", schema).count() == 0
     spark.createDataFrame([("1", 0.5)], schema).write.parquet(f"{d}/scores")
     assert S.read_optional(spark, f"{d}/scores", schema).count() == 1
+
+
+def test_all_year_queries_hold_every_year(spark):
+    from peerscope.plans import registry_checks as K
+    from peerscope.plans.views import workspace
+
+    sf = "/root/testdata/sf0.001"
+    want = {(r.npi, r.data_year) for r in workspace(spark, sf).provider_years.select("npi", "data_year").collect()}
+    queries = K.check_queries()
+    for name in ("s12_all_year_rows", "s8_w7_all_year_features"):
+        got = [(r.npi, r.data_year) for r in queries[name](spark, sf).select("npi", "data_year").collect()]
+        assert len({y for _, y in want}) > len(K.YEARS) and len(got) == len(want) and set(got) == want
+        assert "data_year IN" not in K.check_sql()[name]
