@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peerscope.llm import (chat_format, decontaminate, fingerprints, licenses, ngram_join, packing, quality, token_counts, toxicity,
+from peerscope.llm import (chat_format, decontaminate, fill_in_middle, fingerprints, licenses, ngram_join, packing, quality, token_counts, toxicity,
                            warc)
 from peerscope.llm.common import read
 
@@ -63,13 +63,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(rows))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.transform(read(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_token_counts, op2_license_scan, op3_decontaminate, op4_document_fingerprints, op5_ngram_jaccard_join, op6_warc,
-    op7_toxicity, op8_best_fit_packing, op9_quality, op10_chat_format)}
+    op7_toxicity, op8_best_fit_packing, op9_quality, op10_chat_format, op12_fill_in_middle)}
 
 ORACLES: dict[str, str] = {
     "op3_decontaminate": decontaminate.ORACLE_SQL,
     "op5_ngram_jaccard_join": ngram_join.ORACLE_SQL,
     "op6_warc": warc.ORACLE_SQL,
     "op10_chat_format": chat_format.ORACLE_SQL,
+    "op12_fill_in_middle": fill_in_middle.ORACLE_SQL,
 }
