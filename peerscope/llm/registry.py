@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peerscope.llm import (chat_format, decontaminate, fill_in_middle, fingerprints, licenses, ngram_join, packing, quality, token_counts, toxicity,
+from peerscope.llm import (chat_format, decontaminate, fill_in_middle, fingerprints, hard_negatives, licenses, ngram_join, packing, quality, token_counts, toxicity,
                            warc)
 from peerscope.llm.common import read
 
@@ -67,9 +67,13 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digests(fill_in_middle.transform(read(spark, sf_dir, "documents")))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_token_counts, op2_license_scan, op3_decontaminate, op4_document_fingerprints, op5_ngram_jaccard_join, op6_warc,
-    op7_toxicity, op8_best_fit_packing, op9_quality, op10_chat_format, op12_fill_in_middle)}
+    op7_toxicity, op8_best_fit_packing, op9_quality, op10_chat_format, op12_fill_in_middle, op13_hard_negatives)}
 
 ORACLES: dict[str, str] = {
     "op3_decontaminate": decontaminate.ORACLE_SQL,
@@ -77,4 +81,5 @@ ORACLES: dict[str, str] = {
     "op6_warc": warc.ORACLE_SQL,
     "op10_chat_format": chat_format.ORACLE_SQL,
     "op12_fill_in_middle": fill_in_middle.ORACLE_SQL,
+    "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }
