@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peerscope.llm import (chat_format, decontaminate, fill_in_middle, fingerprints, hard_negatives, licenses, ngram_join, packing, quality, token_counts, toxicity,
-                           warc)
+from peerscope.llm import (chat_format, decontaminate, fill_in_middle, fingerprints, hard_negatives, licenses, ngram_join, packing,
+                           personal_data, quality, token_counts, toxicity, warc)
 from peerscope.llm.common import read
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -63,6 +63,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(rows))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digests(personal_data.find(read(spark, sf_dir, "documents")))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digests(fill_in_middle.transform(read(spark, sf_dir, "documents")))
 
@@ -73,7 +77,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_token_counts, op2_license_scan, op3_decontaminate, op4_document_fingerprints, op5_ngram_jaccard_join, op6_warc,
-    op7_toxicity, op8_best_fit_packing, op9_quality, op10_chat_format, op12_fill_in_middle, op13_hard_negatives)}
+    op7_toxicity, op8_best_fit_packing, op9_quality, op10_chat_format, op11_personal_data, op12_fill_in_middle, op13_hard_negatives)}
 
 ORACLES: dict[str, str] = {
     "op3_decontaminate": decontaminate.ORACLE_SQL,
