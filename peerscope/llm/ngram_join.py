@@ -16,9 +16,10 @@ dimensions), nor could it be split over tasks, so the points are first cut into
    kept keys with the other, which keeps it too.  Levels come from a bounded sample of documents; any choice loses no
    link, it only decides how large blocks get.  m is a function of a size class; sets near the lower end of their class also have
    the keys of the class below.
-2. *Edges.*  Each task collapses equal sets, finds the smallest id of each key it sees, and sends that one (key, id) pair on,
-   with the edges to it; so a key of very many documents is one pair a flush.  Pairs travel as packed arrays, a
-   row per bucket of the key space, and each bucket (of bounded size) joins its pairs by key.
+2. *Edges.*  Each task collapses equal sets, finds the components of its sets and keys, and sends each key on once, with the smallest
+   id of its component, and one edge for each other id; so a key of very many documents is one pair a flush, and two texts that
+   share many keys are one edge.  Pairs travel as packed arrays, a row per bucket of the key space; a task joins its
+   buckets (of bounded size) by key, one after the other, and sends only edges that connect what it has not connected yet.
 3. *Blocks* are the connected components of these edges.  Linked sets share a key, so they share a block; a text that
    shares no key is done.  Equal sets are then one member (128-bit digest).
 4. *R-tree on points.*  The blocks' points (no texts) go through the R-tree; components of the pairs whose bound reaches the
@@ -57,6 +58,7 @@ TILE_ROWS = 1024
 TILE_SIZE = 1_000_000
 BUCKET_HASHES = 500_000
 FLUSH_KEYS = 400_000
+STATE_IDS = 1_000_000
 SAMPLE_DOCS = 20_000
 COMMON = 3
 NOTHING_COMMON = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
@@ -343,16 +345,59 @@ def _common_keys(docs: DataFrame, n: int, threshold: float) -> tuple[np.ndarray,
     return known[order], 1 + np.log2(found["count"].to_numpy(dtype=np.float64)[order] / COMMON).astype(np.int64)
 
 
-def _star(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys with their smallest id, and the distinct edges (id, smallest id) of ids that are not the smallest."""
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if keys.size else np.zeros(0, dtype=np.int64)
-    pivot = ids[start]
-    all_pivots = np.repeat(pivot, np.diff(np.append(start, keys.size)))
-    other = np.flatnonzero(ids != all_pivots)
-    edges = np.unique(np.stack((ids[other], all_pivots[other]), 1), axis=0) if other.size else np.zeros((0, 2), dtype=np.int64)
-    return keys[start], pivot, edges
+def _forest(keys: np.ndarray, ids: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Connected components of the (key, id) pairs and the edges between ids: the distinct keys, the smallest id of the component of each,
+    and one edge (id, that smallest id) for each other id.  So there are never more edges than ids, however many keys two of them share."""
+    own, place = np.unique(keys, return_inverse=True)
+    nodes, at = np.unique(np.concatenate((ids, edges.ravel())), return_inverse=True)
+    # an edge is a key of its own with two members
+    group = np.concatenate((place, own.size + np.repeat(np.arange(len(edges)), 2)))
+    order = np.argsort(group, kind="stable")
+    group, at = group[order], at[order]
+    start = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if group.size else np.zeros(0, dtype=np.int64)
+    size = np.diff(np.append(start, group.size))
+    label = np.arange(nodes.size)
+    while group.size:
+        least = np.minimum.reduceat(label[at], start)
+        after = label.copy()
+        np.minimum.at(after, label[at], np.repeat(least, size))     # a root joins the smallest root it meets
+        while True:
+            up = after[after]
+            if (up == after).all():
+                break
+            after = up
+        after = after[label]
+        if (after == label).all():
+            break
+        label = after
+    root = nodes[label]
+    found = np.flatnonzero(root != nodes)
+    pivot = root[at[start[:own.size]]] if own.size else np.zeros(0, dtype=np.int64)
+    return own, pivot, np.stack((nodes[found], root[found]), 1)
+
+
+class _Roots:
+    """Components that a task has found so far.  A text of many keys is met in many buckets; what is connected already is not
+    sent again.  Beyond ``STATE_IDS`` ids the state starts anew, which may repeat an edge but loses none."""
+
+    def __init__(self) -> None:
+        self.ids, self.root = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def _of(self, ids: np.ndarray, nodes: np.ndarray, roots: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(nodes, ids)
+        at[at == nodes.size] = 0
+        return np.where(nodes[at] == ids, roots[at], ids) if nodes.size else ids
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """The edges that connect what was apart."""
+        if self.ids.size > STATE_IDS:
+            self.__init__()
+        new = _forest(keys, self._of(ids, self.ids, self.root), self._of(edges.ravel(), self.ids, self.root).reshape(-1, 2))[2]
+        if len(new):
+            old, up = new[:, 0], new[:, 1]          # sorted by the first, each once
+            nodes = np.union1d(self.ids, new.ravel())
+            self.ids, self.root = nodes, self._of(self._of(nodes, self.ids, self.root), old, up)
+        return new
 
 
 def _candidate_edges(docs: DataFrame, n: int, threshold: float, total: int) -> DataFrame:
@@ -363,7 +408,7 @@ def _candidate_edges(docs: DataFrame, n: int, threshold: float, total: int) -> D
     keep = np.uint64((1 << 40) - 1)
 
     def flush(keys: list, ids: list) -> Iterator[pa.RecordBatch]:
-        own, pivot, edges = _star(np.concatenate(keys), np.concatenate(ids))
+        own, pivot, edges = _forest(np.concatenate(keys), np.concatenate(ids), np.zeros((0, 2), dtype=np.int64))
         bucket = ((own >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)     # follows the order of the keys
         cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if own.size else np.zeros(0, dtype=np.int64)
         ends = np.append(cut[1:], own.size)
@@ -403,9 +448,9 @@ def _candidate_edges(docs: DataFrame, n: int, threshold: float, total: int) -> D
         del keys, ids
         release_memory()
 
-    def join(table: pa.Table) -> pa.Table:
-        keys, ids, edges = [], [], [np.zeros((0, 2), dtype=np.int64)]
-        for mark, blob in zip(table.column("edges").to_pylist(), table.column("blob").to_pylist()):
+    def unpack(rows: list[tuple[bool, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys, ids, edges = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)], [np.zeros((0, 2), dtype=np.int64)]
+        for mark, blob in rows:
             if mark:
                 edges.append(np.frombuffer(blob, dtype=np.int64).reshape(-1, 2))
                 continue
@@ -414,15 +459,30 @@ def _candidate_edges(docs: DataFrame, n: int, threshold: float, total: int) -> D
             wide[:, :5] = np.frombuffer(blob[:5 * size], dtype=np.uint8).reshape(-1, 5)
             keys.append(wide.view(np.uint64).ravel())
             ids.append(np.frombuffer(blob[5 * size:], dtype=np.int64))
-        if keys:
-            edges.append(_star(np.concatenate(keys), np.concatenate(ids))[2])
-        both = np.unique(np.concatenate(edges), axis=0)
-        del keys, ids, edges
+        return np.concatenate(keys), np.concatenate(ids), np.concatenate(edges)
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, now, rows = _Roots(), None, []
+
+        def found() -> Iterator[pa.RecordBatch]:
+            new = known.add(*unpack(rows))
+            if len(new):
+                yield pa.RecordBatch.from_arrays([pa.array(new[:, 0]), pa.array(new[:, 1])], names=["a", "b"])
+
+        for batch in batches:
+            for bucket, mark, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "edges", "blob"))):
+                if bucket != now and rows:
+                    yield from found()
+                    rows = []
+                now = bucket
+                rows.append((mark, blob))
+        if rows:
+            yield from found()
+        del known, rows
         release_memory()
-        return pa.table({"a": both[:, 0], "b": both[:, 1]})
 
     packed = docs.mapInArrow(send, "bucket long, edges boolean, blob binary")
-    return packed.groupBy("bucket").applyInArrow(join, "a long, b long")
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(join, "a long, b long")
 
 
 def _tiles(blocks: DataFrame, threshold: float, rows: int, hashes: int | None = None) -> DataFrame:

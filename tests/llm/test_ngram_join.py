@@ -143,3 +143,46 @@ def test_components(spark):
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**{k: 0 for k in range(41)}, 100: 100, **{200 + k: 100 for k in range(50)}, 499: 499, 500: 499}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def _label(edges, nodes):
+    """{node: smallest node of its component} by repeated passes."""
+    label, changed = {n: n for n in nodes}, True
+    while changed:
+        changed = False
+        for a, b in edges:
+            low = min(label[a], label[b])
+            if label[a] != low or label[b] != low:
+                label[a] = label[b] = low
+                changed = True
+    return label
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_edges_of_a_flush_and_of_a_task_are_forests(seed, monkeypatch):
+    rng = np.random.default_rng(seed)
+    monkeypatch.setattr(J, "STATE_IDS", int(rng.choice([10, 1_000_000])))
+    known, sent, pairs = J._Roots(), [], []
+    for step in range(6):
+        keys = rng.integers(0, 60, 90).astype(np.uint64)
+        ids = rng.integers(0, 400, 90)
+        more = rng.integers(0, 400, (5, 2))
+        own, pivot, edges = J._forest(keys, ids, more)
+        here = _label([(int(k) + 1000, int(i)) for k, i in zip(keys, ids)] + more.tolist(), [*range(400), *range(1000, 1060)])
+        assert dict(edges.tolist()) == {n: here[n] for n in {*ids.tolist(), *more.ravel().tolist()} if here[n] != n}
+        assert dict(zip(own.tolist(), pivot.tolist())) == {int(k): here[int(k) + 1000] for k in keys}
+        new = known.add(keys, ids, more)
+        sent += new.tolist()
+        # the same key in another bucket is another key
+        pairs += [(int(k) + 1000 * (step + 1), int(i)) for k, i in zip(keys, ids)] + [tuple(e) for e in more.tolist()]
+    nodes = {n for p in pairs for n in p} | set(range(400))
+    got = _label(sent, range(400))
+    want = _label(pairs, nodes)
+    assert [got[n] for n in range(400)] == [want[n] if want[n] < 400 else got[n] for n in range(400)]
+    if J.STATE_IDS > 10:
+        assert len(sent) == 400 - len(set(got.values()))
+
+
+def test_no_forest_of_nothing():
+    none = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros((0, 2), dtype=np.int64)
+    assert all(not len(x) for x in J._forest(*none)) and not len(J._Roots().add(*none))
