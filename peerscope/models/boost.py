@@ -1,40 +1,55 @@
-"""Supervised scorer: gradient-boosted trees with out-of-fold probabilities.
+"""Supervised scorer: histogram gradient boosting with out-of-fold probabilities.
 
-The published supervised score of a provider is the probability from the
-model trained on the *other* folds (stratified, hash-assigned folds).  Each
-training set is oversampled with SMOTE (training rows only) and positives
-carry the weight ``n0 / n1`` of the full data.  The final model is refit on
-all rows (also oversampled) and kept for attribution.
+The published supervised score of a provider is the probability from the model trained on the *other* folds (stratified, hash-assigned
+folds).  Each training set is oversampled with SMOTE (training rows only) and positives carry the weight ``n0 / n1`` of the
+full data.  The final model is refit on all rows (also oversampled) and kept for scoring and attribution.
 
-Spark ML's ``GBTClassifier`` trains each tree distributed (histogram splits
-over partitions); predictions are a narrow ``transform``.  The fold loop is a
-fixed, small number of model fits, not a loop over data.
+All models -- one a fold, and the refit, number 0 -- are trained together on one table: a row's features are cut once into at most
+``max_bins`` levels (a byte each, edges from the ``BIN_SAMPLE`` rows of least hash), and a bit mask says which models it trains.
+Trees grow level by level on histograms of first and second derivatives.  Derivatives are whole numbers (units of 2^-20), so sums
+are exact, whatever the order and the number of tasks; row and column draws are hashes of (seed, model, round, row or column).  Scores therefore
+depend on neither cores nor partitions, and the two ways to train give the same trees to the last bit:
+
+* ``ROWS_IN_TASK`` rows or fewer a model: each model is grown in a task of its own, all in one Spark job.
+* more: one job a level for all models.  A task sums the histograms of its rows, a shuffle by (model, node, feature) adds them up
+  and finds each one's best cut there, and the driver sees only those (at most models x nodes x features rows of numbers).  Margins are
+  stored every ``STORE_EVERY`` rounds; in between a task applies the trees since.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peerscope.functions import stable_hash
 from peerscope.models.smote import smote
 from peerscope.operators.metrics import stratified_folds
-from peerscope.session import materialize
+from peerscope.session import materialize, ship_package
 
 # The boosting configuration of the original scorer.
 N_TREES = 400
 MAX_DEPTH = 6
 LEARNING_RATE = 0.05
 ROW_SUBSAMPLE = 0.8
-COL_SUBSAMPLE = "0.8"
+COL_SUBSAMPLE = 0.8
 SEED = 42
+# Defaults of the original's library.
+RIDGE = 1.0
+MIN_CHILD_WEIGHT = 1.0
+MAX_BINS = 256
+
+ROWS_IN_TASK = 200_000
+BIN_SAMPLE = 100_000
+STORE_EVERY = 10
+UNIT = float(1 << 20)
+VERSION = 1
 
 
 @dataclass
@@ -43,31 +58,148 @@ class BoostParams:
     max_depth: int = MAX_DEPTH
     learning_rate: float = LEARNING_RATE
     subsample: float = ROW_SUBSAMPLE
-    feature_subset: str = COL_SUBSAMPLE
+    feature_subset: float = COL_SUBSAMPLE
     seed: int = SEED
     oversample: bool = True
-    parallelism: int = 5          # concurrent fold fits (as CrossValidator's parallelism)
-    max_bins: int = 256           # split candidates a feature, the histogram default of the original's library
+    parallelism: int = 6          # SMOTE runs at a time (one a model)
+    max_bins: int = MAX_BINS
     few_minority: str = "raise"   # smote(): what to do with at most k minority rows
+    rows_in_task: int = ROWS_IN_TASK
 
 
-def _pipeline(features: Sequence[str], p: BoostParams) -> Pipeline:
-    asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=p.n_trees,
-                        maxDepth=p.max_depth, stepSize=p.learning_rate, subsamplingRate=p.subsample,
-                        featureSubsetStrategy=p.feature_subset, seed=p.seed, maxBins=p.max_bins)
-    return Pipeline(stages=[asm, gbt])
+@dataclass
+class BoostedModel:
+    """Trees as arrays over a heap of nodes (children of i: 2i + 1 and 2i + 2): feature (-1: leaf), bin and value."""
+    features: list[str]
+    edges: list[np.ndarray]
+    trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
 
+    def bins(self, x: np.ndarray) -> np.ndarray:
+        return np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(self.edges)], 1).astype(np.uint8)
+
+    def margins(self, x: np.ndarray) -> np.ndarray:
+        b, out = self.bins(x), np.zeros(len(x))
+        for tree in self.trees:
+            out += _values(tree, b)
+        return out
+
+    def node_tables(self) -> list[tuple[np.ndarray, ...]]:
+        """(feature, threshold, left, right, value) of each tree: left where x <= threshold."""
+        out = []
+        for feature, cut, value in self.trees:
+            n = np.arange(len(feature))
+            inner = feature >= 0
+            threshold = np.array([self.edges[f][c] if f >= 0 else 0.0 for f, c in zip(feature, cut)])
+            out.append((feature.astype(np.int64), threshold, np.where(inner, 2 * n + 1, -1), np.where(inner, 2 * n + 2, -1), value))
+        return out
+
+
+# -- arithmetic shared by both ways ---------------------------------------------------------------------------------------------
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """Mixes 64-bit whole numbers (finaliser of SplitMix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _draw(own: np.ndarray, seed: int, model: int, number: int, salt: int) -> np.ndarray:
+    """Uniform numbers in [0, 1) from whole numbers, for a model and a round."""
+    base = _mix(np.array([seed, model, number, salt], dtype=np.uint64) + np.array([1, 1 << 20, 1 << 40, 1 << 60], dtype=np.uint64))
+    key = np.bitwise_xor.reduce(base)
+    return (_mix(own.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ key) >> np.uint64(11)) / float(1 << 53)
+
+
+def _columns(n: int, p: BoostParams, model: int, number: int) -> np.ndarray:
+    """Mask of the features a tree may use."""
+    keep = max(1, int(p.feature_subset * n))
+    out = np.zeros(n, dtype=bool)
+    out[np.argsort(_draw(np.arange(n), p.seed, model, number, 2), kind="stable")[:keep]] = True
+    return out
+
+
+def _derivatives(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    prob = 1.0 / (1.0 + np.exp(-margin))
+    return np.rint(UNIT * weight * (prob - label)), np.rint(UNIT * weight * prob * (1.0 - prob))
+
+
+def _empty(depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = (2 << depth) - 1
+    return np.full(n, -1, dtype=np.int16), np.zeros(n, dtype=np.int16), np.zeros(n)
+
+
+def _values(tree, b: np.ndarray) -> np.ndarray:
+    return tree[2][_places(tree, b)]
 
-def _training_rows(train: DataFrame, features: Sequence[str], label: str, key: str, pos_weight: float,
-                   p: BoostParams, synthetic: DataFrame | None = None) -> DataFrame:
-    rows = train.select(key, *features, label)
-    if p.oversample:
-        syn = synthetic if synthetic is not None else smote(rows, features, label, key, seed=p.seed, few=p.few_minority)
-        rows = rows.unionByName(syn.select(key, *features, label))
-    w = F.when(F.col(label) == 1, F.lit(float(pos_weight))).otherwise(F.lit(1.0))
-    return rows.select(*features, F.col(label).cast("double").alias("label"), w.alias("weight"))
 
+def _places(tree, b: np.ndarray) -> np.ndarray:
+    """The node in which each row ends."""
+    feature, cut, _ = tree
+    place, rows = np.zeros(len(b), dtype=np.int64), np.arange(len(b))
+    while True:
+        f = feature[place[rows]]
+        rows = rows[f >= 0]
+        if not rows.size:
+            return place
+        at = place[rows]
+        place[rows] = 2 * at + 1 + (b[rows, feature[at]] > cut[at])
+
+
+def _histograms(b: np.ndarray, g: np.ndarray, h: np.ndarray, place: np.ndarray, nodes: np.ndarray, bins: int) -> np.ndarray:
+    """[node, feature, bin, (g, h)] sums over rows whose place is one of ``nodes``."""
+    slot_of = np.full(int(max(place.max(initial=0), nodes.max())) + 1, -1, dtype=np.int64)
+    slot_of[nodes] = np.arange(nodes.size)
+    slot = slot_of[place]
+    some = np.flatnonzero(slot >= 0)
+    n = b.shape[1]
+    index = ((slot[some, None] * n + np.arange(n)) * bins + b[some]).ravel()
+    shape = (nodes.size, n, bins)
+    return np.stack([np.bincount(index, weights=np.repeat(v[some], n), minlength=nodes.size * n * bins).reshape(shape) for v in (g, h)], 3)
+
+
+def _cuts(hist: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Best cut of each [node, feature] histogram: gain, bin, g and h on the left, g and h in all."""
+    left = np.cumsum(hist, 2)
+    total = left[:, :, -1:]
+    right = total - left
+
+    def part(x: np.ndarray) -> np.ndarray:
+        return x[..., 0] * x[..., 0] / (x[..., 1] + RIDGE * UNIT)
+
+    least = MIN_CHILD_WEIGHT * UNIT
+    gain = np.where((left[..., 1] >= least) & (right[..., 1] >= least), (part(left) + part(right) - part(total)) / UNIT, -1.0)
+    at = gain.argmax(2)
+    take = at[..., None]
+    best = np.take_along_axis(left, take[..., None], 2)[:, :, 0]
+    return np.take_along_axis(gain, take, 2)[..., 0], at, best[..., 0], best[..., 1], total[:, :, 0, 0], total[:, :, 0, 1]
+
+
+def _grow(tree, nodes: Sequence[int], cuts: Sequence[np.ndarray], allowed: np.ndarray, p: BoostParams) -> list[int]:
+    """Applies the best allowed cut of each node; the nodes of the next level that may be cut further."""
+    feature, cut, value = tree
+    gain, at, lg, lh, g, h = cuts
+    out = []
+    for k, node in enumerate(nodes):
+        if node == 0:
+            value[0] = _leaf(g[k, 0], h[k, 0], p)
+        own = np.where(allowed, gain[k], -1.0)
+        f = int(own.argmax())
+        if own[f] <= 1e-6:
+            continue
+        feature[node], cut[node] = f, at[k, f]
+        sides = ((lg[k, f], lh[k, f]), (g[k, f] - lg[k, f], h[k, f] - lh[k, f]))
+        for child, (cg, ch) in zip((2 * node + 1, 2 * node + 2), sides):
+            value[child] = _leaf(cg, ch, p)
+            if ch >= 2 * MIN_CHILD_WEIGHT * UNIT and 2 * child + 2 < len(feature):
+                out.append(child)
+    return out
+
+
+def _leaf(g: float, h: float, p: BoostParams) -> float:
+    return -p.learning_rate * g / (h + RIDGE * UNIT)
+
+
+# -- training table -------------------------------------------------------------------------------------------------------------
 
 def positive_weight(matrix: DataFrame, label: str = "is_fraud_label") -> float:
     """n0 / n1 over the full table (one-row aggregate)."""
@@ -75,66 +207,270 @@ def positive_weight(matrix: DataFrame, label: str = "is_fraud_label") -> float:
     return float(r["n0"]) / float(r["n1"]) if r["n1"] else 1.0
 
 
-def fit(matrix: DataFrame, features: Sequence[str], label: str = "is_fraud_label", key: str = "npi",
-        params: BoostParams | None = None, pos_weight: float | None = None,
-        synthetic: DataFrame | None = None) -> PipelineModel:
+def _filled(matrix: DataFrame, feats: Sequence[str], *others: str) -> DataFrame:
+    return matrix.select(*others, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feats])
+
+
+def bin_edges(matrix: DataFrame, feats: Sequence[str], key: str, max_bins: int) -> list[np.ndarray]:
+    """Upper edges of all bins but the last, from the ``BIN_SAMPLE`` rows whose key has the least hash."""
+    sample = _filled(matrix, feats, key).orderBy(stable_hash(F.col(key)), key).limit(BIN_SAMPLE).select(*feats).toArrow()
+    out = []
+    for c in feats:
+        x = np.sort(sample.column(c).to_numpy())
+        distinct = np.unique(x)
+        if distinct.size > max_bins:
+            distinct = np.unique(x[np.linspace(0, x.size - 1, max_bins).astype(np.int64)])
+        out.append((distinct[:-1] + distinct[1:]) / 2 if distinct.size <= max_bins else distinct[:-1])
+    return out
+
+
+def _binned(rows: DataFrame, feats: Sequence[str], key: str, label: str, edges: list[np.ndarray], weight: float) -> DataFrame:
+    """key, fold, models (bit mask), label, weight, h (row hash) and the bins as bytes."""
+    ship_package(rows.sparkSession)
+    model = BoostedModel(list(feats), edges)
+    n = len(feats)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in feats], 1) if batch.num_rows else np.zeros((0, n))
+            blob = pa.array([r.tobytes() for r in model.bins(x)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("key", "fold", "models", "label", "weight", "h")] + [blob],
+                                             names=["key", "fold", "models", "label", "weight", "h", "bins"])
+
+    y = F.col(label).cast("double")
+    own = _filled(rows, feats, F.col(key).alias("key"), "fold", "models", y.alias("label"),
+                  F.when(y == 1, F.lit(float(weight))).otherwise(F.lit(1.0)).alias("weight"), stable_hash(F.col(key)).alias("h"))
+    return own.mapInArrow(run, "key string, fold int, models int, label double, weight double, h long, bins binary")
+
+
+def _training_table(data: DataFrame, feats: list[str], label: str, key: str, edges: list[np.ndarray], weight: float, numbers: Sequence[int],
+                    p: BoostParams, synthetic: DataFrame | None) -> DataFrame:
+    """All rows of all models.  ``data`` has ``fold``; model 0 trains on all rows, model f on those of the other folds."""
+    every = sum(1 << m for m in numbers)
+    own = F.lit(every).bitwiseAND(F.bitwise_not(F.when(F.col("fold") > 0, F.expr("shiftleft(1, fold)")).otherwise(F.lit(0)))).cast("int")
+    rows = data.select(key, *feats, label, "fold", own.alias("models"))
+    if p.oversample:
+        def drawn(m: int) -> DataFrame:
+            if m == 0 and synthetic is not None:
+                syn = synthetic
+            else:
+                train = data.where(F.col("fold") != m) if m else data
+                syn = smote(train.select(key, *feats, label), feats, label, key, seed=p.seed, few=p.few_minority)
+            return syn.select(key, *feats, label, F.lit(None).cast("int").alias("fold"), F.lit(1 << m).alias("models"))
+
+        with ThreadPoolExecutor(max_workers=max(1, p.parallelism)) as pool:     # independent runs, submitted as concurrent Spark jobs
+            for syn in pool.map(drawn, numbers):
+                rows = rows.unionByName(syn)
+    return materialize(_binned(rows, feats, key, label, edges, weight), "training")
+
+
+def _arrays(table: pa.Table | pa.RecordBatch, n: int) -> tuple[np.ndarray, ...]:
+    bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), dtype=np.uint8).reshape(-1, n)
+    return bins, *(table.column(c).to_numpy(zero_copy_only=False) if isinstance(table, pa.RecordBatch) else table.column(c).to_numpy()
+                   for c in ("label", "weight", "h", "models"))
+
+
+# -- all rounds of a model in a task --------------------------------------------------------------------------------------------
+
+def _train_in_task(b: np.ndarray, label: np.ndarray, weight: np.ndarray, h: np.ndarray, model: int, bins: int, p: BoostParams) -> list:
+    margin, trees = np.zeros(len(b)), []
+    for number in range(p.n_trees):
+        g, hess = _derivatives(margin, label, weight)
+        rows = np.flatnonzero(_draw(h, p.seed, model, number, 1) < p.subsample)
+        own, g, hess = b[rows], g[rows], hess[rows]
+        tree, allowed, nodes = _empty(p.max_depth), _columns(b.shape[1], p, model, number), [0]
+        place = np.zeros(rows.size, dtype=np.int64)
+        while nodes:
+            held = np.array(nodes)
+            after = _grow(tree, nodes, _cuts(_histograms(own, g, hess, place, held, bins)), allowed, p)
+            nodes = after
+            if nodes:
+                place = _places(tree, own)
+        trees.append(tree)
+        margin += _values(tree, b)
+    return trees
+
+
+def _fit_in_tasks(table: DataFrame, numbers: Sequence[int], n: int, bins: int, p: BoostParams) -> tuple[dict[int, list], DataFrame]:
+    def run(group: tuple, rows: pa.Table) -> pa.Table:
+        model = group[0].as_py()
+        b, label, weight, h, models = _arrays(rows, n)
+        trains = (models >> model) & 1 == 1
+        trees = _train_in_task(b[trains], label[trains], weight[trains], h[trains], model, bins, p)
+        held = np.flatnonzero(~trains)
+        margin = np.zeros(held.size)
+        for t in trees:
+            margin += _values(t, b[held])
+        packed = [b"".join(x.tobytes() for x in t) for t in trees]
+        keys = rows.column("key").take(pa.array(held)).to_pylist()
+        return pa.table({"model": pa.array([model] * (len(trees) + held.size), pa.int32()), "number": pa.array([*range(len(trees)), *[None] * held.size], pa.int32()),
+                         "tree": pa.array(packed + [None] * held.size, pa.binary()), "key": pa.array([None] * len(trees) + keys, pa.string()),
+                         "margin": pa.array([None] * len(trees) + margin.tolist(), pa.float64())})
+
+    each = table.withColumn("model", F.explode(F.array(*[F.lit(m) for m in numbers]))).where(
+        (F.expr("shiftright(models, model) & 1") == 1) | (F.col("fold") == F.col("model")))
+    out = materialize(each.groupBy("model").applyInArrow(run, "model int, number int, tree binary, key string, margin double"), "boosted")
+    trees: dict[int, list] = {m: [] for m in numbers}
+    size = (2 << p.max_depth) - 1
+    for r in out.where("number is not null").orderBy("model", "number").collect():     # models x rounds trees
+        raw = bytes(r.tree)
+        trees[r.model].append((np.frombuffer(raw[:2 * size], np.int16), np.frombuffer(raw[2 * size:4 * size], np.int16), np.frombuffer(raw[4 * size:], np.float64)))
+    return trees, out.where("number is null").select("key", F.col("model").alias("fold"), "margin")
+
+
+# -- one job a level ------------------------------------------------------------------------------------------------------------
+
+def _fit_by_level(table: DataFrame, numbers: Sequence[int], n: int, bins: int, p: BoostParams) -> tuple[dict[int, list], DataFrame]:
+    spark = table.sparkSession
+    numbers = list(numbers)
+    trees: dict[int, list] = {m: [] for m in numbers}
+
+    def margins_of(batch, since) -> np.ndarray:
+        out = np.stack([np.array(batch.column("margins").to_pylist(), dtype=np.float64).reshape(-1, len(numbers))[:, j] for j in range(len(numbers))], 1)
+        b = np.frombuffer(b"".join(batch.column("bins").to_pylist()), dtype=np.uint8).reshape(-1, n)
+        for j, m in enumerate(numbers):
+            for t in since[m]:
+                out[:, j] += _values(t, b)
+        return out
+
+    def level(stored: DataFrame, shipped, number: int) -> list:
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            since, partial, open_ = shipped.value
+            total: dict[int, np.ndarray] = {}
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                b, label, weight, h, models = _arrays(batch, n)
+                margin = margins_of(batch, since)
+                for j, m in enumerate(numbers):
+                    rows = np.flatnonzero(((models >> m) & 1 == 1) & (_draw(h, p.seed, m, number, 1) < p.subsample))
+                    if open_[m] and rows.size:
+                        g, hess = _derivatives(margin[rows, j], label[rows], weight[rows])
+                        hist = _histograms(b[rows], g, hess, _places(partial[m], b[rows]), np.array(open_[m]), bins)
+                        total[m] = total[m] + hist if m in total else hist
+            found = [(m, node, f, total[m][k, f].tobytes()) for m in total for k, node in enumerate(open_[m]) for f in range(n)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.binary()))],
+                                             names=["model", "node", "feature", "sums"])
+
+        def best(rows: pa.Table) -> pa.Table:
+            hist = sum(np.frombuffer(x, np.float64) for x in rows.column("sums").to_pylist()).reshape(1, 1, bins, 2)
+            own = [float(x[0, 0]) for x in _cuts(hist)]
+            return pa.table({c: [rows.column(c)[0].as_py()] for c in ("model", "node", "feature")} | {"cut": [own]},
+                            schema=pa.schema([("model", pa.int32()), ("node", pa.int32()), ("feature", pa.int32()), ("cut", pa.list_(pa.float64()))]))
+
+        return stored.mapInArrow(sums, "model int, node int, feature int, sums binary").groupBy("model", "node", "feature").applyInArrow(
+            best, "model int, node int, feature int, cut array<double>").collect()
+
+    def carried(stored: DataFrame, since) -> DataFrame:
+        names = stored.columns
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    m = pa.array(margins_of(batch, since.value).tolist(), pa.list_(pa.float64()))
+                    yield pa.RecordBatch.from_arrays([m if c == "margins" else batch.column(c) for c in names], names=names)
+
+        return materialize(stored.mapInArrow(run, stored.schema), "margins")
+
+    ship_package(spark)
+    stored = materialize(table.withColumn("margins", F.array(*[F.lit(0.0)] * len(numbers))), "margins")
+    since: dict[int, list] = {m: [] for m in numbers}
+    for number in range(p.n_trees):
+        partial = {m: _empty(p.max_depth) for m in numbers}
+        open_ = {m: [0] for m in numbers}
+        while any(open_.values()):
+            got = level(stored, spark.sparkContext.broadcast((since, partial, open_)), number)
+            for m in numbers:
+                nodes = open_[m]
+                cuts = [np.zeros((len(nodes), n)) for _ in range(6)]
+                at = {node: k for k, node in enumerate(nodes)}
+                cuts[0] -= 1.0
+                for r in got:
+                    if r.model == m:
+                        for c, v in zip(cuts, r.cut):
+                            c[at[r.node], r.feature] = v
+                open_[m] = _grow(partial[m], nodes, cuts, _columns(n, p, m, number), p) if nodes else []
+        for m in numbers:
+            trees[m].append(partial[m])
+            since[m] = since[m] + [partial[m]]
+        if (number + 1) % STORE_EVERY == 0 or number + 1 == p.n_trees:
+            stored = carried(stored, spark.sparkContext.broadcast(since))
+            since = {m: [] for m in numbers}
+    place = F.create_map(*[x for j, m in enumerate(numbers) for x in (F.lit(m), F.lit(j))])
+    return trees, stored.where(F.col("fold").isin([m for m in numbers if m])).select("key", "fold", F.get("margins", place[F.col("fold")]).alias("margin"))
+
+
+# -- entry points ---------------------------------------------------------------------------------------------------------------
+
+def _train(data: DataFrame, feats: list[str], label: str, key: str, numbers: Sequence[int], p: BoostParams, pos_weight: float | None,
+           synthetic: DataFrame | None) -> tuple[dict[int, BoostedModel], DataFrame]:
+    if not 2 <= p.max_bins <= 256:
+        raise ValueError("max_bins must be 2 to 256: a bin is a byte")
+    ship_package(data.sparkSession)
+    edges = bin_edges(data, feats, key, p.max_bins)
+    weight = positive_weight(data, label) if pos_weight is None else pos_weight
+    table = _training_table(data, feats, label, key, edges, weight, numbers, p, synthetic)
+    bins = max((len(e) for e in edges), default=0) + 1
+    most = table.agg(*[F.sum(F.expr(f"shiftright(models, {m}) & 1")).alias(f"m{m}") for m in numbers]).first()
+    train = _fit_in_tasks if max((x or 0) for x in most) <= p.rows_in_task else _fit_by_level
+    trees, held = train(table, numbers, len(feats), bins, p)
+    return {m: BoostedModel(feats, edges, t) for m, t in trees.items()}, held
+
+
+def fit(matrix: DataFrame, features: Sequence[str], label: str = "is_fraud_label", key: str = "npi", params: BoostParams | None = None,
+        pos_weight: float | None = None, synthetic: DataFrame | None = None) -> BoostedModel:
     """Fit on all rows (oversampled) -- the model kept for scoring and attribution.
     ``synthetic`` may pass SMOTE rows already drawn for the same table."""
-    p = params or BoostParams()
-    pw = positive_weight(matrix, label) if pos_weight is None else pos_weight
-    rows = _training_rows(matrix, features, label, key, pw, p, synthetic)
-    return _fit_stored(rows, features, p, "train_all")
-
-
-def _fit_stored(rows: DataFrame, features: Sequence[str], p: BoostParams, name: str) -> PipelineModel:
-    """Fit on a stored copy of the rows.  Each boosting round passes over the data once per tree level, so
-    the copy is spread over the cores (no more partitions than it has thousands of rows) and cached."""
-    stored = materialize(rows, name)
-    cores = stored.sparkSession.sparkContext.defaultParallelism
-    n = stored.count()
-    parts = max(1, min(stored.rdd.getNumPartitions() if n > 1_000_000 else cores, n // 1000))
-    cached = stored.repartition(parts).persist() if n <= 1_000_000 else stored.persist()
-    try:
-        return _pipeline(features, p).fit(cached)
-    finally:
-        cached.unpersist()
-
-
-def predict(model: PipelineModel, rows: DataFrame, key: str = "npi") -> DataFrame:
-    """``key`` and the positive-class probability."""
-    out = model.transform(rows)
-    return out.select(key, vector_to_array("probability")[1].alias("fraud_score_xgb"))
-
-
-def out_of_fold_scores(matrix: DataFrame, features: Sequence[str], label: str = "is_fraud_label",
-                       key: str = "npi", k: int = 5, params: BoostParams | None = None) -> DataFrame:
-    """M4: ``key``, ``fold`` and the out-of-fold ``fraud_score_xgb``."""
-    p = params or BoostParams()
+    data = matrix.withColumn("fold", F.lit(0))
+    return _train(data, list(features), label, key, [0], params or BoostParams(), pos_weight, synthetic)[0][0]
+
+
+def fit_all(matrix: DataFrame, features: Sequence[str], label: str = "is_fraud_label", key: str = "npi", k: int = 5,
+            params: BoostParams | None = None, synthetic: DataFrame | None = None, refit: bool = True) -> tuple[DataFrame, BoostedModel | None]:
+    """M4 in one pass: (``key``, ``fold`` and the out-of-fold ``fraud_score_xgb``; the model of all rows)."""
     feats = list(features)
-    data = matrix.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feats], label)
+    data = _filled(matrix, feats, key, label)
     folds = stratified_folds(data.select(key, label), label, key, k)
     data = materialize(data.join(folds.select(key, "fold"), key, "inner"), "cv_data")
-    pw = positive_weight(data, label)
+    models, held = _train(data, feats, label, key, ([0] if refit else []) + list(range(1, k + 1)), params or BoostParams(), None, synthetic)
+    return held.select(F.col("key").alias(key), "fold", (1.0 / (1.0 + F.exp(-F.col("margin")))).alias("fraud_score_xgb")), models.get(0)
+
+
+def out_of_fold_scores(matrix: DataFrame, features: Sequence[str], label: str = "is_fraud_label", key: str = "npi", k: int = 5,
+                       params: BoostParams | None = None) -> DataFrame:
+    """M4: ``key``, ``fold`` and the out-of-fold ``fraud_score_xgb``."""
+    return fit_all(matrix, features, label, key, k, params, refit=False)[0]
+
+
+def predict(model: BoostedModel, rows: DataFrame, key: str = "npi") -> DataFrame:
+    """``key`` and the positive-class probability; only the model (bounded by its parameters) is shipped."""
+    ship_package(rows.sparkSession)
+    feats, own = model.features, rows.sparkSession.sparkContext.broadcast(model)
 
-    def one_fold(f: int) -> DataFrame:
-        train = data.where(F.col("fold") != f)
-        test = data.where(F.col("fold") == f)
-        model = _fit_stored(_training_rows(train, feats, label, key, pw, p), feats, p, "train")
-        return materialize(predict(model, test, key).withColumn("fold", F.lit(f)), "oof_fold")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in feats], 1)
+                yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(1.0 / (1.0 + np.exp(-own.value.margins(x))))], names=[key, "fraud_score_xgb"])
 
-    # the folds are independent model fits: submit them as concurrent Spark jobs
-    with ThreadPoolExecutor(max_workers=max(1, min(p.parallelism, k))) as pool:
-        parts = list(pool.map(one_fold, range(1, k + 1)))
-    out = parts[0]
-    for d in parts[1:]:
-        out = out.unionByName(d)
-    return out.select(key, "fold", "fraud_score_xgb")
+    return _filled(rows, feats, key).mapInArrow(run, f"{key} string, fraud_score_xgb double")
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """Persist the fitted pipeline (Spark ML writer; Parquet node data)."""
-    model.write().overwrite().save(path)
+def save_model(model: BoostedModel, path: str, spark: SparkSession, **settings) -> None:
+    """Node table, bin edges, feature order and further ``settings`` (a threshold, say) in one folder."""
+    nodes = [(t, i, int(f), int(c), float(v)) for t, (fe, cu, va) in enumerate(model.trees) for i, (f, c, v) in enumerate(zip(fe, cu, va))]
+    spark.createDataFrame(nodes, "tree int, node int, feature int, bin int, value double").coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+    edges = [(j, c, model.edges[j].tolist()) for j, c in enumerate(model.features)]
+    spark.createDataFrame(edges, "place int, feature string, edges array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/features")
+    spark.createDataFrame([(VERSION, json.dumps(settings))], "version int, settings string").coalesce(1).write.mode("overwrite").json(f"{path}/settings")
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str, spark: SparkSession) -> tuple[BoostedModel, dict]:
+    """The model and the settings that ``save_model`` has written."""
+    head = spark.read.schema("version int, settings string").json(f"{path}/settings").first()
+    if head is None or head.version != VERSION:
+        raise ValueError(f"{path} is not a model of version {VERSION}")
+    feats = sorted(spark.read.parquet(f"{path}/features").collect(), key=lambda r: r.place)
+    nodes = spark.read.parquet(f"{path}/nodes").orderBy("tree", "node").toPandas()        # bounded by the model's size
+    trees = [(g.feature.to_numpy(np.int16), g.bin.to_numpy(np.int16), g.value.to_numpy(np.float64)) for _, g in nodes.groupby("tree", sort=True)]
+    return BoostedModel([r.feature for r in feats], [np.array(r.edges, dtype=np.float64) for r in feats], trees), json.loads(head.settings)

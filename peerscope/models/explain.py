@@ -10,29 +10,26 @@ and each z-feature ``-v * a! (b-1)! / (a+b)!``.  Averaging over the
 background gives the attribution; the values add up to
 ``f(x) - mean_z f(z)`` (checked in the tests).
 
-Spark plan: the model's node table comes from the saved Spark ML model
-(bounded by ``n_trees * (2^(depth+1) - 1)`` rows), the background is a fixed
+Spark plan: the model's nodes are bounded by ``n_trees * (2^(depth+1) - 1)``, the background is a fixed
 size reproducible sample, the foreground is the top-k rows -- all three are
 bounded by parameters and broadcast; ``mapInPandas`` spreads the foreground
-rows over tasks.  Contributions are in log-odds (Spark's GBT probability is
-``sigmoid(2 * margin)``, so the margin is doubled).
+rows over tasks.  Contributions are in log-odds (the margin).
 """
 
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peerscope.models.boost import BoostedModel
 from peerscope.operators.reports import sample_fixed
-from peerscope.session import ensure_checkpoint_dir, ship_package
+from peerscope.session import ship_package
 
 # The original hands its 500 top rows to the explainer library, whose background masker keeps 100 of them by
 # default; so the background is 100 rows drawn from the explained ones (hash order).
@@ -40,30 +37,6 @@ N_BACKGROUND = 100
 ROWS_PER_TASK = 64
 
 
-def tree_table(model: PipelineModel, spark) -> dict:
-    """Node arrays of a fitted ``[VectorAssembler, GBTClassifier]`` pipeline,
-    read back from the model's saved Parquet data (S15 persistence)."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/peerscope/model-{uuid.uuid4().hex}"
-    model.write().overwrite().save(path)
-    gbt = model.stages[-1]
-    stage = f"{path}/stages/{len(model.stages) - 1}_{gbt.uid}"
-    nodes = (spark.read.parquet(f"{stage}/data")
-             .select(F.col("treeID").alias("tree"), F.col("nodeData.id").alias("node"),
-                     F.col("nodeData.prediction").alias("value"), F.col("nodeData.leftChild").alias("left"),
-                     F.col("nodeData.rightChild").alias("right"),
-                     F.col("nodeData.split.featureIndex").alias("feature"),
-                     F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)).alias("threshold"))
-             .orderBy("tree", "node").toPandas())          # bounded by the model size
-    weights = (spark.read.parquet(f"{stage}/treesMetadata").select(F.col("_1").alias("tree"), F.col("_3").alias("w"))
-               .orderBy("tree").toPandas())
-    trees = []
-    for t, g in nodes.groupby("tree"):
-        g = g.sort_values("node")
-        trees.append((g.feature.to_numpy("int64"), g.threshold.fillna(0.0).to_numpy("float64"),
-                      g.left.to_numpy("int64"), g.right.to_numpy("int64"), g.value.to_numpy("float64")))
-    return {"trees": trees, "weights": weights.w.to_numpy("float64"), "path": path}
-
-
 def leaves_of(trees, weights) -> list[tuple]:
     """Every leaf as ``(features on its path, lower bounds, upper bounds, weighted value)``: a row
     satisfies a feature of the path when ``lower < x <= upper``."""
@@ -132,31 +105,29 @@ def margins(leaves, X: np.ndarray) -> np.ndarray:
     return out
 
 
-def attributions(model: PipelineModel, foreground: DataFrame, background: DataFrame, features: Sequence[str],
+def attributions(model: BoostedModel, foreground: DataFrame, background: DataFrame, features: Sequence[str],
                  key: str = "npi") -> DataFrame:
     """Per foreground row: ``i_<feature>`` (contribution to the log-odds),
     ``v_<feature>`` (the value), ``base_value`` and ``log_odds``."""
     feats = list(features)
     spark = foreground.sparkSession
     ship_package(spark)
-    tt = tree_table(model, spark)
     bg = background.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feats]).toPandas()
     Z = bg.to_numpy("float64")                          # bounded: the background sample size
-    leaves = leaves_of(tt["trees"], tt["weights"])
-    scale = 2.0                                         # log-odds = 2 * margin
-    base = scale * float(margins(leaves, Z).mean()) if len(Z) else 0.0
+    leaves = leaves_of(model.node_tables(), [1.0] * len(model.trees))
+    base = float(margins(leaves, Z).mean()) if len(Z) else 0.0
     bc = spark.sparkContext.broadcast((leaves, Z))
 
     def run(batches):
         own, Zb = bc.value
         for pdf in batches:
             X = pdf[feats].fillna(0.0).to_numpy("float64")
-            res = pd.DataFrame(scale * shapley(own, X, Zb), columns=[f"i_{c}" for c in feats])
+            res = pd.DataFrame(shapley(own, X, Zb), columns=[f"i_{c}" for c in feats])
             for j, c in enumerate(feats):
                 res[f"v_{c}"] = X[:, j]
             res.insert(0, key, pdf[key].to_numpy())
             res["base_value"] = base
-            res["log_odds"] = scale * margins(own, X)
+            res["log_odds"] = margins(own, X)
             yield res
 
     schema = (f"{key} string, " + ", ".join(f"i_{c} double" for c in feats) + ", "

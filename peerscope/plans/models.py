@@ -3,7 +3,6 @@ ensemble tiers, the refit model and attributions of the top-k providers."""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -48,17 +47,11 @@ class ModelRun:
 
     @cached_property
     def _fits(self) -> tuple:
-        """Out-of-fold scores and the refit model: independent fits, submitted as concurrent Spark jobs."""
+        """Out-of-fold scores and the refit model: all models are trained together."""
         p = self.params
-        _ = self.matrix
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            refit = pool.submit(self._refit)
-            oof = materialize(B.out_of_fold_scores(self.matrix, FEATURE_COLUMNS, k=p.folds, params=p.boost), "oof")
-            return oof, refit.result()
-
-    def _refit(self):
-        syn = self.smote_rows if self.params.boost.oversample else None
-        return B.fit(self.matrix, FEATURE_COLUMNS, params=self.params.boost, synthetic=syn)
+        syn = self.smote_rows if p.boost.oversample else None
+        oof, model = B.fit_all(self.matrix, FEATURE_COLUMNS, k=p.folds, params=p.boost, synthetic=syn)
+        return materialize(oof, "oof"), model
 
     @property
     def out_of_fold(self) -> DataFrame:

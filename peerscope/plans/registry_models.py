@@ -62,6 +62,14 @@ def _one_row_checks(spark, sf_dir) -> DataFrame:
     return a.crossJoin(b).crossJoin(c)      # one row each
 
 
+def _isolation_checks(spark, sf_dir) -> DataFrame:
+    """Invariants of the isolation scores alone: one for each provider, from 0 to 1, both ends reached."""
+    return model_run(spark, sf_dir).isolation.agg(
+        F.count(F.lit(1)).alias("n_scores"), F.count_distinct("npi").alias("n_npis"),
+        F.count_if(~F.coalesce(F.col("fraud_score_iso").between(0.0, 1.0), F.lit(False))).alias("n_bad_range"),
+        F.min("fraud_score_iso").alias("iso_min"), F.max("fraud_score_iso").alias("iso_max"))
+
+
 def _oof_folds(spark, sf_dir) -> DataFrame:
     """Every provider is scored once, by the models of the other folds."""
     return model_run(spark, sf_dir).out_of_fold.select(
@@ -73,6 +81,7 @@ def model_queries() -> dict:
         "m3_minority_knn": _knn,
         "m3_smote_rows": _smote,
         "m5_isolation_scores": lambda s, d: model_run(s, d).isolation,
+        "m5_isolation_invariants": _isolation_checks,
         "m4_oof_scores": lambda s, d: model_run(s, d).out_of_fold,
         "m7_model_tiers": lambda s, d: model_run(s, d).scores,
         "m8_attributions": lambda s, d: model_run(s, d).attribution_long(),
@@ -105,6 +114,8 @@ u AS (SELECT j, CAST(floor({unit.format(k=1)} * n1) AS BIGINT) AS idx,
 SELECT 'synthetic-' || u.j AS npi, 1 AS is_fraud_label, {drawn}
 FROM u JOIN ord a ON u.idx = a.idx JOIN r ON r.npi = a.npi AND r.nn_rank = u.nn_rank JOIN mino b ON b.npi = r.nn_key"""),
         "m4_oof_folds": O.q(FOLDS_SQL + "SELECT npi, CAST(fold AS INTEGER) AS fold, TRUE AS in_range FROM folds"),
+        "m5_isolation_invariants": O.q("""
+SELECT count(*) AS n_scores, count(DISTINCT npi) AS n_npis, 0::BIGINT AS n_bad_range, 0.0::DOUBLE AS iso_min, 1.0::DOUBLE AS iso_max FROM providers"""),
         "m5_m9_model_invariants": O.q("""
 SELECT count(*) AS n_scores, 0::BIGINT AS n_bad_range, 0.0::DOUBLE AS iso_min, 1.0::DOUBLE AS iso_max, 0::BIGINT AS n_bad_tiers,
        least(500, count(*))::BIGINT AS n_explained, 0::BIGINT AS n_not_additive, 0::BIGINT AS n_bad_reasons

@@ -69,11 +69,78 @@ def test_gbt_attributions_are_additive(spark):
     att = X.attributions(model, fg, bg, feats).toPandas()
     contrib = att[[f"i_{c}" for c in feats]].sum(axis=1)
     assert np.allclose(contrib, att.log_odds - att.base_value, atol=1e-9)
-    # log-odds agree with Spark's probability: p = sigmoid(log_odds)
+    # log-odds agree with the probability: p = sigmoid(log_odds)
     prob = B.predict(model, fg).toPandas().set_index("npi").fraud_score_xgb
     assert np.allclose(1 / (1 + np.exp(-att.set_index("npi").log_odds)), prob.loc[att.npi].to_numpy(), atol=1e-9)
 
 
+def _same(a, b):
+    return len(a.trees) == len(b.trees) and all((x == y).all() for s, t in zip(a.trees, b.trees) for x, y in zip(s, t))
+
+
+@pytest.mark.parametrize("rows_in_task", [B.ROWS_IN_TASK, 10])
+def test_boosting_finds_the_signal_and_both_ways_agree(spark, rows_in_task):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(600, 4))
+    pdf = pd.DataFrame(x, columns=["a", "b", "c", "d"])
+    pdf.insert(0, "npi", [f"1{i:09d}" for i in range(600)])
+    pdf["is_fraud_label"] = ((x[:, 0] * x[:, 1] > 0.4) | (x[:, 2] > 1.8)).astype(int)
+    pdf.loc[5, "a"] = np.nan
+    feats = ["a", "b", "c", "d"]
+    p = B.BoostParams(n_trees=12 if rows_in_task > 10 else 3, max_depth=4, learning_rate=0.3, oversample=False, rows_in_task=rows_in_task)
+    oof, model = B.fit_all(spark.createDataFrame(pdf).repartition(3), feats, params=p)
+    got = oof.toPandas().set_index("npi")
+    assert len(got) == 600 and got.fraud_score_xgb.between(0, 1).all()
+    # the same on another number of partitions, and with the other way to train
+    again, other = B.fit_all(spark.createDataFrame(pdf).repartition(7), feats, params=B.BoostParams(**{**p.__dict__, "rows_in_task": 5000}))
+    assert _same(model, other)
+    assert (again.toPandas().set_index("npi").loc[got.index].fraud_score_xgb == got.fraud_score_xgb).all()
+    if rows_in_task > 10:
+        y = pdf.set_index("npi").is_fraud_label.loc[got.index]
+        assert got.fraud_score_xgb[y == 1].mean() > 0.75 > 0.25 > got.fraud_score_xgb[y == 0].mean()
+        alone = B.fit(spark.createDataFrame(pdf), feats, params=p)
+        assert _same(model, alone)
+
+
+def test_boosting_equals_a_plain_tree():
+    """One round of one tree against sums over all cuts."""
+    rng = np.random.default_rng(6)
+    b = rng.integers(0, 9, (80, 3)).astype(np.uint8)
+    y = (rng.random(80) < 0.4).astype(float)
+    p = B.BoostParams(n_trees=1, max_depth=1, subsample=1.0, feature_subset=1.0)
+    feature, cut, value = B._train_in_task(b, y, np.ones(80), np.arange(80), 0, 9, p)[0]
+    g, h = 0.5 - y, np.full(80, 0.25)
+
+    def gain(mask):
+        if h[mask].sum() < 1 or h[~mask].sum() < 1:
+            return -1.0
+        return sum(g[m].sum() ** 2 / (h[m].sum() + 1) for m in (mask, ~mask)) - g.sum() ** 2 / (h.sum() + 1)
+
+    best = max(((gain(b[:, f] <= c), -f, -c) for f in range(3) for c in range(8)))
+    assert (feature[0], cut[0]) == (-best[1], -best[2])
+    left = b[:, feature[0]] <= cut[0]
+    assert np.allclose(value[1:3], [-0.05 * g[m].sum() / (h[m].sum() + 1) for m in (left, ~left)], atol=1e-6)
+
+
+def test_boosting_edges(spark):
+    schema = "npi string, a double, b double, is_fraud_label int"
+    none = spark.createDataFrame([], schema)
+    one = spark.createDataFrame([(f"{k}", 1.0, None, 0) for k in range(20)], schema)       # one class, equal and null features
+    p = B.BoostParams(n_trees=2, max_depth=2, oversample=False)
+    assert B.fit_all(none, ["a", "b"], params=p)[0].count() == 0
+    scores, model = B.fit_all(one, ["a", "b"], params=p)
+    assert scores.count() == 20 and all((t[0] == -1).all() for t in model.trees)
+
+
+def test_model_folder_scores_like_the_run(spark, tmp_path):
+    df, pdf, feats = _points(spark, n=90, label_every=3)
+    model = B.fit(df, feats, params=B.BoostParams(n_trees=4, max_depth=3, oversample=False))
+    B.save_model(model, str(tmp_path / "m"), spark, threshold=0.25)
+    back, settings = B.load_model(str(tmp_path / "m"), spark)
+    assert settings == {"threshold": 0.25} and back.features == feats and _same(model, back)
+    assert sorted(B.predict(back, df).collect()) == sorted(B.predict(model, df).collect())
+
+
 def _by_definition(leaves, x, z):
     """Shapley values of the set function "features in S follow x, the others z", over all orders."""
     n = len(x)
