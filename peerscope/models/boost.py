@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscope.functions import stable_hash
-from peerscope.models.smote import smote
+from peerscope.models.smote import minority_knn, neighbours_outside, smote
 from peerscope.operators.metrics import stratified_folds
 from peerscope.session import materialize, ship_package
 
@@ -250,12 +250,17 @@ def _training_table(data: DataFrame, feats: list[str], label: str, key: str, edg
     own = F.lit(every).bitwiseAND(F.bitwise_not(F.when(F.col("fold") > 0, F.expr("shiftleft(1, fold)")).otherwise(F.lit(0)))).cast("int")
     rows = data.select(key, *feats, label, "fold", own.alias("models"))
     if p.oversample:
+        # the neighbours of all models in one search: a list a fold, merged for each model
+        minority = data.where(F.col(label) == 1)
+        knn = minority_knn(minority, feats, key, group="fold") if any(numbers) or synthetic is None else None
+
         def drawn(m: int) -> DataFrame:
             if m == 0 and synthetic is not None:
                 syn = synthetic
             else:
                 train = data.where(F.col("fold") != m) if m else data
-                syn = smote(train.select(key, *feats, label), feats, label, key, seed=p.seed, few=p.few_minority)
+                near = neighbours_outside(knn, minority, m or None, key)
+                syn = smote(train.select(key, *feats, label), feats, label, key, seed=p.seed, few=p.few_minority, knn=near)
             return syn.select(key, *feats, label, F.lit(None).cast("int").alias("fold"), F.lit(1 << m).alias("models"))
 
         with ThreadPoolExecutor(max_workers=max(1, p.parallelism)) as pool:     # independent runs, submitted as concurrent Spark jobs

@@ -195,11 +195,47 @@ def test_smote_needs_enough_minority_rows(spark):
     assert SM.smote(df, feats, few="shrink").count() == 20 - 2 * 4
 
 
-def test_knn_does_not_drop_pending_rows(spark, monkeypatch):
-    df, pdf, feats = _points(spark, n=60)
-    monkeypatch.setattr(SM, "MAX_ROUNDS", 1)
-    with pytest.raises(RuntimeError):
-        SM.minority_knn(df, feats, k=5, bucket_rows=6)
+def _neighbours(pdf, feats, k, allowed=None):
+    """{key: [(distance, key)]} by comparing all rows."""
+    x, keys = pdf[feats].fillna(0).to_numpy(), pdf.npi.tolist()
+    out = {}
+    for i, key in enumerate(keys):
+        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        out[key] = sorted((d[j], keys[j]) for j in range(len(keys)) if j != i and (allowed is None or allowed[j]))[:k]
+    return out
+
+
+@pytest.mark.parametrize("chunk, cell", [(2048, 64), (3, 4)])
+def test_knn_by_cells_chunks_and_folds(spark, monkeypatch, chunk, cell):
+    monkeypatch.setattr(SM, "CHUNK", chunk)
+    monkeypatch.setattr(SM, "CELL_ROWS", cell)
+    rng = np.random.default_rng(2)
+    x = np.round(rng.normal(size=(90, 3)) * [100, 1, 1], 1)
+    x[:25] = x[0]                                                   # a hot vector, in all folds
+    pdf = pd.DataFrame(x, columns=["a", "b", "c"])
+    pdf.loc[40:44, "c"] = np.nan
+    pdf.insert(0, "npi", [f"1{(i * 37) % 1000:09d}" for i in range(90)])
+    pdf["fold"] = [i % 3 + 1 for i in range(90)]
+    df = spark.createDataFrame(pdf).repartition(4)
+    df = df.select("npi", "fold", *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in "abc"])
+    knn = SM.minority_knn(df, ["a", "b", "c"], k=4, group="fold")
+    for fold in (None, 1, 3):
+        got = SM.neighbours_outside(knn, df, fold, k=4).toPandas()
+        outside = pdf.fold != (fold or 0)
+        want = _neighbours(pdf, ["a", "b", "c"], 4, outside.tolist())
+        rows = {key: [r.nn_key for r in g.sort_values("nn_rank").itertuples()] for key, g in got.groupby("npi")}
+        assert rows == {key: [w[1] for w in want[key]] for key in pdf.npi[outside]}
+
+
+def test_knn_of_equal_rows_and_of_few(spark):
+    rows = [(f"k{i:03d}", 1.0) for i in range(200)]
+    knn = SM.minority_knn(spark.createDataFrame(rows, "npi string, a double"), ["a"], k=3).toPandas()
+    assert len(knn) == 600 and (knn.dist == 0).all()
+    assert knn[knn.npi == "k150"].sort_values("nn_rank").nn_key.tolist() == ["k000", "k001", "k002"]
+    assert knn[knn.npi == "k001"].sort_values("nn_rank").nn_key.tolist() == ["k000", "k002", "k003"]
+    two = spark.createDataFrame(rows[:2], "npi string, a double")
+    assert SM.minority_knn(two, ["a"]).count() == 2 and SM.minority_knn(two.limit(1), ["a"]).count() == 0
+    assert SM.minority_knn(two.limit(0), ["a"]).count() == 0
 
 
 def test_isolation_samples_are_the_smallest_hashes(spark):
@@ -217,7 +253,7 @@ def test_knn_exact_with_duplicates_and_clusters(spark):
     pts = np.vstack([np.zeros((30, 3)), rng.normal(size=(40, 3)) * 1e-6 + 5.0, rng.normal(size=(30, 3)) * 100])
     pdf = pd.DataFrame(pts, columns=["a", "b", "c"])
     pdf.insert(0, "npi", [f"1{i:09d}" for i in range(len(pdf))])
-    knn = SM.minority_knn(spark.createDataFrame(pdf), ["a", "b", "c"], k=5, bucket_rows=8).toPandas()
+    knn = SM.minority_knn(spark.createDataFrame(pdf), ["a", "b", "c"], k=5).toPandas()
     Xv = pdf[["a", "b", "c"]].to_numpy()
     keys = pdf.npi.tolist()
     assert len(knn) == 5 * len(pdf)
