@@ -314,6 +314,11 @@ def _fit_in_tasks(table: DataFrame, numbers: Sequence[int], n: int, bins: int, p
 
     each = table.withColumn("model", F.explode(F.array(*[F.lit(m) for m in numbers]))).where(
         (F.expr("shiftright(models, model) & 1") == 1) | (F.col("fold") == F.col("model")))
+    # a task a model: as many partitions as it takes for their hashes to be apart (few, and a count given by name is not coalesced)
+    spark = table.sparkSession
+    hashes = spark.range(1).select(*[F.hash(F.lit(m)).alias(f"m{m}") for m in numbers]).first()
+    parts = next((k for k in range(len(hashes), 20 * len(hashes)) if len({h % k for h in hashes}) == len(hashes)), 20 * len(hashes))
+    each = each.repartition(parts, "model")
     out = materialize(each.groupBy("model").applyInArrow(run, "model int, number int, tree binary, key string, margin double"), "boosted")
     trees: dict[int, list] = {m: [] for m in numbers}
     size = (2 << p.max_depth) - 1
