@@ -49,8 +49,10 @@ def escape(text: str, level: int) -> str:
 def _plain(text: str, at: int, end: str, whole: bool) -> tuple[str, int] | None:
     """The unescaped text from ``at`` to the first plain ``end``, and the place after that; None if it is cut off."""
     out = []
+    stop = text.find(end, at)
     while True:
-        stop = text.find(end, at)
+        if 0 <= stop < at:          # that one was escaped; else it is still the next, so the text is gone through once
+            stop = text.find(end, at)
         esc = text.find(ESCAPE, at, stop if stop >= 0 else len(text))
         if esc >= 0:
             if esc + 1 >= len(text):

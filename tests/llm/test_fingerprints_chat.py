@@ -141,3 +141,15 @@ def test_random_turns_keep_their_order(spark):
         own = sorted(x for x in rows if x[0] == g.conv_id)
         assert g.turns_sha256 == hashlib.sha256("".join(f"{x[2]}\n{x[3]}\n" for x in own).encode()).hexdigest()
         assert g.n_turns == len(own) and g.loss_chars == sum(len(x[3]) for x in own if x[2] == "assistant")
+
+
+@pytest.mark.parametrize("unit", ["ab\\", "\\</turn>", "</turn>", ": ### \\"])
+def test_long_texts_of_escapes_are_linear(unit):
+    import time
+    text = unit * (5_000_000 // len(unit))
+    began = time.monotonic()
+    formatted, start, stop, _ = C.render_turn("user", text)
+    reader = C.TurnReader()
+    assert reader.feed(formatted) == [("user", text)]
+    reader.close()
+    assert time.monotonic() - began < 40
