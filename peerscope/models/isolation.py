@@ -1,25 +1,30 @@
 """Isolation scoring (unsupervised): a forest of random isolation trees
 (Liu, Ting and Zhou, 2008).  Higher score = more anomalous.
 
+Every draw is a hash, so the forest depends on the rows and the seed alone, not on partitions or cores, and SQL can
+grow the same one (``m5_isolation_scores``).
+
 Spark plan
 ----------
 1. Sampling: tree ``t`` is grown on the ``psi = min(max_samples, N)`` rows
-   with the smallest hash ``u(seed, t, key)`` -- a uniform sample without
-   replacement per tree.  Rows are first kept for tree ``t`` when
-   ``u < p`` with ``p`` a few times ``psi / N`` (a narrow, pipelined filter
+   with the smallest ``(a_t * h + b_t) mod P``, where ``h`` is one md5 of the row's key and
+   ``a_t``, ``b_t`` come from an md5 of (seed, tree): a multiplication a row and tree.  Rows are first kept for tree ``t`` when
+   the draw is below a few times ``psi / N`` (a narrow, pipelined filter
    on the row's array of trees), so only ~``4 * psi`` candidates per tree are
    shuffled, of which the JVM keeps the ``psi`` smallest; a tree left with
-   fewer than ``psi`` candidates is redrawn with a larger ``p`` (exact either way).
+   fewer than ``psi`` candidates is redrawn with a larger bound (exact either way).
 2. Growing: ``groupBy(tree).applyInPandas`` -- one task per tree, each with a
-   bounded sample -- returns the node table.
+   bounded sample -- returns the node table.  Nodes are numbered as in a heap (children ``2n`` and ``2n + 1``); feature and
+   threshold of a node come from md5(seed, tree, node) and the node's minima and maxima.
 3. Scoring: the node table is bounded by ``n_trees * (2 * psi - 1)`` rows
    (proven by the parameters), so it is collected once and broadcast; a
    ``mapInPandas`` pass walks all trees for each Arrow batch of rows.
-4. ``score = 2 ** (-E[h(x)] / c(psi))``, min-max scaled to [0, 1].
+4. ``score = 2 ** (-E[h(x)] / c(psi))``, min-max scaled to [0, 1].  Path lengths are summed as whole numbers of 1e-9.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 
@@ -36,9 +41,10 @@ MAX_SAMPLES = 256
 SEED = 42
 OVERSAMPLE = 4.0
 EULER_GAMMA = 0.5772156649015329
+PRIME = 2 ** 31 - 1
+PATH_UNITS = 10 ** 9
 
-NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, right int, "
-               "depth int, size long")
+NODE_SCHEMA = "tree int, node long, feature int, threshold double, depth int, size long"
 
 
 def average_path_length(n: np.ndarray | float) -> np.ndarray:
@@ -52,46 +58,41 @@ def average_path_length(n: np.ndarray | float) -> np.ndarray:
     return out
 
 
-def _unit_hash(seed: int, tree_col, key: str):
-    """Uniform [0, 1) from a 64-bit hash of (seed, tree, key)."""
-    h = F.xxhash64(F.lit(seed), tree_col, F.col(key))
-    return (h.bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)).cast("double") / F.lit(float(2 ** 63)))
+def _words(text: str) -> tuple[int, int]:
+    """The first two 32-bit words of an md5."""
+    d = hashlib.md5(text.encode(), usedforsecurity=False).hexdigest()
+    return int(d[:8], 16), int(d[8:16], 16)
+
 
+def tree_draws(seed: int, tree: int) -> tuple[int, int]:
+    """Multiplier and offset of a tree's row draw."""
+    a, b = _words(f"{seed}-{tree}")
+    return 1 + a % (PRIME - 1), b % PRIME
 
-def _grow(features: Sequence[str], psi: int, max_depth: int, seed: int):
+
+def _grow(features: Sequence[str], max_depth: int, seed: int):
     feats = list(features)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        pdf = pdf.sort_values(["_u", "_key"]).head(psi)
         X = pdf[feats].to_numpy(dtype="float64")
-        rng = np.random.default_rng([seed, tree])
-        stack = [(0, np.arange(len(X)), 0)]
-        next_id = 1
-        nodes: dict[int, list] = {}
+        stack = [(1, np.arange(len(X)), 0)]
+        rows = []
         while stack:
-            nid, idx, depth = stack.pop()
-            split = None
+            node, idx, depth = stack.pop()
             if depth < max_depth and len(idx) > 1:
-                sub = X[idx]
-                lo, hi = sub.min(axis=0), sub.max(axis=0)
-                for f in rng.permutation(len(feats)):
-                    if hi[f] > lo[f]:
-                        thr = rng.uniform(lo[f], hi[f])
-                        split = (int(f), float(thr))
-                        break
-            if split is None:
-                nodes[nid] = [tree, nid, -1, 0.0, -1, -1, depth, len(idx)]
-                continue
-            f, thr = split
-            go_left = X[idx, f] <= thr
-            left, right = next_id, next_id + 1
-            next_id += 2
-            nodes[nid] = [tree, nid, f, thr, left, right, depth, len(idx)]
-            stack.append((left, idx[go_left], depth + 1))
-            stack.append((right, idx[~go_left], depth + 1))
-        rows = [nodes[k] for k in sorted(nodes)]
-        return pd.DataFrame(rows, columns=["tree", "node", "feature", "threshold", "left", "right", "depth", "size"])
+                lo, hi = X[idx].min(axis=0), X[idx].max(axis=0)
+                varied = np.flatnonzero(hi > lo)
+                if len(varied):
+                    pick, place = _words(f"{seed}-{tree}-{node}")
+                    f = int(varied[pick * len(varied) >> 32])
+                    thr = float(lo[f] + place / 4294967296.0 * (hi[f] - lo[f]))
+                    left = X[idx, f] <= thr
+                    rows.append([tree, node, f, thr, depth, len(idx)])
+                    stack += [(2 * node, idx[left], depth + 1), (2 * node + 1, idx[~left], depth + 1)]
+                    continue
+            rows.append([tree, node, -1, 0.0, depth, len(idx)])
+        return pd.DataFrame(rows, columns=["tree", "node", "feature", "threshold", "depth", "size"])
 
     return grow
 
@@ -104,15 +105,18 @@ def grow_forest(matrix: DataFrame, features: Sequence[str], key: str = "npi", n_
     n = matrix.count()
     psi = int(min(max_samples, n))
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
-    rows = matrix.select(F.col(key).alias("_key"), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
-                                                     for c in feats])
+    hashed = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long") % PRIME
+    rows = matrix.select(F.col(key).alias("_key"), hashed.alias("_h"),
+                         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feats])
 
     def draw(ids: list[int], p: float) -> DataFrame:
-        """Rows with ``u < p`` for the given trees.  The trees of a row are filtered as an array of ids, so a row is
-        only copied for the trees that take it; stored once so that the count and the sample read the same rows."""
-        taken = F.filter(F.array(*[F.lit(t) for t in ids]), lambda t: _unit_hash(seed, t, "_key") < F.lit(p))
-        own = rows.select("*", F.explode(taken).alias("tree"))
-        return materialize(own.withColumn("_u", _unit_hash(seed, F.col("tree"), "_key")), "iso_candidates")
+        """Rows whose draw is below ``p`` of the range for the given trees.  The trees of a row are filtered as an array, so a
+        row is only copied for the trees that take it; stored once so that the count and the sample read the same rows."""
+        draws = F.array(*[F.struct(F.lit(t).alias("tree"), *[F.lit(v).cast("long").alias(n) for n, v in zip("ab", tree_draws(seed, t))])
+                          for t in ids])
+        taken = F.filter(draws, lambda d: (d["a"] * F.col("_h") + d["b"]) % PRIME < F.lit(math.ceil(p * PRIME)))
+        own = rows.select("*", F.inline(taken))
+        return materialize(own.withColumn("_u", (F.col("a") * F.col("_h") + F.col("b")) % PRIME).drop("a", "b", "_h"), "iso_candidates")
 
     missing, p, parts = list(range(n_trees)), min(1.0, OVERSAMPLE * psi / max(n, 1)), []
     while missing:
@@ -127,8 +131,7 @@ def grow_forest(matrix: DataFrame, features: Sequence[str], key: str = "npi", n_
         sample = sample.unionByName(more)
     first = Window.partitionBy("tree").orderBy("_u", "_key")
     sample = sample.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= psi).drop("_n")
-    grow = _grow(feats, psi, max_depth, seed)
-    nodes = sample.groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
+    nodes = sample.groupBy("tree").applyInPandas(_grow(feats, max_depth, seed), NODE_SCHEMA)
     return nodes, psi
 
 
@@ -140,22 +143,13 @@ def score_forest(matrix: DataFrame, nodes: DataFrame, psi: int, features: Sequen
     ship_package(spark)
     # bounded by n_trees * (2 * psi - 1) rows (model parameters): collect once, broadcast
     table = nodes.orderBy("tree", "node").toPandas()
-    trees = sorted(table.tree.unique())
-    offsets = {}
-    off = 0
-    for t in trees:
-        offsets[t] = off
-        off += int((table.tree == t).sum())
-    g = table.assign(_g=[offsets[t] + n for t, n in zip(table.tree, table.node)])
-    g = g.sort_values("_g")
-    feature = g.feature.to_numpy(dtype="int64")
-    threshold = g.threshold.to_numpy(dtype="float64")
-    base = g.tree.map(offsets).to_numpy(dtype="int64")
-    lft, rgt = g.left.to_numpy(dtype="int64"), g.right.to_numpy(dtype="int64")
-    left = np.where(lft >= 0, lft + base, -1)
-    right = np.where(rgt >= 0, rgt + base, -1)
-    leaf_len = (g.depth.to_numpy(dtype="float64") + average_path_length(g["size"].to_numpy()))
-    roots = np.array([offsets[t] for t in trees], dtype="int64")
+    place = {(t, n): i for i, (t, n) in enumerate(zip(table.tree, table.node))}
+    feature = table.feature.to_numpy(dtype="int64")
+    threshold = table.threshold.to_numpy(dtype="float64")
+    left = np.array([place.get((t, 2 * n), -1) for t, n in zip(table.tree, table.node)], dtype="int64")
+    right = np.array([place.get((t, 2 * n + 1), -1) for t, n in zip(table.tree, table.node)], dtype="int64")
+    leaf_len = np.rint((table.depth.to_numpy(dtype="float64") + average_path_length(table["size"].to_numpy())) * PATH_UNITS).astype("int64")
+    roots = np.flatnonzero(table.node.to_numpy() == 1)
     model = spark.sparkContext.broadcast((feature, threshold, left, right, leaf_len, roots))
     denom = float(average_path_length(np.array([psi]))[0]) or 1.0
 
@@ -164,7 +158,7 @@ def score_forest(matrix: DataFrame, nodes: DataFrame, psi: int, features: Sequen
         for pdf in batches:
             X = pdf[feats].fillna(0.0).to_numpy(dtype="float64")
             n = len(X)
-            total = np.zeros(n)
+            total = np.zeros(n, dtype="int64")
             rows = np.arange(n)
             for r in rt:
                 cur = np.full(n, r, dtype="int64")
@@ -177,7 +171,7 @@ def score_forest(matrix: DataFrame, nodes: DataFrame, psi: int, features: Sequen
                     go_left = X[rows, fi] <= th[cur]
                     cur = np.where(inner, np.where(go_left, le[cur], ri[cur]), cur)
                 total += ll[cur]
-            eh = total / len(rt)
+            eh = total / PATH_UNITS / len(rt)
             yield pd.DataFrame({key: pdf[key], "iso_raw": np.power(2.0, -eh / denom)})
 
     cols = [F.col(key)] + [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feats]

@@ -1,10 +1,12 @@
 """Registered model jobs (isolation scores, oversampling, boosted scores, tiers, attributions).
 
-Neighbour search, oversampling, folds and scaling have SQL.  The fitted models have none; what must hold of
-their outputs is counted by ``m5_m9_model_invariants``, whose expected row SQL can give."""
+Neighbour search, oversampling, folds, scaling and the isolation forest (all its draws are hashes) have SQL.  The boosted
+models have none; what must hold of their outputs is counted by ``m5_m9_model_invariants``, whose expected row SQL can give."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,11 +78,46 @@ def _oof_folds(spark, sf_dir) -> DataFrame:
         "npi", F.col("fold").cast("int").alias("fold"), F.col("fraud_score_xgb").between(0.0, 1.0).alias("in_range"))
 
 
+def isolation_sql(p: ModelParams) -> str:
+    """The isolation forest grown level by level: ``w{d}`` holds every row of every tree in its node of depth ``d``, ``s{d}`` the
+    split of each node that the sampled rows (``own``) still divide.  Trees are no deeper than ceil(log2(samples))."""
+    depth = math.ceil(math.log2(max(p.iso_samples, 2)))
+    word = "CAST(('0x' || substr(md5({t}), {k}, 8)) AS BIGINT)"
+    cols = ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0)" for c in FEATURE_COLUMNS)
+    levels = []
+    for d in range(depth):
+        node = "'42-' || tree || '-' || node"
+        levels.append(f"""
+s{d} AS MATERIALIZED (SELECT tree, node, f, lo + {word.format(t=node, k=9)} / 4294967296.0::DOUBLE * (hi - lo) AS thr FROM limits, (
+  SELECT *, row_number() OVER (PARTITION BY tree, node ORDER BY f) - 1 AS i, count(*) OVER (PARTITION BY tree, node) AS m FROM (
+    SELECT tree, node, f, min(x[f]) AS lo, max(x[f]) AS hi FROM w{d} JOIN x USING (npi), (SELECT unnest(range(1, {len(FEATURE_COLUMNS) + 1})) AS f)
+    WHERE own AND node > 0 GROUP BY ALL) WHERE hi > lo) WHERE {d} < limits.depth AND i = {word.format(t=node, k=1)} * m // 4294967296),
+n{d} AS MATERIALIZED (SELECT tree, node, count(*) FILTER (WHERE own) AS size FROM w{d} GROUP BY ALL),
+w{d + 1} AS MATERIALIZED (SELECT tree, npi, own, CASE WHEN f IS NULL THEN 0 WHEN x[f] <= thr THEN 2 * node ELSE 2 * node + 1 END AS node,
+    CASE WHEN f IS NULL AND node > 0 THEN {d} ELSE d END AS d, CASE WHEN f IS NULL AND node > 0 THEN size ELSE last END AS last
+  FROM w{d} JOIN x USING (npi) JOIN n{d} USING (tree, node) LEFT JOIN s{d} USING (tree, node)),""")
+    length = "CASE WHEN {s} = 2 THEN 1.0::DOUBLE WHEN {s} > 2 THEN 2.0 * (ln({s} - 1.0::DOUBLE) + 0.5772156649015329::DOUBLE) - 2.0 * ({s} - 1) / {s}::DOUBLE ELSE 0.0::DOUBLE END"
+    return O.q(f"""
+, x AS MATERIALIZED (SELECT npi, [{cols}] AS x, CAST(('0x' || substr(md5(npi), 1, 8)) AS BIGINT) % 2147483647 AS h FROM feat2),
+limits AS MATERIALIZED (SELECT least({p.iso_samples}, count(*)) AS psi, ceil(log2(greatest(least({p.iso_samples}, count(*)), 2))) AS depth FROM x),
+t AS MATERIALIZED (SELECT tree, 1 + {word.format(t="'42-' || tree", k=1)} % 2147483646 AS a, {word.format(t="'42-' || tree", k=9)} % 2147483647 AS b
+  FROM (SELECT unnest(range({p.iso_trees})) AS tree)),
+w0 AS MATERIALIZED (SELECT tree, npi, row_number() OVER (PARTITION BY tree ORDER BY (a * h + b) % 2147483647, npi) <= psi AS own,
+    1::BIGINT AS node, 0 AS d, 0::BIGINT AS last FROM x, t, limits),{"".join(levels)}
+n{depth} AS (SELECT tree, node, count(*) FILTER (WHERE own) AS size FROM w{depth} GROUP BY ALL),
+p AS (SELECT npi, CASE WHEN node > 0 THEN {depth} ELSE d END AS d, CASE WHEN node > 0 THEN size ELSE last END AS s FROM w{depth} JOIN n{depth} USING (tree, node)),
+e AS (SELECT npi, sum(CAST(round_even((d + {length.format(s="s")}) * 1e9::DOUBLE, 0) AS BIGINT))::DOUBLE / 1e9::DOUBLE / {p.iso_trees} AS eh FROM p GROUP BY npi),
+r AS (SELECT npi, power(2.0::DOUBLE, -eh / {length.format(s="psi")}) AS raw FROM e, limits),
+m AS (SELECT min(raw) AS lo, max(raw) AS hi FROM r)
+SELECT npi, {O.rnd('(raw - lo) / (hi - lo)', 8)} AS fraud_score_iso FROM r, m""")
+
+
 def model_queries() -> dict:
     return {
         "m3_minority_knn": _knn,
         "m3_smote_rows": _smote,
-        "m5_isolation_scores": lambda s, d: model_run(s, d).isolation,
+        "m5_isolation_scores": lambda s, d: model_run(s, d).isolation.select(
+            "npi", round_half_even("fraud_score_iso", 8).alias("fraud_score_iso")),
         "m5_isolation_invariants": _isolation_checks,
         "m4_oof_scores": lambda s, d: model_run(s, d).out_of_fold,
         "m7_model_tiers": lambda s, d: model_run(s, d).scores,
@@ -114,6 +151,7 @@ u AS (SELECT j, CAST(floor({unit.format(k=1)} * n1) AS BIGINT) AS idx,
 SELECT 'synthetic-' || u.j AS npi, 1 AS is_fraud_label, {drawn}
 FROM u JOIN ord a ON u.idx = a.idx JOIN r ON r.npi = a.npi AND r.nn_rank = u.nn_rank JOIN mino b ON b.npi = r.nn_key"""),
         "m4_oof_folds": O.q(FOLDS_SQL + "SELECT npi, CAST(fold AS INTEGER) AS fold, TRUE AS in_range FROM folds"),
+        "m5_isolation_scores": isolation_sql(PARAMS),
         "m5_isolation_invariants": O.q("""
 SELECT count(*) AS n_scores, count(DISTINCT npi) AS n_npis, 0::BIGINT AS n_bad_range, 0.0::DOUBLE AS iso_min, 1.0::DOUBLE AS iso_max FROM providers"""),
         "m5_m9_model_invariants": O.q("""

@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import math
 
@@ -241,11 +242,31 @@ def test_knn_of_equal_rows_and_of_few(spark):
 def test_isolation_samples_are_the_smallest_hashes(spark):
     df, pdf, feats = _points(spark, n=90)
     nodes, psi = I.grow_forest(df, feats, n_trees=12, max_samples=16)
-    roots = nodes.where("node = 0").collect()
-    assert psi == 16 and len(roots) == 12
-    assert all(r["size"] == 0 or r["size"] == 16 for r in nodes.where("node = 0 and left = -1").collect())
-    leaves = nodes.where("left = -1").groupBy("tree").sum("size").collect()
-    assert [r[1] for r in leaves] == [16] * 12
+    keys = pdf.npi.tolist()
+    hashed = [int(hashlib.md5(k.encode()).hexdigest()[:8], 16) % I.PRIME for k in keys]
+    got = nodes.toPandas()
+    assert psi == 16 and (got.node == 1).sum() == 12
+    assert (got[got.feature < 0].groupby("tree")["size"].sum() == 16).all(), got
+    X_ = pdf[feats].to_numpy()
+    for tree in range(12):
+        a, b = I.tree_draws(I.SEED, tree)
+        own = X_[sorted(range(len(keys)), key=lambda i: ((a * hashed[i] + b) % I.PRIME, keys[i]))[:16]]
+        root = got[(got.tree == tree) & (got.node == 1)].iloc[0]
+        left = got[(got.tree == tree) & (got.node == 2)].iloc[0]
+        assert left["size"] == (own[:, int(root.feature)] <= root.threshold).sum()
+
+
+def test_isolation_scores_do_not_depend_on_partitions(spark):
+    df, _, feats = _points(spark, n=90)
+    one, many = ({r["npi"]: r["fraud_score_iso"] for r in I.isolation_scores(df.repartition(k), feats, n_trees=10, max_samples=16).collect()}
+                 for k in (1, 7))
+    assert one == many
+
+
+def test_isolation_of_equal_rows_and_few_rows(spark):
+    same = spark.createDataFrame([(f"k{i}", 1.0) for i in range(6)], "npi string, a double")
+    nodes, psi = I.grow_forest(same, ["a"], n_trees=3)
+    assert psi == 6 and sorted((r["node"], r["feature"], r["size"]) for r in nodes.collect()) == [(1, -1, 6)] * 3
 
 
 def test_knn_exact_with_duplicates_and_clusters(spark):
