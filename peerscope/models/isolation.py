@@ -112,11 +112,11 @@ def grow_forest(matrix: DataFrame, features: Sequence[str], key: str = "npi", n_
     def draw(ids: list[int], p: float) -> DataFrame:
         """Rows whose draw is below ``p`` of the range for the given trees.  The trees of a row are filtered as an array, so a
         row is only copied for the trees that take it; stored once so that the count and the sample read the same rows."""
-        draws = F.array(*[F.struct(F.lit(t).alias("tree"), *[F.lit(v).cast("long").alias(n) for n, v in zip("ab", tree_draws(seed, t))])
+        draws = F.array(*[F.struct(F.lit(t).alias("tree"), *[F.lit(v).cast("long").alias(n) for n, v in zip(("_a", "_b"), tree_draws(seed, t))])
                           for t in ids])
-        taken = F.filter(draws, lambda d: (d["a"] * F.col("_h") + d["b"]) % PRIME < F.lit(math.ceil(p * PRIME)))
+        taken = F.filter(draws, lambda d: (d["_a"] * F.col("_h") + d["_b"]) % PRIME < F.lit(math.ceil(p * PRIME)))
         own = rows.select("*", F.inline(taken))
-        return materialize(own.withColumn("_u", (F.col("a") * F.col("_h") + F.col("b")) % PRIME).drop("a", "b", "_h"), "iso_candidates")
+        return materialize(own.withColumn("_u", (F.col("_a") * F.col("_h") + F.col("_b")) % PRIME).drop("_a", "_b", "_h"), "iso_candidates")
 
     missing, p, parts = list(range(n_trees)), min(1.0, OVERSAMPLE * psi / max(n, 1)), []
     while missing:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from peerscope.functions import bounded_broadcast, safe_ratio, strip_ws, title_case, try_number
@@ -108,6 +108,42 @@ def clean_providers(raw: DataFrame, min_count: int = MIN_REPORTED_COUNT,
     return add_ratios(df)
 
 
+#: Why the cleaning step drops a row, in the order of its checks; a row carries the first that applies.
+REJECT_REASONS = ["claims_not_a_number", "claims_suppressed", "beneficiaries_not_a_number", "beneficiaries_suppressed",
+                  "npi_missing", "npi_malformed", "cost_outlier"]
+
+
+def mark_rejects(raw: DataFrame, min_count: int = MIN_REPORTED_COUNT, outlier_q: float = OUTLIER_QUANTILE,
+                 outlier_mult: float = OUTLIER_MULTIPLIER) -> DataFrame:
+    """All rows of ``raw``, untouched, with ``reject_reason`` (NULL: ``clean_providers`` keeps the row)."""
+    df = check_required_columns(raw)
+    claims, benes = (try_number(F.col(c)) for c in SUPPRESSED_COLUMNS)
+    npi = strip_ws(F.col("npi").cast("string"))
+    first = F.when(claims.isNull(), REJECT_REASONS[0]).when(claims < min_count, REJECT_REASONS[1])
+    first = first.when(benes.isNull(), REJECT_REASONS[2]).when(benes < min_count, REJECT_REASONS[3])
+    first = first.when(F.coalesce(npi, F.lit("")) == "", REJECT_REASONS[4]).when(~npi.rlike(NPI_PATTERN), REJECT_REASONS[5])
+    df = df.withColumns({"reject_reason": first, "_cost": F.coalesce(try_number(F.col("total_drug_cost")), F.lit(0.0))})
+    group = "specialty_description"
+    qt = exact_quantiles(df.where(F.col("reject_reason").isNull() & F.col(group).isNotNull()).select(group, "_cost"), [group], "_cost", {"_q": outlier_q})
+    joined = df.join(bounded_broadcast(qt), on=group, how="left")
+    outlier = F.col("_cost") > F.col("_q") * F.lit(float(outlier_mult))
+    return joined.withColumn("reject_reason", F.coalesce("reject_reason", F.when(outlier, REJECT_REASONS[6]))).select(*raw.columns, "reject_reason")
+
+
+def clean_with_counts(raw: DataFrame, path: str, **rules) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """The cleaned rows, the rejected rows with their reason, and the counts of both, taken by ``observe`` while the marked rows
+    are written to ``path``: no scan for counting.  Rows are written in the scan's own stage, which is never redone once
+    its tasks have committed, so a lost executor does not count rows twice."""
+    seen = Observation("cleaning")
+    counts = [F.count_if(F.col("reject_reason") == r).alias(r) for r in REJECT_REASONS]
+    marked = mark_rejects(raw, **rules).withColumn("kept", F.col("reject_reason").isNull())
+    (marked.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.count_if("kept").alias("n_kept"), *counts)
+     .write.mode("overwrite").partitionBy("kept").parquet(path))
+    stored = raw.sparkSession.read.schema(marked.schema).parquet(path)
+    kept = valid_npi(stored.where("kept").drop("kept", "reject_reason"))
+    return add_ratios(standardize_specialty(cast_numeric(kept))), stored.where("NOT kept").drop("kept"), seen.get
+
+
 def to_provider_table(clean: DataFrame, data_year: int | None = 2022) -> DataFrame:
     """Rename name/state/specialty columns and stamp the data year."""
     df = clean.withColumnsRenamed(PROVIDER_RENAMES)

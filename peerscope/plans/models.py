@@ -13,6 +13,7 @@ from peerscope.models import boost as B
 from peerscope.models import explain as X
 from peerscope.models import isolation as I
 from peerscope.models import smote as SM
+from peerscope.models.bundle import save_bundle
 from peerscope.operators import scoring as S
 from peerscope.operators.peers import FEATURE_COLUMNS, model_matrix
 from peerscope.session import materialize
@@ -40,10 +41,19 @@ class ModelRun:
         return materialize(model_matrix(self.features, fill_nulls=True), "matrix")
 
     @cached_property
-    def isolation(self) -> DataFrame:
+    def forest(self) -> tuple[DataFrame, int]:
+        """Node table of the isolation forest and its sample size."""
         p = self.params
-        return materialize(I.isolation_scores(self.matrix, FEATURE_COLUMNS, n_trees=p.iso_trees,
-                                              max_samples=p.iso_samples), "iso")
+        nodes, psi = I.grow_forest(self.matrix, FEATURE_COLUMNS, n_trees=p.iso_trees, max_samples=p.iso_samples)
+        return materialize(nodes, "iso_nodes"), psi
+
+    @cached_property
+    def isolation_raw(self) -> DataFrame:
+        return materialize(I.score_forest(self.matrix, *self.forest, FEATURE_COLUMNS), "iso_raw")
+
+    @cached_property
+    def isolation(self) -> DataFrame:
+        return S.minmax_scale(self.isolation_raw, "iso_raw", "fraud_score_iso").select("npi", "fraud_score_iso")
 
     @cached_property
     def _fits(self) -> tuple:
@@ -80,6 +90,14 @@ class ModelRun:
     def final_model(self):
         return self._fits[1]
 
+    def save_bundle(self, path: str) -> None:
+        """The refit model, the forest and the F2 threshold of the out-of-fold scores, in one folder."""
+        from peerscope.operators.metrics import f2_threshold
+        labelled = self.out_of_fold.join(self.matrix.select("npi", "is_fraud_label"), "npi")
+        cut = f2_threshold(labelled.selectExpr("fraud_score_xgb AS score", "is_fraud_label AS label")).first()["best_threshold"]
+        span = self.isolation_raw.agg(F.min("iso_raw"), F.max("iso_raw")).first()
+        save_bundle(path, self.matrix.sparkSession, self.final_model, *self.forest, (span[0], span[1]), cut)
+
     @cached_property
     def attributions(self) -> DataFrame:
         """M8 for the top-k providers by ensemble score."""

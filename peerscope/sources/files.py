@@ -135,6 +135,38 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.format(fmt).save(path)
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> None:
+    """Replace only the partitions that ``df`` has rows of (a year, say); the others stay, and a repeated
+    write leaves the same table."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).format(fmt).save(path))
+
+
+MANIFEST = "_manifest"
+
+
+def write_years(df: DataFrame, path: str, run: int, year: str = "data_year") -> None:
+    """The yearly output table with a record of what each run wrote.  Years of ``df`` are replaced, others
+    stay; ``run`` numbers the refresh, and a run written twice replaces its own record.  The rows of a year are counted by one
+    narrow scan of the written table, not of the input again."""
+    if df.where(F.col(year).isNull()).limit(1).count():
+        raise ValueError(f"rows without {year} cannot be placed")
+    spark = df.sparkSession
+    columns = [c for c in df.columns if c != year]
+    overwrite_partitions(df.select(*columns, year).withColumn("run", F.lit(int(run))), path, [year])
+    written = spark.read.parquet(path).where(F.col("run") == int(run)).groupBy(year).agg(F.count(F.lit(1)).alias("n_rows"))
+    overwrite_partitions(written.withColumn("run", F.lit(int(run))), f"{path.rstrip('/')}{MANIFEST}", ["run"])
+
+
+def read_years(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("run")
+
+
+def read_manifest(spark: SparkSession, path: str, year: str = "data_year") -> DataFrame:
+    """The run that wrote each year last, and its rows."""
+    last = spark.read.parquet(f"{path.rstrip('/')}{MANIFEST}").groupBy(year).agg(F.max_by(F.struct("run", "n_rows"), "run").alias("m"))
+    return last.select(year, F.col("m.run").alias("run"), F.col("m.n_rows").alias("n_rows"))
+
+
 def write_json_metrics(df: DataFrame, path: str) -> None:
     """Metrics sink: a one-row frame written as a single JSON file."""
     df.coalesce(1).write.mode("overwrite").json(path)
