@@ -2,10 +2,11 @@
 
 Each paragraph (a line, or a run of neighbouring lines joined with a space) is classified by a multinomial logistic regression over hashed word 1- to 3-grams into a license
 family or ``unknown``.  It is trained on variations of the notices in ``TEMPLATES`` (words left out, text around
-them, every version number replaced by one placeholder) against ordinary paragraphs of the corpus (at most ``MAX_UNKNOWN``, in the order of a
-hash) and sentences that only sound like a license.  A held-out part sets the temperature, so that the
+them, every version number replaced by one placeholder) against ordinary lines of the corpus (at most ``MAX_UNKNOWN`` from whole texts, in the
+order of a hash, of at most ``MAX_LINE`` characters each) and sentences that only sound like a license.  A held-out part sets the temperature, so that the
 probabilities are calibrated; a family needs a probability of ``MIN_PROBABILITY``.  A prediction counts if the paragraph also
-holds ``MIN_CONTAINED`` of the word pairs of one of the family's notices.
+holds, in one sentence, ``MIN_CONTAINED`` of the word pairs of one of the family's notices, and no word in or beside them denies it
+(``NEGATIONS``, up to ``BEFORE`` words before) or makes another license of it (``MODIFIERS``: NC, SA, ND, Affero, Lesser).
 
 Wrapped notices: of a text that holds so many word pairs of a notice (pairs across a line break count), each shortest run of
 two or more lines that holds them is classified and confirmed like a line, whatever its length; a line without words
@@ -31,12 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import bounded_sample, byte_texts, map_text, mix64
+from peerscope.llm.common import byte_texts, map_text, mix64
 from peerscope.llm.features import Hashed
 
 BITS = 14
 N = 3
 MAX_UNKNOWN = 1500
+MAX_LINE = 2000
+SHORT = 12
 VARIATIONS = 40
 MIN_PROBABILITY, MIN_CONTAINED = 0.5, 0.75
 ROUNDS, RATE, PENALTY, SEED = 150, 4.0, 1e-5, 3
@@ -46,25 +49,49 @@ _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else (b if b == 10 or 0x30 <= b <= 0x
 
 # Short public notices of license families.
 TEMPLATES: dict[str, tuple[str, ...]] = {
+    "agpl": ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation.",
+             "Licensed under the GNU Affero General Public License, version 3.", "GNU Affero General Public License Version 3, 19 November 2007",
+             "SPDX-License-Identifier: AGPL-3.0"),
     "apache": ("Licensed under the Apache License, Version 2.0.",
                "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
-               "Distributed under the Apache 2.0 license."),
+               "Distributed under the Apache 2.0 license.", "Apache License Version 2.0, January 2004", "SPDX-License-Identifier: Apache-2.0"),
     "bsd": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-            "Use of this source code is governed by a BSD-style license.", "Released under the BSD 3-Clause License."),
-    "cc-by": ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0."),
+            "Use of this source code is governed by a BSD-style license.", "Released under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause"),
+    "cc-by": ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0.",
+              "SPDX-License-Identifier: CC-BY-4.0"),
     "cc-by-nc": ("Licensed under CC BY-NC 4.0.",
-                 "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+                 "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+    "cc-by-nc-nd": ("Licensed under CC BY-NC-ND 4.0.",
+                    "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+                    "SPDX-License-Identifier: CC-BY-NC-ND-4.0"),
+    "cc-by-nc-sa": ("Licensed under CC BY-NC-SA 4.0.",
+                    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+                    "SPDX-License-Identifier: CC-BY-NC-SA-4.0"),
+    "cc-by-nd": ("Licensed under CC BY-ND 4.0.",
+                 "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "SPDX-License-Identifier: CC-BY-ND-4.0"),
     "cc-by-sa": ("Licensed under CC BY-SA 4.0.",
-                 "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+                 "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "SPDX-License-Identifier: CC-BY-SA-4.0"),
     "gpl": ("This work is licensed under the GNU General Public License, version 3.",
             "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.",
-            "Released under the GNU General Public License, version 2 or later."),
+            "Released under the GNU General Public License, version 2 or later.", "GNU General Public License Version 3, 29 June 2007",
+            "SPDX-License-Identifier: GPL-3.0"),
+    "isc": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+            "Released under the ISC License.", "SPDX-License-Identifier: ISC"),
     "lgpl": ("Licensed under the GNU Lesser General Public License, version 3.",
-             "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License."),
+             "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License.",
+             "GNU Lesser General Public License Version 3, 29 June 2007", "SPDX-License-Identifier: LGPL-3.0"),
     "mit": ("Released under the MIT License.", "Licensed under the MIT License.",
-            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."),
-    "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License 2.0."),
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.",
+            "SPDX-License-Identifier: MIT"),
+    "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License 2.0.",
+            "SPDX-License-Identifier: MPL-2.0"),
 }
+#: Words that make another license of a notice, by what they add, and words that deny it.
+MODIFIERS = {b"nc": "nc", b"noncommercial": "nc", b"commercial": "nc", b"sa": "sa", b"sharealike": "sa", b"alike": "sa", b"nd": "nd",
+             b"noderivatives": "nd", b"noderivs": "nd", b"derivatives": "nd", b"affero": "affero", b"agpl": "affero", b"lesser": "lesser", b"lgpl": "lesser"}
+MODIFIED = {"cc": ("nc", "sa", "nd"), "gpl": ("affero", "lesser"), "agpl": ("affero", "lesser"), "lgpl": ("affero", "lesser")}
+NEGATIONS = frozenset((b"not", b"never", b"no", b"neither", b"nor", b"cannot", b"isn", b"aren", b"wasn", b"weren"))
+BESIDE, BEFORE = 2, 4
 FAMILIES = (UNKNOWN, *sorted(TEMPLATES))
 LOOKALIKES = (
     "All rights reserved.", "You need a license to drive here.", "Released under the old bridge last summer.", "Licensed under the new rules.",
@@ -123,6 +150,15 @@ class Model:
         return p / p.sum(1, keepdims=True)
 
 
+def _words(text: str) -> set[bytes]:
+    return set(_plain(text.encode()).translate(_TABLE).split())
+
+
+def _others(family: str) -> set[bytes]:
+    """Words of the notices of other families."""
+    return {w for f, own in TEMPLATES.items() if f != family for t in own for w in _words(t)}
+
+
 def variations(ordinary: list[str], seed: int = SEED) -> list[tuple[str, int]]:
     """Training lines with the number of their family."""
     rng = np.random.default_rng(seed)
@@ -131,8 +167,10 @@ def variations(ordinary: list[str], seed: int = SEED) -> list[tuple[str, int]]:
     for number, family in enumerate(FAMILIES[1:], 1):
         for template in TEMPLATES[family]:
             words = template.split()
+            # a word without which the notice would be another family's, or nobody's, stays
+            stays = {w for w in words if _adds(_words(w), family) or (len(words) <= SHORT and not _words(w) <= _others(family))}
             for v in range(VARIATIONS):
-                keep = [w for w in words if v < 5 or rng.random() > 0.08]
+                keep = [w for w in words if v < 5 or rng.random() > 0.08 or w in stays]
                 around = [str(rng.choice(filler)) for _ in range(int(rng.integers(0, 5)) if v >= 10 else 0)]
                 cut = int(rng.integers(0, len(around) + 1))
                 out.append((" ".join([*around[:cut], *keep, *around[cut:]]), number))
@@ -176,12 +214,64 @@ def _log_loss(z: np.ndarray, y: np.ndarray) -> float:
     return float((np.log(np.exp(z).sum(1)) - z[np.arange(y.size), y]).mean())
 
 
-def confirm(line: bytes, family: str) -> float:
+_SENTENCE = re.compile(rb"[.!?]\s+(?=[A-Z\"(])")
+
+
+def _sentences(line: bytes) -> list[list[bytes]]:
+    return [x for x in (_plain(part).translate(_TABLE).split() for part in _SENTENCE.split(line)) if x]
+
+
+def _span(words: list[bytes], pairs: set, share: float) -> tuple[int, int]:
+    """First and last word of the shortest stretches that hold ``share`` of ``pairs``, all together."""
+    held: Counter = Counter()
+    left, out = 0, (0, 0)
+    at = [k for k in range(len(words) - 1) if (words[k], words[k + 1]) in pairs]
+    for k in at:
+        held[words[k], words[k + 1]] += 1
+        while len(held) >= share * len(pairs):
+            first = at[left]
+            gone = (words[first], words[first + 1])
+            if held[gone] == 1 and len(held) - 1 < share * len(pairs):
+                out = (min(out[0], first) if out[1] else first, k + 1)
+            held[gone] -= 1
+            if not held[gone]:
+                del held[gone]
+            left += 1
+    return out
+
+
+def _adds(words, family: str) -> set[str]:
+    own = MODIFIED.get("cc" if family.startswith("cc-") else family, ())
+    return {MODIFIERS[w] for w in words if MODIFIERS.get(w) in own}
+
+
+def _refuted(words: list[bytes], family: str, notice: list[bytes], pairs: set, share: float) -> bool:
+    """Whether words in or beside the notice deny it or make another license of it (a word of the notice itself does not)."""
+    a, b = _span(words, pairs, share)
+    if _adds(words[max(0, a - BESIDE):b + 1 + BESIDE], family) != _adds(notice, family):
+        return True
+    return sum(w in NEGATIONS for w in words[max(0, a - BEFORE):b + 1]) > sum(w in NEGATIONS for w in notice)
+
+
+def contained(line: bytes, family: str) -> float:
     """Largest share of a notice's word pairs that the line holds."""
     own = _pairs(line)
-    return max(len(own & p) / len(p) for p in (_pairs(t.encode()) for t in TEMPLATES[family]))
+    return max(len(own & p) / len(p) for _, p in _FAMILY[family])
 
 
+def confirm(line: bytes, family: str, min_contained: float = MIN_CONTAINED) -> float:
+    """Largest share of a notice's word pairs that a sentence of the line holds; notices that its words refute are left out."""
+    best = 0.0
+    for words in _sentences(line):
+        own = set(zip(words, words[1:]))
+        for notice, p in _FAMILY[family]:
+            share = len(own & p) / len(p)
+            if share > best and not (share >= min_contained and _refuted(words, family, notice, p, min_contained)):
+                best = share
+    return best
+
+
+_FAMILY = {f: [(_plain(t.encode()).translate(_TABLE).split(), _pairs(t.encode())) for t in own] for f, own in TEMPLATES.items()}
 _NOTICES = [(family, _pairs(t.encode())) for family, own in sorted(TEMPLATES.items()) for t in own]
 _KNOWN = frozenset().union(*(p for _, p in _NOTICES))
 
@@ -246,20 +336,32 @@ def _wrapped(text: bytes, single: list[dict], model: Model, min_probability: flo
         family = FAMILIES[best]
         if p[best] < min_probability or any((x, family) in covered for x in range(a, b + 1)):
             continue
-        contained = confirm(whole, family)
-        if contained >= min_contained:
+        share = confirm(whole, family, min_contained)
+        if share >= min_contained:
             covered |= {(x, family) for x in range(a, b + 1)}
             counted.insert(at, (a, b))
-            out.append({"paragraph": a, "family": family, "probability": float(p[best]), "contained": contained})
+            out.append({"paragraph": a, "family": family, "probability": float(p[best]), "contained": share})
     return out
 
 
+def ordinary_lines(docs: DataFrame, text: str = "text", k: int = MAX_UNKNOWN) -> list[str]:
+    """The ``k`` distinct lines of at most ``MAX_LINE`` characters with the smallest hash, from anywhere in the whole texts.
+    Lines are cut to some by their hash before they are made distinct, so the texts are not shuffled; where copies
+    leave too few, eight times as many compete."""
+    lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("line")).where(F.length("line").between(1, MAX_LINE))
+    h = F.pmod(F.xxhash64("line"), F.lit(1 << 40))
+    share = 4 * k / max(1, lines.count())
+    while True:
+        some = lines.where(h < F.lit(int((1 << 40) * share))) if share < 1 else lines
+        got = some.distinct().orderBy(h, "line").limit(k).collect()
+        if len(got) == k or share >= 1:
+            return sorted(r["line"] for r in got)
+        share *= 8
+
+
 def fit(docs: DataFrame, text: str = "text", max_unknown: int = MAX_UNKNOWN) -> Model:
-    """Ordinary lines of at most ``max_unknown`` documents (first by hash), those that hold a notice left out."""
-    first = docs.select(F.substring_index(F.col(text), "\n", 1).alias("line")).where("length(line) between 1 and 2000").distinct()
-    lines = sorted(r["line"] for r in bounded_sample(first, max_unknown, "line").collect())
-    plain = [t for t in lines if max(confirm(t.encode(), f) for f in TEMPLATES) < 0.3]
-    return train(plain)
+    """Trained against at most ``max_unknown`` ordinary lines; those that hold a notice are left out."""
+    return train([t for t in ordinary_lines(docs, text, max_unknown) if max(contained(t.encode(), f) for f in TEMPLATES) < 0.3])
 
 
 SCHEMA = ("n_paragraphs long, n_notices long, families array<string>, "
@@ -288,9 +390,9 @@ def scan(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "tex
             while not per_text[own]:
                 own -= 1
             number, family = int(k - first[own]), FAMILIES[best[k]]
-            contained = confirm(texts[own].split(b"\n", number + 1)[number], family)
-            if contained >= min_contained:
-                notices[own].append({"paragraph": number, "family": family, "probability": float(p[k, best[k]]), "contained": contained})
+            share = confirm(texts[own].split(b"\n", number + 1)[number], family, min_contained)
+            if share >= min_contained:
+                notices[own].append({"paragraph": number, "family": family, "probability": float(p[k, best[k]]), "contained": share})
         for t, own in zip(texts, notices):
             if b"\n" in t:
                 own += _wrapped(t, own, held.value, min_probability, min_contained)

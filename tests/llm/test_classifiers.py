@@ -222,3 +222,62 @@ def test_wrapped_notices_and_other_versions(spark, license_model, text, want):
     r = L.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), license_model).first()
     assert [(n.paragraph, n.family) for n in r.notices] == want and r.n_notices == len(want)
     assert r.families == sorted({f for _, f in want}) and r.n_paragraphs == text.count("\n") + 1
+
+
+@pytest.mark.parametrize("text, want", [
+    ("Licensed under CC BY-NC-SA 4.0.", ["cc-by-nc-sa"]), ("Licensed under CC BY-ND 4.0.", ["cc-by-nd"]), ("CC BY-ND 4.0", []),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", ["cc-by-nc-nd"]),
+    (L.TEMPLATES["agpl"][0], ["agpl"]), ("This text is not released under the MIT License.", []), ("It was never released under the MIT License.", []),
+    ("This is not a copy. Released under the MIT License.", ["mit"]), ("SPDX-License-Identifier: MIT", ["mit"]),
+    ("SPDX-License-Identifier: Apache-2.0", ["apache"]), ("# SPDX-License-Identifier: GPL-2.0-or-later", ["gpl"]),
+    ("// SPDX-License-Identifier: LGPL-2.1-only", ["lgpl"]), ("SPDX-License-Identifier: Zlib", []), (L.TEMPLATES["isc"][0], ["isc"]),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", ["gpl"]), ("Apache License\nVersion 2.0, January 2004", ["apache"]),
+    (L.TEMPLATES["apache"][1], ["apache"]), ("See the notes. Licensed under the Apache License, Version 2.0. You may not copy the logo.", ["apache"])])
+def test_families_that_words_beside_a_notice_change(spark, license_model, text, want):
+    assert L.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), license_model).first().families == want
+
+
+def test_ordinary_lines_come_from_whole_texts(spark):
+    rows = [(k, "same head\n" + "\n".join(f"line {k} {j}" for j in range(40))) for k in range(60)] + [(99, None), (100, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = L.ordinary_lines(docs, k=50)
+    assert len(got) == len(set(got)) == 50 and len({t.split()[-1] for t in got}) > 15
+    assert L.ordinary_lines(spark.createDataFrame([(k, "same") for k in range(90)], "doc_id long, text string"), k=5) == ["same"]
+
+
+def _scan_by_hand(lines, model):
+    out = []
+    for k, t in enumerate(lines):
+        line, bucket, _ = L._grams([t])
+        p = model.probabilities(line, bucket, 1)[0]
+        best = int(p[1:].argmax()) + 1
+        if t.strip() and p[best] >= L.MIN_PROBABILITY and L.confirm(t, L.FAMILIES[best]) >= L.MIN_CONTAINED:
+            out.append((k, L.FAMILIES[best]))
+    return out
+
+
+def test_scan_equals_single_lines_by_hand(spark, license_model):
+    """Random texts of notices, their parts and plain lines: batched scanning finds what line after line finds."""
+    rng = np.random.default_rng(4)
+    pool = [t for own in L.TEMPLATES.values() for t in own] + list(L.LOOKALIKES) + ["plain words", "another line of text", ""]
+    texts = ["\n".join((str(rng.choice(pool)) if rng.random() < 0.7 else " ".join(str(rng.choice(pool)).split()[:5])) + "\n"
+                       for _ in range(int(rng.integers(1, 9)))) for _ in range(60)]     # a blank line after each: no runs
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in L.scan(docs, license_model).collect():
+        assert [(n.paragraph, n.family) for n in r.notices] == _scan_by_hand(texts[r.doc_id].encode().split(b"\n"), license_model)
+
+
+def test_recall_and_false_positives_on_planted_notices(spark, license_model):
+    rows, want = [], []
+    for f, own in L.TEMPLATES.items():
+        for t in own:
+            for around in ("{}", "Notice: {}", "the notes say {} and end", "* {}"):
+                rows.append(around.format(t))
+                want.append(f)
+    denied = [f"This is not {t[0].lower()}{t[1:]}" for own in L.TEMPLATES.values() for t in own if t.startswith(("Licensed", "Released", "Distributed"))]
+    docs = spark.createDataFrame(list(enumerate(rows + denied)), "doc_id long, text string")
+    got = {r.doc_id: r.families for r in L.scan(docs, license_model).collect()}
+    caught = sum(got[k] == [f] for k, f in enumerate(want))
+    wrong = sum(bool(set(got[k]) - {f}) for k, f in enumerate(want)) + sum(bool(got[len(rows) + k]) for k in range(len(denied)))
+    print("caught", caught, "of", len(rows), "wrong", wrong, "of", len(rows) + len(denied))
+    assert caught >= 0.97 * len(rows) and wrong == 0
