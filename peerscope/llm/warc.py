@@ -8,7 +8,9 @@ rows share is combined on the map side and its rows may be split over tasks.
 Archives are written by Spark's text source, which runs on any Hadoop file system: a gzip member ends
 with the length of the record as four little-endian bytes, so its last byte is 0 for records under 16 MiB and
 serves as the line separator (``\\0``).  A longer record is followed by one zero byte, which gzip readers skip as padding.
-``records_per_archive`` bounds a file.
+``records_per_archive`` and ``archive_bytes`` bound a file: pages of up to the latter over the former are written as many a file as
+the former says, those up to 8 times as large an eighth as many, and so on, at last one a file.  Each class of sizes that occurs is
+a write of its own; where there are several, the digests' table is stored first, so that a payload is hashed twice at most.
 
 Reading: ``binaryFile`` gives each archive; ``WarcReader`` decompresses it in small pieces, frames the block by
 Content-Length and checks block and payload digests.  One record's block need not be held.
@@ -32,10 +34,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscope.llm.common import map_text, ship_package
-from peerscope.session import ensure_checkpoint_dir
+from peerscope.session import ensure_checkpoint_dir, materialize
 
 MIN_REVISIT_BYTES = 0
 RECORDS_PER_ARCHIVE = 2000
+ARCHIVE_BYTES = 256 << 20
 DATE = "2000-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 PIECE = 1 << 16
@@ -167,20 +170,41 @@ class WarcReader:
             raise WarcError(f"{name} of {fields['warc-record-id']} does not match")
 
 
-def records(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES, page_id: str = "page_id", url: str = "url",
-            html: str = "html") -> DataFrame:
-    """The pages with record_type and refers_to."""
+def _own(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
     own = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"),
                        F.coalesce(F.col(html).cast("binary"), F.lit(b"")).alias("payload"))
-    own = own.withColumn("digest", F.unhex(F.sha1("payload")))
-    # only what the groups need is read here: the payload is hashed in the scan and not shuffled
-    last = own.groupBy("digest").agg(F.max("page_id").alias("last"))
-    both = own.join(last, "digest")
+    return own.withColumn("digest", F.unhex(F.sha1("payload")))
+
+
+def _groups(own: DataFrame) -> DataFrame:
+    """Only what the groups need is read here: the payload is hashed in the scan and not shuffled."""
+    return own.groupBy("digest").agg(F.max("page_id").alias("last"))
+
+
+def _named(own: DataFrame, groups: DataFrame, min_revisit_bytes: int) -> DataFrame:
+    both = own.join(groups, "digest")
     revisit = (F.length("payload") >= min_revisit_bytes) & F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))
     return both.select("page_id", "url", "payload", F.when(revisit, F.col("last")).alias("refers_to"), revisit.alias("revisit"))
 
 
-def write_archives(pages: DataFrame, path: str, records_per_archive: int = RECORDS_PER_ARCHIVE, **kw) -> None:
+def records(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES, page_id: str = "page_id", url: str = "url",
+            html: str = "html") -> DataFrame:
+    """The pages with record_type and refers_to."""
+    own = _own(pages, page_id, url, html)
+    return _named(own, _groups(own), min_revisit_bytes)
+
+
+def size_classes(records_per_archive: int = RECORDS_PER_ARCHIVE, archive_bytes: int = ARCHIVE_BYTES) -> list[tuple[int, int]]:
+    """(largest payload, records a file) of each class but the last, whose payloads have no bound and a file each."""
+    out, most = [], records_per_archive
+    while most > 1:
+        out.append((archive_bytes // most, most))
+        most //= 8
+    return out
+
+
+def write_archives(pages: DataFrame, path: str, records_per_archive: int = RECORDS_PER_ARCHIVE, archive_bytes: int = ARCHIVE_BYTES,
+                   min_revisit_bytes: int = MIN_REVISIT_BYTES, page_id: str = "page_id", url: str = "url", html: str = "html") -> None:
     """Writes one record per row of ``pages`` to gzip archives under ``path``."""
     def step(chunk: pa.RecordBatch) -> dict:
         out = []
@@ -189,9 +213,18 @@ def write_archives(pages: DataFrame, path: str, records_per_archive: int = RECOR
             out.append(m[:-1] if m[-1] == 0 else m)     # the line separator is the last byte, or padding
         return {"value": out}
 
-    made = map_text(records(pages, **kw), step, "value binary", column="payload", max_bytes=CHUNK_BYTES)
-    (made.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\0")
-     .option("maxRecordsPerFile", records_per_archive).text(path))
+    classes = size_classes(records_per_archive, archive_bytes)
+    size = F.coalesce(F.octet_length(F.col(html)), F.lit(0))
+    place = sum((F.when(size > most, 1).otherwise(0) for most, _ in classes), F.lit(0))
+    found = sorted(r["place"] for r in pages.select(place.alias("place")).distinct().collect()) or [0]      # a few numbers
+    groups = _groups(_own(pages, page_id, url, html))
+    if len(found) > 1:
+        groups = materialize(groups, "warc_digests")
+    for k, number in enumerate(found):
+        own = _own(pages if len(found) == 1 else pages.where(place == number), page_id, url, html)
+        made = map_text(_named(own, groups, min_revisit_bytes), step, "value binary", column="payload", max_bytes=CHUNK_BYTES)
+        (made.select(F.col("value").cast("string").alias("value")).write.mode("append" if k else "errorifexists").option("lineSep", "\0")
+         .option("maxRecordsPerFile", classes[number][1] if number < len(classes) else 1).text(path))
 
 
 READ_SCHEMA = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, "

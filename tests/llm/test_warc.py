@@ -77,3 +77,21 @@ def test_empty_table_and_table(spark):
     assert W.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     assert rows_of(W.round_trip(pages).select(*COLUMNS)) == duck(W.ORACLE_SQL, pages=pages.toPandas())
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    """Pages that do not compress: no file of several records is larger than the bound, and all records come back."""
+    r = random.Random(5)
+    sizes = [100] * 300 + [20_000] * 60 + [300_000] * 20 + [1_500_000] * 3 + [5_000_000]
+    texts = ["".join(map(chr, r.choices(range(33, 127), k=min(n, 200_000)))) * max(1, n // 200_000) for n in sizes] + [None, "é" * 60_000] + ["same"] * 9
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id long, html string").selectExpr("*", "'u' as url").repartition(2)
+    path, bound = str(tmp_path / "w"), 2_000_000
+    got = W.round_trip(pages, path, records_per_archive=100, archive_bytes=bound)
+    assert rows_of(got.select(*COLUMNS)) == duck(W.ORACLE_SQL, pages=pages.select("page_id", "html").toPandas())
+    per = {}
+    for x in got.collect():
+        per.setdefault(x.archive, []).append(0 if x.record_type == "revisit" else x.payload_bytes)
+    assert all(len(v) <= 100 and (len(v) == 1 or sum(v) <= bound) for v in per.values()) and len(per) > 10
+    assert W.size_classes(2000, 256 << 20)[-1] == ((256 << 20) // 3, 3)
+    raw = [gzip.open(f).read().count(b"WARC/1.0\r\n") for f in glob.glob(path + "/part-*")]
+    assert sum(raw) >= len(texts)
