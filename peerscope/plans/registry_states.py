@@ -120,6 +120,8 @@ def state_queries() -> dict:
         "s9_write_manifest": lambda s, d: S.read_manifest(s, _yearly_table(s, d)),
         "c1_c6_reject_counts": _reject_counts,
         "c1_c8_kept_rows": _kept_rows,
+        "s10_raw_without_features": lambda s, d: workspace(s, d).providers_raw.select("npi").join(
+            workspace(s, d).provider_features.select("npi"), "npi", "left_anti"),
         "s15_bundle_scores": _bundle_scores,
     }
 
@@ -163,6 +165,7 @@ final AS (SELECT coalesce(early, CASE WHEN cost > q * {DIRTY_MULT} THEN 'cost_ou
 SELECT v.r AS reject_reason, count(reject_reason) AS n_observed, count(reject_reason) AS n_rows
 FROM (VALUES {reasons}) AS v(r) LEFT JOIN final ON final.reject_reason = v.r GROUP BY v.r"""),
         "c1_c8_kept_rows": O.q(_clean_sql()),
+        "s10_raw_without_features": O.q("SELECT npi FROM raw WHERE npi NOT IN (SELECT npi FROM provider_features)"),
         "s15_bundle_scores": O.q("""
 SELECT count(*) AS n_scored, 0::BIGINT AS n_other_iso, 0::BIGINT AS n_other_xgb, 0::BIGINT AS n_other_blend, 0::BIGINT AS n_other_flags FROM providers"""),
     }
