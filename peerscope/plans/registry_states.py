@@ -11,6 +11,7 @@ from peerscope.operators import clean as C
 from peerscope.operators import states as T
 from peerscope.operators.peers import BENCH_METRICS, BENCH_QUANTILES
 from peerscope.plans import oracle as O
+from peerscope.plans.layout import VIEWS, bucketed_views
 from peerscope.plans.registry_checks import DIRTY, DIRTY_MULT, DIRTY_Q, _dirty, _folder
 from peerscope.plans.registry_models import model_run
 from peerscope.plans.views import workspace
@@ -123,6 +124,10 @@ def state_queries() -> dict:
         "s10_raw_without_features": lambda s, d: workspace(s, d).providers_raw.select("npi").join(
             workspace(s, d).provider_features.select("npi"), "npi", "left_anti"),
         "s15_bundle_scores": _bundle_scores,
+        "j2_j3_colocated_scored": lambda s, d: bucketed_views(workspace(s, d)).scored(),
+        "j1_colocated_flagged": lambda s, d: bucketed_views(workspace(s, d)).flagged(),
+        "j4_colocated_exclusions": lambda s, d: bucketed_views(workspace(s, d)).excluded(),
+        "c13_lookup_buckets": lambda s, d: bucketed_views(workspace(s, d)).placements(),
     }
 
 
@@ -141,6 +146,8 @@ def state_sql() -> dict:
     dirty = ", ".join(f"{e} AS {c}" for c, e in DIRTY.items())
     blank = "regexp_replace(npi, '^[\\s\\x{A0}]+|[\\s\\x{A0}]+$', '', 'g')"
     reasons = ", ".join(f"('{r}')" for r in C.REJECT_REASONS)
+    tables = {"exclusions": "oig_exclusions", "alerts": "fraud_alerts"}
+    stored = " UNION ALL ".join(f"SELECT '{v}' AS view, count(*) AS n_rows, 0::BIGINT AS n_astray, 0::BIGINT AS n_split_keys FROM {tables.get(v, v)}" for v in VIEWS)
     return {
         "a1_merged_year_benchmarks": O.q(f"{long} SELECT specialty, metric, {stats} FROM long GROUP BY specialty, metric"),
         "a1_benchmarks_without_year": O.q(f"""{long}
@@ -168,4 +175,12 @@ FROM (VALUES {reasons}) AS v(r) LEFT JOIN final ON final.reject_reason = v.r GRO
         "s10_raw_without_features": O.q("SELECT npi FROM raw WHERE npi NOT IN (SELECT npi FROM provider_features)"),
         "s15_bundle_scores": O.q("""
 SELECT count(*) AS n_scored, 0::BIGINT AS n_other_iso, 0::BIGINT AS n_other_xgb, 0::BIGINT AS n_other_blend, 0::BIGINT AS n_other_flags FROM providers"""),
+        "j2_j3_colocated_scored": O.q("SELECT * FROM providers"),
+        "j1_colocated_flagged": O.q("""
+SELECT npi, p.specialty, p.state, p.total_drug_cost, f.flag_count, f.pct_total_claim_count, f.pct_total_drug_cost, f.pct_cost_per_claim, f.pct_brand_share
+FROM providers p JOIN provider_features f USING (npi) WHERE f.flag_count >= 1"""),
+        "j4_colocated_exclusions": O.q("""
+SELECT npi, specialty, state, coalesce(n, 0) AS n_exclusions, first_excluded
+FROM providers LEFT JOIN (SELECT npi, count(*) AS n, min(exclusion_date) AS first_excluded FROM oig_exclusions GROUP BY npi) USING (npi)"""),
+        "c13_lookup_buckets": O.q(stored),
     }

@@ -86,13 +86,18 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/peerscope/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    written(spark, path)
     return spark.read.parquet(path)
 
 
 _WRITTEN: dict[str, list[str]] = {}
 
 
+def written(spark: SparkSession, path: str) -> None:
+    """Notes a folder of this application for ``drop_intermediates``."""
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+
+
 def drop_intermediates(spark: SparkSession) -> int:
     """Delete what ``materialize`` has written in this application (call it when the results that read
     these files are written or collected); returns the number of folders."""
