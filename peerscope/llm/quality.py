@@ -3,15 +3,16 @@
 Every hashed word and character n-gram has a learned vector; a document is the weighted mean of its features'
 vectors, and a softmax layer gives the class probabilities (after Joulin et al., 2016).  A word that
 repeats the one before it also counts as one fixed feature.  Vectors and softmax weights are
-trained together by numpy stochastic gradient descent on at most ``MAX_TRAIN`` labelled documents,
-taken in the order of a hash of their id.
+trained together by numpy stochastic gradient descent on at most ``MAX_TRAIN`` labelled documents of at most
+``MAX_TRAIN_BYTES`` of features, taken in the order of a hash of their id: the features stay in Spark, which sums their
+sizes in that order, and the driver gets the rows before the bound only, whatever the length of the texts.
 
 Scoring: the mean and the softmax layer are linear, so with two classes each feature's vector
 folds into one number.  The table of these numbers (2^BITS floats, fixed size) is broadcast and texts are
 scored in a narrow ``mapInArrow``; no shuffle, whole texts.
 
 Edge cases: null and empty texts have no features and get the softmax bias alone; repeated rows are scored
-each; several labels of one id count as their maximum, null labels and ids are not learned from; without
+each; several labels of one id count as their maximum, of several texts of one id the one with the smallest features is learned from, null labels and ids are not learned from; without
 labels of both classes the score is the smoothed share of class 1; an empty table gives an
 empty result; other columns are not read.
 """
@@ -27,11 +28,13 @@ from pyspark.sql import functions as F
 
 from peerscope.llm.common import bounded_sample, byte_texts, crc_mod4, keep_where, map_text
 from peerscope.llm.features import KEEP_ALL, Hashed
+from peerscope.session import materialize
 
 BITS = 17
 GRAMS = (3, 4, 5)
 WORD_WEIGHT, REPEAT_WEIGHT = 4.0, 16.0
 MAX_TRAIN = 1500
+MAX_TRAIN_BYTES = 256 << 20     # of the features of the sample, 8 bytes a bucket of a document
 DIM, EPOCHS, RATE, BATCH, SEED = 8, 10, 8.0, 32, 7
 THRESHOLD = 0.7
 REJECT_BELOW = 0.5
@@ -133,10 +136,25 @@ def labelled(docs: DataFrame, labels: DataFrame, target: str, max_train: int, do
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(few), "doc_id")
 
 
+def within_bytes(sample: DataFrame, max_bytes: int) -> DataFrame:
+    """The rows of ``sample`` (few, see ``labelled``) whose features, summed in the order of a hash of the id, stay within
+    ``max_bytes``; a stored frame is expected.  The driver gets the sizes only."""
+    sizes = sample.select("doc_id", (F.length("at") + F.length("weight")).alias("size"), F.xxhash64("doc_id").alias("h")).toPandas()
+    sizes = sizes.sort_values(["h", "doc_id"], ignore_index=True)
+    if sizes["size"].sum() <= max_bytes:
+        return sample
+    last = int(np.searchsorted(sizes["size"].cumsum().to_numpy(), max_bytes, side="right"))
+    if last == 0:
+        return sample.limit(0)
+    end = sizes.iloc[last - 1]
+    h = F.xxhash64("doc_id")
+    return sample.where((h < F.lit(int(end["h"]))) | (h == F.lit(int(end["h"]))) & (F.col("doc_id") <= F.lit(end["doc_id"].item() if hasattr(end["doc_id"], "item") else end["doc_id"])))
+
+
 def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", max_train: int = MAX_TRAIN,
-        doc_id: str = "doc_id", text: str = "text", bits: int = BITS) -> Model:
+        doc_id: str = "doc_id", text: str = "text", bits: int = BITS, max_bytes: int = MAX_TRAIN_BYTES) -> Model:
     """Learns from the labelled rows outside the held-out fold.  Tasks turn the texts into feature counts; the
-    driver gets ``max_train`` of them at most."""
+    driver gets ``max_train`` of them at most, and at most ``max_bytes``."""
     rows = labelled(docs, labels, target, max_train, doc_id, text, crc_mod4(doc_id) != HELD_OUT)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
@@ -147,7 +165,8 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", max_train:
 
     got = map_text(rows, step, f"doc_id {kind}, label int, at binary, weight binary", max_bytes=CHUNK_BYTES)
     one = got.groupBy("doc_id").agg(F.min(F.struct("label", "at", "weight")).alias("x")).select("doc_id", "x.*")
-    own = sorted(one.collect(), key=lambda r: r["doc_id"])      # at most max_train rows
+    few = within_bytes(materialize(one, "quality_sample"), max_bytes)
+    own = sorted(few.collect(), key=lambda r: r["doc_id"])
     sets = [(np.frombuffer(bytes(r["at"]), dtype=np.int32), np.frombuffer(bytes(r["weight"]), dtype=np.float32)) for r in own]
     y = np.array([r["label"] for r in own])
     del own

@@ -13,16 +13,19 @@ Training: the features of the sampled documents stay in Spark, which counts the
 fold and finds the features every fit keeps.  A frequent feature is dropped only when it does not separate the classes.
 The driver gets the kept columns only, whatever the length of the texts.
 
-The labelled table has one label, ``toxic``.  The categories before it are made for training from that label and
-``LEXICON``: ``insult`` is toxic with a word for a person, ``contempt`` toxic with a word of disdain.  The
-word lists are not used when texts are scored.
+The labelled table has one label, ``toxic``.  The categories before it are kinds of toxic documents, found in the labelled
+rows themselves, so they hold for any language or vocabulary: the features that tell toxic documents (chi-square in Spark)
+are cut into ``KINDS`` groups that occur in the same documents (spherical k-means of their columns, bounded by
+``max_train`` x ``N_FEATURES``), and a toxic document is of a kind when it has ``KIND_HITS`` features of that group.  A document may be of
+several kinds or of none.  The groups only make the targets of training; scoring uses the models alone.
 
 Scoring: active features and weights (bounded by ``N_FEATURES``) are broadcast; a narrow ``mapInArrow`` scores whole
 texts, no shuffle.
 
 Edge cases: null and empty texts have no features and get the models' biases; several labels of one id count as
-their maximum, null labels and ids are not learned from; without labels of both classes a category has
-its smoothed share as probability; repeated rows are scored each; an empty table gives an empty result; other columns are not
+their maximum, null labels and ids are not learned from, of several texts of one id the one with the smallest features is;
+without labels of both classes a category has its smoothed share as probability, and kinds that no telling feature supports have no
+members; ties of features go to the smaller bucket; repeated rows are scored each; an empty table gives an empty result; other columns are not
 read.
 """
 
@@ -50,9 +53,10 @@ FOLDS = 4
 THRESHOLD = 0.2
 MIN_DOCS, MIN_CHI = 3, 4      # of a feature that a fit keeps
 CHUNK_BYTES = 1 << 20
-LEXICON = {"insult": ("idiot", "moron", "loser", "clown", "stupid"),
-           "contempt": ("worthless", "pathetic", "disgusting", "trash", "scum")}
-CATEGORIES = (*LEXICON, "toxic")
+KINDS = 2
+KIND_HITS = 4       # features of a group that make a document one of its kind: a telling word of five letters has so many, with its grams
+KIND_ROUNDS = 25
+CATEGORIES = (*(f"kind_{k + 1}" for k in range(KINDS)), "toxic")
 
 
 def _features(h: Hashed) -> tuple[np.ndarray, np.ndarray]:
@@ -225,41 +229,74 @@ def _choose(sample: DataFrame, n_categories: int) -> dict[tuple[int, int | None]
     return active
 
 
+def _kept(sample: DataFrame, kept: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The buckets of ``kept`` in each sampled document, by id, its mask and its fold; at most ``max_train`` rows."""
+    kind, kept = sample.schema["doc_id"].dataType.simpleString(), kept.astype(np.int32)
+
+    def cut(chunk: pa.RecordBatch) -> dict:
+        at = [np.frombuffer(x, dtype=np.int32) for x in chunk.column("at").to_pylist()]
+        return {c: chunk.column(c) for c in ("doc_id", "mask", "fold")} | {"at": [x[np.isin(x, kept)].tobytes() for x in at]}
+
+    few = map_text(sample, cut, f"doc_id {kind}, mask int, fold int, at binary", column="at", max_bytes=CHUNK_BYTES)
+    own = sorted(few.collect(), key=lambda r: r["doc_id"])
+    return ([np.frombuffer(bytes(r["at"]), dtype=np.int32) for r in own], np.array([r["mask"] for r in own], dtype=np.int64),
+            np.array([r["fold"] for r in own], dtype=np.int64))
+
+
+def _groups(features: list[np.ndarray], toxic: np.ndarray, telling: np.ndarray, k: int = KINDS) -> list[np.ndarray]:
+    """``telling`` buckets that are more frequent in toxic documents, in ``k`` groups that occur in the same ones; groups without
+    a feature are empty.  The first centre is the feature of most toxic documents, each next one the feature least like those before."""
+    has = np.zeros((len(features), telling.size), dtype=np.float32)
+    for row, f in zip(has, features):
+        row[np.searchsorted(telling, f)] = 1
+    seen, hits = has.sum(0), has[toxic > 0].sum(0)
+    own = np.flatnonzero(hits * len(features) > seen * (toxic > 0).sum())
+    columns = has[toxic > 0][:, own].T
+    if not own.size:
+        return [np.zeros(0, dtype=np.int32)] * k
+    columns /= np.sqrt(columns.sum(1, keepdims=True))
+    centres = columns[[int(hits[own].argmax())]]
+    while len(centres) < min(k, own.size):
+        centres = np.vstack((centres, columns[int((columns @ centres.T).max(1).argmin())]))
+    group = np.full(own.size, -1)
+    for _ in range(KIND_ROUNDS):
+        after = (columns @ centres.T).argmax(1)
+        if (after == group).all():
+            break
+        group = after
+        sums = np.stack([columns[group == c].sum(0) for c in range(len(centres))])
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+    return [telling[own[group == c]].astype(np.int32) for c in range(k)]
+
+
 def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", max_train: int = MAX_TRAIN, doc_id: str = "doc_id",
         text: str = "text", bits: int = BITS) -> Chain:
     """Learns from at most ``max_train`` labelled documents; tasks reduce the texts to features, of which the driver
     gets the ones that a fit keeps."""
     rows = labelled(docs, labels, target, max_train, doc_id, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    lexicon = {k: {w.encode() for w in v} for k, v in LEXICON.items()}
 
     def step(chunk: pa.RecordBatch) -> dict:
-        texts = byte_texts(chunk)
-        toxic = chunk.column("label").to_pylist()
-        at, mask = [], []
-        for t, y in zip(texts, toxic):
-            at.append(np.unique(_features(Hashed([t], LETTERS, bits))[1]).astype(np.int32).tobytes())
-            words = set(t.translate(LETTERS).split())
-            mask.append(sum(bool(words & own) << k for k, own in enumerate(lexicon.values())) | 1 << len(lexicon) if y > 0 else 0)
-        return {"doc_id": chunk.column("doc_id"), "mask": mask, "at": at}
+        at = [np.unique(_features(Hashed([t], LETTERS, bits))[1]).astype(np.int32).tobytes() for t in byte_texts(chunk)]
+        return {"doc_id": chunk.column("doc_id"), "mask": [int(y > 0) for y in chunk.column("label").to_pylist()], "at": at}
 
     got = map_text(rows, step, f"doc_id {kind}, mask int, at binary", max_bytes=CHUNK_BYTES)
     one = got.groupBy("doc_id").agg(F.min(F.struct("mask", "at")).alias("x")).select(
         "doc_id", "x.*", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int").alias("fold"))
     sample = materialize(one, "toxicity_sample")
-    active = _choose(sample, len(CATEGORIES))
-    kept = np.unique(np.concatenate(list(active.values()))).astype(np.int32)
+    telling = _choose(sample, 1)[0, None]
+    groups = _groups(*_kept(sample, telling)[:2], telling)
 
-    def cut(chunk: pa.RecordBatch) -> dict:
+    def mark(chunk: pa.RecordBatch) -> dict:
         at = [np.frombuffer(x, dtype=np.int32) for x in chunk.column("at").to_pylist()]
-        return {c: chunk.column(c) for c in ("doc_id", "mask", "fold")} | {"at": [x[np.isin(x, kept)].tobytes() for x in at]}
-
-    few = map_text(sample, cut, f"doc_id {kind}, mask int, fold int, at binary", column="at", max_bytes=CHUNK_BYTES)
-    own = sorted(few.collect(), key=lambda r: r["doc_id"])      # at most max_train rows of the kept features
-    targets = np.array([[r["mask"] >> k & 1 for k in range(len(CATEGORIES))] for r in own]).reshape(len(own), len(CATEGORIES))
-    folds = np.array([r["fold"] for r in own])
-    features = [np.frombuffer(bytes(r["at"]), dtype=np.int32) for r in own]
-    del own
+        mask = [sum(int(np.isin(g, x).sum() >= KIND_HITS) << k for k, g in enumerate(groups)) | 1 << KINDS if y else 0
+                for x, y in zip(at, chunk.column("mask").to_pylist())]
+        return {c: chunk.column(c) for c in ("doc_id", "fold", "at")} | {"mask": mask}
+
+    marked = map_text(sample, mark, f"doc_id {kind}, mask int, at binary, fold int", column="at", max_bytes=CHUNK_BYTES)
+    active = _choose(marked, len(CATEGORIES))
+    features, mask, folds = _kept(marked, np.unique(np.concatenate(list(active.values()))))
+    targets = mask[:, None] >> np.arange(len(CATEGORIES)) & 1
     return train(features, targets, folds, active, bits=bits)
 
 

@@ -52,6 +52,38 @@ def test_quality_training_equals_scoring_features():
     assert np.allclose(m.score([b"some words words here", b"other text", b""]), 1 / (1 + np.exp(-np.array(z))), atol=1e-5)
 
 
+def test_quality_sample_is_bounded_in_bytes(spark):
+    rows = [(k, bytearray(8 * k), bytearray(2 * k)) for k in range(1, 21)]
+    for schema, cast in (("doc_id long, at binary, weight binary", int), ("doc_id string, at binary, weight binary", str)):
+        sample = spark.createDataFrame([(cast(k), a, w) for k, a, w in rows], schema)
+        assert Q.within_bytes(sample, 10 * 210).count() == 20 and Q.within_bytes(sample, 0).count() == 0
+        for bound in (5, 300, 1000, 2099):
+            got = Q.within_bytes(sample, bound)
+            used = sum(len(r.at) + len(r.weight) for r in got.collect())
+            order = [r.doc_id for r in sample.selectExpr("doc_id", "xxhash64(doc_id) h").orderBy("h", "doc_id").collect()]
+            kept = {r.doc_id for r in got.collect()}
+            assert used <= bound and kept == set(order[:len(kept)])
+            if len(kept) < 20:
+                assert used + 10 * int(order[len(kept)]) > bound
+
+
+def test_quality_very_long_texts_within_the_bound(spark):
+    import random
+    r = random.Random(3)
+    texts = [(k, " ".join("".join(r.choices("abcdefghij", k=6)) for _ in range(3000)), k % 2) for k in range(24)]
+    table = spark.createDataFrame(texts, "doc_id long, text string, quality int")
+    seen = []
+    train = Q.train
+    Q.train = lambda sets, y, bits: seen.append(sum(a.nbytes + w.nbytes for a, w in sets)) or train(sets, y, bits, epochs=1)
+    try:
+        for bound in (1 << 30, 400_000, 0):
+            m = Q.fit(table.select("doc_id", "text"), table.select("doc_id", "quality"), max_bytes=bound)
+            assert 0 < m.score([b"any"])[0] < 1
+    finally:
+        Q.train = train
+    assert seen[0] > 400_000 >= seen[1] > seen[2] == 0
+
+
 def _edge_labels(spark):
     return spark.createDataFrame([(1, 1, 0), (2, 0, 1), (2, 1, 0), (None, 1, 1), (3, None, None), (999, 0, 1)], "doc_id long, quality int, toxic int")
 
@@ -94,7 +126,7 @@ def test_chain_feeds_earlier_probabilities(chain):
 
 def test_toxicity_edges(spark, edge_docs, no_docs, chain):
     got = T.score(edge_docs, chain)
-    assert got.count() == edge_docs.count() and got.columns == ["doc_id", "p_insult", "p_contempt", "p_toxic", "is_toxic"]
+    assert got.count() == edge_docs.count() and got.columns == ["doc_id", "p_kind_1", "p_kind_2", "p_toxic", "is_toxic"]
     assert T.score(no_docs, chain).count() == 0
     assert rows_of(T.reject(edge_docs, chain)) == rows_of(edge_docs)
     for table in (edge_docs, no_docs):
@@ -137,6 +169,49 @@ def test_toxicity_keeps_frequent_features_that_separate(spark):
     assert p[0].min() >= T.THRESHOLD > p[1].max()
 
 
+def _two_families(n=300):
+    """Clean rows, and toxic ones with words of one of two invented families, in a script of their own."""
+    import random
+    r = random.Random(11)
+    words = ["".join(r.choices("abcdefghiklmnoprstu", k=7)) for _ in range(400)]
+    families = (["жуфак", "жорлон", "жимпур", "жабрет"], ["кветун", "кразол", "кипсарт", "колдуэн"])
+    rows = []
+    for k in range(n):
+        kind = k // 2 % 2 if k % 2 else None
+        own = r.sample(words, 30) + (r.sample(families[kind], 2) if k % 2 else [])
+        rows.append((k, " ".join(r.sample(own, len(own))), k % 2, kind))
+    return rows, families
+
+
+def test_toxicity_kinds_come_from_the_labelled_rows(spark):
+    rows, families = _two_families()
+    table = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, toxic int")
+    model = T.fit(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    p = model.probabilities([r[1].encode() for r in rows])
+    kinds = np.array([-1 if r[3] is None else r[3] for r in rows])
+    first = 0 if p[kinds == 0, 0].mean() > 0.5 else 1       # which group is which family is not fixed
+    for kind, column in ((0, first), (1, 1 - first)):
+        assert p[kinds == kind, column].min() > 0.5 > p[kinds == 1 - kind, column].max()
+        assert p[kinds == -1, column].max() < 0.5
+    assert p[kinds >= 0, -1].min() >= T.THRESHOLD > p[kinds == -1, -1].max()
+    assert all(m.features.size for m in model.models[:2])       # each kind has a model of its own
+    assert model.models[2].chain.max() > 0
+    unseen = [" ".join(["ordinary words here", *f[:2]]).encode() for f in families]
+    assert (model.probabilities(unseen)[:, -1] >= T.THRESHOLD).all()
+
+
+def test_toxicity_groups_by_hand():
+    telling = np.array([3, 5, 8, 9, 12])
+    features = [np.array(f, dtype=np.int32) for f in ([3, 5], [3, 5], [3, 5], [8, 9], [8, 9], [12], [12, 3], [])]
+    toxic = np.array([1, 1, 1, 1, 1, 0, 0, 0])
+    a, b = T._groups(features, toxic, telling)
+    assert a.tolist() == [3, 5] and b.tolist() == [8, 9]        # 12 tells clean documents
+    none = T._groups(features, np.zeros(8, dtype=int), telling)
+    assert [g.size for g in none] == [0, 0]
+    assert [g.tolist() for g in T._groups([np.array([3], dtype=np.int32), np.zeros(0, np.int32)], np.array([1, 0]), np.array([3]))] == [[3], []]
+    assert [g.size for g in T._groups([], np.zeros(0, dtype=int), np.zeros(0, dtype=int))] == [0, 0]
+
+
 def test_toxicity_features_equal_chi_square_over_the_sample(labelled_docs, labels, monkeypatch):
     seen = {}
     monkeypatch.setattr(T, "train", lambda features, targets, folds, active, **kw: seen.update(targets=targets, folds=folds, active=active))
