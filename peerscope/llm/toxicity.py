@@ -54,6 +54,7 @@ THRESHOLD = 0.2
 MIN_DOCS, MIN_CHI = 3, 4      # of a feature that a fit keeps
 CHUNK_BYTES = 1 << 20
 KINDS = 2
+KIND_CHI = 24       # of a feature that makes a kind: chance gives about one such among 2^BITS buckets
 KIND_HITS = 4       # features of a group that make a document one of its kind: a telling word of five letters has so many, with its grams
 KIND_ROUNDS = 25
 CATEGORIES = (*(f"kind_{k + 1}" for k in range(KINDS)), "toxic")
@@ -189,7 +190,7 @@ def train(features: list[np.ndarray], targets: np.ndarray, folds: np.ndarray, ac
     return chain
 
 
-def _choose(sample: DataFrame, n_categories: int) -> dict[tuple[int, int | None], np.ndarray]:
+def _choose(sample: DataFrame, n_categories: int, min_chi: float = MIN_CHI) -> dict[tuple[int, int | None], np.ndarray]:
     """The features each fit keeps, by category and fold left out: most telling first, ties by bucket.
 
     ``sample`` has ``fold``, ``mask`` (bit k: category k) and ``at``.  Documents are counted by bucket, fold and
@@ -223,7 +224,7 @@ def _choose(sample: DataFrame, n_categories: int) -> dict[tuple[int, int | None]
             share = hits / n
             expect = df * share
             chi = (pos - expect) * (pos - expect) / F.greatest(expect * (1 - share) * (1 - df / n), F.lit(1e-9))
-            best = counts.where(df >= MIN_DOCS).select("bucket", chi.alias("chi")).where(F.col("chi") > MIN_CHI)
+            best = counts.where(df >= MIN_DOCS).select("bucket", chi.alias("chi")).where(F.col("chi") > min_chi)
             best = best.orderBy(F.desc("chi"), "bucket").limit(N_FEATURES).collect()
             active[k, out] = np.array(sorted(r["bucket"] for r in best), dtype=np.int64)
     return active
@@ -245,7 +246,8 @@ def _kept(sample: DataFrame, kept: np.ndarray) -> tuple[list[np.ndarray], np.nda
 
 def _groups(features: list[np.ndarray], toxic: np.ndarray, telling: np.ndarray, k: int = KINDS) -> list[np.ndarray]:
     """``telling`` buckets that are more frequent in toxic documents, in ``k`` groups that occur in the same ones; groups without
-    a feature are empty.  The first centre is the feature of most toxic documents, each next one the feature least like those before."""
+    a feature are empty.  The first centre is the feature of most toxic documents, each next
+    one that of most toxic documents, weighed by how little it is like those before."""
     has = np.zeros((len(features), telling.size), dtype=np.float32)
     for row, f in zip(has, features):
         row[np.searchsorted(telling, f)] = 1
@@ -257,7 +259,8 @@ def _groups(features: list[np.ndarray], toxic: np.ndarray, telling: np.ndarray,
     columns /= np.sqrt(columns.sum(1, keepdims=True))
     centres = columns[[int(hits[own].argmax())]]
     while len(centres) < min(k, own.size):
-        centres = np.vstack((centres, columns[int((columns @ centres.T).max(1).argmin())]))
+        apart = 1 - (columns @ centres.T).max(1)
+        centres = np.vstack((centres, columns[int((hits[own] * apart).argmax())]))
     group = np.full(own.size, -1)
     for _ in range(KIND_ROUNDS):
         after = (columns @ centres.T).argmax(1)
@@ -284,7 +287,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", max_train: in
     one = got.groupBy("doc_id").agg(F.min(F.struct("mask", "at")).alias("x")).select(
         "doc_id", "x.*", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int").alias("fold"))
     sample = materialize(one, "toxicity_sample")
-    telling = _choose(sample, 1)[0, None]
+    telling = _choose(sample, 1, KIND_CHI)[0, None]
     groups = _groups(*_kept(sample, telling)[:2], telling)
 
     def mark(chunk: pa.RecordBatch) -> dict:
