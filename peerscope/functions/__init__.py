@@ -3,7 +3,9 @@
 from peerscope.functions.scalar import (
     bounded_broadcast,
     exact_mean,
+    growing,
     join_null_safe,
+    money_cents,
     money_sum,
     round_half_even,
     safe_ratio,
@@ -16,7 +18,9 @@ from peerscope.functions.scalar import (
 __all__ = [
     "bounded_broadcast",
     "exact_mean",
+    "growing",
     "join_null_safe",
+    "money_cents",
     "money_sum",
     "round_half_even",
     "safe_ratio",

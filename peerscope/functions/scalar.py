@@ -96,6 +96,22 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
+def growing(df: DataFrame) -> DataFrame:
+    """Marks a join side whose rows grow with the input: the join is a shuffle join, whatever size the optimizer expects.
+    It estimates Parquet files by their compressed bytes, so such a side would else be gathered by the driver and sent to
+    every executor until its files are ten megabytes, which is many times that in memory."""
+    return df.hint("merge")
+
+
+def money_cents(c) -> Column:
+    """A money column in whole cents (long), as its cast to ``decimal(18,2)`` rounds it.  Sums of longs are as exact as those of decimals
+    and much cheaper; where ``c`` is the double nearest to whole cents no decimal is made at all."""
+    x = _col(c).cast("double")
+    near = F.rint(x * F.lit(100.0))
+    exact = (near / F.lit(100.0) == x) & (F.abs(x) < F.lit(1e13))
+    return F.when(exact, near.cast("long")).otherwise((_col(c).cast("decimal(18,2)") * F.lit(100)).cast("long"))
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast-hint ``df`` only after checking it holds at most ``max_rows`` rows.
 

@@ -18,6 +18,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from peerscope.functions import growing
 from peerscope.operators import clean as C
 from peerscope.operators import peers as P
 from peerscope.operators import scoring as S
@@ -50,8 +51,8 @@ class Workspace:
 
     @cached_property
     def order_facts(self) -> DataFrame:
-        """Per (episode, year) facts: the single pass over the claim lines."""
-        return materialize(fixture.order_year_facts(self.spark, self.sf_dir), "order_facts")
+        """Per (customer, year) sums of the episode facts: the single pass over the claim lines."""
+        return materialize(fixture.customer_year_facts(self.spark, self.sf_dir), "order_facts")
 
     @cached_property
     def providers_raw(self) -> DataFrame:
@@ -92,7 +93,7 @@ class Workspace:
         p = self.providers.drop(*[c for c in SCORE_COLUMNS if c in self.providers.columns])
         f = self.features.select("npi", *SCORED_FEATURE_COLUMNS)
         # written once: every catalog and report query reads this table
-        return materialize(p.join(f, on="npi", how="left").join(self.scores, on="npi", how="left"),
+        return materialize(p.join(growing(f), on="npi", how="left").join(growing(self.scores), on="npi", how="left"),
                            "providers_scored")
 
     @cached_property
