@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from peerscope.functions import stable_hash
+from peerscope.functions import growing, stable_hash
 from peerscope.operators.ordered import ordered_stats
 from peerscope.session import materialize, ship_package
 
@@ -171,11 +171,11 @@ def minority_knn(points: DataFrame, features: Sequence[str], key: str = "npi", k
     queries = cells.select("rep", "_v")
     near = materialize(_best(_met(materialize(_wanted(queries, shared, k, True), "knn_wanted"), cells, k), ["rep", "g"], k + 1), "knn_near")
     reach = near.groupBy("rep").agg(F.max("dist").alias("reach"))
-    more = materialize(_wanted(queries.join(reach, "rep"), shared, k, False), "knn_wanted")
+    more = materialize(_wanted(queries.join(growing(reach), "rep"), shared, k, False), "knn_wanted")
     found = near.drop("nn_rank").unionByName(_met(more, cells, k))
     top = materialize(_best(found, ["rep", "g"], k + 1).drop("nn_rank"), "knn_top")
-    member = pts.join(vectors.select("_v", "rep"), "_v").select("key", "rep")
-    own = member.join(top, "rep").where("key <> nn_key")
+    member = pts.join(growing(vectors.select("_v", "rep")), "_v").select("key", "rep")
+    own = member.join(growing(top), "rep").where("key <> nn_key")
     best = _best(own, ["key", "g"], k)
     out = best.select(F.col("key").alias(key), F.col("nn_rank").cast("int"), "nn_key", "dist", *([F.col("g").alias("nn_group")] if group else []))
     return materialize(out, "knn")
@@ -187,7 +187,7 @@ def neighbours_outside(knn: DataFrame, points: DataFrame, fold: int | None, key:
     if fold is None:
         some = knn
     else:
-        some = knn.where(F.col("nn_group") != fold).join(points.where(F.col(group) != fold).select(key), key, "left_semi")
+        some = knn.where(F.col("nn_group") != fold).join(growing(points.where(F.col(group) != fold).select(key)), key, "left_semi")
     return _best(some.drop("nn_rank", "nn_group"), [key], k).withColumn("nn_rank", F.col("nn_rank").cast("int"))
 
 
@@ -222,16 +222,16 @@ def smote(train: DataFrame, features: Sequence[str], label: str = "is_fraud_labe
     # index minority rows 0..n1-1 in a reproducible order (hash, key)
     ordered = minority.withColumn("_o", F.struct(stable_hash(F.col(key)).alias("h"), F.col(key).alias("k")))
     idx = ordered_stats(ordered, [], "_o").select("_o", F.col("n_before").alias("_idx"))
-    indexed = ordered.join(idx, "_o").drop("_o")
+    indexed = ordered.join(growing(idx), "_o").drop("_o")
     syn = spark.range(n_new).select(
         F.col("id").alias("_j"),
         F.floor(_unit(seed, F.col("id"), 1) * F.lit(n1)).cast("long").alias("_idx"),
         (F.floor(_unit(seed, F.col("id"), 2) * F.lit(kk)) + 1).cast("int").alias("nn_rank"),
         _unit(seed, F.col("id"), 3).alias("_gap"))
-    base = syn.join(indexed.select("_idx", *[F.col(c) for c in [key, *feats]]), "_idx", "inner")
-    base = base.join(knn.select(key, "nn_rank", "nn_key"), [key, "nn_rank"], "inner")
+    base = syn.join(growing(indexed.select("_idx", *[F.col(c) for c in [key, *feats]])), "_idx", "inner")
+    base = base.join(growing(knn.select(key, "nn_rank", "nn_key")), [key, "nn_rank"], "inner")
     nb = minority.select(F.col(key).alias("nn_key"), *[F.col(c).alias(f"_nn_{c}") for c in feats])
-    j = base.join(nb, "nn_key", "inner")
+    j = base.join(growing(nb), "nn_key", "inner")
     out = [F.concat(F.lit("synthetic-"), F.col("_j").cast("string")).alias(key)]
     out += [(F.col(c) + F.col("_gap") * (F.col(f"_nn_{c}") - F.col(c))).alias(c) for c in feats]
     out.append(F.lit(1).cast(train.schema[label].dataType).alias(label))

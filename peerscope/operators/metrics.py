@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.functions import round_half_even, stable_hash
+from peerscope.functions import growing, round_half_even, stable_hash
 from peerscope.operators.ordered import ordered_stats
 
 F2_EPS = 1e-10
@@ -29,7 +29,7 @@ def stratified_folds(df: DataFrame, label: str = "is_fraud_label", key: str = "n
     every fold keeps the class ratio (sizes differ by at most one per class)."""
     ordered = df.withColumn("_ord", F.struct(stable_hash(F.col(key)).alias("h"), F.col(key).alias("k")))
     st = ordered_stats(ordered, [label], "_ord").select(label, "_ord", "n_before")
-    return (ordered.join(st, [label, "_ord"], "inner")
+    return (ordered.join(growing(st), [label, "_ord"], "inner")
             .select(key, label, ((F.col("n_before") % F.lit(k)) + F.lit(1)).cast("int").alias("fold")))
 
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.functions import bounded_broadcast, round_half_even
+from peerscope.functions import bounded_broadcast, growing, round_half_even
 from peerscope.operators.ordered import ordered_stats, quantiles_from_stats
 from peerscope.session import materialize
 
@@ -89,7 +89,7 @@ def percentile_ranks(providers: DataFrame, order_stats: DataFrame, group: str =
     keys = key_columns(key)
     long = long_metrics(providers.where(F.col(group).isNotNull()), metrics, [*keys, group])
     st = order_stats.where(F.col("metric").isin(*metrics))
-    ranked = long.join(st, on=[group, "metric", "x"], how="inner")
+    ranked = long.join(growing(st), on=[group, "metric", "x"], how="inner")
     pct = (F.col("n_before") + (F.col("n") + F.lit(1)) / F.lit(2.0)) / F.col("n_total")
     return (ranked.select(*keys, "metric", round_half_even(pct, digits).alias("pct"))
             .groupBy(*keys).pivot("metric", metrics).agg(F.first("pct"))
@@ -138,7 +138,7 @@ def build_features(providers: DataFrame, group: str = "specialty",
     joined = add_flags(joined)
     joined = joined.drop(*[c for c in stats_cols if c != group])
     pct = percentile_ranks(providers, st, group, PCT_METRICS, key)
-    feats = joined.join(pct, on=key_columns(key), how="left")
+    feats = joined.join(growing(pct), on=key_columns(key), how="left")
     return bench, feats
 
 

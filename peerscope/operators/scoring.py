@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.functions import round_half_even
+from peerscope.functions import growing, round_half_even
 from peerscope.operators.ordered import ordered_stats
 from peerscope.operators.peers import long_metrics
 
@@ -25,7 +25,7 @@ def global_pct_ranks(df: DataFrame, metrics: Sequence[str], key: str = "npi") ->
     metrics = list(metrics)
     long = long_metrics(df, metrics, [key])
     st = ordered_stats(long, ["metric"], "x", ascending=True)
-    ranked = long.join(st, on=["metric", "x"], how="inner")
+    ranked = long.join(growing(st), on=["metric", "x"], how="inner")
     pct = (F.col("n_before") + (F.col("n") + F.lit(1)) / F.lit(2.0)) / F.col("n_total")
     return (ranked.select(key, "metric", pct.alias("pct"))
             .groupBy(key).pivot("metric", metrics).agg(F.first("pct"))
