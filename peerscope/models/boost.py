@@ -10,7 +10,8 @@ Trees grow level by level on histograms of first and second derivatives.  Deriva
 are exact, whatever the order and the number of tasks; row and column draws are hashes of (seed, model, round, row or column).  Scores therefore
 depend on neither cores nor partitions, and the two ways to train give the same trees to the last bit:
 
-* ``ROWS_IN_TASK`` rows or fewer a model: each model is grown in a task of its own, all in one Spark job.
+* ``ROWS_IN_TASK`` rows or fewer a model: each model is grown in a task of its own, all in one Spark job; of every cut node only the smaller
+  child is summed, its sibling's sums are the parent's less these.
 * more: one job a level for all models.  A task sums the histograms of its rows, a shuffle by (model, node, feature) adds them up
   and finds each one's best cut there, and the driver sees only those (at most models x nodes x features rows of numbers).  Margins are
   stored every ``STORE_EVERY`` rounds; in between a task applies the trees since.
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.functions import stable_hash
+from peerscope.functions import growing, stable_hash
 from peerscope.models.smote import minority_knn, neighbours_outside, smote
 from peerscope.operators.metrics import stratified_folds
 from peerscope.session import materialize, ship_package
@@ -45,7 +46,7 @@ RIDGE = 1.0
 MIN_CHILD_WEIGHT = 1.0
 MAX_BINS = 256
 
-ROWS_IN_TASK = 200_000
+ROWS_IN_TASK = 5_000_000   # about 1 GB in a task
 BIN_SAMPLE = 100_000
 STORE_EVERY = 10
 UNIT = float(1 << 20)
@@ -269,30 +270,79 @@ def _training_table(data: DataFrame, feats: list[str], label: str, key: str, edg
     return materialize(_binned(rows, feats, key, label, edges, weight), "training")
 
 
+def _bytes(column: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
+    """A column of ``n`` bytes a row as a matrix, without an object a row."""
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    own = [c.cast(pa.binary(n)) for c in chunks if len(c)]
+    own = [np.frombuffer(c.buffers()[1], dtype=np.uint8)[n * c.offset:n * (c.offset + len(c))] for c in own]
+    return (np.concatenate(own) if own else np.zeros(0, dtype=np.uint8)).reshape(-1, n)
+
+
 def _arrays(table: pa.Table | pa.RecordBatch, n: int) -> tuple[np.ndarray, ...]:
-    bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), dtype=np.uint8).reshape(-1, n)
-    return bins, *(table.column(c).to_numpy(zero_copy_only=False) if isinstance(table, pa.RecordBatch) else table.column(c).to_numpy()
+    return _bytes(table.column("bins"), n), *(table.column(c).to_numpy(zero_copy_only=False) if isinstance(table, pa.RecordBatch) else table.column(c).to_numpy()
                    for c in ("label", "weight", "h", "models"))
 
 
 # -- all rounds of a model in a task --------------------------------------------------------------------------------------------
 
+def _sums_of(columns: np.ndarray, rows: np.ndarray, g: np.ndarray, h: np.ndarray, bins: int) -> np.ndarray:
+    """[feature, bin, (g, h)] sums over ``rows`` of the transposed bins; ``g`` and ``h`` are those of the rows."""
+    out = np.empty((len(columns), bins, 2))
+    for j, column in enumerate(columns):
+        own = column.take(rows).astype(np.int64)
+        out[j, :, 0] = np.bincount(own, weights=g, minlength=bins)
+        out[j, :, 1] = np.bincount(own, weights=h, minlength=bins)
+    return out
+
+
+def _spread(cuts: tuple[np.ndarray, ...], used: np.ndarray, n: int) -> list[np.ndarray]:
+    """Cuts of the ``used`` features as those of all ``n``; the others gain nothing."""
+    gain, at, lg, lh, g, h = cuts
+    out = [np.full((len(gain), n), -1.0), np.zeros((len(gain), n), dtype=np.int64), *(np.zeros((len(gain), n)) for _ in range(2))]
+    for full, own in zip(out, (gain, at, lg, lh)):
+        full[:, used] = own
+    return [*out, np.repeat(g[:, :1], n, 1), np.repeat(h[:, :1], n, 1)]       # the sums over all bins are those of any feature
+
+
+def _grow_in_task(columns: np.ndarray, rows: np.ndarray, g: np.ndarray, h: np.ndarray, allowed: np.ndarray, bins: int, p: BoostParams) -> tuple:
+    """A tree on ``rows`` (with derivatives ``g``, ``h``), and the node in which each of them ends.  A level reads only the rows of the smaller
+    child of each cut node and the features the tree may use: the sums are exact, so the sibling's are the parent's less these."""
+    tree, used, nodes = _empty(p.max_depth), np.flatnonzero(allowed), [0]
+    some = columns[used]
+    held, sums = {0: np.arange(rows.size)}, {0: _sums_of(some, rows, g, h, bins)}       # node: places in ``rows``, sums
+    place = np.zeros(rows.size, dtype=np.int64)
+    while nodes:
+        after = _grow(tree, nodes, _spread(_cuts(np.stack([sums[k] for k in nodes])), used, len(columns)), allowed, p)
+        below = {}
+        for node in nodes:
+            mine, total = held.pop(node), sums.pop(node)
+            f = int(tree[0][node])
+            if f < 0:
+                continue
+            right = columns[f].take(rows.take(mine)) > tree[1][node]
+            place[mine] = 2 * node + 1 + right
+            if open_ := [c for c in (2 * node + 1, 2 * node + 2) if c in after]:
+                sides = {2 * node + 1: mine.take(np.flatnonzero(~right)), 2 * node + 2: mine.take(np.flatnonzero(right))}
+                small = min(sides, key=lambda c: sides[c].size)
+                own = sides[small]
+                part = _sums_of(some, rows.take(own), g.take(own), h.take(own), bins)
+                below |= {c: part if c == small else total - part for c in open_}
+                held |= {c: sides[c] for c in open_}
+        nodes, sums = after, below
+    return tree, place
+
+
 def _train_in_task(b: np.ndarray, label: np.ndarray, weight: np.ndarray, h: np.ndarray, model: int, bins: int, p: BoostParams) -> list:
     margin, trees = np.zeros(len(b)), []
+    columns = np.ascontiguousarray(b.T)
     for number in range(p.n_trees):
-        g, hess = _derivatives(margin, label, weight)
-        rows = np.flatnonzero(_draw(h, p.seed, model, number, 1) < p.subsample)
-        own, g, hess = b[rows], g[rows], hess[rows]
-        tree, allowed, nodes = _empty(p.max_depth), _columns(b.shape[1], p, model, number), [0]
-        place = np.zeros(rows.size, dtype=np.int64)
-        while nodes:
-            held = np.array(nodes)
-            after = _grow(tree, nodes, _cuts(_histograms(own, g, hess, place, held, bins)), allowed, p)
-            nodes = after
-            if nodes:
-                place = _places(tree, own)
+        drawn = _draw(h, p.seed, model, number, 1) < p.subsample
+        rows, others = np.flatnonzero(drawn), np.flatnonzero(~drawn)
+        g, hess = _derivatives(margin[rows], label[rows], weight[rows])
+        tree, place = _grow_in_task(columns, rows, g, hess, _columns(b.shape[1], p, model, number), bins, p)
         trees.append(tree)
-        margin += _values(tree, b)
+        margin[rows] += tree[2][place]
+        margin[others] += _values(tree, b[others])
     return trees
 
 
@@ -307,10 +357,12 @@ def _fit_in_tasks(table: DataFrame, numbers: Sequence[int], n: int, bins: int, p
         for t in trees:
             margin += _values(t, b[held])
         packed = [b"".join(x.tobytes() for x in t) for t in trees]
-        keys = rows.column("key").take(pa.array(held)).to_pylist()
-        return pa.table({"model": pa.array([model] * (len(trees) + held.size), pa.int32()), "number": pa.array([*range(len(trees)), *[None] * held.size], pa.int32()),
-                         "tree": pa.array(packed + [None] * held.size, pa.binary()), "key": pa.array([None] * len(trees) + keys, pa.string()),
-                         "margin": pa.array([None] * len(trees) + margin.tolist(), pa.float64())})
+        scored = rows.column("key").filter(pa.array(~trains))
+        names = ["model", "number", "tree", "key", "margin"]
+        grown = pa.table([pa.array([model] * len(trees), pa.int32()), pa.array(range(len(trees)), pa.int32()), pa.array(packed, pa.binary()),
+                          pa.nulls(len(trees), pa.string()), pa.nulls(len(trees), pa.float64())], names=names)
+        return pa.concat_tables([grown, pa.table([pa.array(np.full(held.size, model, dtype=np.int32)), pa.nulls(held.size, pa.int32()),
+                                                  pa.nulls(held.size, pa.binary()), scored.cast(pa.string()), pa.array(margin)], names=names)])
 
     each = table.withColumn("model", F.explode(F.array(*[F.lit(m) for m in numbers]))).where(
         (F.expr("shiftright(models, model) & 1") == 1) | (F.col("fold") == F.col("model")))
@@ -337,7 +389,7 @@ def _fit_by_level(table: DataFrame, numbers: Sequence[int], n: int, bins: int, p
 
     def margins_of(batch, since) -> np.ndarray:
         out = np.stack([np.array(batch.column("margins").to_pylist(), dtype=np.float64).reshape(-1, len(numbers))[:, j] for j in range(len(numbers))], 1)
-        b = np.frombuffer(b"".join(batch.column("bins").to_pylist()), dtype=np.uint8).reshape(-1, n)
+        b = _bytes(batch.column("bins"), n)
         for j, m in enumerate(numbers):
             for t in since[m]:
                 out[:, j] += _values(t, b)
@@ -441,7 +493,7 @@ def fit_all(matrix: DataFrame, features: Sequence[str], label: str = "is_fraud_l
     feats = list(features)
     data = _filled(matrix, feats, key, label)
     folds = stratified_folds(data.select(key, label), label, key, k)
-    data = materialize(data.join(folds.select(key, "fold"), key, "inner"), "cv_data")
+    data = materialize(data.join(growing(folds.select(key, "fold")), key, "inner"), "cv_data")
     models, held = _train(data, feats, label, key, ([0] if refit else []) + list(range(1, k + 1)), params or BoostParams(), None, synthetic)
     return held.select(F.col("key").alias(key), "fold", (1.0 / (1.0 + F.exp(-F.col("margin")))).alias("fraud_score_xgb")), models.get(0)
 

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,6 +124,40 @@ def test_boosting_equals_a_plain_tree():
     assert np.allclose(value[1:3], [-0.05 * g[m].sum() / (h[m].sum() + 1) for m in (left, ~left)], atol=1e-6)
 
 
+def test_boosting_sums_only_the_smaller_children(monkeypatch):
+    """A level of a tree reads at most half of the rows; the trees are those of sums over all rows."""
+    rng = np.random.default_rng(8)
+    b = rng.integers(0, 40, (3000, 6)).astype(np.uint8)
+    y = (rng.random(3000) < b[:, 0] / 40).astype(float)
+    weight, h, p = np.where(y == 1, 3.0, 1.0), np.arange(3000), B.BoostParams(n_trees=3, max_depth=4, subsample=0.7)
+    read, real = [], B._sums_of
+    monkeypatch.setattr(B, "_sums_of", lambda columns, rows, *rest: read.append(len(rows) * len(columns)) or real(columns, rows, *rest))
+    trees = B._train_in_task(b, y, weight, h, 1, 40, p)
+    drawn = [int((B._draw(h, p.seed, 1, k, 1) < p.subsample).sum()) for k in range(3)]
+    used = max(1, int(p.feature_subset * 6))
+    assert sum(drawn) * used <= sum(read) <= sum(drawn) * used * (1 + (p.max_depth - 1) / 2)
+
+    margin, want = np.zeros(3000), []
+    for k in range(3):
+        g, hess = B._derivatives(margin, y, weight)
+        rows = np.flatnonzero(B._draw(h, p.seed, 1, k, 1) < p.subsample)
+        tree, nodes = B._empty(p.max_depth), [0]
+        while nodes:
+            sums = B._histograms(b[rows], g[rows], hess[rows], B._places(tree, b[rows]), np.array(nodes), 40)
+            nodes = B._grow(tree, nodes, B._cuts(sums), B._columns(6, p, 1, k), p)
+        want.append(tree)
+        margin += B._values(tree, b)
+    assert all((x == y).all() for s, t in zip(trees, want) for x, y in zip(s, t))
+
+
+def test_a_million_rows_take_one_job(spark, monkeypatch):
+    """Only above millions of rows a model is there a job a level, thousands of them."""
+    assert B.BoostParams().rows_in_task >= 1_000_000
+    col = pa.chunked_array([pa.array([b"\1\2", b"\3\4", b"\5\6"], pa.binary()).slice(1), pa.array([b"\7\0"], pa.binary())])
+    assert B._bytes(col, 2).tolist() == [[3, 4], [5, 6], [7, 0]]
+    assert B._bytes(pa.chunked_array([], pa.binary()), 2).shape == (0, 2)
+
+
 def test_boosting_edges(spark):
     schema = "npi string, a double, b double, is_fraud_label int"
     none = spark.createDataFrame([], schema)
