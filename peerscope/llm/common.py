@@ -80,6 +80,7 @@ def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()        # what a grouped function has left behind in this worker
         yield from chunks(batches)
         release_memory()
 

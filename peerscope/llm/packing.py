@@ -37,7 +37,7 @@ from peerscope.session import materialize
 
 SIZE = 1024
 END_ID = 2
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 CACHE_BITS = 22
 FIT_ROUNDS = 150
 SHARES = (1.0, 0.9, 0.75, 0.5, 0.25)

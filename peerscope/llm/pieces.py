@@ -18,6 +18,7 @@ from peerscope.llm.common import mix64
 
 LETTER, DIGIT, SPACE, OTHER = 1, 2, 3, 4
 SEGMENT_CHARS = 1 << 20
+START_BITS = 14
 _LONG = 4096
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _TABLE: list[np.ndarray] = []
@@ -115,10 +116,12 @@ class Pretokens:
 
 
 class WordTable:
-    """Hash to number (not negative), open addressing in numpy; emptied when half full."""
+    """Hash to number (not negative), open addressing in numpy; full with half as many words as ``2 ** bits``.  The table
+    starts with ``START_BITS`` and doubles as words come, so that a task holds what its own words need."""
 
     def __init__(self, bits: int):
-        self.bits = bits
+        self.most = 1 << (bits - 1)
+        self.bits = min(bits, START_BITS)
         self.clear()
 
     def clear(self) -> None:
@@ -127,7 +130,7 @@ class WordTable:
         self.size = 0
 
     def full(self) -> bool:
-        return self.size > 1 << (self.bits - 1)
+        return self.size > self.most
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Number of each hash, -1 where there is none."""
@@ -145,8 +148,8 @@ class WordTable:
         return out
 
     def add(self, h: np.ndarray, values: np.ndarray) -> None:
-        """Distinct hashes that are not in the table; it grows where a chunk has very many."""
-        while self.size + h.size > 3 << (self.bits - 2):
+        """Distinct hashes that are not in the table."""
+        while self.size + h.size > 1 << (self.bits - 1):
             keys, held = self.keys, self.values
             self.bits += 1
             self.clear()

@@ -65,6 +65,19 @@ def test_word_table():
     assert (t.find(keys + np.uint64(1)) >= 0).sum() == sum(int(k) + 1 in truth for k in keys.tolist())
 
 
+def test_word_table_holds_what_its_words_need():
+    """The table of a task starts small; it is full at half of what its bits allow."""
+    t = WordTable(22)
+    assert t.keys.nbytes + t.values.nbytes < 1 << 20
+    h = np.random.default_rng(1).integers(1, 1 << 63, 100_000).astype(np.uint64)
+    h = np.unique(h)
+    t.add(h, np.arange(h.size, dtype=np.int32))
+    assert (t.find(h) == np.arange(h.size)).all() and not t.full() and t.keys.size <= 1 << 18
+    small = WordTable(6)
+    small.add(h[:40], np.arange(40, dtype=np.int32))
+    assert small.full()
+
+
 def test_counts_on_spark(spark, docs, edge_docs, edge_rows, no_docs, lib):
     want = sorted((str(i), len((t or "").encode()), len(lib.encode(t or "", add_special_tokens=False).ids)) for i, t, *_ in edge_rows)
     got = TC.token_counts(edge_docs, PATH).collect()
