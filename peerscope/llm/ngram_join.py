@@ -20,6 +20,9 @@ dimensions), nor could it be split over tasks, so the points are first cut into
    id of its component, and one edge for each other id; so a key of very many documents is one pair a flush, and two texts that
    share many keys are one edge.  Pairs travel as packed arrays, a row per bucket of the key space; a task joins its
    buckets (of bounded size) by key, one after the other, and sends only edges that connect what it has not connected yet.
+   Texts that share most of their keys meet in every task, and each would send their edge; so this is done twice, first with the
+   ``FIRST_KEYS`` keys of least hash of each set (at most so many edges a text, whatever the number of tasks), then with all
+   keys and the components found first in place of the ids: what is left to send shares few keys.
 3. *Blocks* are the connected components of these edges.  Linked sets share a key, so they share a block; a text that
    shares no key is done.  Equal sets are then one member (128-bit digest).
 4. *R-tree on points.*  The blocks' points (no texts) go through the R-tree; components of the pairs whose bound reaches the
@@ -58,6 +61,7 @@ TILE_ROWS = 1024
 TILE_SIZE = 1_000_000
 BUCKET_HASHES = 500_000
 FLUSH_KEYS = 400_000
+FIRST_KEYS = 8
 STATE_IDS = 1_000_000
 SAMPLE_DOCS = 20_000
 COMMON = 3
@@ -315,15 +319,20 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(np.bitwise_xor.reduce(mix64(s))), int(mix64(s * _A).sum(dtype=np.uint64))
 
 
-def _sizes_table(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, the set's 128-bit digest and its point."""
+def _sizes_table(docs: DataFrame, n: int, threshold: float) -> DataFrame:
+    """doc_id, n_shingles, the set's 128-bit digest, its point and the keys it keeps (8 bytes each)."""
+    classes = Classes(threshold)
+    common = docs.sparkSession.sparkContext.broadcast(_common_keys(docs, n, threshold))
+
     def step(chunk: pa.RecordBatch) -> dict:
         sets = [ngram_set(t, n) for t in byte_texts(chunk)]
-        digests = np.array([_digest(s) for s in sets], dtype=np.uint64).reshape(-1, 2).view(np.int64)
+        own = [_digest(s) for s in sets]
+        digests = np.array(own, dtype=np.uint64).reshape(-1, 2).view(np.int64)
+        keys = {d: classes.keys(s, common.value).tobytes() for d, s in dict(zip(own, sets)).items()}
         return {"doc_id": chunk.column("doc_id"), "n_shingles": [s.size for s in sets], "d1": digests[:, 0], "d2": digests[:, 1],
-                "point": [count_vector(s).astype("<i4").tobytes() for s in sets]}
+                "point": [count_vector(s).astype("<i4").tobytes() for s in sets], "keys": [keys[d] for d in own]}
 
-    return map_text(docs, step, "doc_id long, n_shingles long, d1 long, d2 long, point binary")
+    return map_text(docs, step, "doc_id long, n_shingles long, d1 long, d2 long, point binary, keys binary")
 
 
 def _common_keys(docs: DataFrame, n: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -400,11 +409,9 @@ class _Roots:
         return new
 
 
-def _candidate_edges(docs: DataFrame, n: int, threshold: float, total: int) -> DataFrame:
-    """Edges (a, b) whose components hold every link.  ``total``: hashes of all documents."""
-    classes = Classes(threshold)
-    common = docs.sparkSession.sparkContext.broadcast(_common_keys(docs, n, threshold))
-    buckets = max(1, -(-total // BUCKET_HASHES))
+def _key_edges(sets: DataFrame, buckets: int, first: int | None = None) -> DataFrame:
+    """Edges (a, b) that connect the ids of ``sets`` (doc_id, d1, d2, keys) with a key in common.  ``first``: of the keys of each set
+    only so many, those of least hash."""
     keep = np.uint64((1 << 40) - 1)
 
     def flush(keys: list, ids: list) -> Iterator[pa.RecordBatch]:
@@ -425,18 +432,19 @@ def _candidate_edges(docs: DataFrame, n: int, threshold: float, total: int) -> D
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, ids, held = [], [], 0
-        for chunk in text_chunks(batches):
-            sets: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
-            for doc, t in zip(chunk.column("doc_id").to_pylist(), byte_texts(chunk)):
-                if doc is None:
+        for chunk in text_chunks(batches, "keys", 8 * FLUSH_KEYS):
+            equal: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
+            for doc, d1, d2, blob in zip(*(chunk.column(c).to_pylist() for c in ("doc_id", "d1", "d2", "keys"))):
+                seen = equal.get((d1, d2))
+                if seen is None:
+                    k = np.frombuffer(blob, dtype=np.uint64)
+                    if first and k.size > first:
+                        k = k[np.argsort(mix64(k), kind="stable")[:first]]
+                    equal[d1, d2] = doc, k
+                elif seen[0] == doc:
                     continue
-                s = ngram_set(t, n)
-                d = _digest(s)
-                if s.size >= classes.first:     # smaller sets link with equal ones only
-                    old = sets.get(d)
-                    sets[d] = (doc if old is None else min(doc, old[0]), s)
-            for doc, s in sets.values():
-                k = classes.keys(s, common.value)
+                else:                   # one key ties a copy to the set that has sent them all
+                    k = seen[1][:1]
                 keys.append(k)
                 ids.append(np.full(k.size, doc, dtype=np.int64))
                 held += k.size
@@ -481,10 +489,23 @@ def _candidate_edges(docs: DataFrame, n: int, threshold: float, total: int) -> D
         del known, rows
         release_memory()
 
-    packed = docs.mapInArrow(send, "bucket long, edges boolean, blob binary")
+    packed = sets.mapInArrow(send, "bucket long, edges boolean, blob binary")
     return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(join, "a long, b long")
 
 
+def _candidate_edges(table: DataFrame) -> DataFrame:
+    """Edges (a, b) whose components hold every link between the sets of ``table``."""
+    # sets below the first class have no keys: they link with equal ones only
+    sets = table.where(F.col("doc_id").isNotNull() & (F.length("keys") > 0))
+    rows, total = sets.agg(F.count(F.lit(1)), F.sum("n_shingles")).first()
+    own = sets.select("doc_id", "d1", "d2", "keys")
+    few, all_ = (max(1, -(-x // BUCKET_HASHES)) for x in (FIRST_KEYS * rows, total or 0))
+    found = materialize(components(_key_edges(own, few, FIRST_KEYS)), "first_blocks")
+    named = own.join(within(found.withColumnRenamed("node", "doc_id")), "doc_id", "left")
+    rest = _key_edges(named.select(F.coalesce("component", "doc_id").alias("doc_id"), "d1", "d2", "keys"), all_)
+    return rest.unionAll(found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
+
+
 def _tiles(blocks: DataFrame, threshold: float, rows: int, hashes: int | None = None) -> DataFrame:
     """The columns of ``blocks`` and (i, j, side): the tiles each member takes part in.
 
@@ -550,11 +571,10 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """One row per row of ``docs``: doc_id (long), n_shingles and component_id, the smallest id reachable by links."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    table = materialize(_sizes_table(rows, n), "ngram_sets")
-    total = table.agg(F.sum("n_shingles")).first()[0] or 0
+    table = materialize(_sizes_table(rows, n, threshold), "ngram_sets")
     real = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     reps = table.where(real).groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    block_of = materialize(components(_candidate_edges(rows, n, threshold, total)), "blocks")
+    block_of = materialize(components(_candidate_edges(table)), "blocks")
     # the distinct sets in blocks, with their points
     nodes = block_of.select(F.col("node").alias("doc_id"), F.col("component").alias("block"))
     sets = table.where(real).join(within(nodes), "doc_id").groupBy("d1", "d2").agg(

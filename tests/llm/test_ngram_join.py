@@ -186,3 +186,25 @@ def test_edges_of_a_flush_and_of_a_task_are_forests(seed, monkeypatch):
 def test_no_forest_of_nothing():
     none = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros((0, 2), dtype=np.int64)
     assert all(not len(x) for x in J._forest(*none)) and not len(J._Roots().add(*none))
+
+
+def test_edges_do_not_grow_with_the_tasks(spark, monkeypatch):
+    """Texts that share most of their keys meet in every task, but not every task sends their edges."""
+    monkeypatch.setattr(J, "BUCKET_HASHES", 200)
+    sent, real = [], J.components
+    monkeypatch.setattr(J, "components", lambda edges: sent.append(edges.count()) or real(edges))
+    rows = []
+    for g in range(20):
+        base = words(200, 1000 * g).split()
+        rows += [(100 * g + k, " ".join([*base[:9 * k], f"x{g}y{k}", *base[9 * k + 1:]])) for k in range(8)]
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = {r.doc_id: r.component_id for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert got == {d: d // 100 * 100 for d, _ in rows}
+    assert sum(sent) < 10 * len(rows) and max(sent) <= J.FIRST_KEYS * len(rows)
