@@ -20,6 +20,7 @@ depend on neither cores nor partitions, and the two ways to train give the same
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -48,6 +49,7 @@ MAX_BINS = 256
 
 ROWS_IN_TASK = 5_000_000   # about 1 GB in a task
 BIN_SAMPLE = 100_000
+JOINT_BINS = 1 << 16
 STORE_EVERY = 10
 UNIT = float(1 << 20)
 VERSION = 1
@@ -285,13 +287,42 @@ def _arrays(table: pa.Table | pa.RecordBatch, n: int) -> tuple[np.ndarray, ...]:
 
 # -- all rounds of a model in a task --------------------------------------------------------------------------------------------
 
-def _sums_of(columns: np.ndarray, rows: np.ndarray, g: np.ndarray, h: np.ndarray, bins: int) -> np.ndarray:
-    """[feature, bin, (g, h)] sums over ``rows`` of the transposed bins; ``g`` and ``h`` are those of the rows."""
-    out = np.empty((len(columns), bins, 2))
-    for j, column in enumerate(columns):
-        own = column.take(rows).astype(np.int64)
-        out[j, :, 0] = np.bincount(own, weights=g, minlength=bins)
-        out[j, :, 1] = np.bincount(own, weights=h, minlength=bins)
+def _packed(sizes: Sequence[int], most: int) -> list[list[int]]:
+    """Features in groups whose numbers of bins multiply to at most ``most`` (or that are alone), the small ones together."""
+    out, held = [], most + 1
+    for j in np.argsort(sizes, kind="stable").tolist():
+        if held * sizes[j] > most:
+            out.append([])
+            held = 1
+        out[-1].append(j)
+        held *= sizes[j]
+    return out
+
+
+def _joint(columns: np.ndarray) -> list[tuple[list[int], list[int], np.ndarray]]:
+    """The columns in groups: (columns, their numbers of bins, joint bin of each row)."""
+    sizes, out = (columns.max(1, initial=0).astype(int) + 1).tolist(), []
+    for group in _packed(sizes, JOINT_BINS):
+        index = columns[group[0]].astype(np.uint16)
+        for j in group[1:]:
+            index *= np.uint16(sizes[j])
+            index += columns[j]
+        out.append((group, [sizes[j] for j in group], index))
+    return out
+
+
+def _sums_of(columns: np.ndarray, rows: np.ndarray, g: np.ndarray, h: np.ndarray, bins: int, joint: Sequence[tuple] = ()) -> np.ndarray:
+    """[feature, bin, (g, h)] sums over ``rows`` of the transposed bins; ``g`` and ``h`` are those of the rows.  Of many rows the features of a
+    ``joint`` group are summed at once over their joint bins, of which each one's sums are the margins: whole numbers, so the same to the last bit."""
+    out = np.zeros((len(columns), bins, 2))
+    for group, shape, index in joint or [([j], [bins], None) for j in range(len(columns))]:
+        many = len(group) > 1 and math.prod(shape) <= 4 * rows.size
+        for own, sizes, column in [(group, shape, index)] if many else [([j], [bins], columns[j]) for j in group]:
+            at = column.take(rows).astype(np.int64)
+            for k, weights in enumerate((g, h)):
+                sums = np.bincount(at, weights=weights, minlength=math.prod(sizes)).reshape(sizes)
+                for i, j in enumerate(own):
+                    out[j, :sizes[i], k] = sums.sum(tuple(x for x in range(len(own)) if x != i)) if many else sums
     return out
 
 
@@ -308,8 +339,10 @@ def _grow_in_task(columns: np.ndarray, rows: np.ndarray, g: np.ndarray, h: np.nd
     """A tree on ``rows`` (with derivatives ``g``, ``h``), and the node in which each of them ends.  A level reads only the rows of the smaller
     child of each cut node and the features the tree may use: the sums are exact, so the sibling's are the parent's less these."""
     tree, used, nodes = _empty(p.max_depth), np.flatnonzero(allowed), [0]
-    some = columns[used]
-    held, sums = {0: np.arange(rows.size)}, {0: _sums_of(some, rows, g, h, bins)}       # node: places in ``rows``, sums
+    some = np.stack([columns[f].take(rows) for f in used])
+    joint, where = _joint(some), {int(f): j for j, f in enumerate(used)}
+    held = {0: np.arange(rows.size)}                                    # node: places in ``rows``
+    sums = {0: _sums_of(some, held[0], g, h, bins, joint)}
     place = np.zeros(rows.size, dtype=np.int64)
     while nodes:
         after = _grow(tree, nodes, _spread(_cuts(np.stack([sums[k] for k in nodes])), used, len(columns)), allowed, p)
@@ -319,13 +352,13 @@ def _grow_in_task(columns: np.ndarray, rows: np.ndarray, g: np.ndarray, h: np.nd
             f = int(tree[0][node])
             if f < 0:
                 continue
-            right = columns[f].take(rows.take(mine)) > tree[1][node]
+            right = some[where[f]].take(mine) > tree[1][node]
             place[mine] = 2 * node + 1 + right
             if open_ := [c for c in (2 * node + 1, 2 * node + 2) if c in after]:
                 sides = {2 * node + 1: mine.take(np.flatnonzero(~right)), 2 * node + 2: mine.take(np.flatnonzero(right))}
                 small = min(sides, key=lambda c: sides[c].size)
                 own = sides[small]
-                part = _sums_of(some, rows.take(own), g.take(own), h.take(own), bins)
+                part = _sums_of(some, own, g.take(own), h.take(own), bins, joint)
                 below |= {c: part if c == small else total - part for c in open_}
                 held |= {c: sides[c] for c in open_}
         nodes, sums = after, below
