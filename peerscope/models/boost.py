@@ -340,7 +340,8 @@ def _grow_in_task(columns: np.ndarray, rows: np.ndarray, g: np.ndarray, h: np.nd
     child of each cut node and the features the tree may use: the sums are exact, so the sibling's are the parent's less these."""
     tree, used, nodes = _empty(p.max_depth), np.flatnonzero(allowed), [0]
     some = np.stack([columns[f].take(rows) for f in used])
-    joint, where = _joint(some), {int(f): j for j, f in enumerate(used)}
+    joint = _joint(some) if rows.size >= JOINT_BINS else ()             # few rows would fill few of the joint bins
+    where = {int(f): j for j, f in enumerate(used)}
     held = {0: np.arange(rows.size)}                                    # node: places in ``rows``
     sums = {0: _sums_of(some, held[0], g, h, bins, joint)}
     place = np.zeros(rows.size, dtype=np.int64)

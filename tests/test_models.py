@@ -150,6 +150,25 @@ def test_boosting_sums_only_the_smaller_children(monkeypatch):
     assert all((x == y).all() for s, t in zip(trees, want) for x, y in zip(s, t))
 
 
+def test_features_are_summed_over_joint_bins(monkeypatch):
+    """Several features in one pass over the rows; the trees are those of one feature at a time."""
+    rng = np.random.default_rng(9)
+    b = np.stack([rng.integers(0, n, 3000) for n in (2, 2, 2, 3, 5, 16, 16, 16)], 1).astype(np.uint8)
+    y = (rng.random(3000) < b[:, 5] / 16).astype(float)
+    p, calls, real = B.BoostParams(n_trees=3, max_depth=4), [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **kw: calls.append(1) or real(*a, **kw))
+    trees = {}
+    for most in (1 << 16, 256):
+        monkeypatch.setattr(B, "JOINT_BINS", most)
+        trees[most], n = B._train_in_task(b, y, np.ones(3000), np.arange(3000), 1, 16, p), len(calls)
+        calls.clear()
+        if most == 256:
+            assert n < before / 2
+        before = n
+    assert all((x == y).all() for s, t in zip(*trees.values()) for x, y in zip(s, t))
+    assert B._packed([256, 2, 256, 3], 1 << 16) == [[1, 3, 0], [2]]
+
+
 def test_a_million_rows_take_one_job(spark, monkeypatch):
     """Only above millions of rows a model is there a job a level, thousands of them."""
     assert B.BoostParams().rows_in_task >= 1_000_000
