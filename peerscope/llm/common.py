@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,22 @@ def release_memory() -> None:
         pass
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """Texts that are written inside go to Python at most ``rows`` at a time: a batch is held whole by the executor's JVM and by
+    the worker, and 10,000 texts (Spark's default) are more than all a chunk needs.  A smaller setting of the session stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_chunks(batches: Iterable[pa.RecordBatch], column: str = "text",
                 max_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the incoming batches with at most ``max_bytes`` of ``column`` each (a longer

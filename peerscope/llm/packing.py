@@ -23,7 +23,6 @@ from __future__ import annotations
 import os
 import zlib
 from collections import defaultdict
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import map_text
+from peerscope.llm.common import map_text, release_memory, small_batches
 from peerscope.llm.pieces import Pretokens, WordTable, class_table, segments
 from peerscope.session import materialize
 
@@ -39,6 +38,7 @@ SIZE = 1024
 END_ID = 2
 CHUNK_BYTES = 1 << 19
 CACHE_BITS = 22
+WORDS_AT_ONCE = 4096        # the library's result for a word takes about 1 kB until its ids are read
 FIT_ROUNDS = 150
 SHARES = (1.0, 0.9, 0.75, 0.5, 0.25)
 
@@ -86,14 +86,17 @@ class Encoder:
                 number = np.full(cut.hashes.size, -1, dtype=np.int32)
                 missing = np.arange(cut.hashes.size)
             new, first, which = np.unique(cut.hashes[missing], return_index=True, return_inverse=True)
-            got = [e.ids for e in self.lib.encode_batch_fast([cut.word(k) for k in missing[first].tolist()], add_special_tokens=False)]
+            got = []
+            for k in range(0, new.size, WORDS_AT_ONCE):
+                some = [cut.word(w) for w in missing[first[k:k + WORDS_AT_ONCE]].tolist()]
+                got += [np.array(e.ids, dtype="<u4") for e in self.lib.encode_batch_fast(some, add_special_tokens=False)]
             fresh = np.arange(new.size, dtype=np.int32) + self.lens.size
             self.words.add(new, fresh)
             number[missing] = fresh[which]
             lens = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
             self.begin = np.append(self.begin, self.store.size + np.cumsum(lens) - lens)
             self.lens = np.append(self.lens, lens)
-            self.store = np.append(self.store, np.fromiter(chain.from_iterable(got), dtype="<u4", count=int(lens.sum())))
+            self.store = np.concatenate([self.store, *got])
         n = self.lens[number]
         ends = np.cumsum(n)
         flat = self.store[np.arange(ends[-1]) + np.repeat(self.begin[number] - (ends - n), n)]
@@ -117,7 +120,9 @@ def token_pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     tail = np.array([end_id], dtype="<u4").tobytes()
 
     def setup():
-        return Encoder(path), np.zeros(size + 1, dtype=np.int64)
+        encoder = Encoder(path)
+        release_memory()        # what reading the vocabulary file took
+        return encoder, np.zeros(size + 1, dtype=np.int64)
 
     def step(chunk: pa.RecordBatch, state) -> dict:
         encoder, seen = state
@@ -288,7 +293,8 @@ def place(pieces: DataFrame, size: int = SIZE) -> DataFrame:
 def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", size: int = SIZE,
          end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
     """One row per piece with its place: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = materialize(token_pieces(docs, path, doc_id, text, size, end_id, keep_ids), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = materialize(token_pieces(docs, path, doc_id, text, size, end_id, keep_ids), "pieces")
     placed = place(pieces, size)
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset",
                          *["ids"] * keep_ids)

@@ -65,6 +65,32 @@ def test_word_table():
     assert (t.find(keys + np.uint64(1)) >= 0).sum() == sum(int(k) + 1 in truth for k in keys.tolist())
 
 
+def test_packing_meets_texts_and_words_in_small_lots(spark, lib, monkeypatch):
+    """A packing task gets few texts at a time and hands the library few words at a time; the session's setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, inside, real = spark.conf.get(name), [], K.materialize
+    monkeypatch.setattr(K, "materialize", lambda df, *a: inside.append(int(df.sparkSession.conf.get(name))) or real(df, *a))
+    docs = spark.createDataFrame([(i, f"word{i} and word{i + 1}") for i in range(1200)], "doc_id long, text string")
+    assert K.pack(docs, PATH).count() == 1200 and inside == [500] and spark.conf.get(name) == before
+    with K.small_batches(spark, 1 << 20):
+        assert spark.conf.get(name) == before
+
+    encoder, most = K.Encoder(PATH), []
+    own = encoder.lib
+
+    class Counted:
+        def encode_batch_fast(self, words, **kw):
+            most.append(len(words))
+            return own.encode_batch_fast(words, **kw)
+
+    encoder.lib = Counted()
+    monkeypatch.setattr(K, "WORDS_AT_ONCE", 5)
+    texts = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(30)]
+    got = encoder.encode(texts, class_table())
+    assert len(most) > 3 and max(most) <= 5
+    assert [x.tolist() for x in got] == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_word_table_holds_what_its_words_need():
     """The table of a task starts small; it is full at half of what its bits allow."""
     t = WordTable(22)
