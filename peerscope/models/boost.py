@@ -122,8 +122,16 @@ def _columns(n: int, p: BoostParams, model: int, number: int) -> np.ndarray:
 
 
 def _derivatives(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    prob = 1.0 / (1.0 + np.exp(-margin))
-    return np.rint(UNIT * weight * (prob - label)), np.rint(UNIT * weight * prob * (1.0 - prob))
+    """``rint(UNIT weight (p - label))`` and ``rint(UNIT weight p (1 - p))``, in few arrays."""
+    prob = np.negative(margin)
+    np.exp(prob, out=prob)
+    prob += 1.0
+    np.divide(1.0, prob, out=prob)
+    g, h = prob - label, UNIT * weight
+    g *= h
+    h *= prob
+    h *= np.subtract(1.0, prob, out=prob)
+    return np.rint(g, out=g), np.rint(h, out=h)
 
 
 def _empty(depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -216,7 +224,13 @@ def _filled(matrix: DataFrame, feats: Sequence[str], *others: str) -> DataFrame:
 
 def bin_edges(matrix: DataFrame, feats: Sequence[str], key: str, max_bins: int) -> list[np.ndarray]:
     """Upper edges of all bins but the last, from the ``BIN_SAMPLE`` rows whose key has the least hash."""
-    sample = _filled(matrix, feats, key).orderBy(stable_hash(F.col(key)), key).limit(BIN_SAMPLE).select(*feats).toArrow()
+    rows = _filled(matrix, feats, key)
+    n = rows.count()
+    if n > BIN_SAMPLE:      # the rows are sorted in one task, so those whose hash is too large do not go there
+        h = stable_hash(F.col(key))
+        some = rows.where(h.isNull() | (h < F.lit(int(1.1 * (1 << 32) * BIN_SAMPLE / n))))
+        rows = some if some.count() >= BIN_SAMPLE else rows
+    sample = rows.orderBy(stable_hash(F.col(key)), key).limit(BIN_SAMPLE).select(*feats).toArrow()
     out = []
     for c in feats:
         x = np.sort(sample.column(c).to_numpy())
@@ -318,7 +332,7 @@ def _sums_of(columns: np.ndarray, rows: np.ndarray, g: np.ndarray, h: np.ndarray
     for group, shape, index in joint or [([j], [bins], None) for j in range(len(columns))]:
         many = len(group) > 1 and math.prod(shape) <= 4 * rows.size
         for own, sizes, column in [(group, shape, index)] if many else [([j], [bins], columns[j]) for j in group]:
-            at = column.take(rows).astype(np.int64)
+            at = (column if rows.size == column.size else column.take(rows)).astype(np.int64)       # as many as all: all, in order
             for k, weights in enumerate((g, h)):
                 sums = np.bincount(at, weights=weights, minlength=math.prod(sizes)).reshape(sizes)
                 for i, j in enumerate(own):
@@ -352,11 +366,17 @@ def _grow_in_task(columns: np.ndarray, rows: np.ndarray, g: np.ndarray, h: np.nd
             mine, total = held.pop(node), sums.pop(node)
             f = int(tree[0][node])
             if f < 0:
+                place[mine] = node
                 continue
-            right = some[where[f]].take(mine) > tree[1][node]
-            place[mine] = 2 * node + 1 + right
-            if open_ := [c for c in (2 * node + 1, 2 * node + 2) if c in after]:
+            column = some[where[f]]
+            right = (column if mine.size == column.size else column.take(mine)) > tree[1][node]
+            open_ = [c for c in (2 * node + 1, 2 * node + 2) if c in after]
+            if not open_:
+                place[mine] = 2 * node + 1 + right
+            else:
                 sides = {2 * node + 1: mine.take(np.flatnonzero(~right)), 2 * node + 2: mine.take(np.flatnonzero(right))}
+                for c in sides.keys() - after:
+                    place[sides[c]] = c
                 small = min(sides, key=lambda c: sides[c].size)
                 own = sides[small]
                 part = _sums_of(some, own, g.take(own), h.take(own), bins, joint)
@@ -366,17 +386,32 @@ def _grow_in_task(columns: np.ndarray, rows: np.ndarray, g: np.ndarray, h: np.nd
     return tree, place
 
 
+def _ends_of(tree, columns: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The node in which each of ``rows`` ends, as ``_places`` has it: each node reads the one column it cuts."""
+    feature, cut, _ = tree
+    place, held = np.zeros(rows.size, dtype=np.int64), [(0, np.arange(rows.size))]
+    while held:
+        node, mine = held.pop()
+        f = int(feature[node])
+        if f < 0:
+            place[mine] = node
+        elif mine.size:
+            right = columns[f].take(rows.take(mine)) > cut[node]
+            held += [(2 * node + 1, mine.take(np.flatnonzero(~right))), (2 * node + 2, mine.take(np.flatnonzero(right)))]
+    return place
+
+
 def _train_in_task(b: np.ndarray, label: np.ndarray, weight: np.ndarray, h: np.ndarray, model: int, bins: int, p: BoostParams) -> list:
     margin, trees = np.zeros(len(b)), []
     columns = np.ascontiguousarray(b.T)
     for number in range(p.n_trees):
         drawn = _draw(h, p.seed, model, number, 1) < p.subsample
         rows, others = np.flatnonzero(drawn), np.flatnonzero(~drawn)
-        g, hess = _derivatives(margin[rows], label[rows], weight[rows])
+        g, hess = _derivatives(margin.take(rows), label.take(rows), weight.take(rows))
         tree, place = _grow_in_task(columns, rows, g, hess, _columns(b.shape[1], p, model, number), bins, p)
         trees.append(tree)
-        margin[rows] += tree[2][place]
-        margin[others] += _values(tree, b[others])
+        margin[rows] += tree[2].take(place)
+        margin[others] += tree[2].take(_ends_of(tree, columns, others))
     return trees
 
 

@@ -169,6 +169,45 @@ def test_features_are_summed_over_joint_bins(monkeypatch):
     assert B._packed([256, 2, 256, 3], 1 << 16) == [[1, 3, 0], [2]]
 
 
+def test_rows_that_were_not_drawn_are_led_by_columns(monkeypatch):
+    """Only the columns that a node cuts are read for the rows a tree has not drawn; no matrix of those rows is made."""
+    rng = np.random.default_rng(4)
+    b = rng.integers(0, 16, (4000, 6)).astype(np.uint8)
+    y = (rng.random(4000) < (b[:, 1] * b[:, 4]) / 225).astype(float)
+    p = B.BoostParams(n_trees=4, max_depth=4)
+    by_rows = B._places
+    monkeypatch.setattr(B, "_places", None)
+    trees = B._train_in_task(b, y, np.ones(4000), np.arange(4000), 1, 16, p)
+    columns, rows = np.ascontiguousarray(b.T), np.sort(rng.choice(4000, 700, replace=False))
+    assert all((B._ends_of(t, columns, rows) == by_rows(t, b[rows])).all() for t in trees) and any((t[0] >= 0).sum() > 4 for t in trees)
+    assert B._ends_of(trees[0], columns, rows[:0]).size == 0
+
+
+def test_derivatives_to_the_last_bit():
+    rng = np.random.default_rng(8)
+    m, y, w = rng.normal(0, 4, 5000), rng.integers(0, 2, 5000).astype(float), np.where(rng.random(5000) < 0.5, 1.0, 1.2507)
+    m[:3] = 0.0, 800.0, -800.0
+    with np.errstate(over="ignore"):
+        prob = 1.0 / (1.0 + np.exp(-m))
+        want = np.rint(B.UNIT * w * (prob - y)), np.rint(B.UNIT * w * prob * (1.0 - prob))
+        kept = m.copy(), w.copy()
+        got = B._derivatives(m, y, w)
+    assert all((a == b).all() for a, b in zip(got, want)) and (m == kept[0]).all() and (w == kept[1]).all()
+
+
+def test_edges_sort_few_rows_and_take_the_least_hashes(spark, monkeypatch):
+    """Of many rows only those of small hash are sorted in one task; the sample is that of all rows, null and repeated keys included."""
+    monkeypatch.setattr(B, "BIN_SAMPLE", 40)
+    keys = [None, None] + [f"k{i}" for i in range(400)] + ["k1", "k1"]
+    rows = spark.createDataFrame([(k, float(i)) for i, k in enumerate(keys)], "npi string, x double")
+    sorted_rows, real = [], type(rows).orderBy
+    monkeypatch.setattr(type(rows), "orderBy", lambda self, *a, **kw: sorted_rows.append(self.count()) or real(self, *a, **kw))
+    edges = B.bin_edges(rows, ["x"], "npi", 256)[0]
+    own = sorted((int(hashlib.md5(k.encode()).hexdigest()[:8], 16) if k is not None else -1, k or "", float(i)) for i, k in enumerate(keys))
+    x = np.unique([v for _, _, v in own[:40]])
+    assert edges.tolist() == ((x[:-1] + x[1:]) / 2).tolist() and sorted_rows and sorted_rows[0] < 150
+
+
 def test_a_million_rows_take_one_job(spark, monkeypatch):
     """Only above millions of rows a model is there a job a level, thousands of them."""
     assert B.BoostParams().rows_in_task >= 1_000_000
