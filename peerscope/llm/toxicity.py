@@ -52,7 +52,8 @@ ROUNDS = 120
 FOLDS = 4
 THRESHOLD = 0.2
 MIN_DOCS, MIN_CHI = 3, 4      # of a feature that a fit keeps
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 256 << 10      # of texts whose features a task makes at once, about 40 bytes a byte
+FEATURE_BYTES = 1 << 20      # of features that a task counts or cuts at once
 KINDS = 2
 KIND_CHI = 24       # of a feature that makes a kind: chance gives about one such among 2^BITS buckets
 KIND_HITS = 4       # features of a group that make a document one of its kind: a telling word of five letters has so many, with its grams
@@ -207,7 +208,7 @@ def _choose(sample: DataFrame, n_categories: int, min_chi: float = MIN_CHI) -> d
         own |= {f"p{k}_{f}": (fold == f) & (mask.bitwiseAND(F.lit(1 << k)) != 0) for k in range(n_categories) for f in range(FOLDS)}
         return [F.coalesce(F.sum(F.when(c, n)), F.lit(0)).alias(name) for name, c in own.items()]
 
-    found = map_text(sample.select("fold", "mask", "at"), step, "bucket int, code int, n long", column="at", max_bytes=CHUNK_BYTES)
+    found = map_text(sample.select("fold", "mask", "at"), step, "bucket int, code int, n long", column="at", max_bytes=FEATURE_BYTES)
     fold, mask = F.shiftright("code", n_categories), F.col("code").bitwiseAND(F.lit((1 << n_categories) - 1))
     counts = found.groupBy("bucket").agg(*sums(F.col("n"), fold, mask))
     counts = materialize(counts.where(sum(F.col(f"d{f}") for f in range(FOLDS)) >= MIN_DOCS), "toxicity_counts")
@@ -238,7 +239,7 @@ def _kept(sample: DataFrame, kept: np.ndarray) -> tuple[list[np.ndarray], np.nda
         at = [np.frombuffer(x, dtype=np.int32) for x in chunk.column("at").to_pylist()]
         return {c: chunk.column(c) for c in ("doc_id", "mask", "fold")} | {"at": [x[np.isin(x, kept)].tobytes() for x in at]}
 
-    few = map_text(sample, cut, f"doc_id {kind}, mask int, fold int, at binary", column="at", max_bytes=CHUNK_BYTES)
+    few = map_text(sample, cut, f"doc_id {kind}, mask int, fold int, at binary", column="at", max_bytes=FEATURE_BYTES)
     own = sorted(few.collect(), key=lambda r: r["doc_id"])
     return ([np.frombuffer(bytes(r["at"]), dtype=np.int32) for r in own], np.array([r["mask"] for r in own], dtype=np.int64),
             np.array([r["fold"] for r in own], dtype=np.int64))
@@ -296,7 +297,9 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", max_train: in
                 for x, y in zip(at, chunk.column("mask").to_pylist())]
         return {c: chunk.column(c) for c in ("doc_id", "fold", "at")} | {"mask": mask}
 
-    marked = map_text(sample, mark, f"doc_id {kind}, mask int, at binary, fold int", column="at", max_bytes=CHUNK_BYTES)
+    # stored: each step that follows would else be a second Python worker beside this one, in every core, and mark again
+    marked = map_text(sample, mark, f"doc_id {kind}, mask int, at binary, fold int", column="at", max_bytes=FEATURE_BYTES)
+    marked = materialize(marked, "toxicity_marked")
     active = _choose(marked, len(CATEGORIES))
     features, mask, folds = _kept(marked, np.unique(np.concatenate(list(active.values()))))
     targets = mask[:, None] >> np.arange(len(CATEGORIES)) & 1

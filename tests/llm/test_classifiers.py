@@ -200,6 +200,40 @@ def test_toxicity_kinds_come_from_the_labelled_rows(spark):
     assert (model.probabilities(unseen)[:, -1] >= T.THRESHOLD).all()
 
 
+def test_toxicity_runs_one_python_step_a_stage(spark, monkeypatch):
+    """A second worker beside the first, in every core, is memory that the executor keeps."""
+    docs = spark.createDataFrame([(k, f"{'gromble' if k % 2 else 'meadow'} words of text number {k} and more") for k in range(40)], "doc_id long, text string")
+    own, plans = T.map_text, []
+
+    def spy(df, *args, **kw):
+        out = own(df, *args, **kw)
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    monkeypatch.setattr(T, "map_text", spy)
+    chain = T.fit(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic"))
+    T.score(docs, chain)
+    assert len(plans) >= 6 and all(p.count("MapInArrow") == 1 for p in plans)
+
+
+def test_toxicity_memory_of_a_scoring_step():
+    """Follows the bytes of a chunk, not those of the batch that Spark sends."""
+    import tracemalloc
+
+    import pyarrow as pa
+    from peerscope.llm.common import byte_texts, text_chunks
+    texts = [f"number {'abcdefghij'[k % 10] * (k % 7 + 1)} some words " * 40 for k in range(8000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    one = T.Linear(np.arange(0, 1 << T.BITS, 16), np.linspace(-1, 1, 1 << T.BITS - 4), np.zeros(0), 0.0)
+    chain = T.Chain(T.BITS, ("toxic",), [one])
+    whole = chain.probabilities([t.encode() for t in texts[:2000]])
+    tracemalloc.start()
+    got = np.concatenate([chain.probabilities(byte_texts(c)) for c in text_chunks([batch], "text", T.CHUNK_BYTES)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(got[:2000], whole) and np.ptp(got) > 0.01 and peak < 25e6
+
+
 def test_toxicity_groups_by_hand():
     telling = np.array([3, 5, 8, 9, 12])
     features = [np.array(f, dtype=np.int32) for f in ([3, 5], [3, 5], [3, 5], [8, 9], [8, 9], [12], [12, 3], [])]
