@@ -199,34 +199,35 @@ SCHEMA = "n_words long, hits array<struct<start:int,stop:int>>, items array<long
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str, max_words: int):
-    """Lists of (id, words) whose size is bounded; one list unless the test set is large."""
+    """Lists of (id, words) whose size is bounded, and whether it is the last; one list unless the test set is large."""
     rows = benchmark.where(F.col(item).isNotNull() & F.col(text).isNotNull()).select(
         F.col(item).cast("long").alias("item"), F.col(text).cast("binary").alias("text"))
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-int(total) // (4 * max_words)))     # about five bytes a word, so a block stays below its bound
     for b in range(n):
         part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item"), F.lit(n)) == b)
-        yield [(r["item"], words_of(bytes(r["text"]))) for r in part.toLocalIterator()]
+        yield [(r["item"], words_of(bytes(r["text"]))) for r in part.toLocalIterator()], b == n - 1
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
          item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
-         max_block_words: int = MAX_BLOCK_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
+         max_block_words: int = MAX_BLOCK_WORDS, carry: tuple[str, ...] = (), cut: bool = False) -> DataFrame:
     """Every row of ``docs`` as (row, text, n_words, hits, items): a struct of doc_id and the columns of ``carry``, merged
-    hit spans in word positions and the sorted ids of the items with an occurring window."""
+    hit spans in word positions and the sorted ids of the items with an occurring window.  ``cut``: the text comes back
+    without the hit spans; one step does both, as a second one would be another Python worker in every core."""
     spark = docs.sparkSession
     own = [F.col(doc_id).alias("doc_id"), *(F.col(c) for c in carry if c not in (doc_id, text))]
     out = docs.select(F.struct(*own).alias("row"), F.col(text).alias("text"))
     kind = out.schema["row"].dataType.simpleString()
     first = True
-    for items in _blocks(benchmark, item_id, item_text, max_block_words):
+    for items, last in _blocks(benchmark, item_id, item_text, max_block_words):
         held = spark.sparkContext.broadcast(SuffixAutomaton(items, window))
         if not first:
             out = materialize(out, "decontaminate")
 
-        def step(chunk: pa.RecordBatch, first=first, held=held) -> dict:
+        def step(chunk: pa.RecordBatch, first=first, held=held, cut=cut and last) -> dict:
             sam = held.value
-            n, hits, found = [], [], []
+            n, hits, found, changed = [], [], [], {}
             before = None if first else list(zip(chunk.column("hits").to_pylist(), chunk.column("items").to_pylist()))
             for k, t in enumerate(byte_texts(chunk)):
                 words = words_of(t)
@@ -237,8 +238,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: st
                 n.append(len(words))
                 hits.append([{"start": a, "stop": b} for a, b in spans])
                 found.append(sorted(items))
-            return {"row": chunk.column("row"), "text": chunk.column("text"), "n_words": n, "hits": hits,
-                    "items": found}
+                if cut and spans:
+                    changed[k] = remove_spans(t, spans).decode()
+            texts = chunk.column("text")
+            if changed:
+                texts = [changed.get(k, t) for k, t in enumerate(texts.to_pylist())]
+            return {"row": chunk.column("row"), "text": texts, "n_words": n, "hits": hits, "items": found}
 
         out = map_text(out, step, f"row {kind}, text string, {SCHEMA}")
         first = False
@@ -261,24 +266,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, max_coverage: float = 0
     """``docs``, all columns, without test passages: hit spans are cut out of the text; a document is dropped when
     hits cover more than ``max_coverage`` of its words or more than ``max_hit_words`` words.  Clean documents come back
     unchanged; a column ``n_chars`` follows the text."""
-    scanned = scan(docs, benchmark, doc_id, text, window=window, carry=tuple(docs.columns))
+    scanned = scan(docs, benchmark, doc_id, text, window=window, carry=tuple(docs.columns), cut=True)
     hit = _n_hit()
     keep = hit <= F.col("n_words") * F.lit(max_coverage)
     if max_hit_words is not None:
         keep = keep & (hit <= max_hit_words)
-    kept = scanned.where(keep | (F.size("hits") == 0))
-    kind = kept.schema["row"].dataType.simpleString()
-
-    def cut(chunk: pa.RecordBatch) -> dict:
-        texts = chunk.column("text").to_pylist()
-        changed = []
-        for k, spans in enumerate(chunk.column("hits").to_pylist()):
-            changed.append(bool(spans))
-            if spans:
-                texts[k] = remove_spans(texts[k].encode(), [(x["start"], x["stop"]) for x in spans]).decode()
-        return {"row": chunk.column("row"), "text": texts, "changed": changed}
-
-    done = map_text(kept.select("row", "text", "hits"), cut, f"row {kind}, text string, changed boolean")
+    changed = F.size("hits") > 0
+    done = scanned.where(keep | ~changed).select("row", "text", changed.alias("changed"))
     cols = []
     for c in docs.columns:
         if c == text:

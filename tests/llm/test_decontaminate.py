@@ -74,3 +74,15 @@ def test_removal_keeps_all_columns(spark, edge_docs, benchmark):
     assert {r.doc_id: (r.text, r.n_chars) for r in got} == {1: ("before " * 30 + " after", 216), 3: ("fine", 4)}
     got = D.decontaminate(spark.createDataFrame(rows, "doc_id long, text string, n_chars long"), benchmark, max_hit_words=5).collect()
     assert [r.doc_id for r in got] == [3]
+
+
+@pytest.mark.parametrize("block", [D.MAX_BLOCK_WORDS, 8])
+def test_passages_are_cut_by_the_step_that_finds_them(spark, benchmark, block):
+    """One Python step: a second worker in every core is memory that the executor keeps."""
+    rows = [(1, "before " * 30 + "one two three four five six seven eight nine ten eleven between short item after"), (2, "fine"), (3, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_words, len(r.hits)) for r in D.scan(docs, benchmark, max_block_words=block, cut=True).select("row.doc_id", "text", "n_words", "hits").collect()}
+    assert got == {1: ("before " * 30 + " between  after", 45, 2), 2: ("fine", 1, 0), 3: (None, 0, 0), 4: ("", 0, 0)}
+    assert {r.doc_id: r.text for r in D.scan(docs, benchmark, max_block_words=block).select("row.doc_id", "text").collect()} == dict(rows)
+    plan = D.decontaminate(docs, benchmark)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
