@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import bounded_sample, byte_texts, map_text, mix64, release_memory, ship_package, text_chunks, within
+from peerscope.llm.common import bounded_sample, byte_texts, map_text, mix64, release_memory, ship_package, small_batches, text_chunks, within
 from peerscope.llm.graph import components
 from peerscope.session import materialize
 
@@ -60,7 +60,7 @@ POINT_ROWS = 4096
 TILE_ROWS = 1024
 TILE_SIZE = 1_000_000
 BUCKET_HASHES = 500_000
-FLUSH_KEYS = 400_000
+FLUSH_KEYS = 600_000
 FIRST_KEYS = 8
 STATE_IDS = 1_000_000
 SAMPLE_DOCS = 20_000
@@ -432,8 +432,8 @@ def _key_edges(sets: DataFrame, buckets: int, first: int | None = None) -> DataF
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, ids, held = [], [], 0
-        for chunk in text_chunks(batches, "keys", 8 * FLUSH_KEYS):
-            equal: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
+        equal: dict[tuple[int, int], tuple[int, np.ndarray]] = {}      # of the sets since the last flush
+        for chunk in text_chunks(batches, "keys", FLUSH_KEYS):         # an eighth of a flush, as a key has 8 bytes
             for doc, d1, d2, blob in zip(*(chunk.column(c).to_pylist() for c in ("doc_id", "d1", "d2", "keys"))):
                 seen = equal.get((d1, d2))
                 if seen is None:
@@ -450,10 +450,10 @@ def _key_edges(sets: DataFrame, buckets: int, first: int | None = None) -> DataF
                 held += k.size
             if held > FLUSH_KEYS:
                 yield from flush(keys, ids)
-                keys, ids, held = [], [], 0
+                keys, ids, held, equal = [], [], 0, {}
         if held:
             yield from flush(keys, ids)
-        del keys, ids
+        del keys, ids, equal
         release_memory()
 
     def unpack(rows: list[tuple[bool, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -574,7 +574,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     table = materialize(_sizes_table(rows, n, threshold), "ngram_sets")
     real = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     reps = table.where(real).groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    block_of = materialize(components(_candidate_edges(table)), "blocks")
+    with small_batches(docs.sparkSession):      # the keys of a set may be as long as its text
+        block_of = materialize(components(_candidate_edges(table)), "blocks")
     # the distinct sets in blocks, with their points
     nodes = block_of.select(F.col("node").alias("doc_id"), F.col("component").alias("block"))
     sets = table.where(real).join(within(nodes), "doc_id").groupBy("d1", "d2").agg(
